@@ -59,9 +59,8 @@ def customer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def product(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(PRODUCTS, "product_key int, category string").selectExpr(
-        "product_key", "'P' || cast(product_key as string) AS product_code", "category"
-    )
+    rows = ", ".join(f"({key}, 'P{key}', '{category}')" for key, category in PRODUCTS)
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS p(product_key, product_code, category)")
 
 
 def loan(spark: SparkSession, sf_dir: str) -> DataFrame:
