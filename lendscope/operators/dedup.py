@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 
 def _pick(frame: DataFrame, keys: list[str], order: list[str], latest: bool) -> DataFrame:
+    order = [c for c in order if c not in keys]
     rest = [c for c in frame.columns if c not in keys]
     ranking = order + [c for c in rest if c not in order]
     chosen = F.max if latest else F.min

@@ -42,7 +42,9 @@ def salted_join(
     if how not in ("inner", "left"):
         raise ValueError(f"salted_join supports inner and left, not {how}")
     marked = F.broadcast(hot.select(key, F.lit(True).alias("_hot")))
-    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(row_id), F.lit(salts)).cast("int"))
+    # a NULL key matches nothing, so its rows may go anywhere
+    spreads = F.col("_hot") | F.col(key).isNull()
+    salt = F.when(spreads, F.pmod(F.xxhash64(row_id), F.lit(salts)).cast("int"))
     left = fact.join(marked, key, "left").withColumn("_salt", F.coalesce(salt, F.lit(0))).drop("_hot")
     spread = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
     right = (

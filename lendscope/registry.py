@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lendscope import queries_etl, queries_monitor
 from lendscope.plans import eda, investigate, kpi
 from lendscope.sources import bridge
 from lendscope.sources.bridge import AS_OF, bridge_star
@@ -68,10 +69,10 @@ ANALYTICS: dict[str, Query] = {
 
 
 def all_queries() -> dict[str, Query]:
-    return {**ANALYTICS}
+    return {**ANALYTICS, **queries_etl.QUERIES, **queries_monitor.QUERIES}
 
 
 def all_oracles() -> dict[str, str]:
-    from lendscope.oracle import kpi_texts
+    from lendscope.oracle import etl_texts, kpi_texts, monitor_texts
 
-    return {**kpi_texts.TEXTS}
+    return {**kpi_texts.TEXTS, **etl_texts.TEXTS, **monitor_texts.TEXTS}

@@ -169,13 +169,9 @@ def bridge_star(spark: SparkSession, sf_dir: str) -> Star:
 
 
 def loan_day2(loans: DataFrame) -> DataFrame:
-    """The loans' state one day later."""
+    """The loans with their days past due and status one day later."""
     return loans.selectExpr(
-        "loan_key",
-        "loan_id",
-        "outstanding_balance",
-        "loan_status AS old_status",
-        "days_past_due AS old_dpd",
+        "*",
         "CASE WHEN loan_status <> 'ACTIVE' THEN days_past_due"
         " WHEN loan_key % 20 IN (3, 17, 18) THEN days_past_due + 30"
         " WHEN loan_key % 20 = 19 THEN 0 ELSE days_past_due END AS new_dpd",

@@ -11,19 +11,20 @@ from lendscope.sources.schemas import STAGING_COLUMNS, staging_schema
 # around a value belong to it (the loaders trim).
 CSV_OPTIONS = {
     "header": "true",
-    "nullValue": "",
-    "emptyValue": "",
     "quote": '"',
     "escape": '"',
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
-    "mode": "FAILFAST",
 }
+# On reading, the word for NULL must differ from the empty string: it then
+# stands for unquoted empty fields only.
+READ_OPTIONS = {**CSV_OPTIONS, "mode": "FAILFAST", "nullValue": "\u0000", "emptyValue": ""}
+WRITE_OPTIONS = {**CSV_OPTIONS, "nullValue": "", "emptyValue": '""'}
 
 
 def read_staging(spark: SparkSession, path: str, table: str) -> DataFrame:
     """One landing table, stamped with load time and source file."""
-    raw = spark.read.schema(staging_schema(table)).options(**CSV_OPTIONS).csv(path)
+    raw = spark.read.schema(staging_schema(table)).options(**READ_OPTIONS).csv(path)
     return raw.select(
         "*",
         F.current_timestamp().alias("_ingested_at"),
@@ -36,6 +37,6 @@ def write_staging(frame: DataFrame, path: str, table: str) -> None:
     (
         frame.select(*STAGING_COLUMNS[table])
         .write.mode("overwrite")
-        .options(**{**CSV_OPTIONS, "emptyValue": '""'})
+        .options(**WRITE_OPTIONS)
         .csv(path)
     )
