@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Buckets are the leading hex digits of md5(business key): 16 ** DIGITS of them.
-DIGITS = 3
+DIGITS = 4
 
 
 def assign_keys(
@@ -21,7 +21,7 @@ def assign_keys(
 
     ``business_key`` is unique in ``rows``. Rows are numbered inside each md5
     bucket, and bucket offsets come from a count per bucket, so only the
-    ``16 ** digits`` counts meet in one task. Numbers are dense and the same on
+    ``16 ** digits`` (65 536) counts meet in one task. Numbers are dense and the same on
     every run. Raise ``digits`` so that one bucket fits a task.
     """
     base = start if isinstance(start, Column) else F.lit(start)

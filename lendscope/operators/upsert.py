@@ -27,13 +27,13 @@ def new_rows(
     keys: list[str],
     surrogate: str | None,
     defaults: dict[str, Column],
-    sized_for_patch: bool = False,
 ) -> DataFrame:
-    """Source rows whose key the target lacks, in the target's layout."""
-    known = target.select(*keys)
-    if sized_for_patch:
-        # only target keys that the (small) source mentions go into the anti join
-        known = known.join(source.select(*keys), keys, "left_semi")
+    """Source rows whose key the target lacks, in the target's layout.
+
+    Target keys are first reduced to those the source mentions. With a batch
+    small enough to broadcast, the large target is then read without a shuffle.
+    """
+    known = target.select(*keys).join(source.select(*keys), keys, "left_semi")
     fresh = source.join(known, keys, "left_anti")
     if surrogate:
         start = target.agg(F.max(surrogate)).scalar()
@@ -91,7 +91,7 @@ def upsert(
         return F.when(F.col("_hit"), value).otherwise(F.col(column)).alias(column)
 
     kept = target.join(changes, keys, "left").select(*[updated(c) for c in target.columns])
-    return kept.unionByName(new_rows(target, batch, keys, surrogate, defaults, sized_for_patch=True))
+    return kept.unionByName(new_rows(target, batch, keys, surrogate, defaults))
 
 
 def insert_ignore(

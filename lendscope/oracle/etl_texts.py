@@ -14,7 +14,7 @@ def title(x: str) -> str:
 
 
 def key(business: str, name: str, type_name: str = "BIGINT") -> str:
-    return f"CAST(row_number() OVER (ORDER BY left(md5({business}), 3), {business}) AS {type_name}) AS {name}"
+    return f"CAST(row_number() OVER (ORDER BY left(md5({business}), 4), {business}) AS {type_name}) AS {name}"
 
 
 def rid(city: str, state: str) -> str:
@@ -173,13 +173,13 @@ fresh AS (SELECT * FROM regions WHERE region_id NOT IN (SELECT region_id FROM ta
 SELECT t.region_key, t.region_id, coalesce(s.city, upper(t.city)) AS city, coalesce(s.state, upper(t.state)) AS state,
        coalesce(s.country, t.country) AS country, coalesce(s.region_tier, t.region_tier) AS region_tier
 FROM target t LEFT JOIN regions s ON s.region_id = t.region_id
-UNION ALL SELECT CAST((SELECT max(region_key) FROM target) + row_number() OVER (ORDER BY left(md5(region_id), 3), region_id) AS INT), * FROM fresh""",
+UNION ALL SELECT CAST((SELECT max(region_key) FROM target) + row_number() OVER (ORDER BY left(md5(region_id), 4), region_id) AS INT), * FROM fresh""",
         "r_customers", "w_region"),
     "upsert_product": with_views(f"""WITH {PRODUCTS}, target AS (SELECT {key('product_code', 'product_key', 'INT')}, * FROM products WHERE is_secured),
 fresh AS (SELECT * FROM products WHERE NOT is_secured),
 merged AS (SELECT product_key, product_code, product_name, category, 'Old Rate' AS sub_category, interest_rate_min, interest_rate_max,
        1 AS min_tenure_months, max_tenure_months, is_secured, collateral_type FROM target
-UNION ALL SELECT (SELECT max(product_key) FROM target) + row_number() OVER (ORDER BY left(md5(product_code), 3), product_code), * FROM fresh)
+UNION ALL SELECT (SELECT max(product_key) FROM target) + row_number() OVER (ORDER BY left(md5(product_code), 4), product_code), * FROM fresh)
 SELECT {PRODUCT_COLUMNS.replace('product_key,', 'CAST(product_key AS INT) AS product_key,', 1)} FROM merged""", "r_products"),
     "upsert_customer": with_views(f"""WITH {customers('old', FIRST_DAY)}, {customers('fresh')}
 SELECT f.customer_id, f.first_name, f.last_name, f.date_of_birth, f.gender,

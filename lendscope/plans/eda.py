@@ -149,12 +149,8 @@ def top_anomalies(star: Star, n: int = 10) -> DataFrame:
         star.txn.filter("is_anomaly")
         .orderBy(F.desc("anomaly_score"), "transaction_id")
         .limit(n)
-        .select(
-            "transaction_id", "customer_id", "risk_tier", "transaction_type", "amount", "anomaly_score",
-            "anomaly_reason", "txn_date", "region_key",
-        )
     )
-    return top.join(star.region.select("region_key", "city", "state"), "region_key").select(
+    return star.with_customer(top).join(star.region.select("region_key", "city", "state"), "region_key").select(
         "transaction_id",
         "customer_id",
         "risk_tier",

@@ -56,11 +56,13 @@ def _no_key(column: str) -> Column:
 
 
 def _one_per_key(raw: DataFrame, key: str, latest: bool = True) -> DataFrame:
-    """One row per trimmed key; rows without a key stay, to be rejected singly."""
-    trimmed = raw.withColumn(key, F.trim(key))
+    """One row per trimmed key; rows without a key stay, to be rejected singly
+    (each gets a group of its own)."""
+    trimmed = raw.withColumn(key, F.trim(key)).withColumn(
+        "_single", F.when(_no_key(key), F.monotonically_increasing_id())
+    )
     pick = newest_per_key if latest else first_per_key
-    keyed = pick(trimmed.filter(~_no_key(key)), [key], [LOADED_AT])
-    return keyed.unionByName(trimmed.filter(_no_key(key)))
+    return pick(trimmed, [key, "_single"], [LOADED_AT]).drop("_single")
 
 
 def accepted(checked: DataFrame) -> DataFrame:
@@ -219,8 +221,9 @@ def customer_places(customers: DataFrame, dim_customer: DataFrame, dim_region: D
     )
 
 
-def _row_counts(frame: DataFrame, key: str) -> DataFrame:
-    return frame.groupBy(key).agg(F.count("*").alias("n"))
+def _row_counts(raw: DataFrame, key: str) -> DataFrame:
+    """Rows per trimmed key, from a scan of that column alone."""
+    return raw.groupBy(F.trim(key).alias(key)).agg(F.count("*").alias("n"))
 
 
 def checked_loans(
@@ -256,7 +259,7 @@ def checked_loans(
         bad_number.alias("_bad_number"),
         bad_date.alias("_bad_date"),
     )
-    hot = hot_keys(_row_counts(text, "customer_id"), "customer_id", "n")
+    hot = hot_keys(_row_counts(raw, "customer_id"), "customer_id", "n")
     products = dim_product.select("product_code", "product_key")
     joined = salted_join(typed, places, "customer_id", hot, F.col("loan_id"), "left").join(
         products, "product_code", "left"

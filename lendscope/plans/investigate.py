@@ -16,7 +16,7 @@ from lendscope.sources.star import Star
 def default_spike(star: Star, start, end) -> DataFrame:
     """Defaults of loans issued in ``[start, end]`` by tier, category, state."""
     window = star.loan.filter(F.col("issue_date").between(date_lit(start), date_lit(end)))
-    by_key = window.groupBy("risk_tier", "product_key", "region_key").agg(
+    by_key = star.with_customer(window).groupBy("risk_tier", "product_key", "region_key").agg(
         count_if(F.col("loan_status") == "DEFAULTED").alias("bad"),
         F.count("*").alias("n"),
         F.sum("credit_score").alias("score"),
@@ -42,7 +42,8 @@ def par30_spike(star: Star, dpd_min: int = PAR_MIN_DPD, dpd_max: int = PAR_MAX_D
     """Loans with days past due in the range, largest balance first."""
     late = star.loan.filter(F.col("days_past_due").between(dpd_min, dpd_max))
     return (
-        late.join(star.product.select("product_key", "category"), "product_key")
+        star.with_customer(late)
+        .join(star.product.select("product_key", "category"), "product_key")
         .join(star.region.select("region_key", "state"), "region_key")
         .select(
             "loan_id",
@@ -67,7 +68,8 @@ def anomaly_spike(star: Star, day, n: int = 50) -> DataFrame:
         .limit(n)
     )
     return (
-        top.join(star.region.select("region_key", "city", "state"), "region_key")
+        star.with_customer(top)
+        .join(star.region.select("region_key", "city", "state"), "region_key")
         .select(
             "transaction_id",
             "customer_id",
@@ -85,7 +87,7 @@ def anomaly_spike(star: Star, day, n: int = 50) -> DataFrame:
 def npl_segments(star: Star, year: int, n: int = 10) -> DataFrame:
     """The worst segments of loans issued in ``year`` by mean monthly ratio."""
     in_year = star.loan.filter(F.col("issue_date").between(date_lit(f"{year:04d}-01-01"), date_lit(f"{year:04d}-12-31")))
-    monthly = npl_ratio(type(star)(**{**star.__dict__, "loan": in_year}))
+    monthly = npl_ratio(star.replaced(loan=in_year))
     return (
         monthly.groupBy("risk_tier", "product_category")
         .agg(F.sum("npl_loans").alias("npl_total"), half_up(F.avg("npl_ratio_pct"), 4).alias("avg_npl_pct"))
@@ -107,8 +109,7 @@ def loan_outliers(star: Star, k: float = 1.5) -> DataFrame:
     amount = F.col("principal_amount").cast("double")
     low, high = amount < F.col("lower_fence"), amount > F.col("upper_fence")
     return (
-        loans.join(fences, "category")
-        .filter(low | high)
+        star.with_customer(loans.join(fences, "category").filter(low | high))
         .select(
             "loan_id",
             "customer_id",
@@ -125,7 +126,7 @@ def loan_outliers(star: Star, k: float = 1.5) -> DataFrame:
 
 def txn_zscore(star: Star) -> DataFrame:
     """Every transaction with its distance, score, flag and reason."""
-    return star.txn.select(
+    return star.with_customer(star.txn).select(
         "transaction_id",
         "customer_id",
         F.col("txn_date").alias("transaction_date"),

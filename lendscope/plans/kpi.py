@@ -193,7 +193,7 @@ def anomaly_summary(star: Star) -> DataFrame:
 def npl_ratio(star: Star) -> DataFrame:
     """Non-performing share by month of issue, risk tier and category."""
     bad = F.col("is_npl")
-    by_product = star.loan.groupBy(
+    by_product = star.with_customer(star.loan).groupBy(
         month_start(F.col("issue_date")).alias("_month"), "risk_tier", "product_key"
     ).agg(
         F.count("loan_key").alias("n"),

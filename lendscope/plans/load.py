@@ -140,11 +140,12 @@ class Load:
 
     def _write(self, frame: DataFrame, table: str, month: str | None = None, flag: str | None = None) -> int:
         """Facts go to month folders, sorted by their flag so that readers of
-        flagged rows skip row groups."""
+        flagged rows skip row groups. Rebalancing by month gives few files per
+        folder and splits a month that is too large for one task."""
         written = Observation(f"{table}-out-{self.run_id}")
         out = frame.observe(written, F.count(F.lit(1)).alias("n"))
         if month:
-            out = out.sortWithinPartitions(month, flag)
+            out = out.hint("rebalance", month).sortWithinPartitions(month, flag)
         self.staged[table] = self.store.stage(out, table, self.version, (month,) if month else ())
         return written.get["n"]
 

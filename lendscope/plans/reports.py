@@ -131,7 +131,8 @@ def bi_default_mom(star: Star, as_of) -> DataFrame:
 
 
 def _default_counts(star: Star, *columns: str) -> DataFrame:
-    return star.loan.groupBy(*columns).agg(
+    loan = star.with_customer(star.loan) if "risk_tier" in columns else star.loan
+    return loan.groupBy(*columns).agg(
         count_if(F.col("loan_status") == "DEFAULTED").alias("bad"), F.count("*").alias("n")
     )
 
@@ -226,7 +227,8 @@ def bi_top20_at_risk(star: Star, n: int = 20) -> DataFrame:
     """The largest balances in the at-risk band, cut before the joins."""
     top = star.loan.filter("is_par30").orderBy(F.desc("outstanding_balance"), "loan_id").limit(n)
     return (
-        top.join(star.product.select("product_key", "category"), "product_key")
+        star.with_customer(top)
+        .join(star.product.select("product_key", "category"), "product_key")
         .join(star.region.select("region_key", "state"), "region_key")
         .select(
             "loan_id", "customer_id", "risk_tier", "category", "state", "days_past_due",
@@ -323,7 +325,8 @@ def dash_default_quarterly(star: Star) -> DataFrame:
 
 def dash_risk_mix(star: Star) -> DataFrame:
     return (
-        star.loan.groupBy("risk_tier")
+        star.with_customer(star.loan)
+        .groupBy("risk_tier")
         .agg(F.count("*").alias("loans"), F.sum("outstanding_balance").alias("b"))
         .select("risk_tier", "loans", money(F.col("b")).alias("portfolio"), _share("b").alias("pct_of_portfolio"))
         .orderBy("risk_tier")

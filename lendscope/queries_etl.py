@@ -78,24 +78,37 @@ def _dim_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keyed.withColumns(etl.open_version(AS_OF))
 
 
-def _checked_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    dim_customer = _dim_customer(spark, sf_dir)
-    regions = _dim_region(spark, sf_dir).select("region_id", "region_key")
-    places = dim_customer.join(regions, "region_id", "left").select("customer_id", "customer_key", "region_key")
-    return etl.checked_loans(bridge.raw_loans(spark, sf_dir), places, _dim_product(spark, sf_dir))
+def _stored(spark: SparkSession, frame: DataFrame, name: str) -> DataFrame:
+    """Written to the shared folder and read back: later steps read the rows
+    instead of computing them again."""
+    path = fresh_path(spark, name)
+    frame.write.parquet(path)
+    return spark.read.parquet(path)
 
 
-def _fact_loan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return assign_keys(etl.accepted(_checked_loans(spark, sf_dir)), "loan_id", "loan_key")
+class _Dims:
+    """The dimensions, loaded and stored once per query."""
 
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+        self.region = _stored(spark, _dim_region(spark, sf_dir), "dim-region")
+        self.product = _stored(spark, _dim_product(spark, sf_dir), "dim-product")
+        self.customer = _stored(spark, _dim_customer(spark, sf_dir), "dim-customer")
 
-def _checked_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return etl.checked_transactions(
-        bridge.raw_transactions(spark, sf_dir),
-        _dim_customer(spark, sf_dir),
-        _dim_region(spark, sf_dir),
-        _fact_loan(spark, sf_dir),
-    )
+    def checked_loans(self) -> DataFrame:
+        places = etl.customer_places(self.customer, self.customer, self.region)
+        checked = etl.checked_loans(bridge.raw_loans(self.spark, self.sf_dir), places, self.product)
+        return _stored(self.spark, checked, "checked-loans")
+
+    def checked_transactions(self, loans: DataFrame) -> DataFrame:
+        checked = etl.checked_transactions(
+            bridge.raw_transactions(self.spark, self.sf_dir), self.customer, self.region, loans
+        )
+        return _stored(self.spark, checked, "checked-transactions")
+
+
+def _keyed_loans(checked: DataFrame) -> DataFrame:
+    return assign_keys(etl.accepted(checked), "loan_id", "loan_key")
 
 
 def etl_dim_region(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,11 +124,12 @@ def etl_dim_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def etl_fact_loan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return for_output(_fact_loan(spark, sf_dir))
+    return for_output(_keyed_loans(_Dims(spark, sf_dir).checked_loans()))
 
 
 def etl_fact_transaction(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = etl.accepted(_checked_transactions(spark, sf_dir))
+    dims = _Dims(spark, sf_dir)
+    rows = etl.accepted(dims.checked_transactions(_keyed_loans(dims.checked_loans())))
     return for_output(assign_keys(rows, "transaction_id", "txn_key"))
 
 
@@ -130,11 +144,13 @@ def etl_dim_customer_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def etl_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dims = _Dims(spark, sf_dir)
+    loans = dims.checked_loans()
     parts = [
         etl.rejects(etl.checked_products(bridge.raw_products(spark, sf_dir)), "dim_loan_product", "product_code"),
         etl.rejects(etl.checked_customers(bridge.raw_customers(spark, sf_dir)), "dim_customer", "customer_id"),
-        etl.rejects(_checked_loans(spark, sf_dir), "fact_loan", "loan_id"),
-        etl.rejects(_checked_transactions(spark, sf_dir), "fact_transaction", "transaction_id"),
+        etl.rejects(loans, "fact_loan", "loan_id"),
+        etl.rejects(dims.checked_transactions(_keyed_loans(loans)), "fact_transaction", "transaction_id"),
     ]
     return reduce(DataFrame.unionByName, parts)
 

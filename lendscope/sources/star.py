@@ -8,20 +8,22 @@ shapes from order and event tables (``lendscope.sources.bridge``).
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lendscope.functions.credit import NPL_MIN_DPD, is_npl
-from lendscope.functions.dates import date_lit, key_to_date
+from lendscope.functions.dates import date_key, date_lit, key_to_date
+
+
+CUSTOMER_COLUMNS = ("customer_id", "risk_tier", "credit_score")
 
 
 @dataclass(frozen=True)
 class Star:
-    """``loan`` and ``txn`` carry their customer's id, tier and score next to
-    the fact columns: one join to the customer table per query, and none after
-    column pruning where the query does not ask for them."""
+    """``loan`` and ``txn`` are the facts with ``issue_date`` and ``txn_date``;
+    ``with_customer`` adds the customer's columns where a query needs them."""
 
     region: DataFrame
     customer: DataFrame
@@ -32,12 +34,21 @@ class Star:
     # scored transactions of [start, end], cut at the scan
     txn_between: Callable[[object, object], DataFrame]
 
+    def with_customer(self, facts: DataFrame) -> DataFrame:
+        """Fact rows with customer id, tier and score. Both sides come from
+        scans, so a sort-merge join splits a hot customer at run time."""
+        if set(CUSTOMER_COLUMNS) <= set(facts.columns):
+            return facts
+        return facts.join(self.customer.select("customer_key", *CUSTOMER_COLUMNS), "customer_key")
+
+    def replaced(self, **parts) -> Star:
+        return replace(self, **parts)
+
     def with_npl_from(self, npl_min_dpd: int) -> Star:
         """The same star with another first non-performing day."""
         if npl_min_dpd == NPL_MIN_DPD:
             return self
-        loan = self.loan.withColumn("is_npl", is_npl(F.col("days_past_due"), npl_min_dpd))
-        return Star(**{**self.__dict__, "loan": loan})
+        return self.replaced(loan=self.loan.withColumn("is_npl", is_npl(F.col("days_past_due"), npl_min_dpd)))
 
     def sliced(
         self,
@@ -49,56 +60,57 @@ class Star:
         loan_status: str | None = None,
     ) -> Star:
         """The star behind the report slicers; unset slicers keep all rows."""
-        loan, txn, unscored, between = self.loan, self.txn, self.txn_unscored, self.txn_between
-
-        def on_txn(change: Callable[[DataFrame], DataFrame]) -> None:
-            nonlocal txn, unscored, between
-            txn, unscored = change(txn), change(unscored)
-            inner = between
-            between = lambda a, b: change(inner(a, b))
-
-        if start is not None:
-            loan = loan.filter(F.col("issue_date") >= date_lit(start))
-            on_txn(lambda t: t.filter(F.col("txn_date") >= date_lit(start)))
-        if end is not None:
-            loan = loan.filter(F.col("issue_date") <= date_lit(end))
-            on_txn(lambda t: t.filter(F.col("txn_date") <= date_lit(end)))
-        if risk_tier is not None:
-            loan = loan.filter(F.col("risk_tier") == risk_tier)
-            on_txn(lambda t: t.filter(F.col("risk_tier") == risk_tier))
-        if state is not None:
-            keys = self.region.filter(F.col("state") == state).select("region_key")
-            loan = loan.join(keys, "region_key", "left_semi")
-            on_txn(lambda t: t.join(keys, "region_key", "left_semi"))
+
+        def dated(frame: DataFrame, column: str) -> DataFrame:
+            if start is not None:
+                frame = frame.filter(F.col(column) >= date_lit(start))
+            if end is not None:
+                frame = frame.filter(F.col(column) <= date_lit(end))
+            return frame
+
+        def placed(frame: DataFrame) -> DataFrame:
+            if risk_tier is not None:
+                frame = self.with_customer(frame).filter(F.col("risk_tier") == risk_tier)
+            if state is not None:
+                keys = self.region.filter(F.col("state") == state).select("region_key")
+                frame = frame.join(keys, "region_key", "left_semi")
+            return frame
+
+        loan = placed(dated(self.loan, "issue_date"))
         if category is not None:
-            keys_p = self.product.filter(F.col("category") == category).select("product_key")
-            loan = loan.join(keys_p, "product_key", "left_semi")
+            keys = self.product.filter(F.col("category") == category).select("product_key")
+            loan = loan.join(keys, "product_key", "left_semi")
         if loan_status is not None:
             loan = loan.filter(F.col("loan_status") == loan_status)
-        return Star(**{**self.__dict__, "loan": loan, "txn": txn, "txn_unscored": unscored, "txn_between": between})
-
-
-CUSTOMER_COLUMNS = ("customer_key", "customer_id", "risk_tier", "credit_score")
+        return self.replaced(
+            loan=loan,
+            txn=placed(dated(self.txn, "txn_date")),
+            txn_unscored=placed(dated(self.txn_unscored, "txn_date")),
+            txn_between=lambda a, b: placed(dated(self.txn_between(a, b), "txn_date")),
+        )
 
 
 def warehouse_star(read: Callable[[str], DataFrame]) -> Star:
     """Star over published tables; ``read`` maps a table name to a DataFrame.
 
-    Facts join the customer table by a left join on its unique key: Catalyst
-    drops nothing, and prunes the columns a query does not use.
+    Date bounds also bound the month folders, so other months are not listed.
     """
-    customer = read("dim_customer").filter("is_current")
-    attributes = customer.select(*CUSTOMER_COLUMNS)
-    loan = (
-        read("fact_loan")
-        .withColumn("issue_date", key_to_date(F.col("issue_date_key")))
-        .join(attributes, "customer_key")
-    )
-    facts = read("fact_transaction").withColumn("txn_date", key_to_date(F.col("txn_date_key")))
-    txn = facts.join(attributes, "customer_key")
-    product = read("dim_loan_product")
+    loan = read("fact_loan").withColumn("issue_date", key_to_date(F.col("issue_date_key")))
+    txn = read("fact_transaction").withColumn("txn_date", key_to_date(F.col("txn_date_key")))
 
     def between(start, end) -> DataFrame:
-        return txn.filter(F.col("txn_date").between(date_lit(start), date_lit(end)))
-
-    return Star(read("dim_region"), customer, product, loan, txn, txn, between)
+        low, high = date_lit(start), date_lit(end)
+        month = lambda d: F.year(d) * 100 + F.month(d)
+        return txn.filter(F.col("txn_month").between(month(low), month(high))).filter(
+            F.col("txn_date_key").between(date_key(low), date_key(high))
+        )
+
+    return Star(
+        region=read("dim_region"),
+        customer=read("dim_customer").filter("is_current"),
+        product=read("dim_loan_product"),
+        loan=loan,
+        txn=txn,
+        txn_unscored=txn,
+        txn_between=between,
+    )

@@ -84,11 +84,7 @@ class TableStore:
         parts = self.parts(table)
         if not parts:
             raise ValueError(f"table {table} was never published under {self.root}")
-        frames = [self.spark.read.parquet(p) for p in parts]
-        whole = frames[0]
-        for frame in frames[1:]:
-            whole = whole.unionByName(frame)
-        return whole
+        return self.spark.read.parquet(*parts)
 
     def read_or_empty(self, table: str, schema: StructType) -> DataFrame:
         return self.read(table) if self.exists(table) else self.spark.createDataFrame([], schema)
