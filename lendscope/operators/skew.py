@@ -20,7 +20,7 @@ def hot_keys(
     """
     total = counts.select(F.col(n).alias("_n")).agg(F.sum("_n")).scalar()
     is_hot = (F.col(n) > min_rows) & (F.col(n).cast("double") > total.cast("double") * share)
-    return counts.filter(is_hot).select(key)
+    return counts.filter(is_hot & F.col(key).isNotNull()).select(key)
 
 
 def salted_join(

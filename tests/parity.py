@@ -1,6 +1,7 @@
 """Compare registered queries with their oracle SQL.
 
-``python tests/parity.py sf_dir [name-prefix …]`` prints one line per query.
+``python tests/parity.py sf_dir [name-prefix …] [spark.setting=value …]`` prints one
+line per query.
 """
 
 from __future__ import annotations
@@ -72,8 +73,10 @@ def main() -> int:
     import __spark_entry__ as contract
     from lendscope.session import build_session
 
-    sf_dir, prefixes = sys.argv[1], sys.argv[2:]
-    spark = build_session("parity", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g"})
+    sf_dir = sys.argv[1]
+    extra = dict(a.split("=", 1) for a in sys.argv[2:] if "=" in a)
+    prefixes = [a for a in sys.argv[2:] if "=" not in a]
+    spark = build_session("parity", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g", **extra})
     spark.sparkContext.setLogLevel("ERROR")
     con = duck(sf_dir)
     oracle = contract.oracle_sql()
