@@ -7,7 +7,7 @@ import time
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lendscope.functions.numbers import count_if
@@ -126,28 +126,26 @@ class Load:
         return self.store.read_or_empty(table, WAREHOUSE[table]).select(*WAREHOUSE[table].names)
 
     def _batch(self, step: str, checked: DataFrame, row_id: str | None = None) -> tuple[DataFrame, int, int]:
-        """Store the checked batch; return its good rows, rows read, rejected."""
+        """Store the checked batch; return its good rows, rows read, rejected.
+        The counts come from one column of the stored rows."""
         if row_id is None:
             checked = checked.withColumn("reject_reason", F.lit(None).cast("string"))
-        seen = Observation(f"{step}-{self.run_id}")
-        observed = checked.observe(
-            seen, F.count(F.lit(1)).alias("read"), count_if(F.col("reject_reason").isNotNull()).alias("bad")
-        )
-        stored = self.store.stage(observed, f"_batch/{step}", self.version)
+        stored = self.store.stage(checked, f"_batch/{step}", self.version)
+        seen = stored.agg(
+            F.count("*").alias("read"), count_if(F.col("reject_reason").isNotNull()).alias("bad")
+        ).first()
         if row_id is not None:
             self.reject_parts.append(etl.rejects(stored, step, row_id))
-        return etl.accepted(stored), seen.get["read"], seen.get["bad"]
+        return etl.accepted(stored), seen.read, seen.bad
 
     def _write(self, frame: DataFrame, table: str, month: str | None = None, flag: str | None = None) -> int:
         """Facts go to month folders, sorted by their flag so that readers of
         flagged rows skip row groups. Rebalancing by month gives few files per
         folder and splits a month that is too large for one task."""
-        written = Observation(f"{table}-out-{self.run_id}")
-        out = frame.observe(written, F.count(F.lit(1)).alias("n"))
         if month:
-            out = out.hint("rebalance", month).sortWithinPartitions(month, flag)
-        self.staged[table] = self.store.stage(out, table, self.version, (month,) if month else ())
-        return written.get["n"]
+            frame = frame.hint("rebalance", month).sortWithinPartitions(month, flag)
+        self.staged[table] = self.store.stage(frame, table, self.version, (month,) if month else ())
+        return self.staged[table].count()
 
     def _full(self, table: str, state: DataFrame, month: str | None = None, flag: str | None = None) -> int:
         self.kinds[table] = FULL

@@ -246,12 +246,13 @@ def investigation(star: Star, breached: DataFrame, as_of, n: int = 10) -> DataFr
         [F.desc("avg_npl_pct"), F.asc("risk_tier"), F.asc("product_category")],
         n,
     )
-    hit = breached.select("kpi").distinct()
+    # at most one value per monitored indicator
+    hit = breached.agg(F.collect_set("kpi")).scalar()
     return (
         segments.unionByName(loans)
         .unionByName(flagged)
         .unionByName(bad)
-        .join(hit, "kpi", "left_semi")
+        .filter(F.array_contains(hit, F.col("kpi")))
         .orderBy("kpi", "rank")
     )
 

@@ -83,7 +83,8 @@ def _to_files(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
 
 
 def _stored_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    profile = bridge.baseline(bridge.table(spark, sf_dir, "events"), bridge.customer(spark, sf_dir))
+    stats = bridge.customer_stats(bridge.table(spark, sf_dir, "events"))
+    profile = bridge.baseline(stats, bridge.customer(spark, sf_dir))
     path = fresh_path(spark, "baseline")
     profile.write.parquet(path)
     return spark.read.parquet(path)

@@ -123,10 +123,9 @@ def events_between(events: DataFrame, start, end) -> DataFrame:
     return events.filter((F.col("ts") >= low) & (F.col("ts") < high))
 
 
-def baseline(events: DataFrame, people: DataFrame) -> DataFrame:
-    """Per-customer mean, deviation and row count over the whole history, with
-    the customer's attributes. One row per customer on both join sides."""
-    stats = (
+def customer_stats(events: DataFrame) -> DataFrame:
+    """Per-customer mean, deviation and row count over the whole history."""
+    return (
         transactions_of(events)
         .groupBy("customer_key")
         .agg(
@@ -135,13 +134,20 @@ def baseline(events: DataFrame, people: DataFrame) -> DataFrame:
             F.count("*").alias("n_txn"),
         )
     )
+
+
+def baseline(stats: DataFrame, people: DataFrame) -> DataFrame:
+    """Statistics with the customer's attributes; one row per customer on both
+    join sides."""
     attributes = people.select("customer_key", "customer_id", "region_key", "risk_tier", "credit_score")
     return stats.join(attributes, "customer_key")
 
 
-def scored(facts: DataFrame, profile: DataFrame) -> DataFrame:
-    """Score transaction rows (batch or stream) against the profile."""
-    hot = hot_keys(profile, "customer_key", "n_txn")
+def scored(facts: DataFrame, profile: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+    """Score transaction rows (batch or stream) against the profile. ``hot``
+    are the customers to spread; by default they are read off the profile."""
+    if hot is None:
+        hot = hot_keys(profile, "customer_key", "n_txn")
     joined = salted_join(facts, profile.drop("n_txn"), "customer_key", hot, F.col("txn_key"))
     z = z_score(F.col("amount"), F.col("avg_amount"), F.col("sd_amount"))
     with_z = joined.withColumn("z_score", z).drop("avg_amount", "sd_amount")
@@ -152,17 +158,20 @@ def bridge_star(spark: SparkSession, sf_dir: str) -> Star:
     people = customer(spark, sf_dir)
     events = table(spark, sf_dir, "events")
     attributes = people.select("customer_key", "customer_id", "region_key", "risk_tier", "credit_score")
-    profile = baseline(events, people)
+    stats = customer_stats(events)
+    profile = baseline(stats, people)
+    # off the statistics alone: counts need one column of the events
+    hot = hot_keys(stats, "customer_key", "n_txn")
 
     def between(start, end) -> DataFrame:
-        return scored(transactions_of(events_between(events, start, end)).drop("ts"), profile)
+        return scored(transactions_of(events_between(events, start, end)).drop("ts"), profile, hot)
 
     return Star(
         region=region(spark, sf_dir),
         customer=people,
         product=product(spark),
         loan=loan(spark, sf_dir),
-        txn=scored(transactions_of(events).drop("ts"), profile),
+        txn=scored(transactions_of(events).drop("ts"), profile, hot),
         txn_unscored=transactions_of(events).drop("ts").join(attributes, "customer_key"),
         txn_between=between,
     )

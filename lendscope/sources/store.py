@@ -8,6 +8,8 @@ reads.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType, TimestampType
@@ -19,6 +21,7 @@ COMMIT = StructType(
         StructField("table_name", StringType()),
         StructField("version", IntegerType()),
         StructField("kind", StringType()),
+        StructField("schema_json", StringType()),
         StructField("committed_at", TimestampType()),
     ]
 )
@@ -30,6 +33,7 @@ class TableStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._staged: dict[tuple[str, int], StructType] = {}
 
     def path(self, table: str, version: int) -> str:
         return f"{self.root}/{table}/v{version}"
@@ -43,13 +47,17 @@ class TableStore:
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(self.path(table, version))
-        return self.spark.read.parquet(self.path(table, version))
+        # an empty partitioned table has no file to take the schema from
+        self._staged[table, version] = frame.schema
+        return self.spark.read.schema(frame.schema).parquet(self.path(table, version))
 
     def commit(self, version: int, kinds: dict[str, str]) -> None:
         """Publish the staged ``version`` of the tables named in ``kinds``."""
-        rows = [(table, version, kind) for table, kind in kinds.items()]
+        rows = [
+            (table, version, kind, self._staged[table, version].json()) for table, kind in kinds.items()
+        ]
         (
-            self.spark.createDataFrame(rows, "table_name string, version int, kind string")
+            self.spark.createDataFrame(rows, "table_name string, version int, kind string, schema_json string")
             .withColumn("committed_at", F.current_timestamp())
             .coalesce(1)
             .write.mode("append")
@@ -69,13 +77,13 @@ class TableStore:
         row = self.commits().agg(F.max("version").alias("v")).first()
         return row.v or 0
 
-    def parts(self, table: str) -> list[str]:
-        """Folders of the published state: the last full version and every
-        append after it."""
+    def parts(self, table: str) -> list[tuple[str, str]]:
+        """(folder, schema) of the published state: the last full version and
+        every append after it."""
         log = self.commits().filter(F.col("table_name") == table)
         base = log.filter(F.col("kind") == FULL).agg(F.max("version")).scalar()
         live = log.filter(F.col("version") >= F.coalesce(base, F.lit(0))).orderBy("version")
-        return [self.path(table, row.version) for row in live.select("version").collect()]
+        return [(self.path(table, row.version), row.schema_json) for row in live.collect()]
 
     def exists(self, table: str) -> bool:
         return bool(self.parts(table))
@@ -84,7 +92,8 @@ class TableStore:
         parts = self.parts(table)
         if not parts:
             raise ValueError(f"table {table} was never published under {self.root}")
-        return self.spark.read.parquet(*parts)
+        schema = StructType.fromJson(json.loads(parts[-1][1]))
+        return self.spark.read.schema(schema).parquet(*[path for path, _ in parts])
 
     def read_or_empty(self, table: str, schema: StructType) -> DataFrame:
         return self.read(table) if self.exists(table) else self.spark.createDataFrame([], schema)
