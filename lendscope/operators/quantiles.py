@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lendscope.operators.sizes import broadcast_if_small
+
 # Values fall into bins of 2 ** BIN_BITS smallest units (2 ** 20 cents).
 BIN_BITS = 20
 
@@ -14,6 +16,7 @@ def exact_percentiles(
     group: list[str],
     value: str,
     points: dict[str, float],
+    groups: DataFrame | None = None,
     scale: int = 2,
     bin_bits: int = BIN_BITS,
 ) -> DataFrame:
@@ -25,6 +28,9 @@ def exact_percentiles(
     the shuffle), which tells in which bins the wanted ranks lie; a second
     pass counts single values within those bins only. A bin has at most
     ``2 ** bin_bits`` distinct values, whatever the number of rows.
+
+    ``groups`` is a small table with at least a row per group: with few groups
+    the wanted bins are broadcast, and the second pass shuffles counts only.
     """
     unit = (F.col(value) * F.lit(10**scale)).cast("bigint")
     keyed = rows.filter(F.col(value).isNotNull()).select(*group, unit.alias("_v"))
@@ -59,6 +65,11 @@ def exact_percentiles(
         .select(*group, "_bin", (F.col("t.rank") - F.col("_before")).alias("_rank"), "t.name", "t.side", "t.frac")
     )
     chosen = targets.select(*group, "_bin").distinct()
+    if not group:
+        # at most two bins per point
+        chosen = F.broadcast(chosen)
+    elif groups is not None:
+        chosen = broadcast_if_small(chosen, groups)
     same_group = [F.col(f"k.{c}").eqNullSafe(F.col(f"c.{c}")) for c in group]
     same_bin = F.shiftright(F.col("k._v"), bin_bits) == F.col("c._bin")
     condition = same_bin

@@ -80,8 +80,9 @@ def loan_stats(star: Star, approximate: bool = False) -> DataFrame:
     )
     if not approximate:
         points = exact_percentiles(star.loan, [], "principal_amount", LOAN_POINTS)
-        packed = points.select(F.struct(*LOAN_POINTS).alias("p")).scalar()
-        base = base.withColumn("_p", packed).withColumns({n: F.col(f"_p.{n}") for n in LOAN_POINTS})
+        both = base.unionByName(points, allowMissingColumns=True)
+        # two rows, each with its own columns
+        base = both.agg(*[F.max(c).alias(c) for c in both.columns])
     return base.select(
         "total_loans", "min_amount", "max_amount", "mean_amount", *[half_up(F.col(n), 4).alias(n) for n in LOAN_POINTS], "stddev"
     )

@@ -9,6 +9,7 @@ from lendscope.functions.credit import PAR_MAX_DPD, PAR_MIN_DPD
 from lendscope.functions.dates import date_lit
 from lendscope.functions.numbers import count_if, half_up, mean, money, percent, ratio
 from lendscope.operators.quantiles import exact_percentiles
+from lendscope.operators.sizes import broadcast_if_small
 from lendscope.plans.kpi import npl_ratio
 from lendscope.sources.star import Star
 
@@ -99,7 +100,9 @@ def npl_segments(star: Star, year: int, n: int = 10) -> DataFrame:
 def loan_outliers(star: Star, k: float = 1.5) -> DataFrame:
     """Loans outside ``q1 - k*iqr .. q3 + k*iqr`` of their category."""
     loans = star.loan.join(star.product.select("product_key", "category"), "product_key")
-    quartiles = exact_percentiles(loans, ["category"], "principal_amount", {"q1": 0.25, "q3": 0.75})
+    quartiles = exact_percentiles(
+        loans, ["category"], "principal_amount", {"q1": 0.25, "q3": 0.75}, groups=star.product
+    )
     width = F.col("q3") - F.col("q1")
     fences = quartiles.select(
         "category",
@@ -109,7 +112,7 @@ def loan_outliers(star: Star, k: float = 1.5) -> DataFrame:
     amount = F.col("principal_amount").cast("double")
     low, high = amount < F.col("lower_fence"), amount > F.col("upper_fence")
     return (
-        star.with_customer(loans.join(fences, "category").filter(low | high))
+        star.with_customer(loans.join(broadcast_if_small(fences, star.product), "category").filter(low | high))
         .select(
             "loan_id",
             "customer_id",

@@ -285,11 +285,15 @@ def kpi_history(star: Star, start, end, rule: str = "par_or_npl") -> DataFrame:
     each day's indicators. Status is not kept by date, so the three terms that
     read current status are the same on all days.
     """
+    active = F.col("loan_status") == "ACTIVE"
     loan_days = star.loan.groupBy(F.col("issue_date").alias("d")).agg(
         F.sum("outstanding_balance").alias("_total"),
         sum_if(at_risk(rule), "outstanding_balance").alias("_risky"),
         F.count("loan_key").alias("_issued"),
         count_if(F.col("loan_status") == "DEFAULTED").alias("_defaults"),
+        count_if(active).alias("_active"),
+        count_if(F.col("is_npl")).alias("_npl"),
+        sum_if(active, "outstanding_balance").alias("_active_balance"),
     )
     loan_days = loan_days.withColumn("_pct", half_up(ratio(F.col("_risky"), F.col("_total")) * 100.0, 4))
     flag_days = (
@@ -297,40 +301,30 @@ def kpi_history(star: Star, start, end, rule: str = "par_or_npl") -> DataFrame:
         .groupBy(F.date_add("txn_date", 1).alias("d"))
         .agg(count_if(F.col("is_anomaly")).alias("_flags"))
     )
-    # the month and the 30 days before the first poll are needed as well
-    lead = F.least(month_start(date_lit(start)), F.date_sub(date_lit(start), 30))
-    calendar = (
-        star.loan.sparkSession.range(1)
-        .select(F.explode(F.sequence(lead, date_lit(end))).alias("d"))
+    calendar = star.loan.sparkSession.range(1).select(
+        F.explode(F.sequence(date_lit(start), date_lit(end))).alias("d")
     )
     last30 = Window.orderBy(day_number(F.col("d"))).rangeBetween(-30, 0)
     to_date = Window.partitionBy(month_start(F.col("d"))).orderBy("d")
-    known = (
-        calendar.join(loan_days, "d", "left")
-        .join(flag_days, "d", "left")
-        .withColumns(
-            {
-                "par30_30d_avg": half_up(F.avg("_pct").over(last30), 4),
-                "current_month_default_rate": percent(
-                    F.sum("_defaults").over(to_date), F.sum("_issued").over(to_date), 4
-                ),
-            }
-        )
-        .filter(F.col("d").between(date_lit(start), date_lit(end)))
-    )
-    book = _book_totals(star.loan, F.lit(False)).select(
-        F.struct("active_loan_count", "overall_npl_ratio", "total_active_portfolio").alias("b")
-    )
+    whole = Window.partitionBy()
+
+    def total(column: str) -> Column:
+        return F.sum(column).over(whole)
+
     return (
-        known.withColumn("_b", book.scalar())
+        calendar.join(loan_days, "d", "full_outer")
+        .join(flag_days, "d", "left")
         .select(
             F.col("d").alias("snapshot_ts"),
-            "par30_30d_avg",
-            "current_month_default_rate",
+            half_up(F.avg("_pct").over(last30), 4).alias("par30_30d_avg"),
+            percent(F.sum("_defaults").over(to_date), F.sum("_issued").over(to_date), 4).alias(
+                "current_month_default_rate"
+            ),
             F.coalesce("_flags", F.lit(0)).alias("anomaly_count_yesterday"),
-            F.col("_b.active_loan_count"),
-            F.col("_b.overall_npl_ratio"),
-            F.col("_b.total_active_portfolio"),
+            F.coalesce(total("_active"), F.lit(0)).alias("active_loan_count"),
+            percent(total("_npl"), total("_issued"), 4).alias("overall_npl_ratio"),
+            money(total("_active_balance")).alias("total_active_portfolio"),
         )
+        .filter(F.col("snapshot_ts").between(date_lit(start), date_lit(end)))
         .orderBy("snapshot_ts")
     )
