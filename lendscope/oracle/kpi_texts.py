@@ -43,6 +43,15 @@ SELECT full_date, CAST(year(full_date) AS INT) AS year, CAST(month(full_date) AS
        {pct('(volume - prev)', 'prev', 2)} AS dod_pct_change
 FROM p"""
 
+SERIES = "country, state, city, region_tier, transaction_type"
+TXN_VOLUME_CALENDAR = f"""WITH span AS (SELECT {SERIES}, min(txn_date) AS lo, max(txn_date) AS hi FROM w_txnx GROUP BY ALL),
+days AS (SELECT {SERIES}, CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS full_date FROM span),
+v AS (SELECT d.full_date, d.country, d.state, d.city, d.region_tier, d.transaction_type, count(amount) AS txn_count, coalesce(sum(amount), 0) AS volume,
+             {mean('amount', 2)} AS avg_amount, count(*) FILTER (WHERE is_anomaly) AS anomaly_count
+      FROM days d LEFT JOIN w_txnx t ON t.txn_date = d.full_date AND t.city = d.city AND t.state = d.state AND t.country = d.country
+           AND t.transaction_type = d.transaction_type GROUP BY ALL),
+{TXN_VOLUME[TXN_VOLUME.index('p AS (SELECT'):]}"""
+
 ANOMALY_SUMMARY = f"""WITH d AS (
   SELECT txn_date AS full_date, transaction_type, country, state, count(*) FILTER (WHERE is_anomaly) AS anomaly_count,
          count(*) AS total_txns, sum(anomaly_score) FILTER (WHERE is_anomaly) AS scores,
@@ -133,10 +142,14 @@ KPI = {
     "kpi_par30": with_views(PAR30, "w_loan"),
     "kpi_par30_zero_fill": with_views(
         PAR30.replace("CAST(risky AS DOUBLE)", "CAST(coalesce(risky, 0) AS DOUBLE)"), "w_loan"),
+    "kpi_par30_dpd30": with_views(PAR30.replace(RISKY, "days_past_due >= 30"), "w_loan"),
+    "kpi_par30_par_only": with_views(PAR30.replace(RISKY, "is_par30"), "w_loan"),
     "kpi_default_rate": with_views(DEFAULT_RATE, "w_loan"),
     "kpi_txn_volume": with_views(TXN_VOLUME, "w_txnx"),
+    "kpi_txn_volume_calendar": with_views(TXN_VOLUME_CALENDAR, "w_txnx"),
     "kpi_anomaly_summary": with_views(ANOMALY_SUMMARY, "w_txnx"),
     "kpi_npl_ratio": with_views(NPL_RATIO, "w_loanx"),
+    "kpi_npl_ratio_from_90": with_views(NPL_RATIO.replace("is_npl", "days_past_due >= 90"), "w_loanx"),
     "kpi_snapshot": with_views(SNAPSHOT, "w_loan", "w_txn"),
 }
 
@@ -164,6 +177,12 @@ SELECT loan_id, customer_id, risk_tier, l.category, {dbl('principal_amount')} AS
        CASE WHEN principal_amount < lower_fence THEN 'LOW_OUTLIER' ELSE 'HIGH_OUTLIER' END AS outlier_type
 FROM w_loanx l JOIN f ON f.category = l.category
 WHERE CAST(l.principal_amount AS DOUBLE) < lower_fence OR CAST(l.principal_amount AS DOUBLE) > upper_fence""", "w_loanx"),
+    "sql_functions": with_views(f"""SELECT 'default' AS source, risk_tier || '/' || category || '/' || state AS item,
+       {pct("count(*) FILTER (WHERE loan_status = 'DEFAULTED')", 'count(*)', 4)} AS value
+FROM w_loanx WHERE issue_date BETWEEN {AS_OF} - 30 AND {AS_OF} GROUP BY risk_tier, category, state
+UNION ALL SELECT 'par30', loan_id, {dbl('outstanding_balance')} FROM w_loanx WHERE days_past_due BETWEEN 30 AND 59
+UNION ALL SELECT 'anomaly', transaction_id, s FROM (SELECT transaction_id, {dbl('anomaly_score')} AS s FROM w_txnx
+  WHERE is_anomaly AND txn_date = DATE '2001-07-20' ORDER BY anomaly_score DESC, transaction_id LIMIT 50)""", "w_loanx", "w_txnx"),
     "txn_zscore": with_views(f"""SELECT transaction_id, customer_id, txn_date AS transaction_date, {dbl('amount')} AS amount,
        {rnd('z_score', 6)} AS z_score, {dbl('anomaly_score')} AS anomaly_score, is_anomaly, anomaly_reason FROM w_txnx""", "w_txnx"),
 }

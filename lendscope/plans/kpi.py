@@ -15,6 +15,7 @@ from lendscope.functions.dates import date_lit, day_number, month_start
 from lendscope.functions.numbers import count_if, half_up, mean, money, percent, ratio, sum_if
 from lendscope.operators.rolling import rolling_rows_sum
 from lendscope.sources.star import Star
+from lendscope.sources.workspace import stored
 
 
 def _daily_portfolio(loan: DataFrame, rule: str) -> DataFrame:
@@ -141,9 +142,13 @@ def _daily_anomalies(star: Star) -> DataFrame:
         sum_if(flagged, "amount").alias("volume"),
     )
     places = star.region.select("region_key", "country", "state")
+    # one partitioning by day serves this aggregate, the windows within a day
+    # and the daily totals; the rows are aggregates already
     return (
         by_key.join(places, "region_key")
-        .groupBy(F.col("txn_date").alias("full_date"), "transaction_type", "country", "state")
+        .withColumnRenamed("txn_date", "full_date")
+        .repartition("full_date")
+        .groupBy("full_date", "transaction_type", "country", "state")
         .agg(
             F.sum("n").alias("anomaly_count"),
             F.sum("total").alias("total_txns"),
@@ -153,41 +158,37 @@ def _daily_anomalies(star: Star) -> DataFrame:
     )
 
 
-def anomaly_summary(star: Star) -> DataFrame:
+def anomaly_summary(star: Star, rolling: bool = True, store: bool = True) -> DataFrame:
     """Flags per date, type, country and state.
 
     ``anomaly_7d_rolling`` is the total of the seven calendar days up to the
     date; ``anomaly_7row_rolling`` sums the last seven rows of the table in
-    the order (date, type, country, state).
+    the order (date, type, country, state). ``rolling=False`` leaves both out.
+
+    For the sums the grouped rows are stored first: three branches use them,
+    and the facts are still read once. ``store=False`` keeps all lazy.
     """
-    detail = _daily_anomalies(star)
-    days = detail.groupBy("full_date").agg(F.sum("anomaly_count").alias("_day"))
-    week = Window.orderBy(day_number(F.col("full_date"))).rangeBetween(-6, 0)
-    weekly = days.select("full_date", F.sum("_day").over(week).alias("anomaly_7d_rolling"))
-    rolled = rolling_rows_sum(
-        detail,
+    rows, sums = _daily_anomalies(star), []
+    if rolling:
+        rows = stored(rows, "daily-anomalies") if store else rows
+        sums = ["anomaly_7d_rolling", "anomaly_7row_rolling"]
+        days = rows.groupBy("full_date").agg(F.sum("anomaly_count").alias("_day"))
+        week = Window.orderBy(day_number(F.col("full_date"))).rangeBetween(-6, 0)
+        weekly = days.select("full_date", F.sum("_day").over(week).alias(sums[0]))
+        order = [F.col("transaction_type"), F.col("country"), F.col("state")]
+        rows = rolling_rows_sum(rows, "full_date", order, "anomaly_count", sums[1]).join(weekly, "full_date")
+    return rows.select(
         "full_date",
-        [F.col("transaction_type"), F.col("country"), F.col("state")],
+        "transaction_type",
+        "country",
+        "state",
         "anomaly_count",
-        "anomaly_7row_rolling",
-    )
-    return (
-        rolled.join(weekly, "full_date")
-        .select(
-            "full_date",
-            "transaction_type",
-            "country",
-            "state",
-            "anomaly_count",
-            "total_txns",
-            half_up(ratio(F.col("_scores"), F.col("anomaly_count")), 4).alias("avg_anomaly_score"),
-            money(F.col("_volume")).alias("anomalous_volume"),
-            percent(F.col("anomaly_count"), F.col("total_txns"), 4).alias("anomaly_rate_pct"),
-            "anomaly_7d_rolling",
-            "anomaly_7row_rolling",
-        )
-        .orderBy(F.desc("full_date"), F.desc("anomaly_count"), "transaction_type", "country", "state")
-    )
+        "total_txns",
+        half_up(ratio(F.col("_scores"), F.col("anomaly_count")), 4).alias("avg_anomaly_score"),
+        money(F.col("_volume")).alias("anomalous_volume"),
+        percent(F.col("anomaly_count"), F.col("total_txns"), 4).alias("anomaly_rate_pct"),
+        *sums,
+    ).orderBy(F.desc("full_date"), F.desc("anomaly_count"), "transaction_type", "country", "state")
 
 
 def npl_ratio(star: Star) -> DataFrame:

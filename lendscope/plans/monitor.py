@@ -196,6 +196,26 @@ def alert_payload(event_rows: DataFrame, findings: DataFrame, channel: str = "#p
     return flat.withColumn("payload", F.to_json(blocks))
 
 
+# Colours of free messages by severity.
+MESSAGE_COLORS = {"INFO": "#3182CE", "WARNING": "#F0A500", "CRITICAL": "#E53E3E"}
+
+
+def message_payload(messages: DataFrame, channel: str = "#portfolio-alerts") -> DataFrame:
+    """Free messages (message, severity) as message rows; an unknown severity
+    gets the warning colour."""
+    level = F.upper("severity")
+    color = F.lit(MESSAGE_COLORS["WARNING"])
+    for name, value in MESSAGE_COLORS.items():
+        color = F.when(level == name, value).otherwise(color)
+    flat = messages.select(
+        F.lit(channel).alias("channel"),
+        color.alias("color"),
+        F.concat(F.lit("Portfolio message ["), level, F.lit("]")).alias("header"),
+        F.left("message", F.lit(BODY_LIMIT)).alias("body"),
+    )
+    return flat.withColumn("payload", F.to_json(F.struct(*flat.columns)))
+
+
 # --- root cause --------------------------------------------------------------
 
 

@@ -65,7 +65,7 @@ def par30_recent(star: Star, n: int = 90) -> DataFrame:
 def anomaly_top(star: Star, n: int = 500) -> DataFrame:
     order = [F.desc("full_date"), F.desc("anomaly_count"), F.asc("transaction_type"), F.asc("country"), F.asc("state")]
     return (
-        kpi.anomaly_summary(star)
+        kpi.anomaly_summary(star, rolling=False)
         .orderBy(*order)
         .limit(n)
         .select(

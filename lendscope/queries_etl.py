@@ -23,7 +23,7 @@ from lendscope.sources.schemas import STAGING_COLUMNS
 from lendscope.sources.staging import read_staging, write_staging
 from lendscope.sources.star import warehouse_star
 from lendscope.sources.store import TableStore
-from lendscope.sources.workspace import fresh_path
+from lendscope.sources.workspace import fresh_path, stored
 
 DAY1, DAY2 = dt.date(2001, 7, 1), dt.date(2001, 7, 2)
 
@@ -78,33 +78,25 @@ def _dim_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keyed.withColumns(etl.open_version(AS_OF))
 
 
-def _stored(spark: SparkSession, frame: DataFrame, name: str) -> DataFrame:
-    """Written to the shared folder and read back: later steps read the rows
-    instead of computing them again."""
-    path = fresh_path(spark, name)
-    frame.write.parquet(path)
-    return spark.read.parquet(path)
-
-
 class _Dims:
     """The dimensions, loaded and stored once per query."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
-        self.region = _stored(spark, _dim_region(spark, sf_dir), "dim-region")
-        self.product = _stored(spark, _dim_product(spark, sf_dir), "dim-product")
-        self.customer = _stored(spark, _dim_customer(spark, sf_dir), "dim-customer")
+        self.region = stored(_dim_region(spark, sf_dir), "dim-region")
+        self.product = stored(_dim_product(spark, sf_dir), "dim-product")
+        self.customer = stored(_dim_customer(spark, sf_dir), "dim-customer")
 
     def checked_loans(self) -> DataFrame:
         places = etl.customer_places(self.customer, self.customer, self.region)
         checked = etl.checked_loans(bridge.raw_loans(self.spark, self.sf_dir), places, self.product)
-        return _stored(self.spark, checked, "checked-loans")
+        return stored(checked, "checked-loans")
 
     def checked_transactions(self, loans: DataFrame) -> DataFrame:
         checked = etl.checked_transactions(
             bridge.raw_transactions(self.spark, self.sf_dir), self.customer, self.region, loans
         )
-        return _stored(self.spark, checked, "checked-transactions")
+        return stored(checked, "checked-transactions")
 
 
 def _keyed_loans(checked: DataFrame) -> DataFrame:
@@ -193,13 +185,13 @@ def upsert_region(spark: SparkSession, sf_dir: str) -> DataFrame:
         .filter("region_tier = 'URBAN'")
         .selectExpr("region_key", "region_id", "upper(city) AS city", "upper(state) AS state", "country", "region_tier")
     )
-    batch = etl.regions(bridge.raw_customers(spark, sf_dir))
+    batch = stored(etl.regions(bridge.raw_customers(spark, sf_dir)), "batch")
     return upsert(target, batch, ["region_id"], etl.REGION_UPDATES, surrogate="region_key")
 
 
 def upsert_product(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Target: the secured products with stale text and rates."""
-    batch = etl.accepted(etl.checked_products(bridge.raw_products(spark, sf_dir)))
+    batch = stored(etl.accepted(etl.checked_products(bridge.raw_products(spark, sf_dir))), "batch")
     stale = batch.filter("is_secured").withColumns(
         {
             "product_name": F.lit("Old Name"),
@@ -208,7 +200,7 @@ def upsert_product(spark: SparkSession, sf_dir: str) -> DataFrame:
             "min_tenure_months": F.lit(1).cast("smallint"),
         }
     )
-    target = assign_keys(stale, "product_code", "product_key", key_type="int")
+    target = stored(assign_keys(stale, "product_code", "product_key", key_type="int"), "target")
     return for_output(upsert(target, batch, ["product_code"], etl.PRODUCT_UPDATES, surrogate="product_key"))
 
 
@@ -222,9 +214,9 @@ def upsert_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     ]
     old = etl.accepted(etl.checked_customers(first_day)).filter("date_of_birth IS NOT NULL").select(*columns)
     stale = old.withColumns({"email": F.lit("old@mail.test"), "employment_status": F.lit("Unknown")})
-    target = stale.withColumn("updated_on", F.lit(str(DAY1)).cast("date"))
+    target = stored(stale.withColumn("updated_on", F.lit(str(DAY1)).cast("date")), "target")
     touched = {"updated_on": F.lit(str(DAY2)).cast("date")}
-    new = _customers(spark, sf_dir).select(*columns)
+    new = stored(_customers(spark, sf_dir).select(*columns), "batch")
     return for_output(
         upsert(target, new, ["customer_id"], etl.CUSTOMER_UPDATES, touched=touched, defaults=touched)
     )
@@ -246,7 +238,7 @@ def upsert_loan(spark: SparkSession, sf_dir: str) -> DataFrame:
         is_npl(F.col("new_dpd")).alias("is_npl"),
         is_par30(F.col("new_dpd")).alias("is_par30"),
     )
-    return for_output(upsert(target, batch, ["loan_id"], etl.LOAN_UPDATES))
+    return for_output(upsert(stored(target, "target"), stored(batch, "batch"), ["loan_id"], etl.LOAN_UPDATES))
 
 
 def insert_ignore_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -254,6 +246,7 @@ def insert_ignore_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = bridge.line_transactions(spark, sf_dir)
     order = ["txn_date", "amount", "part_key", "supplier_key"]
     loaded = first_per_key(rows.filter("txn_date < DATE '1998-01-01'"), ["transaction_id"], order)
+    loaded = stored(loaded, "target")
     return for_output(loaded.unionByName(insert_ignore(loaded, rows, ["transaction_id"], order)))
 
 

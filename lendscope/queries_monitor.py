@@ -13,7 +13,7 @@ from lendscope.sources import bridge
 from lendscope.sources.bridge import AS_OF, bridge_star
 from lendscope.sources.star import Star
 from lendscope.sources.store import FULL, TableStore
-from lendscope.sources.workspace import fresh_path
+from lendscope.sources.workspace import fresh_path, stored
 from lendscope.streaming import jobs
 from lendscope.streaming.alerts import AlertLedger
 
@@ -84,10 +84,7 @@ def _to_files(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
 
 def _stored_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
     stats = bridge.customer_stats(bridge.table(spark, sf_dir, "events"))
-    profile = bridge.baseline(stats, bridge.customer(spark, sf_dir))
-    path = fresh_path(spark, "baseline")
-    profile.write.parquet(path)
-    return spark.read.parquet(path)
+    return stored(bridge.baseline(stats, bridge.customer(spark, sf_dir)), "baseline")
 
 
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,6 +7,7 @@ Constants (modulo rules, the date shift) are fixed values of the fixture.
 from __future__ import annotations
 
 import datetime as dt
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,8 +64,9 @@ def product(spark: SparkSession) -> DataFrame:
     return spark.sql(f"SELECT * FROM VALUES {rows} AS p(product_key, product_code, category)")
 
 
-def loan(spark: SparkSession, sf_dir: str) -> DataFrame:
+def loan(spark: SparkSession, sf_dir: str, people: DataFrame | None = None) -> DataFrame:
     """Loans with their customer's attributes; one join on the customer key."""
+    people = customer(spark, sf_dir) if people is None else people
     facts = table(spark, sf_dir, "orders").selectExpr(
         "o_custkey + 1 AS customer_key",
         "o_orderkey AS loan_key",
@@ -91,8 +93,8 @@ def loan(spark: SparkSession, sf_dir: str) -> DataFrame:
     flagged = aged.withColumns(
         {"is_npl": is_npl(F.col("days_past_due")), "is_par30": is_par30(F.col("days_past_due"))}
     )
-    people = customer(spark, sf_dir).select("customer_key", "customer_id", "region_key", "risk_tier", "credit_score")
-    return flagged.join(people, "customer_key")
+    attributes = people.select("customer_key", "customer_id", "region_key", "risk_tier", "credit_score")
+    return flagged.join(attributes, "customer_key")
 
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -155,25 +157,35 @@ def scored(facts: DataFrame, profile: DataFrame, hot: DataFrame | None = None) -
 
 
 def bridge_star(spark: SparkSession, sf_dir: str) -> Star:
-    people = customer(spark, sf_dir)
-    events = table(spark, sf_dir, "events")
-    attributes = people.select("customer_key", "customer_id", "region_key", "risk_tier", "credit_score")
-    stats = customer_stats(events)
-    profile = baseline(stats, people)
-    # off the statistics alone: counts need one column of the events
-    hot = hot_keys(stats, "customer_key", "n_txn")
+    @cache
+    def people() -> DataFrame:
+        return customer(spark, sf_dir)
+
+    @cache
+    def events() -> DataFrame:
+        return table(spark, sf_dir, "events")
+
+    @cache
+    def profile() -> tuple[DataFrame, DataFrame]:
+        stats = customer_stats(events())
+        # hot customers off the statistics alone: counts need one column
+        return baseline(stats, people()), hot_keys(stats, "customer_key", "n_txn")
+
+    def score(rows: DataFrame) -> DataFrame:
+        return scored(transactions_of(rows).drop("ts"), *profile())
 
-    def between(start, end) -> DataFrame:
-        return scored(transactions_of(events_between(events, start, end)).drop("ts"), profile, hot)
+    def unscored() -> DataFrame:
+        attributes = people().select("customer_key", "customer_id", "region_key", "risk_tier", "credit_score")
+        return transactions_of(events()).drop("ts").join(attributes, "customer_key")
 
     return Star(
-        region=region(spark, sf_dir),
+        region=lambda: region(spark, sf_dir),
         customer=people,
-        product=product(spark),
-        loan=loan(spark, sf_dir),
-        txn=scored(transactions_of(events).drop("ts"), profile, hot),
-        txn_unscored=transactions_of(events).drop("ts").join(attributes, "customer_key"),
-        txn_between=between,
+        product=lambda: product(spark),
+        loan=lambda: loan(spark, sf_dir, people()),
+        txn=lambda: score(events()),
+        txn_unscored=unscored,
+        txn_between=lambda start, end: score(events_between(events(), start, end)),
     )
 
 

@@ -8,7 +8,7 @@ shapes from order and event tables (``lendscope.sources.bridge``).
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, replace
+from functools import cache
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,19 +20,45 @@ from lendscope.functions.dates import date_key, date_lit, key_to_date
 CUSTOMER_COLUMNS = ("customer_id", "risk_tier", "credit_score")
 
 
-@dataclass(frozen=True)
+Part = DataFrame | Callable[[], DataFrame]
+
+
 class Star:
     """``loan`` and ``txn`` are the facts with ``issue_date`` and ``txn_date``;
-    ``with_customer`` adds the customer's columns where a query needs them."""
+    ``with_customer`` adds the customer's columns where a query needs them.
+
+    A part is a DataFrame or a function that makes it on first use, so a query
+    opens the tables it reads and no others. ``txn_between(start, end)`` gives
+    the scored transactions of these days, cut at the scan.
+    """
 
-    region: DataFrame
-    customer: DataFrame
-    product: DataFrame
-    loan: DataFrame
-    txn: DataFrame
-    txn_unscored: DataFrame
-    # scored transactions of [start, end], cut at the scan
-    txn_between: Callable[[object, object], DataFrame]
+    def __init__(
+        self,
+        region: Part,
+        customer: Part,
+        product: Part,
+        loan: Part,
+        txn: Part,
+        txn_unscored: Part,
+        txn_between: Callable[[object, object], DataFrame],
+    ):
+        self._parts: dict[str, Part] = {
+            "region": region,
+            "customer": customer,
+            "product": product,
+            "loan": loan,
+            "txn": txn,
+            "txn_unscored": txn_unscored,
+        }
+        self.txn_between = txn_between
+
+    def __getattr__(self, name: str) -> DataFrame:
+        parts = self.__dict__.get("_parts", {})
+        if name not in parts:
+            raise AttributeError(name)
+        if not isinstance(parts[name], DataFrame):
+            parts[name] = parts[name]()
+        return parts[name]
 
     def with_customer(self, facts: DataFrame) -> DataFrame:
         """Fact rows with customer id, tier and score. Both sides come from
@@ -42,13 +68,16 @@ class Star:
         return facts.join(self.customer.select("customer_key", *CUSTOMER_COLUMNS), "customer_key")
 
     def replaced(self, **parts) -> Star:
-        return replace(self, **parts)
+        """The same star with other parts."""
+        return Star(**{**self._parts, "txn_between": self.txn_between, **parts})
 
     def with_npl_from(self, npl_min_dpd: int) -> Star:
         """The same star with another first non-performing day."""
         if npl_min_dpd == NPL_MIN_DPD:
             return self
-        return self.replaced(loan=self.loan.withColumn("is_npl", is_npl(F.col("days_past_due"), npl_min_dpd)))
+        return self.replaced(
+            loan=lambda: self.loan.withColumn("is_npl", is_npl(F.col("days_past_due"), npl_min_dpd))
+        )
 
     def sliced(
         self,
@@ -76,16 +105,17 @@ class Star:
                 frame = frame.join(keys, "region_key", "left_semi")
             return frame
 
-        loan = placed(dated(self.loan, "issue_date"))
-        if category is not None:
-            keys = self.product.filter(F.col("category") == category).select("product_key")
-            loan = loan.join(keys, "product_key", "left_semi")
-        if loan_status is not None:
-            loan = loan.filter(F.col("loan_status") == loan_status)
+        def loans() -> DataFrame:
+            loan = placed(dated(self.loan, "issue_date"))
+            if category is not None:
+                keys = self.product.filter(F.col("category") == category).select("product_key")
+                loan = loan.join(keys, "product_key", "left_semi")
+            return loan if loan_status is None else loan.filter(F.col("loan_status") == loan_status)
+
         return self.replaced(
-            loan=loan,
-            txn=placed(dated(self.txn, "txn_date")),
-            txn_unscored=placed(dated(self.txn_unscored, "txn_date")),
+            loan=loans,
+            txn=lambda: placed(dated(self.txn, "txn_date")),
+            txn_unscored=lambda: placed(dated(self.txn_unscored, "txn_date")),
             txn_between=lambda a, b: placed(dated(self.txn_between(a, b), "txn_date")),
         )
 
@@ -95,22 +125,28 @@ def warehouse_star(read: Callable[[str], DataFrame]) -> Star:
 
     Date bounds also bound the month folders, so other months are not listed.
     """
-    loan = read("fact_loan").withColumn("issue_date", key_to_date(F.col("issue_date_key")))
-    txn = read("fact_transaction").withColumn("txn_date", key_to_date(F.col("txn_date_key")))
+
+
+    def loans() -> DataFrame:
+        return read("fact_loan").withColumn("issue_date", key_to_date(F.col("issue_date_key")))
+
+    @cache
+    def txns() -> DataFrame:
+        return read("fact_transaction").withColumn("txn_date", key_to_date(F.col("txn_date_key")))
 
     def between(start, end) -> DataFrame:
         low, high = date_lit(start), date_lit(end)
         month = lambda d: F.year(d) * 100 + F.month(d)
-        return txn.filter(F.col("txn_month").between(month(low), month(high))).filter(
+        return txns().filter(F.col("txn_month").between(month(low), month(high))).filter(
             F.col("txn_date_key").between(date_key(low), date_key(high))
         )
 
     return Star(
-        region=read("dim_region"),
-        customer=read("dim_customer").filter("is_current"),
-        product=read("dim_loan_product"),
-        loan=loan,
-        txn=txn,
-        txn_unscored=txn,
+        region=lambda: read("dim_region"),
+        customer=lambda: read("dim_customer").filter("is_current"),
+        product=lambda: read("dim_loan_product"),
+        loan=loans,
+        txn=txns,
+        txn_unscored=txns,
         txn_between=between,
     )

@@ -8,7 +8,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 KEY = "spark.checkpoint.dir"
 
@@ -29,3 +29,15 @@ def shared_dir(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, purpose: str) -> str:
     """A new, unused path below the shared folder."""
     return f"{shared_dir(spark)}/lendscope/{purpose}-{uuid.uuid4().hex}"
+
+
+def stored(frame: DataFrame, purpose: str) -> DataFrame:
+    """``frame`` written to the shared folder and read back.
+
+    For rows that several branches of a plan use: each branch reads the files
+    instead of computing the rows again, also after an executor is lost.
+    """
+    spark = frame.sparkSession
+    path = fresh_path(spark, purpose)
+    frame.write.parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)

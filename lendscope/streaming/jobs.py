@@ -45,11 +45,18 @@ def event_stream(spark: SparkSession, path: str, max_files: int | None = None) -
     return file_stream(spark, path, EVENTS, max_files=max_files)
 
 
-def dedup(stream: DataFrame, key: str, time: str, delay: str) -> DataFrame:
-    """The first row of each key; a repeat within ``delay`` of event time is
-    dropped and the key's state is freed after it."""
-    timed = stream.withColumn("_event_time", F.col(time).cast("timestamp"))
-    return timed.withWatermark("_event_time", delay).dropDuplicatesWithinWatermark([key]).drop("_event_time")
+def dedup(stream: DataFrame, key: str, time: str, delay: str, spread: bool = True) -> DataFrame:
+    """One row of each key; a repeat within ``delay`` of event time is dropped
+    and the key's state is freed after it.
+
+    With ``spread`` repeats are first dropped per (key, input task), so that a
+    key repeated very often reaches the state partition of its key a few times
+    only. It keeps the state twice; switch it off where repeats are rare.
+    """
+    timed = stream.withColumn("_event_time", F.col(time).cast("timestamp")).withWatermark("_event_time", delay)
+    if spread:
+        timed = timed.withColumn("_task", F.spark_partition_id()).dropDuplicatesWithinWatermark([key, "_task"]).drop("_task")
+    return timed.dropDuplicatesWithinWatermark([key]).drop("_event_time")
 
 
 def score(stream: DataFrame, profile: DataFrame) -> DataFrame:

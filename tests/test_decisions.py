@@ -439,3 +439,42 @@ def test_report_files(spark, small, tmp_path):
     back = spark.read.option("header", True).csv(f"file://{tmp_path}/r/trend")
     assert back.count() == extracts["trend"].count() and back.columns == extracts["trend"].columns
     assert spark.read.parquet(f"file://{tmp_path}/p/status").count() == extracts["status"].count()
+
+
+def test_free_message(spark):
+    rows = spark.createDataFrame([("m" * 3000, "info"), ("x", "odd")], "message string, severity string")
+    one_, two = monitor.message_payload(rows).collect()
+    assert (one_.color, len(one_.body), two.color) == ("#3182CE", 2900, "#F0A500")
+    assert '"header":"Portfolio message [INFO]"' in one_.payload
+
+
+def test_lazy_and_stored_anomaly_summary_agree(spark, small):
+    star = bridge_star(spark, small)
+    lazy, kept = kpi.anomaly_summary(star, store=False), kpi.anomaly_summary(star)
+    assert lazy.collect() == kept.collect()
+    assert kpi.anomaly_summary(star, rolling=False).count() == kept.count()
+
+
+def test_sql_views_equal_the_jobs(spark, small):
+    from lendscope.sql import register_sql
+
+    star = bridge_star(spark, small)
+    names = register_sql(star, AS_OF)
+    assert {"vw_par30", "vw_kpi_snapshot", "fact_loan", "dim_customer"} <= set(names)
+    assert spark.table("vw_default_rate").collect() == kpi.default_rate(star).collect()
+    from lendscope.plans import investigate
+
+    spike = spark.sql("SELECT * FROM fn_investigate_default_spike(DATE '2000-01-01', DATE '2000-12-31')")
+    assert sorted(map(str, spike.collect())) == sorted(
+        map(str, investigate.default_spike(star, "2000-01-01", "2000-12-31").toDF(*spike.columns).collect())
+    )
+
+
+def test_slicers(spark, small):
+    star = bridge_star(spark, small)
+    cut = star.sliced(start="2001-07-10", end="2001-07-12", risk_tier="LOW", state="State_1", loan_status="ACTIVE", category="AUTO")
+    days = [r.txn_date for r in cut.txn.select("txn_date").distinct().collect()]
+    assert all(D(2001, 7, 10) <= d <= D(2001, 7, 12) for d in days)
+    assert cut.txn.count() == cut.txn_between("2001-01-01", "2001-12-31").count() == cut.txn_unscored.count()
+    got = star.sliced(loan_status="CLOSED").loan.select("loan_status").distinct().collect()
+    assert [r.loan_status for r in got] == ["CLOSED"]
