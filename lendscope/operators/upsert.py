@@ -63,7 +63,8 @@ def upsert(
 ) -> DataFrame:
     """New keys are inserted whole; of known keys only ``update_cols`` change.
 
-    ``source`` may repeat a key: the newest row by ``order`` wins. ``touched``
+    ``source`` may repeat a key: the newest row by ``order`` wins (None: keys
+    are unique already). ``touched``
     sets columns of updated rows only (an audit time stamp), ``defaults`` fills
     target columns the source lacks on insert, ``surrogate`` numbers new rows
     after the target's largest key.
@@ -98,13 +99,15 @@ def insert_ignore(
     target: DataFrame,
     source: DataFrame,
     keys: list[str],
-    order: list[str],
+    order: list[str] | None,
     surrogate: str | None = None,
     defaults: dict[str, Column] | None = None,
 ) -> DataFrame:
     """Rows to append: source rows with a key the target lacks, the first by
-    ``order`` per key. Append them; the target itself is not rewritten."""
-    return new_rows(target, first_per_key(source, keys, order), keys, surrogate, defaults or {})
+    ``order`` per key (None: keys are unique already). Append them; the target
+    itself is not rewritten."""
+    batch = source if order is None else first_per_key(source, keys, order)
+    return new_rows(target, batch, keys, surrogate, defaults or {})
 
 
 def merge_into(source: DataFrame, table: str, keys: list[str], update_cols: list[str]) -> None:

@@ -39,9 +39,14 @@ def default_spike(star: Star, start, end) -> DataFrame:
     )
 
 
-def par30_spike(star: Star, dpd_min: int = PAR_MIN_DPD, dpd_max: int = PAR_MAX_DPD) -> DataFrame:
-    """Loans with days past due in the range, largest balance first."""
+def par30_spike(
+    star: Star, dpd_min: int = PAR_MIN_DPD, dpd_max: int = PAR_MAX_DPD, n: int | None = None
+) -> DataFrame:
+    """Loans with days past due in the range, largest balance first; with ``n``
+    the first ``n`` of them, cut before the joins."""
     late = star.loan.filter(F.col("days_past_due").between(dpd_min, dpd_max))
+    if n is not None:
+        late = late.orderBy(F.desc("outstanding_balance"), "loan_id").limit(n)
     return (
         star.with_customer(late)
         .join(star.product.select("product_key", "category"), "product_key")

@@ -111,9 +111,8 @@ class Load:
         )
         batch, read, bad = self._batch("fact_transaction", checked, "transaction_id")
         target = self._target("fact_transaction")
-        new = insert_ignore(
-            target, batch, ["transaction_id"], ["txn_date_key"], "txn_key", _audit(self.at, "created_at")
-        )
+        # the checked batch has one row per id
+        new = insert_ignore(target, batch, ["transaction_id"], None, "txn_key", _audit(self.at, "created_at"))
         month = F.floor(F.col("txn_date_key") / 100).cast("int")
         before = target.count()
         added = self._write(new.withColumn("txn_month", month), "fact_transaction", "txn_month", "is_anomaly")

@@ -243,7 +243,7 @@ def investigation(star: Star, breached: DataFrame, as_of, n: int = 10) -> DataFr
         n,
     )
     loans = _ranked(
-        investigate.par30_spike(star),
+        investigate.par30_spike(star, n=n),
         "par30_30d_avg",
         F.concat_ws(" / ", "loan_id", "customer_id"),
         "outstanding",

@@ -25,6 +25,8 @@ def duck(sf_dir: str):
 
     con = duckdb.connect()
     for t in TABLES:
+        if not Path(f"{sf_dir}/{t}.parquet").exists():
+            continue
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
     return con
 
