@@ -59,3 +59,16 @@ def calendar_columns(day: Column) -> dict[str, Column]:
             F.lit("FY"), F.date_format(day, "yy"), F.lit("Q"), F.quarter(day).cast("string")
         ),
     }
+
+
+def utc_instant(local: Column) -> Column:
+    """A time without zone read as UTC, whatever the session's time zone is."""
+    day_seconds = F.unix_date(local.cast("date")).cast("bigint") * 86_400
+    seconds = day_seconds + F.hour(local) * 3600 + F.minute(local) * 60
+    micros = (F.extract(F.lit("SECOND"), local) * 1_000_000).cast("bigint")
+    return F.timestamp_micros(seconds * 1_000_000 + micros)
+
+
+def utc_date(instant: Column) -> Column:
+    """The UTC day of an instant."""
+    return F.date_from_unix_date(F.floor(F.unix_seconds(instant) / 86_400).cast("int"))

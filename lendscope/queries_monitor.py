@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from lendscope.functions.numbers import half_up, money
 from lendscope.plans import kpi, monitor, reports
+from lendscope.plans.cache import CACHE, refresh_kpi_cache
 from lendscope.sources import bridge
 from lendscope.sources.bridge import AS_OF, bridge_star
-from lendscope.sources.star import Star
-from lendscope.sources.store import FULL, TableStore
+from lendscope.sources.store import TableStore
 from lendscope.sources.workspace import fresh_path, stored
 from lendscope.streaming import jobs
 from lendscope.streaming.alerts import AlertLedger
@@ -23,14 +23,6 @@ LIMITS = monitor.with_limit("anomaly_count_yesterday", 6)
 SNAPSHOT_LIMITS = monitor.with_limit("anomaly_count_yesterday", 2)
 
 
-def refresh_kpi_cache(store: TableStore, star: Star, as_of) -> int:
-    """Recompute the snapshot row and publish it; readers see old or new."""
-    version = store.last_version() + 1
-    store.stage(kpi.kpi_snapshot(star, as_of).coalesce(1), "kpi_cache", version)
-    store.commit(version, {"kpi_cache": FULL})
-    return version
-
-
 def _star(job, *args, **params):
     return lambda spark, sf_dir: job(bridge_star(spark, sf_dir), *args, **params)
 
@@ -44,7 +36,7 @@ def kpi_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
     store, star = TableStore(spark, fresh_path(spark, "reporting")), bridge_star(spark, sf_dir)
     refresh_kpi_cache(store, star, AS_OF - dt.timedelta(days=1))
     refresh_kpi_cache(store, star, AS_OF)
-    return store.read("kpi_cache")
+    return store.read(CACHE)
 
 
 def mon_breaches(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType, TimestampNTZType
 
+from lendscope.functions.dates import utc_date, utc_instant
 from lendscope.functions.numbers import count_if
 from lendscope.sources.bridge import EVENT_SHIFT_DAYS, scored, transactions_of
 from lendscope.sources.schemas import staging_schema
@@ -69,15 +70,14 @@ def score(stream: DataFrame, profile: DataFrame) -> DataFrame:
 
 def daily_anomalies(scored_stream: DataFrame, delay: str = "1 hour") -> DataFrame:
     """Transactions and flags per day and type, emitted when the day is closed
-    (its end lies ``delay`` behind the latest event); later rows are dropped.
-    The session time zone must be UTC, as the windows are."""
-    timed = scored_stream.withColumn("_event_time", F.col("ts").cast("timestamp"))
+    (its end lies ``delay`` behind the latest event); later rows are dropped."""
+    timed = scored_stream.withColumn("_event_time", utc_instant(F.col("ts")))
     return (
         timed.withWatermark("_event_time", delay)
         .groupBy(F.window("_event_time", "1 day").alias("w"), "transaction_type")
         .agg(F.count("*").alias("total_txns"), count_if(F.col("is_anomaly")).alias("anomaly_count"))
         .select(
-            F.date_sub(F.col("w.start").cast("date"), EVENT_SHIFT_DAYS).alias("full_date"),
+            F.date_sub(utc_date(F.col("w.start")), EVENT_SHIFT_DAYS).alias("full_date"),
             "transaction_type",
             "total_txns",
             "anomaly_count",

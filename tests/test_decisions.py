@@ -478,3 +478,17 @@ def test_slicers(spark, small):
     assert cut.txn.count() == cut.txn_between("2001-01-01", "2001-12-31").count() == cut.txn_unscored.count()
     got = star.sliced(loan_status="CLOSED").loan.select("loan_status").distinct().collect()
     assert [r.loan_status for r in got] == ["CLOSED"]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/Los_Angeles", "Asia/Kolkata"])
+def test_utc_instant_in_any_session_zone(spark, zone):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        row = spark.sql("SELECT TIMESTAMP_NTZ '2024-03-10 02:30:15.250001' AS t").select(
+            F.unix_micros(dates.utc_instant(F.col("t"))).alias("m"), dates.utc_date(dates.utc_instant(F.col("t"))).alias("d")
+        ).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert row.d == D(2024, 3, 10)
+    assert row.m == 1710037815250001

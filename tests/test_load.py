@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from lendscope.plans import kpi
 from lendscope.plans.load import STEPS, Load, run_log
 from lendscope.queries_etl import _landing
-from lendscope.queries_monitor import refresh_kpi_cache
+from lendscope.plans.cache import refresh_kpi_cache
 from lendscope.sources.bridge import AS_OF, bridge_star
 from lendscope.sources.schemas import WAREHOUSE
 from lendscope.sources.star import warehouse_star
@@ -95,6 +95,9 @@ def test_kpi_cache_is_replaced(spark, small):
     assert store.read("kpi_cache").first().snapshot_ts == AS_OF
     # a reader of the old version still sees it
     assert old.first().snapshot_ts == dt.date(2001, 7, 30)
+    refresh_kpi_cache(store, star, AS_OF)
+    days = [r.snapshot_ts.day for r in store.read("kpi_history").orderBy("snapshot_ts").collect()]
+    assert days == [30, 31]
 
 
 def test_shared_dir_is_the_sessions(spark):
