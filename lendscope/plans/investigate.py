@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lendscope.functions.credit import PAR_MAX_DPD, PAR_MIN_DPD
 from lendscope.functions.dates import date_lit
-from lendscope.functions.numbers import count_if, half_up, mean, money, percent, ratio
+from lendscope.functions.numbers import count_if, half_up, money, percent, ratio
 from lendscope.operators.quantiles import exact_percentiles
 from lendscope.operators.sizes import broadcast_if_small
 from lendscope.plans.kpi import npl_ratio

@@ -22,16 +22,22 @@ READ_OPTIONS = {**CSV_OPTIONS, "mode": "FAILFAST", "nullValue": "\u0000", "empty
 WRITE_OPTIONS = {**CSV_OPTIONS, "nullValue": "", "emptyValue": '""'}
 
 
-def read_staging(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """One landing table, stamped with load time and source file."""
-    raw = spark.read.schema(staging_schema(table)).options(**READ_OPTIONS).csv(path)
+def stamped(raw: DataFrame) -> DataFrame:
+    """Add when the row's file landed and its path. The file's own time, not
+    that of the read, tells which of two deliveries is newer, and stays the
+    same when a task is repeated."""
     return raw.select(
         "*",
-        F.current_timestamp().alias("_ingested_at"),
+        F.col("_metadata.file_modification_time").alias("_ingested_at"),
         F.col("_metadata.file_path").alias("_source_file"),
     )
 
 
+def read_staging(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """One landing table, stamped with load time and source file."""
+    return stamped(spark.read.schema(staging_schema(table)).options(**READ_OPTIONS).csv(path))
+
+
 def write_staging(frame: DataFrame, path: str, table: str) -> None:
     """Write the business columns of a landing table as CSV files."""
     (

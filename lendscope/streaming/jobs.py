@@ -10,7 +10,7 @@ from lendscope.functions.dates import utc_date, utc_instant
 from lendscope.functions.numbers import count_if
 from lendscope.sources.bridge import EVENT_SHIFT_DAYS, scored, transactions_of
 from lendscope.sources.schemas import staging_schema
-from lendscope.sources.staging import READ_OPTIONS
+from lendscope.sources.staging import READ_OPTIONS, stamped
 
 EVENTS = StructType(
     [
@@ -36,10 +36,7 @@ def file_stream(
 
 def staging_stream(spark: SparkSession, path: str, table: str, max_files: int | None = None) -> DataFrame:
     """A landing table as a stream of CSV files, stamped like the batch read."""
-    raw = file_stream(spark, path, staging_schema(table), "csv", max_files, **READ_OPTIONS)
-    return raw.select(
-        "*", F.current_timestamp().alias("_ingested_at"), F.col("_metadata.file_path").alias("_source_file")
-    )
+    return stamped(file_stream(spark, path, staging_schema(table), "csv", max_files, **READ_OPTIONS))
 
 
 def event_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:

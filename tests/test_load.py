@@ -102,3 +102,21 @@ def test_kpi_cache_is_replaced(spark, small):
 
 def test_shared_dir_is_the_sessions(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+
+
+def test_newer_file_wins(spark, tmp_path):
+    """Two deliveries of one customer in CSV files, through the whole load."""
+    import os
+
+    from lendscope.plans import etl
+    from lendscope.sources.schemas import STAGING_COLUMNS
+    from lendscope.sources.staging import read_staging
+
+    header = ",".join(STAGING_COLUMNS["raw_customers"])
+    for name, income, at in (("z.csv", "$900", 1_700_000_000), ("a.csv", "$100", 1_700_009_000)):
+        path = tmp_path / name
+        path.write_text(f"{header}\nC1,ann,lee,1990-01-01,f,e,p,retired,{income},700,Paris,S1,France\n")
+        os.utime(path, (at, at))
+    raw = read_staging(spark, f"file://{tmp_path}", "raw_customers")
+    (row,) = etl.checked_customers(raw).collect()
+    assert float(row.annual_income) == 100.0
