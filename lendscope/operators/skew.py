@@ -11,15 +11,30 @@ SALTS = 64
 
 
 def hot_keys(
-    counts: DataFrame, key: str, n: str, share: float = HOT_SHARE, min_rows: int = HOT_MIN_ROWS
+    counts: DataFrame,
+    key: str,
+    n: str,
+    total: Column | None = None,
+    same_shuffle_as: tuple[str, ...] = (),
+    share: float = HOT_SHARE,
+    min_rows: int = HOT_MIN_ROWS,
 ) -> DataFrame:
     """Keys holding more than ``share`` of all rows and over ``min_rows``.
 
     ``counts`` has one row per key. By counting there are at most ``1 / share``
     such keys, so the result is small enough to broadcast at any data size.
+    ``total`` is the number of rows where it is known more cheaply than as the
+    sum of the counts.
+
+    When ``counts`` is an aggregate whose other columns a join needs as well,
+    name them in ``same_shuffle_as``: they take part in a condition that always
+    holds, so both uses have the same columns and Spark shuffles once.
     """
-    total = counts.select(F.col(n).alias("_n")).agg(F.sum("_n")).scalar()
+    if total is None:
+        total = counts.select(F.col(n).alias("_n")).agg(F.sum("_n")).scalar()
     is_hot = (F.col(n) > min_rows) & (F.col(n).cast("double") > total.cast("double") * share)
+    for other in same_shuffle_as:
+        is_hot = is_hot & (F.coalesce(F.abs(F.col(other)), F.lit(0.0)) >= 0)
     return counts.filter(is_hot & F.col(key).isNotNull()).select(key)
 
 

@@ -126,15 +126,18 @@ def events_between(events: DataFrame, start, end) -> DataFrame:
 
 
 def customer_stats(events: DataFrame) -> DataFrame:
-    """Per-customer mean, deviation and row count over the whole history."""
+    """Per-customer mean, deviation and row count over the whole history. The
+    last condition always holds; see ``hot_keys`` on sharing one shuffle."""
     return (
         transactions_of(events)
+        .filter(F.col("customer_key").isNotNull())
         .groupBy("customer_key")
         .agg(
             F.avg(F.col("amount").cast("double")).alias("avg_amount"),
             F.stddev_samp(F.col("amount").cast("double")).alias("sd_amount"),
             F.count("*").alias("n_txn"),
         )
+        .filter(F.col("n_txn") > 0)
     )
 
 
@@ -168,8 +171,10 @@ def bridge_star(spark: SparkSession, sf_dir: str) -> Star:
     @cache
     def profile() -> tuple[DataFrame, DataFrame]:
         stats = customer_stats(events())
-        # hot customers off the statistics alone: counts need one column
-        return baseline(stats, people()), hot_keys(stats, "customer_key", "n_txn")
+        # the row count comes from the file footers
+        rows = events().agg(F.count("*")).scalar()
+        hot = hot_keys(stats, "customer_key", "n_txn", rows, ("avg_amount", "sd_amount"))
+        return baseline(stats, people()), hot
 
     def score(rows: DataFrame) -> DataFrame:
         return scored(transactions_of(rows).drop("ts"), *profile())
