@@ -6,8 +6,9 @@ import pytest
 from parity import difference, duck, oracle_rows, spark_rows
 
 import __spark_entry__ as contract
+from lendscope import registry
 
-QUERIES, ORACLE = contract.queries(), contract.oracle_sql()
+QUERIES, ORACLE = registry.all_queries(), registry.all_oracles()
 
 
 @pytest.fixture(scope="module")
