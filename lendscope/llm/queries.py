@@ -7,12 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lendscope.llm import decontaminate, exact_dedup, line_dedup, pieces, simhash, toxicity
+from lendscope.llm import decontaminate, exact_dedup, licenses, line_dedup, pieces, quality, simhash, token_counts, toxicity, url_filter
 from lendscope.llm.common import fold, sha256, table
+from lendscope.sources.workspace import fresh_path
 
 #: Production parameters.
 PIECE_MODEL = "piece_bpe_32k.model"
 TOXIC_FROM = 0.5
+GOOD_FROM = 0.3
+TOKEN_LIMIT = 4096
 SIMHASH_WORDS, SIMHASH_BITS = 3, 2
 
 
@@ -24,6 +27,19 @@ def model_bytes(name: str = PIECE_MODEL) -> bytes:
         return file.read()
 
 
+def quality_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    held_out = (fold(F.col("doc_id")) == 0).alias("held_out")
+    return scored.select("doc_id", held_out, "score", (F.col("score") >= GOOD_FROM).cast("int").alias("predicted"))
+
+
+def licenses_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents as files: a folder per source, one per language in it."""
+    parts = [F.coalesce(c, F.lit("_")) for c in ("source", "lang", F.col("doc_id").cast("string"))]
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.concat_ws("/", *parts).alias("path"), "text")
+    return licenses.license_scan(docs)
+
+
 def toxicity_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
@@ -66,6 +82,17 @@ def encoded_digests(encoded: DataFrame) -> DataFrame:
     )
 
 
+def url_filter_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_filter.judged(pages, url_filter.fit(spark)).drop("url")
+
+
+def token_counts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With a cache of its own, so that the figures are those of a first run."""
+    counted = token_counts.token_counts(table(spark, sf_dir, "documents"), model_bytes(), fresh_path(spark, "token-cache"))
+    return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
 def simhash_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=SIMHASH_WORDS, max_bits=SIMHASH_BITS)
     return found.select("doc_id", simhash.hex_of(F.col("fp")).alias("fingerprint"), "component_id")
@@ -76,10 +103,14 @@ def exact_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality": quality_query,
+    "op2_licenses": licenses_query,
     "op3_pieces": pieces_query,
     "op4_line_dedup": line_dedup_query,
     "op5_toxicity": toxicity_query,
     "op6_decontaminate": decontaminate_query,
+    "op7_url_filter": url_filter_query,
+    "op8_token_counts": token_counts_query,
     "op9_simhash": simhash_query,
     "op10_exact_dedup": exact_dedup_query,
 }
