@@ -8,35 +8,33 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lendscope.llm import decontaminate, line_dedup, pieces, simhash, toxicity
-from lendscope.llm.common import table
+from lendscope.llm.common import packed, table, unpacked
 from lendscope.llm.queries import SIMHASH_BITS, SIMHASH_WORDS, TOXIC_FROM, encoded_digests, model_bytes
-from lendscope.sources.workspace import fresh_path, stored
+from lendscope.sources.workspace import fresh_path
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score at least ``TOXIC_FROM`` go; the model is learned from the labelled ones."""
     model = toxicity.fit(docs.select("doc_id", "text"), table(spark, sf_dir, "labels"))
-    scored = docs.select(F.struct(*docs.columns).alias("row"), toxicity.score(F.col("text"), model).alias("score"))
-    return scored.filter(F.col("score") < TOXIC_FROM).select("row.*")
+    scored = packed(docs).withColumn("_score", toxicity.score(F.col("_row").getField("text"), model))
+    return scored.filter(F.col("_score") < TOXIC_FROM).select(*unpacked(docs.columns))
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later occurrences of three-line windows go; n_chars follows the text."""
-    out = line_dedup.dedup_lines(docs.select("doc_id", "text", *[c for c in docs.columns if c not in ("doc_id", "text")]))
-    return _counted(out, docs.columns)
+    own = [c for c in docs.columns if c not in ("doc_id", "text")]
+    out = line_dedup.dedup_lines(docs.select("doc_id", "text", F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in own]).alias("own")))
+    return _counted(out.select(*[F.col(c) if c in ("doc_id", "text") else F.col("own").getField(c).alias(c) for c in docs.columns]))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash group stays, the one with the least id; of rows that
-    repeat that id one stays. Documents without an id stay."""
-    found = simhash.near_duplicates(docs, shingle=SIMHASH_WORDS, max_bits=SIMHASH_BITS)
-    gone = stored(found.filter("doc_id <> component_id").select("doc_id").distinct(), "near-copies")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """One document of each SimHash group stays, the one with the least id."""
+    return simhash.one_of_each(docs, shingle=SIMHASH_WORDS, max_bits=SIMHASH_BITS)
 
 
 def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of test items go, and documents that mostly consist of them."""
-    return _counted(decontaminate.decontaminated(docs, table(spark, sf_dir, "benchmark")), docs.columns)
+    return _counted(decontaminate.decontaminated(docs, table(spark, sf_dir, "benchmark")))
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,11 +42,9 @@ def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return encoded_digests(pieces.encode_decode(docs, model_bytes()))
 
 
-def _counted(docs: DataFrame, columns: list[str]) -> DataFrame:
-    """The columns of documents, n_chars being the length of the text."""
-    if "n_chars" in columns:
-        docs = docs.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.lit(0)))
-    return docs.select(*columns)
+def _counted(docs: DataFrame) -> DataFrame:
+    """n_chars, where there is one, is the length of the text."""
+    return docs.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.lit(0))) if "n_chars" in docs.columns else docs
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]

@@ -25,3 +25,15 @@ def whole(text: Column) -> Column:
 
 def sha256(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
+
+
+def packed(frame: DataFrame, *apart: str) -> DataFrame:
+    """All columns but those of ``apart`` as one struct ``_row``, so that names used beside it clash with none."""
+    kept = [F.col(f"`{c}`") for c in frame.columns if c not in apart]
+    return frame.select(F.struct(F.lit(0).alias("_"), *kept).alias("_row"), *[F.col(f"`{c}`").alias(f"_{k}") for k, c in enumerate(apart)])
+
+
+def unpacked(columns: list[str], **computed: Column) -> list[Column]:
+    """Columns of a packed frame in the old order; computed ones replace those of their name or come last."""
+    old = [computed[c].alias(c) if c in computed else F.col("_row").getField(c).alias(c) for c in columns]
+    return old + [value.alias(c) for c, value in computed.items() if c not in columns]

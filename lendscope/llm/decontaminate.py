@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lendscope.llm.common import whole
+from lendscope.llm.common import packed, unpacked, whole
 
 #: Words of a window.
 WINDOW = 10
@@ -208,15 +208,13 @@ def matches(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id:
     items at all match nothing. Rows keep their number and all other columns;
     columns named n_words, spans or items are replaced.
     """
-    found = docs
-    names = []
+    found, names = packed(docs, text_col), []
     for k, automaton in enumerate(automata(items, item_id, item_text, window)):
         names.append(f"_match_{k}")
-        found = found.withColumn(names[-1], _matcher(automaton, F.col(text_col).cast("string")))
+        found = found.withColumn(names[-1], _matcher(automaton, F.col("_0").cast("string")))
     spans = F.col(names[0])["spans"] if len(names) == 1 else _merged(F.array(*[F.col(n)["spans"] for n in names]))
     listed = F.array_sort(F.array_distinct(F.flatten(F.array(*[F.col(n)["items"] for n in names]))))
-    n_words = F.col(names[0])["n_words"]
-    return found.withColumns({"_words": n_words, "_spans": spans, "_items": listed}).drop(*names, "n_words", "spans", "items").withColumnsRenamed({"_words": "n_words", "_spans": "spans", "_items": "items"})
+    return found.select(*unpacked(docs.columns, **{text_col: F.col("_0")}, n_words=F.col(names[0])["n_words"], spans=spans, items=listed))
 
 
 def hit_words(spans: Column) -> Column:
@@ -230,10 +228,8 @@ def decontaminated(docs: DataFrame, items: DataFrame, text_col: str = "text", ma
     first to the last character of their words; one of whose words more than
     ``max_coverage`` are hit goes as a whole. All others stay untouched.
     """
-    columns = [c for c in docs.columns if c != text_col]
-    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_row"), F.col(text_col).alias("_text"))
-    found = matches(own, items, "_text", window=window).withColumn("_hit", hit_words(F.col("spans")))
+    found = matches(packed(docs, text_col), items, "_0", window=window).withColumn("_hit", hit_words(F.col("spans")))
     kept = found.filter(F.col("_hit") <= max_coverage * F.col("n_words"))
-    cut = F.when(F.col("_hit") > max_words, F.coalesce(_without(F.col("_text"), F.col("spans")), F.col("_text"))).otherwise(F.col("_text"))
+    cut = F.when(F.col("_hit") > max_words, _without(F.col("_0"), F.col("spans"))).otherwise(F.col("_0"))
     kept = kept.withColumn("_cut", cut)
-    return kept.select(*[F.col("_cut").alias(c) if c == text_col else F.col("_row")[c].alias(c) for c in docs.columns])
+    return kept.select(*unpacked(docs.columns, **{text_col: F.col("_cut")}))

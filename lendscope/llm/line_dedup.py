@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lendscope.llm.common import whole
+from lendscope.llm.common import packed, unpacked, whole
 from lendscope.sources.workspace import stored
 
 #: Lines of a window.
@@ -60,13 +60,14 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     gone = covered_lines(own, window).select(F.col("doc_id").alias("_gone_id"), F.col("removed").alias("_gone"))
     gone = stored(gone, "line-covered")
-    joined = docs.join(gone, docs[id_col].eqNullSafe(gone["_gone_id"]), "left")
-    lines = lines_of(F.col(text_col))
+    rows = packed(docs, text_col).withColumn("_id", F.col("_row").getField(id_col))
+    joined = rows.join(gone, rows["_id"].eqNullSafe(gone["_gone_id"]), "left")
+    lines = lines_of(F.col("_0"))
     left = F.filter(lines, lambda line, i: ~F.array_contains("_gone", i))
-    few = F.coalesce(F.size("_gone"), F.lit(0)).cast("long")
     # long lists of line numbers are looked up in a map, short ones scanned
     index = F.map_from_arrays(F.col("_gone"), F.col("_gone"))
     left_by_map = F.filter(lines, lambda line, i: ~F.map_contains_key(index, i))
-    text = F.when(F.col("_gone").isNull(), F.col(text_col)).when(F.size("_gone") <= 32, F.array_join(left, "\n")).otherwise(F.array_join(left_by_map, "\n"))
-    out = [F.col(f"`{c}`") if c != text_col else text.alias(text_col) for c in docs.columns if c not in ("n_lines", "n_removed")]
-    return joined.select(*out, F.size(lines).cast("long").alias("n_lines"), few.alias("n_removed"))
+    kept = F.when(F.size("_gone") <= 32, F.array_join(left, "\n")).otherwise(F.array_join(left_by_map, "\n"))
+    text = F.when(F.col("_gone").isNull(), F.col("_0")).otherwise(kept)
+    removed = F.coalesce(F.size("_gone"), F.lit(0)).cast("long")
+    return joined.select(*unpacked(docs.columns, **{text_col: text}, n_lines=F.size(lines).cast("long"), n_removed=removed))

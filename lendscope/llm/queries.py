@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lendscope.llm import decontaminate, exact_dedup, licenses, line_dedup, pieces, quality, simhash, token_counts, toxicity, url_filter
 from lendscope.llm.common import fold, sha256, table
+from lendscope.llm.oracles import ORACLES  # noqa: F401
 from lendscope.sources.workspace import fresh_path
 
 #: Production parameters.
@@ -115,4 +116,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_exact_dedup": exact_dedup_query,
 }
 
-ORACLES: dict[str, str] = {}
+

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from lendscope.llm.common import packed, unpacked
 from lendscope.llm.components import components
 from lendscope.sources.workspace import stored
 
@@ -101,7 +102,7 @@ def links(prints: DataFrame, max_bits: int = 2) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 2) -> DataFrame:
-    """One row per row of ``docs``: doc_id, fp (long), component_id.
+    """One row per row of ``docs``: doc_id, fp (long), component_id, component (the group's least fp).
 
     component_id is the least id among all documents that a chain of links of at
     most ``max_bits`` differing bits reaches; NULL only if every id there is NULL.
@@ -114,8 +115,32 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     placed = prints.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     placed = stored(placed, "simhash-placed")
     least = placed.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    ids = stored(placed.join(least, "component").select("fp", "component_id"), "simhash-ids")
-    return base.join(ids, "fp").select("doc_id", "fp", "component_id")
+    ids = stored(placed.join(least, "component").select("fp", "component_id", "component"), "simhash-ids")
+    return base.join(ids, "fp").select("doc_id", "fp", "component_id", "component")
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 2) -> DataFrame:
+    """``docs`` with one row of each component: the one with the least id.
+
+    Of rows that repeat this id one stays, and one of a component without any id.
+    Columns pass through, whatever their names. Ids given to several rows, and
+    NULL ones, are no key: such rows are looked up by their fingerprints.
+    """
+    found = stored(near_duplicates(docs, id_col, text_col, shingle, max_bits), "simhash-found")
+    unkeyed = stored(found.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1 or doc_id is null").select("doc_id"), "simhash-unkeyed")
+    gone = found.filter("doc_id <> component_id")
+    rows = packed(docs).withColumn("_id", F.col("_row").getField(id_col))
+    if not unkeyed.head(1):
+        gone = gone.select(F.col("doc_id").alias("_id"))
+        return rows.join(gone, "_id", "left_anti").select(*unpacked(docs.columns))
+    apart = unkeyed.select(F.col("doc_id").alias("_key"))
+    same = rows["_id"].eqNullSafe(apart["_key"])
+    gone = gone.select(F.col("doc_id").alias("_id")).join(apart, F.col("_id").eqNullSafe(F.col("_key")), "left_anti")
+    keyed = rows.join(apart, same, "left_anti").join(gone, "_id", "left_anti")
+    others = rows.join(apart, same, "left_semi").withColumn("_fp", simhash(F.col("_row").getField(text_col).cast("string"), shingle))
+    groups = found.select(F.col("fp").alias("_fp"), F.col("component_id").alias("_least"), F.col("component").alias("_component")).distinct()
+    stay = others.join(groups, "_fp").filter(F.col("_least").isNull() | (F.col("_id") == F.col("_least"))).dropDuplicates(["_component"])
+    return keyed.select(*unpacked(docs.columns)).unionByName(stay.select(*unpacked(docs.columns)))
 
 
 def hex_of(fp: Column) -> Column:

@@ -13,6 +13,8 @@ from functools import partial
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lendscope.llm.common import packed, unpacked
+
 #: Lengths of the character n-grams, and buckets that they are hashed to.
 GRAMS, BUCKETS = (3, 4, 5), 1 << 12
 #: Steps of gradient descent, their size, and the pull of weights towards 0.
@@ -37,6 +39,7 @@ LABELLED = tuple(
         ("payday-loans.test", "/apply-now"), ("fast-cash-loans.example.org", "/payday"), ("click-here-now.test", "/free-gift"), ("free-iphone-winner.test", "/claim"),
         ("seo-link-farm.test", "/backlinks/3"), ("link-farm.example.com", "/spam/9"), ("malware-download.test", "/crack/keygen.exe"), ("warez-cracks.example.org", "/keygen"),
         ("phishing-login.test", "/verify-account"), ("secure-bank-verify.test", "/login.php?x"), ("viagra-shop.example.com", "/pills/buy"), ("weightloss-pills.test", "/cheap"),
+        ("ads.tracker.test", "/pixel/1"), ("ad-track.test", "/click?banner"), ("track-ads.example.com", "/en/9"), ("popup-ads.test", "/banner"),
     )]
     + [(host, path, 0) for host, path in (
         ("www.example.org", "/en/12"), ("example.com", "/"), ("blog.example.com", "/en/450"), ("news.example.org", "/2020/05/story.html"),
@@ -45,6 +48,7 @@ LABELLED = tuple(
         ("weather.example.org", "/de/252"), ("city-council.test", "/minutes/2021"), ("www.theatre.test", "/en/148.html"), ("school.example.com", "/en/671"),
         ("thering.example.com", "/en/334/"), ("blog.thertion.example.org", "/es/978"), ("m.therou.example.com", "/en/474.html"), ("www.ththen.example.com", "/en/777"),
         ("forum.example.org", "/thread/889"), ("maps.test", "/places/park"), ("journal.example.com", "/articles/physics"), ("science.test", "/en/762"),
+        ("podcast.test", "/episodes/40"), ("travel.example.org", "/fr/77/"), ("archive.example.com", "/de/19.html"), ("choir.test", "/concerts/spring"),
     )]
 )
 
@@ -142,11 +146,10 @@ def judged(pages: DataFrame, model: Model, rules: tuple[tuple[str, str, str], ..
     URL has an empty host and path, which no rule fits, and is scored. Columns of
     those five names are replaced, all others pass through.
     """
-    host, path = host_and_path(F.col(url_col))
-    own = ("host", "path", "rule", "score", "verdict")
-    parsed = pages.withColumns({"_host": host, "_path": path})
+    host, path = host_and_path(F.col("_0"))
+    parsed = packed(pages, url_col).withColumns({"_host": host, "_path": path})
     rule, said = rule_for(F.col("_host"), F.col("_path"), rules)
     found = parsed.withColumns({"_rule": rule, "_said": said, "_score": block_score(F.col("_host"), F.col("_path"), model)})
     verdict = F.coalesce("_said", F.when(F.col("_score") >= BLOCK_FROM, "block").otherwise("allow"))
-    kept = [F.col(f"`{c}`") for c in pages.columns if c not in own]
-    return found.select(*kept, F.col("_host").alias("host"), F.col("_path").alias("path"), F.col("_rule").alias("rule"), F.col("_score").alias("score"), verdict.alias("verdict"))
+    names = {"host": F.col("_host"), "path": F.col("_path"), "rule": F.col("_rule"), "score": F.col("_score"), "verdict": verdict}
+    return found.select(*unpacked(pages.columns, **{url_col: F.col("_0")}, **names))
