@@ -35,6 +35,8 @@ SHORTEST, LONGEST = 4, 9
 MIN_DOCS, MIN_LIFT, MAX_STEMS = 3, 6.0, 20_000
 #: Pseudo-documents by which a stem leans on the next shorter one.
 LEAN = 1.0
+#: Most that one stem weighs, in log odds.
+MOST = 6.0
 #: Words after a negator that it governs.
 NEGATION_REACH = 3
 
@@ -201,6 +203,30 @@ def labelled_rows(docs: DataFrame, labels: DataFrame, label: str, limit: int = M
     return docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(sample), "doc_id")
 
 
+def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Two min-hashes of the three-word runs of each text; an empty text has its own id instead."""
+    import xxhash
+
+    for batch in batches:
+        sketches = []
+        for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+            words = words_of(text or "")
+            runs = {" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))} if words else {f"id {doc_id}"}
+            sketches.append([min(xxhash.xxh64_intdigest(r, seed) >> 1 for r in runs) for seed in (1, 2)])
+        columns = [pa.array([s[k] for s in sketches], pa.int64()) for k in (0, 1)]
+        yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=[*batch.schema.names, "s0", "s1"])
+
+
+def without_copies(rows: DataFrame) -> DataFrame:
+    """Labelled rows that share a min-hash count once, the one with the least id: the words of a
+    text that was copied often would else look like words of its class."""
+    sketched = rows.mapInArrow(_sketch, rows.schema.simpleString()[7:-1].replace(":", " ") + ", s0 long, s1 long")
+    for sketch in ("s0", "s1"):
+        first = F.min_by(F.struct(*sketched.columns), "doc_id").alias("row")
+        sketched = sketched.groupBy(F.col(sketch).alias("by")).agg(first).select("row.*")
+    return sketched.drop("s0", "s1")
+
+
 def _count_stems(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts: dict[int, Counter] = {}
     for batch in batches:
@@ -229,7 +255,7 @@ def _weights(counted: pd.DataFrame, toxic: str, clean: str, n_toxic: int, n_clea
         clear = t >= MIN_DOCS and lift >= np.log(MIN_LIFT)
         if clear or parent is not None:
             rates[stem] = rate
-            out[stem] = float(lift) if lift >= np.log(MIN_LIFT) else 0.0
+            out[stem] = min(float(lift), MOST) if lift >= np.log(MIN_LIFT) else 0.0
     return out
 
 
@@ -242,7 +268,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", limit: int = M
     """
     from lendscope.sources.workspace import stored
 
-    rows = stored(labelled_rows(docs, labels, label, limit), "toxicity-rows")
+    rows = stored(without_copies(labelled_rows(docs, labels, label, limit)), "toxicity-rows")
     sizes = {(r.half, r.y): r.n for r in rows.groupBy("half", "y").agg(F.count("*").alias("n")).collect()}
     n = [[sizes.get((h, y), 0) for y in (0, 1)] for h in (0, 1)]
     if not (n[0][1] + n[1][1] and n[0][0] + n[1][0]):
