@@ -145,7 +145,7 @@ def automata(items: DataFrame, id_col: str, text_col: str, window: int) -> Itera
     blocks = 2 * total // BLOCK_CHARS + 1
     for block in range(blocks):
         rows = held.filter(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block).collect()
-        yield SuffixAutomaton({f"{row.item}\0{k}": words_of(row.text) for k, row in enumerate(sorted(rows, key=lambda r: (r.item or "", r.text)))}, window)
+        yield SuffixAutomaton({f"{row.item or ''}\0{k}": words_of(row.text) for k, row in enumerate(sorted(rows, key=lambda r: (r.item or "", r.text)))}, window)
 
 
 MATCH = "n_words long, spans array<struct<first:int,after:int>>, items array<string>"
@@ -165,21 +165,25 @@ def _matcher(machine: SuffixAutomaton, text: Column) -> Column:
     return match(text)
 
 
-@F.pandas_udf("string")
-def _without(texts: pd.Series, spans: pd.Series) -> pd.Series:
-    out = []
-    for text, gone in zip(texts, spans, strict=True):
-        if text is None or gone is None or not len(gone):
-            out.append(None)
-            continue
-        gone = [(s["first"], s["after"]) for s in gone]
-        places = [m.span() for m in WORD.finditer(text)]
-        kept, at = [], 0
-        for first, after in gone:
-            kept.append(text[at : places[first][0]])
-            at = places[after - 1][1]
-        out.append("".join([*kept, text[at:]]))
-    return pd.Series(out, dtype=object)
+def _without(text: Column, spans: Column) -> Column:
+    """The text without its spans; NULL for NULL."""
+
+    @F.pandas_udf("string")
+    def cut(texts: pd.Series, all_spans: pd.Series) -> pd.Series:
+        out = []
+        for value, gone in zip(texts, all_spans, strict=True):
+            if value is None or gone is None or not len(gone):
+                out.append(value)
+                continue
+            places = [m.span() for m in WORD.finditer(value)]
+            kept, at = [], 0
+            for span in gone:
+                kept.append(value[at : places[span["first"]][0]])
+                at = places[span["after"] - 1][1]
+            out.append("".join([*kept, value[at:]]))
+        return pd.Series(out, dtype=object)
+
+    return cut(text, spans)
 
 
 def _merged(spans: Column) -> Column:

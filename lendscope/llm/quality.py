@@ -60,10 +60,13 @@ def statistics(text: str | None) -> list[float]:
     ]
 
 
-@F.pandas_udf("array<double>")
-def _statistics(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for batch in texts:
-        yield pd.Series([statistics(t) for t in batch])
+def _statistics(text: Column) -> Column:
+    @F.pandas_udf("array<double>")
+    def measure(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in texts:
+            yield pd.Series([statistics(t) for t in batch])
+
+    return measure(text)
 
 
 def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -134,7 +134,7 @@ def block_score(host: Column, path: Column, model: Model) -> Column:
     """Probability, 0 to 1, that a URL is to be blocked; empty host and path score like any other."""
     grams = buckets_of(host, path)
     total = F.aggregate(grams, F.lit(0.0), lambda s, g: s + weight_of(model.weights, g))
-    margin = total / F.sqrt(F.size(grams)) + F.lit(model.bias)
+    margin = total / F.sqrt(F.greatest(F.size(grams), F.lit(1))) + F.lit(model.bias)
     return 1 / (1 + F.exp(-margin))
 
 
