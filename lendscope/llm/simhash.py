@@ -73,16 +73,12 @@ def ball(prints: DataFrame, radius: int) -> DataFrame:
     if radius == 0:
         return prints.select("fp", F.col("fp").alias("z"))
     flips = [
-        F.transform(F.sequence(F.lit(0), F.lit(SEGMENT_BITS - 1)), lambda i, low=low: F.col("fp").bitwiseXOR(_bit(i + low)))
+        F.transform(F.sequence(F.lit(low), F.lit(low + SEGMENT_BITS - 1)), lambda bit: F.col("fp").bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), bit)))
         for low in range(0, BITS, SEGMENT_BITS)
     ]
     return prints.select("fp", F.explode(F.concat(F.array("fp"), *flips)).alias("z"))
 
 
-def _bit(i: Column) -> Column:
-    return F.call_function("shiftleft", F.lit(1).cast("long"), i.cast("int"))
-
-
 def links(prints: DataFrame, max_bits: int = 2) -> DataFrame:
     """Edges (a, b) that connect all fingerprints at most ``max_bits`` apart.
 
