@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 from lendscope.operators.sizes import broadcast_if_small
 
@@ -17,7 +18,6 @@ def exact_percentiles(
     value: str,
     points: dict[str, float],
     groups: DataFrame | None = None,
-    scale: int = 2,
     bin_bits: int = BIN_BITS,
 ) -> DataFrame:
     """One row per group with a DOUBLE column per entry of ``points``
@@ -31,8 +31,13 @@ def exact_percentiles(
 
     ``groups`` is a small table with at least a row per group: with few groups
     the wanted bins are broadcast, and the second pass shuffles counts only.
+    The smallest unit follows from the column, which must be a DECIMAL.
     """
-    unit = (F.col(value) * F.lit(10**scale)).cast("bigint")
+    kind = rows.schema[value].dataType
+    if not isinstance(kind, DecimalType):
+        raise TypeError(f"{value} is {kind.simpleString()}; exact percentiles take a DECIMAL")
+    scale = kind.scale
+    unit = (F.col(value) * F.lit(10**scale)).cast(f"decimal({kind.precision}, 0)").cast("bigint")
     keyed = rows.filter(F.col(value).isNotNull()).select(*group, unit.alias("_v"))
     bins = (
         keyed.groupBy(*group, F.shiftright("_v", bin_bits).alias("_bin")).agg(F.count("*").alias("_n"))

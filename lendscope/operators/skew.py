@@ -5,66 +5,40 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HOT_SHARE = 0.001
-HOT_MIN_ROWS = 1_000_000
-SALTS = 64
+# Rows of one key that a single task may get.
+ROWS_PER_TASK = 1_000_000
 
 
-def hot_keys(
-    counts: DataFrame,
-    key: str,
-    n: str,
-    total: Column | None = None,
-    same_shuffle_as: tuple[str, ...] = (),
-    share: float = HOT_SHARE,
-    min_rows: int = HOT_MIN_ROWS,
-) -> DataFrame:
-    """Keys holding more than ``share`` of all rows and over ``min_rows``.
-
-    ``counts`` has one row per key. By counting there are at most ``1 / share``
-    such keys, so the result is small enough to broadcast at any data size.
-    ``total`` is the number of rows where it is known more cheaply than as the
-    sum of the counts.
+def key_parts(counts: DataFrame, key: str, n: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """(key, parts): into how many parts the rows of a key are dealt, for the
+    keys that need more than one.
 
-    When ``counts`` is an aggregate whose other columns a join needs as well,
-    name them in ``same_shuffle_as``: they take part in a condition that always
-    holds, so both uses have the same columns and Spark shuffles once.
+    ``counts`` has one row per key. The number of parts follows from the key's
+    own rows, so no part exceeds ``rows_per_task``. There are at most total
+    rows / ``rows_per_task`` such keys, which bounds the broadcast: a million
+    keys, some 20 MB, for 10 ** 12 rows.
     """
-    if total is None:
-        total = counts.select(F.col(n).alias("_n")).agg(F.sum("_n")).scalar()
-    is_hot = (F.col(n) > min_rows) & (F.col(n).cast("double") > total.cast("double") * share)
-    for other in same_shuffle_as:
-        is_hot = is_hot & (F.coalesce(F.abs(F.col(other)), F.lit(0.0)) >= 0)
-    return counts.filter(is_hot & F.col(key).isNotNull()).select(key)
+    parts = F.ceil(F.col(n) / rows_per_task).cast("int")
+    return counts.filter((F.col(n) > rows_per_task) & F.col(key).isNotNull()).select(key, parts.alias("parts"))
 
 
 def salted_join(
-    fact: DataFrame,
-    table: DataFrame,
-    key: str,
-    hot: DataFrame,
-    row_id: Column,
-    how: str = "inner",
-    salts: int = SALTS,
+    fact: DataFrame, table: DataFrame, key: str, parts: DataFrame, row_id: Column, how: str = "inner"
 ) -> DataFrame:
     """Join ``fact`` to ``table`` (one row per ``key``) on ``key``.
 
-    Rows of a hot key spread over ``salts`` join keys by a hash of ``row_id``,
-    and only the table rows of hot keys are repeated that often. Needed where
-    the table side is an aggregate: run-time skew splitting then sees no plain
-    shuffle to split and leaves a hot key to one task.
+    Rows of a key with several parts spread over them by a hash of ``row_id``,
+    and only the table rows of such keys are repeated. Needed where the table
+    side is an aggregate: run-time skew splitting then sees no plain shuffle to
+    split and leaves a hot key to one task.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"salted_join supports inner and left, not {how}")
-    marked = F.broadcast(hot.select(key, F.lit(True).alias("_hot")))
+    marked = F.broadcast(parts.select(key, F.col("parts").alias("_parts")))
+    spread = F.xxhash64(row_id)
     # a NULL key matches nothing, so its rows may go anywhere
-    spreads = F.col("_hot") | F.col(key).isNull()
-    salt = F.when(spreads, F.pmod(F.xxhash64(row_id), F.lit(salts)).cast("int"))
-    left = fact.join(marked, key, "left").withColumn("_salt", F.coalesce(salt, F.lit(0))).drop("_hot")
-    spread = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
-    right = (
-        table.join(marked, key, "left")
-        .withColumn("_salt", F.explode(F.coalesce(spread, F.array(F.lit(0)))))
-        .drop("_hot")
-    )
+    salt = F.when(F.col(key).isNull(), spread).otherwise(F.coalesce(F.pmod(spread, F.col("_parts")), F.lit(0).cast("bigint")))
+    left = fact.join(marked, key, "left").withColumn("_salt", salt).drop("_parts")
+    last = F.coalesce(F.col("_parts"), F.lit(1)).cast("bigint") - 1
+    right = table.join(marked, key, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), last))).drop("_parts")
     return left.join(right, [key, "_salt"], how).drop("_salt")

@@ -181,9 +181,10 @@ FROM (SELECT * FROM v ORDER BY year DESC, npl_ratio_pct DESC, month_num, risk_ti
   count(*) FILTER (WHERE loan_status = 'DEFAULTED' AND issue_date BETWEEN DATE '2001-07-01' AND {AS_OF}) AS current_month,
   count(*) FILTER (WHERE loan_status = 'DEFAULTED' AND issue_date BETWEEN DATE '2001-06-01' AND DATE '2001-06-30') AS previous_month FROM w_loan)
 SELECT *, coalesce({pct('(current_month - previous_month)', 'previous_month', 2)}, 0) AS default_rate_mom FROM c""", "w_loan"),
-    "bi_default_matrix": with_views(f"""SELECT risk_tier, {', '.join(
-        pct(f"count(*) FILTER (WHERE category = '{c}' AND loan_status = 'DEFAULTED')", f"count(*) FILTER (WHERE category = '{c}')", 4) + f' AS {c.lower()}'
-        for c in ('AUTO', 'MORTGAGE', 'PERSONAL', 'SME', 'STUDENT'))} FROM w_loanx GROUP BY risk_tier""", "w_loanx"),
+    "bi_default_matrix": with_views(f"""SELECT risk_tier, category, {BAD} AS defaults, count(*) AS total_loans, {pct(BAD, 'count(*)', 4)} AS default_rate_pct
+FROM w_loanx GROUP BY 1, 2""", "w_loanx"),
+    "bi_default_matrix_new_category": with_views(f"""SELECT risk_tier, CASE category WHEN 'AUTO' THEN 'BOAT' ELSE category END AS category,
+       {BAD} AS defaults, count(*) AS total_loans, {pct(BAD, 'count(*)', 4)} AS default_rate_pct FROM w_loanx GROUP BY 1, 2""", "w_loanx"),
     "bi_top_states": with_views(f"""SELECT state, {BAD} AS defaults, count(*) AS total_loans, {pct(BAD, 'count(*)', 4)} AS default_rate_pct
 FROM w_loanx GROUP BY state ORDER BY default_rate_pct DESC, state LIMIT 10""", "w_loanx"),
     "bi_txn_daily_by_type": with_views(f"""SELECT txn_date AS full_date, transaction_type, count(*) AS txn_count, {dbl('sum(amount)')} AS total_volume

@@ -33,7 +33,8 @@ from lendscope.functions.text import (
     to_type,
 )
 from lendscope.operators.dedup import first_per_key, newest_per_key
-from lendscope.operators.skew import hot_keys, salted_join
+from lendscope.operators.skew import key_parts, salted_join
+from lendscope.sources.workspace import stored
 
 # Cities of the top region tier (lower case).
 URBAN_CITIES = ("new york", "los angeles", "chicago", "houston", "london", "mumbai", "delhi")
@@ -259,9 +260,9 @@ def checked_loans(
         bad_number.alias("_bad_number"),
         bad_date.alias("_bad_date"),
     )
-    hot = hot_keys(_row_counts(raw, "customer_id"), "customer_id", "n")
+    parts = key_parts(_row_counts(raw, "customer_id"), "customer_id", "n")
     products = dim_product.select("product_code", "product_key")
-    joined = salted_join(typed, places, "customer_id", hot, F.col("loan_id"), "left").join(
+    joined = salted_join(typed, places, "customer_id", parts, F.col("loan_id"), "left").join(
         products, "product_code", "left"
     )
     required = ("issue_date_key", "principal_amount", "interest_rate", "tenure_months", "loan_status")
@@ -319,22 +320,22 @@ def checked_transactions(
         is_bad(F.col("transaction_date"), "date").alias("_bad_date"),
     )
     amount = to_type(F.col("amount"), "decimal(18,2)", strict).cast("double")
-    # the last condition always holds; see hot_keys on sharing one shuffle
-    stats = (
+    # written once: the salting and the join read it
+    stats = stored(
         raw.select(F.trim("customer_id").alias("customer_id"), amount.alias("_amount"))
         .filter(F.col("customer_id").isNotNull())
         .groupBy("customer_id")
         .agg(
             F.avg("_amount").alias("avg_amount"), F.stddev_samp("_amount").alias("sd_amount"), F.count("*").alias("n")
-        )
-        .filter(F.col("n") > 0)
+        ),
+        "amount-stats",
     )
     known = dim_customer.filter("is_current").select("customer_id", "customer_key")
     # unknown customers stay in, so that their rows are rejected, not lost
     profile = stats.join(known, "customer_id", "left")
-    hot = hot_keys(stats, "customer_id", "n", raw.agg(F.count("*")).scalar(), ("avg_amount", "sd_amount"))
+    parts = key_parts(stats, "customer_id", "n")
     joined = (
-        salted_join(typed, profile.drop("n"), "customer_id", hot, F.col("transaction_id"), "left")
+        salted_join(typed, profile.drop("n"), "customer_id", parts, F.col("transaction_id"), "left")
         .join(dim_region.select("region_id", "region_key"), "region_id", "left")
         .join(fact_loan.select("loan_id", "loan_key"), "loan_id", "left")
     )

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lendscope.functions.credit import PAR_MAX_DPD, PAR_MIN_DPD
-from lendscope.functions.dates import date_lit
 from lendscope.functions.numbers import count_if, half_up, money, percent, ratio
 from lendscope.operators.quantiles import exact_percentiles
 from lendscope.operators.sizes import broadcast_if_small
@@ -16,7 +15,7 @@ from lendscope.sources.star import Star
 
 def default_spike(star: Star, start, end) -> DataFrame:
     """Defaults of loans issued in ``[start, end]`` by tier, category, state."""
-    window = star.loan.filter(F.col("issue_date").between(date_lit(start), date_lit(end)))
+    window = star.loan_between(start, end)
     by_key = star.with_customer(window).groupBy("risk_tier", "product_key", "region_key").agg(
         count_if(F.col("loan_status") == "DEFAULTED").alias("bad"),
         F.count("*").alias("n"),
@@ -92,7 +91,7 @@ def anomaly_spike(star: Star, day, n: int = 50) -> DataFrame:
 
 def npl_segments(star: Star, year: int, n: int = 10) -> DataFrame:
     """The worst segments of loans issued in ``year`` by mean monthly ratio."""
-    in_year = star.loan.filter(F.col("issue_date").between(date_lit(f"{year:04d}-01-01"), date_lit(f"{year:04d}-12-31")))
+    in_year = star.loan_between(f"{year:04d}-01-01", f"{year:04d}-12-31")
     monthly = npl_ratio(star.replaced(loan=in_year))
     return (
         monthly.groupBy("risk_tier", "product_category")
@@ -105,8 +104,9 @@ def npl_segments(star: Star, year: int, n: int = 10) -> DataFrame:
 def loan_outliers(star: Star, k: float = 1.5) -> DataFrame:
     """Loans outside ``q1 - k*iqr .. q3 + k*iqr`` of their category."""
     loans = star.loan.join(star.product.select("product_key", "category"), "product_key")
+    categories = star.product.select("category").distinct()
     quartiles = exact_percentiles(
-        loans, ["category"], "principal_amount", {"q1": 0.25, "q3": 0.75}, groups=star.product
+        loans, ["category"], "principal_amount", {"q1": 0.25, "q3": 0.75}, groups=categories
     )
     width = F.col("q3") - F.col("q1")
     fences = quartiles.select(
@@ -117,7 +117,7 @@ def loan_outliers(star: Star, k: float = 1.5) -> DataFrame:
     amount = F.col("principal_amount").cast("double")
     low, high = amount < F.col("lower_fence"), amount > F.col("upper_fence")
     return (
-        star.with_customer(loans.join(broadcast_if_small(fences, star.product), "category").filter(low | high))
+        star.with_customer(loans.join(broadcast_if_small(fences, categories), "category").filter(low | high))
         .select(
             "loan_id",
             "customer_id",

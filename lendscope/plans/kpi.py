@@ -260,10 +260,10 @@ def kpi_snapshot(star: Star, as_of, rule: str = "par_or_npl", known_only: bool =
     day = date_lit(as_of)
     issued = F.col("issue_date")
     in_month = (issued >= month_start(day)) & (issued <= F.last_day(day))
-    recent = issued >= F.date_sub(day, 30)
     if known_only:
-        in_month, recent = in_month & (issued <= day), recent & (issued <= day)
-    shares = _daily_portfolio(star.loan.filter(recent), rule).select(
+        in_month = in_month & (issued <= day)
+    recent = star.loan_between(F.date_sub(day, 30), day if known_only else None)
+    shares = _daily_portfolio(recent, rule).select(
         half_up(ratio(F.col("risky"), F.col("total")) * 100.0, 4).alias("pct")
     )
     yesterday = F.date_sub(day, 1)

@@ -164,7 +164,7 @@ class Load:
         try:
             read, bad, loaded = work()
         except Exception as problem:
-            status, error = "FAILED", str(problem)[:2000]
+            status, error = "FAILED", str(problem)
             raise
         finally:
             took = int((time.monotonic() - started) * 1000)

@@ -12,7 +12,6 @@ from lendscope.plans import kpi
 from lendscope.plans.monitor import THRESHOLDS, Threshold, judged, threshold_table
 from lendscope.sources.star import Star
 
-CATEGORIES = ("AUTO", "MORTGAGE", "PERSONAL", "SME", "STUDENT")
 MONTHS = tuple(range(1, 13))
 
 
@@ -117,7 +116,7 @@ def bi_default_mom(star: Star, as_of) -> DataFrame:
     issued = F.col("issue_date")
     first = month_start(day)
     bad = F.col("loan_status") == "DEFAULTED"
-    recent = star.loan.filter(issued.between(F.add_months(first, -1), day))
+    recent = star.loan_between(F.add_months(first, -1), day)
     return recent.agg(
         count_if(bad & (issued >= first)).alias("current_month"),
         count_if(bad & (issued < first)).alias("previous_month"),
@@ -138,13 +137,19 @@ def _default_counts(star: Star, *columns: str) -> DataFrame:
 
 
 def bi_default_matrix(star: Star) -> DataFrame:
-    """Default rate by risk tier (rows) and category (columns)."""
+    """Default rate by risk tier and category, one row per cell: categories are
+    data, so that a new one makes new rows and none is left out."""
     products = star.product.select("product_key", "category")
     cells = _default_counts(star, "risk_tier", "product_key").join(products, "product_key")
-    wide = cells.groupBy("risk_tier").pivot("category", list(CATEGORIES)).agg(F.sum("bad").alias("bad"), F.sum("n").alias("n"))
-    return wide.select(
-        "risk_tier", *[percent(F.col(f"{c}_bad"), F.col(f"{c}_n"), 4).alias(c.lower()) for c in CATEGORIES]
-    ).orderBy("risk_tier")
+    return (
+        cells.groupBy("risk_tier", "category")
+        .agg(
+            F.sum("bad").alias("defaults"),
+            F.sum("n").alias("total_loans"),
+            percent(F.sum("bad"), F.sum("n"), 4).alias("default_rate_pct"),
+        )
+        .orderBy("risk_tier", "category")
+    )
 
 
 def bi_top_states(star: Star, n: int = 10) -> DataFrame:

@@ -13,9 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lendscope.functions.credit import anomaly_columns, is_npl, is_par30, risk_tier, z_score
-from lendscope.functions.dates import date_lit
-from lendscope.operators.skew import hot_keys, salted_join
-from lendscope.sources.star import Star
+from lendscope.operators.skew import key_parts, salted_join
+from lendscope.sources.star import Star, fact_star, month_key
+from lendscope.sources.workspace import stored
 
 # Events are moved back this many days; their last day is then 2001-07-30.
 EVENT_SHIFT_DAYS = 8219
@@ -117,17 +117,8 @@ def transactions_of(events: DataFrame) -> DataFrame:
     )
 
 
-def events_between(events: DataFrame, start, end) -> DataFrame:
-    """Cut at the scan: the bounds are moved to the stored time stamp, where
-    the file reader can use them."""
-    low = F.date_add(date_lit(start), EVENT_SHIFT_DAYS).cast("timestamp_ntz")
-    high = F.date_add(date_lit(end), EVENT_SHIFT_DAYS + 1).cast("timestamp_ntz")
-    return events.filter((F.col("ts") >= low) & (F.col("ts") < high))
-
-
 def customer_stats(events: DataFrame) -> DataFrame:
-    """Per-customer mean, deviation and row count over the whole history. The
-    last condition always holds; see ``hot_keys`` on sharing one shuffle."""
+    """Per-customer mean, deviation and row count over the whole history."""
     return (
         transactions_of(events)
         .filter(F.col("customer_key").isNotNull())
@@ -137,61 +128,73 @@ def customer_stats(events: DataFrame) -> DataFrame:
             F.stddev_samp(F.col("amount").cast("double")).alias("sd_amount"),
             F.count("*").alias("n_txn"),
         )
-        .filter(F.col("n_txn") > 0)
     )
 
 
 def baseline(stats: DataFrame, people: DataFrame) -> DataFrame:
-    """Statistics with the customer's attributes; one row per customer on both
-    join sides."""
+    """The customers with their statistics, one row each. A customer without
+    statistics stays, with NULLs: such rows score 0."""
     attributes = people.select("customer_key", "customer_id", "region_key", "risk_tier", "credit_score")
-    return stats.join(attributes, "customer_key")
+    return attributes.join(stats, "customer_key", "left")
 
 
-def scored(facts: DataFrame, profile: DataFrame, hot: DataFrame | None = None) -> DataFrame:
-    """Score transaction rows (batch or stream) against the profile. ``hot``
-    are the customers to spread; by default they are read off the profile."""
-    if hot is None:
-        hot = hot_keys(profile, "customer_key", "n_txn")
-    joined = salted_join(facts, profile.drop("n_txn"), "customer_key", hot, F.col("txn_key"))
+def scored(facts: DataFrame, profile: DataFrame) -> DataFrame:
+    """Score transaction rows (batch or stream) against the profile, a stored
+    table as from ``baseline``. Rows of unknown customers fall out, as the
+    inner join to the customer dimension asks."""
+    parts = key_parts(profile, "customer_key", "n_txn")
+    joined = salted_join(facts, profile.drop("n_txn"), "customer_key", parts, F.col("txn_key"))
     z = z_score(F.col("amount"), F.col("avg_amount"), F.col("sd_amount"))
     with_z = joined.withColumn("z_score", z).drop("avg_amount", "sd_amount")
     return with_z.withColumns(anomaly_columns(F.col("z_score")))
 
 
+def stored_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Written once: the salting and the join read it, the facts are not grouped again."""
+    stats = customer_stats(table(spark, sf_dir, "events"))
+    return stored(baseline(stats, customer(spark, sf_dir)), "baseline")
+
+
+def scored_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scored(transactions_of(table(spark, sf_dir, "events")).drop("ts"), stored_baseline(spark, sf_dir))
+
+
+# Attributes that a query takes from the customer dimension where it needs them.
+CUSTOMER_SIDE = ("customer_id", "risk_tier", "credit_score")
+
+
+def published(facts: DataFrame, day: str, month: str, flag: str, purpose: str) -> DataFrame:
+    """A fact written in month folders, sorted by its flag within them."""
+    kept = facts.drop(*CUSTOMER_SIDE).withColumn(month, month_key(F.col(day)))
+    return stored(kept.hint("rebalance", month).sortWithinPartitions(month, flag), purpose, month)
+
+
+_STARS: dict[tuple[str, str], Star] = {}
+
+
 def bridge_star(spark: SparkSession, sf_dir: str) -> Star:
-    @cache
-    def people() -> DataFrame:
-        return customer(spark, sf_dir)
-
-    @cache
-    def events() -> DataFrame:
-        return table(spark, sf_dir, "events")
-
-    @cache
-    def profile() -> tuple[DataFrame, DataFrame]:
-        stats = customer_stats(events())
-        # the row count comes from the file footers
-        rows = events().agg(F.count("*")).scalar()
-        hot = hot_keys(stats, "customer_key", "n_txn", rows, ("avg_amount", "sd_amount"))
-        return baseline(stats, people()), hot
-
-    def score(rows: DataFrame) -> DataFrame:
-        return scored(transactions_of(rows).drop("ts"), *profile())
-
-    def unscored() -> DataFrame:
-        attributes = people().select("customer_key", "customer_id", "region_key", "risk_tier", "credit_score")
-        return transactions_of(events()).drop("ts").join(attributes, "customer_key")
-
-    return Star(
-        region=lambda: region(spark, sf_dir),
-        customer=people,
-        product=lambda: product(spark),
-        loan=lambda: loan(spark, sf_dir, people()),
-        txn=lambda: score(events()),
-        txn_unscored=unscored,
-        txn_between=lambda start, end: score(events_between(events(), start, end)),
-    )
+    """The star of a data folder, its facts published on first use and kept for
+    the session: loans with the region of their customer (those of unknown
+    customers fall out once, here), transactions with their score."""
+    name = (spark.sparkContext.applicationId, sf_dir)
+    if name not in _STARS:
+
+        @cache
+        def loans() -> DataFrame:
+            return published(loan(spark, sf_dir), "issue_date", "issue_month", "is_npl", "fact-loan")
+
+        @cache
+        def txns() -> DataFrame:
+            return published(scored_events(spark, sf_dir), "txn_date", "txn_month", "is_anomaly", "fact-transaction")
+
+        _STARS[name] = fact_star(
+            region=lambda: region(spark, sf_dir),
+            customer=lambda: customer(spark, sf_dir),
+            product=lambda: product(spark),
+            loan=loans,
+            txn=txns,
+        )
+    return _STARS[name]
 
 
 def loan_day2(loans: DataFrame) -> DataFrame:

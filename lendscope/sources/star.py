@@ -10,11 +10,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import cache
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lendscope.functions.credit import NPL_MIN_DPD, is_npl
-from lendscope.functions.dates import date_key, date_lit, key_to_date
+from lendscope.functions.dates import date_lit, key_to_date
 
 
 CUSTOMER_COLUMNS = ("customer_id", "risk_tier", "credit_score")
@@ -22,6 +22,29 @@ CUSTOMER_COLUMNS = ("customer_id", "risk_tier", "credit_score")
 
 Part = DataFrame | Callable[[], DataFrame]
 
+# The month folder that holds a fact's day.
+MONTHS = {"issue_date": "issue_month", "txn_date": "txn_month"}
+
+
+def month_key(day: Column) -> Column:
+    """``yyyymm`` as INT."""
+    return (F.year(day) * 100 + F.month(day)).cast("int")
+
+
+def dated(frame: DataFrame, column: str, start=None, end=None) -> DataFrame:
+    """Rows of the days ``[start, end]``; an unset bound is open. Where the
+    fact lies in month folders, the bounds also bound the folders read."""
+    month = MONTHS[column] if MONTHS[column] in frame.columns else None
+    if start is not None:
+        low = date_lit(start)
+        frame = frame.filter(F.col(column) >= low)
+        frame = frame.filter(F.col(month) >= month_key(low)) if month else frame
+    if end is not None:
+        high = date_lit(end)
+        frame = frame.filter(F.col(column) <= high)
+        frame = frame.filter(F.col(month) <= month_key(high)) if month else frame
+    return frame
+
 
 class Star:
     """``loan`` and ``txn`` are the facts with ``issue_date`` and ``txn_date``;
@@ -60,6 +83,10 @@ class Star:
             parts[name] = parts[name]()
         return parts[name]
 
+    def loan_between(self, start=None, end=None) -> DataFrame:
+        """The loans issued in these days, cut at the month folders."""
+        return dated(self.loan, "issue_date", start, end)
+
     def with_customer(self, facts: DataFrame) -> DataFrame:
         """Fact rows with customer id, tier and score. Both sides come from
         scans, so a sort-merge join splits a hot customer at run time."""
@@ -90,13 +117,6 @@ class Star:
     ) -> Star:
         """The star behind the report slicers; unset slicers keep all rows."""
 
-        def dated(frame: DataFrame, column: str) -> DataFrame:
-            if start is not None:
-                frame = frame.filter(F.col(column) >= date_lit(start))
-            if end is not None:
-                frame = frame.filter(F.col(column) <= date_lit(end))
-            return frame
-
         def placed(frame: DataFrame) -> DataFrame:
             if risk_tier is not None:
                 frame = self.with_customer(frame).filter(F.col("risk_tier") == risk_tier)
@@ -106,7 +126,7 @@ class Star:
             return frame
 
         def loans() -> DataFrame:
-            loan = placed(dated(self.loan, "issue_date"))
+            loan = placed(dated(self.loan, "issue_date", start, end))
             if category is not None:
                 keys = self.product.filter(F.col("category") == category).select("product_key")
                 loan = loan.join(keys, "product_key", "left_semi")
@@ -114,39 +134,45 @@ class Star:
 
         return self.replaced(
             loan=loans,
-            txn=lambda: placed(dated(self.txn, "txn_date")),
-            txn_unscored=lambda: placed(dated(self.txn_unscored, "txn_date")),
-            txn_between=lambda a, b: placed(dated(self.txn_between(a, b), "txn_date")),
+            txn=lambda: placed(dated(self.txn, "txn_date", start, end)),
+            txn_unscored=lambda: placed(dated(self.txn_unscored, "txn_date", start, end)),
+            txn_between=lambda a, b: placed(dated(self.txn_between(a, b), "txn_date", start, end)),
         )
 
 
+def fact_star(
+    region: Part, customer: Part, product: Part, loan: Callable[[], DataFrame], txn: Callable[[], DataFrame]
+) -> Star:
+    """A star whose facts lie in month folders, with stored days and scores."""
+    return Star(
+        region=region,
+        customer=customer,
+        product=product,
+        loan=loan,
+        txn=txn,
+        txn_unscored=txn,
+        txn_between=lambda start, end: dated(txn(), "txn_date", start, end),
+    )
+
+
 def warehouse_star(read: Callable[[str], DataFrame]) -> Star:
     """Star over published tables; ``read`` maps a table name to a DataFrame.
 
     Date bounds also bound the month folders, so other months are not listed.
     """
 
+    def fact(table: str, day: str, key: str) -> Callable[[], DataFrame]:
+        @cache
+        def rows() -> DataFrame:
+            frame = read(table)
+            return frame if day in frame.columns else frame.withColumn(day, key_to_date(F.col(key)))
 
-    def loans() -> DataFrame:
-        return read("fact_loan").withColumn("issue_date", key_to_date(F.col("issue_date_key")))
+        return rows
 
-    @cache
-    def txns() -> DataFrame:
-        return read("fact_transaction").withColumn("txn_date", key_to_date(F.col("txn_date_key")))
-
-    def between(start, end) -> DataFrame:
-        low, high = date_lit(start), date_lit(end)
-        month = lambda d: F.year(d) * 100 + F.month(d)
-        return txns().filter(F.col("txn_month").between(month(low), month(high))).filter(
-            F.col("txn_date_key").between(date_key(low), date_key(high))
-        )
-
-    return Star(
+    return fact_star(
         region=lambda: read("dim_region"),
         customer=lambda: read("dim_customer").filter("is_current"),
         product=lambda: read("dim_loan_product"),
-        loan=loans,
-        txn=txns,
-        txn_unscored=txns,
-        txn_between=between,
+        loan=fact("fact_loan", "issue_date", "issue_date_key"),
+        txn=fact("fact_transaction", "txn_date", "txn_date_key"),
     )

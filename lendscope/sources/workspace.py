@@ -31,13 +31,13 @@ def fresh_path(spark: SparkSession, purpose: str) -> str:
     return f"{shared_dir(spark)}/lendscope/{purpose}-{uuid.uuid4().hex}"
 
 
-def stored(frame: DataFrame, purpose: str) -> DataFrame:
-    """``frame`` written to the shared folder and read back.
+def stored(frame: DataFrame, purpose: str, *by: str) -> DataFrame:
+    """``frame`` written to the shared folder and read back, in folders of the columns ``by``.
 
     For rows that several branches of a plan use: each branch reads the files
     instead of computing the rows again, also after an executor is lost.
     """
     spark = frame.sparkSession
     path = fresh_path(spark, purpose)
-    frame.write.parquet(path)
+    (frame.write.partitionBy(*by) if by else frame.write).parquet(path)
     return spark.read.schema(frame.schema).parquet(path)

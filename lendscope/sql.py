@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lendscope.plans import investigate, kpi
-from lendscope.sources.star import Star
+from lendscope.sources.star import MONTHS, Star, month_key
 
 
 def views(star: Star, as_of) -> dict[str, DataFrame]:
@@ -37,11 +37,17 @@ def _detail(star: Star) -> dict[str, DataFrame]:
     products = star.product.select("product_key", F.col("category").alias("product_category"))
     loan = star.with_customer(star.loan).join(products, "product_key").join(places, "region_key")
     txn = star.with_customer(star.txn).join(places, "region_key")
+    for day, month in MONTHS.items():
+        if day in loan.columns and month not in loan.columns:
+            loan = loan.withColumn(month, month_key(F.col(day)))
+        if day in txn.columns and month not in txn.columns:
+            txn = txn.withColumn(month, month_key(F.col(day)))
     return {"loan_detail": loan, "transaction_detail": txn}
 
 
 def _functions(as_of) -> list[str]:
     day = f"DATE '{as_of}'"
+    month = "CAST(year({0}) * 100 + month({0}) AS INT)".format
     rounded = "round({0} + sign({0}) * 1e-9D, {1})".format
     rate = rounded("(100.0D * count_if(loan_status = 'DEFAULTED') / count(*))", 4)
     score = rounded("(CAST(sum(credit_score) AS DOUBLE) / nullif(count(credit_score), 0))", 1)
@@ -53,6 +59,7 @@ def _functions(as_of) -> list[str]:
                            total_loans BIGINT, default_rate_pct DOUBLE, avg_credit_score DOUBLE, avg_loan_amount DOUBLE)
             RETURN SELECT risk_tier, product_category, state, count_if(loan_status = 'DEFAULTED'), count(*), {rate}, {score}, {amount}
                    FROM loan_detail WHERE issue_date BETWEEN p_start_date AND p_end_date
+                     AND issue_month BETWEEN {month("p_start_date")} AND {month("p_end_date")}
                    GROUP BY risk_tier, product_category, state""",
         """CREATE OR REPLACE TEMPORARY FUNCTION fn_investigate_par30_spike(p_dpd_min INT DEFAULT 30, p_dpd_max INT DEFAULT 89)
             RETURNS TABLE (loan_id STRING, customer_id STRING, risk_tier STRING, days_past_due INT, outstanding DOUBLE,
@@ -65,7 +72,7 @@ def _functions(as_of) -> list[str]:
                            anomaly_score DOUBLE, anomaly_reason STRING, region STRING)
             RETURN SELECT transaction_id, customer_id, risk_tier, transaction_type, CAST(amount AS DOUBLE),
                           CAST(t.anomaly_score AS DOUBLE), anomaly_reason, city || ', ' || state
-                   FROM transaction_detail t WHERE is_anomaly AND txn_date = p_date
+                   FROM transaction_detail t WHERE is_anomaly AND txn_date = p_date AND txn_month = {month("p_date")}
                    ORDER BY t.anomaly_score DESC, transaction_id LIMIT 50""",
     ]
 

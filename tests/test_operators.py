@@ -12,7 +12,7 @@ from lendscope.operators.dedup import first_per_key, newest_per_key
 from lendscope.operators.keys import assign_keys
 from lendscope.operators.quantiles import exact_percentiles
 from lendscope.operators.rolling import rolling_rows_sum
-from lendscope.operators.skew import hot_keys, salted_join
+from lendscope.operators.skew import key_parts, salted_join
 from lendscope.operators.upsert import insert_ignore, upsert
 
 
@@ -32,30 +32,31 @@ def test_salted_join_equals_plain_join(spark, how):
     )
     table = spark.range(600).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
     counts = fact.groupBy("k").agg(F.count("*").alias("n"))
-    hot = hot_keys(counts, "k", "n", share=0.01, min_rows=0)
-    assert [r.k for r in hot.collect()] == [1]
-    got = salted_join(fact, table, "k", hot, F.col("row"), how, salts=8)
+    parts = key_parts(counts, "k", "n", rows_per_task=500)
+    assert [tuple(r) for r in parts.collect()] == [(1, 6)]  # 3 000 rows and a few by chance
+    got = salted_join(fact, table, "k", parts, F.col("row"), how)
     want = fact.join(table, "k", how)
     assert rows(got.na.fill(-1), "row", "k", "v") == rows(want.na.fill(-1), "row", "k", "v")
 
 
-def test_hot_key_spreads_over_salts(spark):
-    fact = spark.range(3000).select(F.col("id").alias("row"), F.lit(7).alias("k"))
-    counts = fact.groupBy("k").agg(F.count("*").alias("n"))
-    hot = hot_keys(counts, "k", "n", min_rows=0)
-    salts = fact.join(hot, "k").groupBy(F.pmod(F.xxhash64("row"), F.lit(16)).alias("s")).count().collect()
-    assert len(salts) == 16 and max(r["count"] for r in salts) < 300
+def test_parts_follow_from_the_rows_of_a_key(spark):
+    counts = spark.createDataFrame([(1, 500), (2, 3), (3, 100_001), (None, 10**9)], "k int, n bigint")
+    assert rows(key_parts(counts, "k", "n", rows_per_task=500), "k", "parts") == [(3, 201)]
+    assert key_parts(counts, "k", "n").count() == 0
 
 
-def test_few_rows_are_never_hot(spark):
-    counts = spark.createDataFrame([(1, 500), (2, 3)], "k int, n bigint")
-    assert hot_keys(counts, "k", "n").count() == 0
+def test_hot_key_spreads_over_its_parts(spark):
+    """A key with 30 % of the rows: no part is far above the mean."""
+    fact = spark.range(30_000).select(F.col("id").alias("row"), F.when(F.col("id") % 10 < 3, 7).otherwise(F.col("id")).alias("k"))
+    parts = key_parts(fact.groupBy("k").agg(F.count("*").alias("n")), "k", "n", rows_per_task=500).first()
+    salts = fact.filter("k = 7").groupBy(F.pmod(F.xxhash64("row"), F.lit(parts.parts)).alias("s")).count().collect()
+    assert len(salts) == parts.parts == 19 and max(r["count"] for r in salts) < 1.3 * 9001 / 19
 
 
 def test_salted_join_rejects_other_joins(spark):
     frame = spark.range(1).withColumnRenamed("id", "k")
     with pytest.raises(ValueError):
-        salted_join(frame, frame, "k", frame, F.col("k"), "full_outer")
+        salted_join(frame, frame, "k", frame.withColumn("parts", F.lit(2)), F.col("k"), "full_outer")
 
 
 # --- dedup and keys ----------------------------------------------------------

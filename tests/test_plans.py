@@ -6,25 +6,55 @@ import re
 
 import pytest
 
-from lendscope.plans import kpi
+from lendscope.plans import investigate, kpi
 from lendscope.registry import all_queries
+from lendscope.sources import bridge
 from lendscope.sources.bridge import AS_OF, bridge_star
+from lendscope.sources.star import warehouse_star
+from lendscope.sql import register_sql
 
 
 def plan(frame) -> str:
     return frame._jdf.queryExecution().executedPlan().toString()
 
 
-def test_snapshot_filters_reach_the_scans(spark, small):
-    text = plan(kpi.kpi_snapshot(bridge_star(spark, small), AS_OF))
-    assert "GreaterThanOrEqual(o_orderdate,2001-07-01" in text
-    assert "GreaterThanOrEqual(ts,2024-01-30" in text
+def scans(text: str, column: str) -> list[str]:
+    """Partition filters of the scans that read month folders of ``column``."""
+    return [m for m in re.findall(r"PartitionFilters: \[([^\]]*)\]", text) if column in m]
+
+
+def test_date_bounds_reach_the_month_folders(spark, small):
+    star = bridge_star(spark, small)
+    day = AS_OF
+    assert scans(plan(kpi.kpi_snapshot(star, day)), "issue_month") and scans(plan(kpi.kpi_snapshot(star, day)), "txn_month")
+    assert scans(plan(investigate.default_spike(star, "2001-07-01", "2001-07-31")), "issue_month")
+    assert scans(plan(investigate.npl_segments(star, 2001)), "issue_month")
+    cut = star.sliced(start="2001-07-01", end="2001-07-10")
+    assert scans(plan(cut.loan), "issue_month") and scans(plan(cut.txn), "txn_month")
+    register_sql(star, day)
+    spike = spark.sql("SELECT * FROM fn_investigate_default_spike(DATE '2001-07-01', DATE '2001-07-31')")
+    flags = spark.sql("SELECT * FROM fn_investigate_anomaly_spike(DATE '2001-07-20')")
+    assert scans(plan(spike), "issue_month") and scans(plan(flags), "txn_month")
+
+
+def test_date_bounds_prune_the_warehouse(spark, small):
+    from lendscope.queries_etl import _loaded
+
+    star = warehouse_star(_loaded(spark, small).read)
+    assert scans(plan(investigate.default_spike(star, "2001-07-01", "2001-07-31")), "issue_month")
+    assert scans(plan(investigate.anomaly_spike(star, "2001-07-20")), "txn_month")
+
+
+@pytest.mark.parametrize("name", ["kpi_par30", "kpi_default_rate", "eda_status_mix", "eda_monthly_origination", "eda_dpd_buckets", "bi_par30", "dash_loan_status"])
+def test_loan_indicators_join_no_customer(spark, small, name):
+    text = plan(all_queries()[name](spark, small))
+    assert "Join" not in text and "c_custkey" not in text
 
 
 def test_scans_read_only_what_is_used(spark, small):
     text = plan(kpi.par30(bridge_star(spark, small)))
-    schemas = re.findall(r"ReadSchema: struct<([^>]*)>", text)
-    assert schemas and all("o_orderpriority" not in s and "c_mktsegment" not in s and "c_name" not in s for s in schemas)
+    columns = re.findall(r"FileScan parquet \[([^\]]*)\]", text)
+    assert columns and all("loan_id" not in c and "principal_amount" not in c for c in columns)
 
 
 # queries that write tables or run streams before they return
@@ -51,11 +81,10 @@ def test_large_joins_do_not_force_a_broadcast(spark, small):
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        star = bridge_star(spark, small)
-        for frame in (star.loan, star.txn_unscored):
-            assert "BroadcastHashJoin" not in plan(frame) and "SortMergeJoin" in plan(frame)
-        scored = plan(star.txn)
-        # only the set of hot keys is broadcast
-        assert scored.count("SortMergeJoin") == 2
+        for frame in (bridge.loan(spark, small), bridge.scored_events(spark, small)):
+            # only the set of keys dealt in parts is broadcast, by its hint
+            text = plan(frame)
+            assert "SortMergeJoin" in text and text.count("BroadcastHashJoin") <= 2
+        assert "BroadcastHashJoin" not in plan(bridge.loan(spark, small))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
