@@ -128,7 +128,8 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = packed(docs).withColumn("_id", F.col("_row").getField(id_col))
     if not unkeyed.head(1):
         gone = gone.select(F.col("doc_id").alias("_id"))
-        return rows.join(gone, "_id", "left_anti").select(*unpacked(docs.columns))
+        # a shuffle join at every size: how many copies there are should not choose the plan
+        return rows.join(gone.hint("merge"), "_id", "left_anti").select(*unpacked(docs.columns))
     apart = unkeyed.select(F.col("doc_id").alias("_key"))
     same = rows["_id"].eqNullSafe(apart["_key"])
     gone = gone.select(F.col("doc_id").alias("_id")).join(apart, F.col("_id").eqNullSafe(F.col("_key")), "left_anti")
