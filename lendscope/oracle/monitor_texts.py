@@ -142,6 +142,12 @@ TEXTS = {
 SELECT as_of, kpi, kpi_name, value, threshold, 'above' AS direction, severity FROM checked WHERE breached""", "w_loan", "w_txn"),
     "mon_alert_lifecycle": with_views(LIFECYCLE, "w_loan", "w_txn"),
     "stream_alerts": with_views(LIFECYCLE, "w_loan", "w_txn"),
+    "stream_alerts_late": with_views(LIFECYCLE, "w_loan", "w_txn"),
+    "stream_daily_disorder": with_views("""SELECT txn_date AS full_date, transaction_type, count(*) AS total_txns,
+       count(*) FILTER (WHERE is_anomaly) AS anomaly_count FROM w_txn GROUP BY 1, 2""", "w_txn"),
+    "stream_dedup_disorder": "SELECT DISTINCT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS transaction_id FROM lineitem",
+    "stream_zscore_partial": with_views(f"""SELECT transaction_id, CASE WHEN customer_key % 2 = 0 THEN {rnd('z_score', 6)} ELSE 0 END AS z_score,
+       customer_key % 2 = 0 AND z_score > 3.0 AS is_anomaly FROM w_txnx""", "w_txnx"),
     "mon_alert_counts": with_views(f"""WITH {HISTORY}, {checked('history', 6)}, {EVENTS}
 SELECT (SELECT count(*) FROM history) AS total_polls, (SELECT count(*) FROM ev WHERE event = 'FIRE') AS total_alerts_fired""", "w_loan", "w_txn"),
     "mon_investigate": with_views(f"WITH {SNAP_CHECKED}, {SEGMENTS} SELECT * FROM found", "w_loanx", "w_txnx"),

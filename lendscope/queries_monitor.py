@@ -16,6 +16,7 @@ from lendscope.sources.store import TableStore
 from lendscope.sources.workspace import fresh_path, stored
 from lendscope.streaming import jobs
 from lendscope.streaming.alerts import AlertLedger
+from lendscope.streaming.ledgers import DailyLedger, DedupLedger, follow
 
 POLLS_FROM = dt.date(2000, 7, 31)
 # The default limit of 50 flags a day is not reached on the small scales.
@@ -91,6 +92,49 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _to_files(spark, jobs.dedup(keyed, "transaction_id", "l_shipdate", "7 days").select("transaction_id"), "stream-dedup")
 
 
+def _in_disorder(spark: SparkSession, sf_dir: str, name: str, key: str, files: int = 4) -> str:
+    """The table in files that each span all dates; the stream reads one per batch."""
+    path = fresh_path(spark, f"disorder-{name}")
+    rows = bridge.table(spark, sf_dir, name)
+    rows.withColumn("slice", F.pmod(F.col(key), F.lit(files))).repartition(files, "slice").write.partitionBy("slice").parquet(path)
+    return path
+
+
+def stream_daily_disorder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily counts of events that come in any date order: on time and late together."""
+    path, root = _in_disorder(spark, sf_dir, "events", "event_id"), fresh_path(spark, "stream-daily-ledger")
+    ledger = DailyLedger(spark, root)
+    rows = jobs.event_stream(spark, f"{path}/slice=*", max_files=1)
+    profile = fresh_path(spark, "baseline")
+    bridge.stored_baseline(spark, sf_dir).write.parquet(profile)
+    follow(rows, jobs.score_latest(profile, ledger.apply), f"{root}/checkpoint")
+    on_time = F.col("total_txns") - F.col("late_txns")
+    late = ledger.late().groupBy(F.col("txn_date").alias("full_date"), "transaction_type").agg(F.count("*").alias("n"))
+    both = ledger.daily().join(late, ["full_date", "transaction_type"], "left")
+    return both.select("full_date", "transaction_type", (on_time + F.coalesce("n", F.lit(0))).alias("total_txns"), "anomaly_count")
+
+
+def stream_dedup_disorder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The distinct keys of line items that come twice and in any date order."""
+    path, root = _in_disorder(spark, sf_dir, "lineitem", "l_suppkey"), fresh_path(spark, "stream-dedup-ledger")
+    schema = bridge.table(spark, sf_dir, "lineitem").schema
+    lines = jobs.file_stream(spark, f"{path}/slice=*", schema, max_files=1).unionByName(jobs.file_stream(spark, f"{path}/slice=*", schema, max_files=2))
+    key = F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string"))
+    ledger = DedupLedger(spark, root, "transaction_id", "l_shipdate", days=36_500)
+    ledger.follow(lines.select(key.alias("transaction_id"), "l_shipdate"), f"{root}/checkpoint")
+    return ledger.rows().select("transaction_id")
+
+
+def stream_zscore_partial(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores where only the customers with an even key have statistics; the others score 0."""
+    stats = bridge.customer_stats(bridge.table(spark, sf_dir, "events")).filter("customer_key % 2 = 0")
+    profile = stored(bridge.baseline(stats, bridge.customer(spark, sf_dir)), "baseline")
+    rows = jobs.score(_events(spark, sf_dir), profile).select(
+        "transaction_id", half_up(F.col("z_score"), 6).alias("z_score"), "is_anomaly"
+    )
+    return _to_files(spark, rows, "stream-zscore-partial")
+
+
 def stream_zscore(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = jobs.score(_events(spark, sf_dir), bridge.stored_baseline(spark, sf_dir)).select(
         "transaction_id",
@@ -119,6 +163,19 @@ def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.alerts()
 
 
+def stream_alerts_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same history with the polls of odd days delivered after all others."""
+    root = fresh_path(spark, "stream-alerts-late")
+    history = stored(_history(spark, sf_dir), "polls")
+    ledger = AlertLedger(spark, f"{root}/ledger", LIMITS)
+    odd = F.day("snapshot_ts") % 2 == 1
+    for name, polls in (("even", history.filter(~odd)), ("odd", history.filter(odd))):
+        polls.write.parquet(f"{root}/{name}")
+        stream = jobs.file_stream(spark, f"{root}/{name}", history.schema)
+        ledger.follow(stream, f"{root}/checkpoint-{name}")
+    return ledger.alerts()
+
+
 def _new_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The matrix with a category nobody listed."""
     star = bridge_star(spark, sf_dir)
@@ -144,6 +201,10 @@ QUERIES = {
     "stream_zscore": stream_zscore,
     "stream_anomaly_daily": stream_anomaly_daily,
     "stream_alerts": stream_alerts,
+    "stream_alerts_late": stream_alerts_late,
+    "stream_daily_disorder": stream_daily_disorder,
+    "stream_dedup_disorder": stream_dedup_disorder,
+    "stream_zscore_partial": stream_zscore_partial,
     "rpt_kpi_summary": _star(reports.kpi_summary, AS_OF),
     "rpt_default_trend": _star(reports.default_trend),
     "rpt_par30_90d": _star(reports.par30_recent),

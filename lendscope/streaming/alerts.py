@@ -2,34 +2,48 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import hashlib
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lendscope.operators.dedup import newest_per_key
 from lendscope.plans.monitor import THRESHOLDS, Threshold, alerts, evaluate, with_events
+from lendscope.streaming.ledgers import follow, read_or_none
 
 
 class AlertLedger:
     """Folders below ``root``: ``history`` (indicator rows), ``events`` (fire,
-    suppress, resolve) and ``state`` (the last poll per indicator).
+    suppress, resolve), ``state`` (the last poll per indicator) and ``late``.
+
+    Every micro-batch writes sub-folders of its own, named by the run (a
+    checkpoint) and the batch, so a repeated batch replaces its rows and a new
+    checkpoint over an old ledger goes on behind it. A batch reads the newest
+    state, a row per indicator, and not the history.
 
-    Every micro-batch writes its own sub-folder, so a repeated batch replaces
-    its rows instead of adding them. A batch reads the state of the batch
-    before it, a row per indicator, and not the history.
+    Polls older than the state are late: they are kept in ``late`` and the life
+    cycle is judged anew from the whole history. Of several polls of one time
+    the last delivered one counts.
     """
 
-    def __init__(self, spark: SparkSession, root: str, thresholds: tuple[Threshold, ...] = THRESHOLDS):
-        self.spark, self.root, self.thresholds = spark, root.rstrip("/"), thresholds
+    def __init__(self, spark: SparkSession, root: str, thresholds: tuple[Threshold, ...] = THRESHOLDS, run: str = "0"):
+        self.spark, self.root, self.thresholds, self.run = spark, root.rstrip("/"), thresholds, run
 
     def _path(self, part: str, batch_id: int) -> str:
-        return f"{self.root}/{part}/batch={batch_id}"
+        return f"{self.root}/{part}/run={self.run}/batch={batch_id}"
+
+    def _here(self, batch_id: int) -> Column:
+        return (F.col("run").cast("string") == self.run) & (F.col("batch") == batch_id)
 
     def apply(self, batch: DataFrame, batch_id: int) -> None:
-        self._write(batch, "history", batch_id)
-        stored = batch.sparkSession.read.schema(batch.schema).parquet(self._path("history", batch_id))
-        rows = evaluate(stored, self.thresholds)
-        if batch_id > 0:
-            state = batch.sparkSession.read.parquet(self._path("state", batch_id - 1))
+        states = read_or_none(self.spark, f"{self.root}/state")
+        before = states.filter(~self._here(batch_id)).agg(F.max("seq")).first()[0] if states is not None else None
+        seq = 0 if before is None else before + 1
+        self._write(batch.withColumn("seq", F.lit(seq)), "history", batch_id)
+        rows = evaluate(batch, self.thresholds)
+        rebuilt = False
+        if before is not None:
+            state = states.filter(F.col("seq") == before).drop("run", "batch", "seq", "rebuilt")
             # one state row per indicator
             last = F.broadcast(
                 state.select(
@@ -38,35 +52,44 @@ class AlertLedger:
                     (F.col("alert_no") - F.col("breached").cast("int")).alias("_base"),
                 )
             )
-            carried = state.select(*rows.columns).unionByName(rows)
-            # polls come in time order; an older one than the state is late
-            line = carried.join(last, "kpi", "left").filter(F.col("_last").isNull() | (F.col("as_of") >= F.col("_last")))
+            marked = rows.join(last, "kpi", "left")
+            late = marked.filter(F.col("as_of") < F.col("_last"))
+            rebuilt = bool(late.head(1))
+            self._write(late.drop("_last", "_base"), "late", batch_id)
+        if rebuilt:
+            line = evaluate(self.history(), self.thresholds).withColumns({"_last": F.lit(None).cast("date"), "_base": F.lit(0)})
+        elif before is not None:
+            line = state.select(*rows.columns).unionByName(rows).join(last, "kpi", "left")
         else:
             line = rows.withColumns({"_last": F.lit(None).cast("date"), "_base": F.lit(0)})
         numbered = with_events(line).withColumn("alert_no", F.col("alert_no") + F.coalesce("_base", F.lit(0)))
         fresh = numbered.filter(F.col("event").isNotNull() & (F.col("_last").isNull() | (F.col("as_of") > F.col("_last"))))
-        self._write(fresh.drop("_last", "_base"), "events", batch_id)
+        marks = {"seq": F.lit(seq), "rebuilt": F.lit(rebuilt)}
+        self._write(fresh.drop("_last", "_base").withColumns(marks), "events", batch_id)
         state_now = newest_per_key(numbered.drop("_last", "_base", "event"), ["kpi"], ["as_of"])
-        self._write(state_now, "state", batch_id)
+        self._write(state_now.withColumns(marks), "state", batch_id)
 
     def _write(self, frame: DataFrame, part: str, batch_id: int) -> None:
         frame.write.mode("overwrite").parquet(self._path(part, batch_id))
 
     def history(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/history").drop("batch")
+        """The polls; of several of one time the last delivered one."""
+        polls = self.spark.read.parquet(f"{self.root}/history").drop("run", "batch")
+        return newest_per_key(polls, ["snapshot_ts"], ["seq"]).drop("seq")
+
+    def late(self) -> DataFrame | None:
+        return read_or_none(self.spark, f"{self.root}/late")
 
     def events(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/events").drop("batch")
+        """The events since the life cycle was last judged anew."""
+        rebuilt = self.spark.read.parquet(f"{self.root}/state").filter("rebuilt").agg(F.coalesce(F.max("seq"), F.lit(0)))
+        rows = self.spark.read.parquet(f"{self.root}/events").drop("run", "batch")
+        return rows.filter(F.col("seq") >= rebuilt.scalar()).drop("seq", "rebuilt")
 
     def alerts(self) -> DataFrame:
         return alerts(self.events())
 
     def follow(self, snapshots: DataFrame, checkpoint: str) -> None:
         """Process all available indicator rows of a stream."""
-        query = (
-            snapshots.writeStream.foreachBatch(self.apply)
-            .option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True)
-            .start()
-        )
-        query.awaitTermination()
+        self.run = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
+        follow(snapshots, self.apply, checkpoint)

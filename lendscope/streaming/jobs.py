@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType, TimestampNTZType
@@ -43,13 +45,14 @@ def event_stream(spark: SparkSession, path: str, max_files: int | None = None) -
     return file_stream(spark, path, EVENTS, max_files=max_files)
 
 
-def dedup(stream: DataFrame, key: str, time: str, delay: str, spread: bool = True) -> DataFrame:
+def dedup(stream: DataFrame, key: str, time: str, delay: str, spread: bool = False) -> DataFrame:
     """One row of each key; a repeat within ``delay`` of event time is dropped
-    and the key's state is freed after it.
+    and the key's state is freed after it. For rows in rough time order: those
+    behind the watermark are dropped; ``ledgers.DedupLedger`` loses none.
 
     With ``spread`` repeats are first dropped per (key, input task), so that a
     key repeated very often reaches the state partition of its key a few times
-    only. It keeps the state twice; switch it off where repeats are rare.
+    only. It keeps the state twice; leave it off where repeats are rare.
     """
     timed = stream.withColumn("_event_time", F.col(time).cast("timestamp")).withWatermark("_event_time", delay)
     if spread:
@@ -60,14 +63,27 @@ def dedup(stream: DataFrame, key: str, time: str, delay: str, spread: bool = Tru
 def score(stream: DataFrame, profile: DataFrame) -> DataFrame:
     """Event rows scored against the stored baseline (stream-static join).
 
-    ``profile`` is the table written by ``baseline``; a batch job refreshes it.
+    ``profile`` is the table written by ``baseline``. A running query keeps the
+    files it began with; use ``score_latest`` where a batch job refreshes them.
     """
     return scored(transactions_of(stream), profile)
 
 
+def score_latest(path: str, apply: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function that scores each micro-batch against the
+    baseline then lying at ``path`` and hands it to ``apply``; a baseline that is
+    written anew holds from the next batch on."""
+
+    def scored_batch(batch: DataFrame, batch_id: int) -> None:
+        apply(scored(transactions_of(batch), batch.sparkSession.read.parquet(path)), batch_id)
+
+    return scored_batch
+
+
 def daily_anomalies(scored_stream: DataFrame, delay: str = "1 hour") -> DataFrame:
     """Transactions and flags per day and type, emitted when the day is closed
-    (its end lies ``delay`` behind the latest event); later rows are dropped."""
+    (its end lies ``delay`` behind the latest event). For rows in rough time
+    order: later rows are dropped; ``ledgers.DailyLedger`` counts them too."""
     timed = scored_stream.withColumn("_event_time", utc_instant(F.col("ts")))
     return (
         timed.withWatermark("_event_time", delay)

@@ -12,6 +12,7 @@ from lendscope.sources import bridge
 from lendscope.sources.bridge import AS_OF, bridge_star
 from lendscope.streaming import jobs
 from lendscope.streaming.alerts import AlertLedger
+from lendscope.streaming.ledgers import DailyLedger, DedupLedger
 
 HEADER = "customer_id,first_name,last_name,date_of_birth,gender,email,phone,employment_status,annual_income,credit_score,city,state,country\n"
 
@@ -63,15 +64,46 @@ def test_daily_counts_in_batches_equal_batch_on_closed_days(spark, small, folder
     assert sorted(map(tuple, table.collect())) == sorted(map(tuple, batch.collect())) != []
 
 
-def test_late_rows_are_dropped(spark, small, folder):
+def test_late_rows_are_kept_apart_and_counted(spark, small, folder):
     events = in_slices(spark, small, folder)
     first = events.filter(F.day("ts") == 1)
     put(first.limit(20), folder, "late")
+    ledger = DailyLedger(spark, f"{folder}/ledger")
     stream = jobs.event_stream(spark, f"{folder}/in", max_files=1)
-    table = jobs.run_to_files(
-        jobs.daily_anomalies(jobs.score(stream, profile_of(spark, small, folder))), f"{folder}/out", f"{folder}/cp"
-    )
-    assert table.filter("full_date = DATE '2001-07-01'").agg(F.sum("total_txns")).first()[0] == first.count()
+    ledger.follow(jobs.score(stream, profile_of(spark, small, folder)), f"{folder}/cp")
+    day = ledger.daily().filter("full_date = DATE '2001-07-01'").agg(F.sum("total_txns"), F.sum("late_txns")).first()
+    assert tuple(day) == (first.count() + 20, 20) and ledger.late().count() == 20
+
+
+def test_a_repeated_batch_counts_once(spark, small, folder):
+    rows = bridge_star(spark, small).txn.withColumn("ts", F.col("txn_date").cast("timestamp_ntz"))
+    ledger = DailyLedger(spark, f"{folder}/ledger")
+    for batch in (0, 1, 1):
+        ledger.apply(rows, batch)
+    assert ledger.daily().agg(F.sum("total_txns")).first()[0] == 2 * rows.count()
+
+
+def test_a_new_baseline_holds_from_the_next_batch_on(spark, small, folder):
+    profile = profile_of(spark, small, folder)
+    events, seen = bridge.table(spark, small, "events"), []
+    apply = jobs.score_latest(f"{folder}/baseline", lambda batch, _: seen.append(batch.filter("z_score > 0").count()))
+    apply(events, 0)
+    blank = profile.withColumns({"avg_amount": F.lit(0.0), "sd_amount": F.lit(None).cast("double")}).collect()
+    spark.createDataFrame(blank, profile.schema).write.mode("overwrite").parquet(f"{folder}/baseline")
+    apply(events, 1)
+    assert seen[0] > 0 and seen[1] == 0
+
+
+def test_dedup_ledger_loses_no_key(spark, folder):
+    days = "DATE '2001-01-01'"
+    rows = spark.range(60).selectExpr("id % 20 AS k", f"date_add({days}, cast(id % 3 as int)) AS d", "id")
+    ledger = DedupLedger(spark, f"{folder}/ledger", "k", "d", days=5)
+    for batch, part in enumerate((rows.filter("id >= 40"), rows.filter("id < 20"), rows, rows.limit(0))):
+        ledger.apply(part, batch)
+    assert sorted(r.k for r in ledger.rows().collect()) == list(range(20))
+    far = rows.limit(3).withColumn("d", F.lit("2005-01-01").cast("date"))
+    ledger.apply(far, 4)
+    assert ledger.rows().count() == 23
 
 
 def test_restart_goes_on_without_repeats(spark, small, folder):
@@ -154,6 +186,27 @@ def test_repeated_micro_batch_adds_nothing(spark, small, folder):
     once = sorted(map(str, ledger.events().collect()))
     ledger.apply(late, 1)
     assert sorted(map(str, ledger.events().collect())) == once
-    # polls older than the state are not judged again
+    # older polls are kept and the life cycle is judged anew, to the same end
     ledger.apply(early, 2)
     assert sorted(map(str, ledger.events().collect())) == once
+    assert ledger.late().filter("batch = 2").count() == 4 * early.count()
+
+
+def test_late_polls_change_the_life_cycle(spark, small, folder):
+    history = kpi.kpi_history(bridge_star(spark, small), dt.date(2001, 7, 2), AS_OF)
+    ledger = AlertLedger(spark, f"{folder}/ledger", LIMITS)
+    ledger.apply(history.filter("day(snapshot_ts) <> 10"), 0)
+    ledger.apply(history.filter("day(snapshot_ts) = 10"), 1)
+    want = monitor.alert_lifecycle(history, LIMITS)
+    assert list(map(tuple, ledger.alerts().collect())) == list(map(tuple, want.collect()))
+
+
+def test_a_new_checkpoint_goes_on_behind_the_old_one(spark, small, folder):
+    history = history_slices(spark, small, folder, [2, 14])
+    rest = kpi.kpi_history(bridge_star(spark, small), dt.date(2001, 7, 14), AS_OF)
+    ledger = AlertLedger(spark, f"{folder}/ledger", LIMITS)
+    ledger.follow(jobs.file_stream(spark, f"{folder}/in", history.schema), f"{folder}/cp1")
+    rest.write.parquet(f"{folder}/more")
+    ledger.follow(jobs.file_stream(spark, f"{folder}/more", history.schema), f"{folder}/cp2")
+    whole = kpi.kpi_history(bridge_star(spark, small), dt.date(2001, 7, 2), AS_OF)
+    assert list(map(tuple, ledger.alerts().collect())) == list(map(tuple, monitor.alert_lifecycle(whole, LIMITS).collect()))
