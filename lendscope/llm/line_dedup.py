@@ -16,16 +16,21 @@ def lines_of(text: Column) -> Column:
     return F.split(whole(text), "\n", -1)
 
 
+def _print(text: str) -> Column:
+    """With the id it names a document, also where ids are NULL or used twice."""
+    return F.xxhash64(whole(F.col(text)))
+
+
 def _windows(docs: DataFrame, window: int) -> DataFrame:
-    """(doc_id, at, h1, h2): each run of ``window`` consecutive lines by a hash of 128 bits."""
-    lines = docs.select("doc_id", lines_of(F.col("text")).alias("lines")).filter(F.size("lines") >= window)
-    rows = lines.select("doc_id", "lines", F.explode(F.sequence(F.lit(0), F.size("lines") - window)).alias("at"))
+    """(doc_id, t, at, h1, h2): each run of ``window`` consecutive lines by a hash of 128 bits."""
+    lines = docs.select("doc_id", _print("text").alias("t"), lines_of(F.col("text")).alias("lines")).filter(F.size("lines") >= window)
+    rows = lines.select("doc_id", "t", "lines", F.explode(F.sequence(F.lit(0), F.size("lines") - window)).alias("at"))
     parts = [F.get("lines", F.col("at") + k) for k in range(window)]
-    return rows.select("doc_id", "at", F.xxhash64(*parts).alias("h1"), F.xxhash64(F.lit("second"), *parts).alias("h2"))
+    return rows.select("doc_id", "t", "at", F.xxhash64(*parts).alias("h1"), F.xxhash64(F.lit("second"), *parts).alias("h2"))
 
 
 def covered_lines(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(doc_id, removed): for each document that repeats an earlier window, the line numbers to remove."""
+    """(doc_id, t, removed): for each document that repeats an earlier window, the line numbers to remove."""
     hashes = ["h1", "h2"]
     seen = stored(_windows(docs, window), "line-windows")
     repeated = stored(
@@ -34,13 +39,13 @@ def covered_lines(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     )
     hits = stored(seen.join(repeated, hashes), "line-hits")
     own = F.col("doc_id").eqNullSafe(F.col("first_doc"))
-    firsts = stored(hits.filter(own).groupBy(*hashes).agg(F.min("at").alias("first_at")), "line-firsts")
-    elsewhere = hits.filter(~own).select("doc_id", "at", F.lit(None).cast("int").alias("first_at"))
-    at_home = hits.filter(own).join(firsts, hashes).filter("at > first_at").select("doc_id", "at", "first_at")
-    later = elsewhere.unionByName(at_home)
-    covered = later.select("doc_id", "first_at", F.explode(F.sequence(F.col("at"), F.col("at") + window - 1)).alias("line"))
-    covered = covered.filter(F.col("first_at").isNull() | (F.col("line") >= F.col("first_at") + window))
-    return covered.groupBy("doc_id").agg(F.collect_set("line").alias("removed"))
+    firsts = stored(hits.filter(own).groupBy(*hashes).agg(F.min(F.struct("t", "at")).alias("first")), "line-firsts")
+    elsewhere = hits.filter(~own).select("doc_id", "t", "at", F.lit(None).cast("int").alias("home"))
+    at_home = hits.filter(own).join(firsts, hashes).filter(F.struct("t", "at") != F.col("first"))
+    at_home = at_home.select("doc_id", "t", "at", F.when(F.col("t") == F.col("first.t"), F.col("first.at")).alias("home"))
+    covered = elsewhere.unionByName(at_home).select("doc_id", "t", "home", F.explode(F.sequence(F.col("at"), F.col("at") + window - 1)).alias("line"))
+    covered = covered.filter(F.col("home").isNull() | (F.col("line") >= F.col("home") + window))
+    return covered.groupBy("doc_id", "t").agg(F.collect_set("line").alias("removed"))
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
@@ -51,17 +56,18 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     number; every other occurrence covers its lines, and covered lines go. In the
     document that holds the first occurrence, an occurrence that overlaps it
     covers only the lines beyond it. Texts of fewer lines than a window stay as
-    they are, NULL texts stay NULL with one (empty) line. Rows with the same id
-    are treated alike; a NULL id comes after all others, and rows without an id
-    count as one document. A text that loses all its lines becomes empty.
+    they are, NULL texts stay NULL with one (empty) line. Rows of one id and one
+    text are one document and treated alike; of several texts of one id the order
+    is that of their hashes, and a NULL id comes after all others. A text that loses all its lines becomes empty.
     Other columns pass through, also those named like a column used inside;
     n_lines and n_removed replace columns of that name.
     """
     own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    gone = covered_lines(own, window).select(F.col("doc_id").alias("_gone_id"), F.col("removed").alias("_gone"))
+    gone = covered_lines(own, window).select(F.col("doc_id").alias("_gone_id"), F.col("t").alias("_gone_t"), F.col("removed").alias("_gone"))
     gone = stored(gone, "line-covered")
-    rows = packed(docs, text_col).withColumn("_id", F.col("_row").getField(id_col))
-    joined = rows.join(gone, rows["_id"].eqNullSafe(gone["_gone_id"]), "left")
+    rows = packed(docs, text_col).withColumns({"_id": F.col("_row").getField(id_col), "_t": _print("_0")})
+    # a shuffle join at every size: how much is removed should not choose the plan
+    joined = rows.join(gone.hint("merge"), rows["_id"].eqNullSafe(gone["_gone_id"]) & (rows["_t"] == gone["_gone_t"]), "left")
     lines = lines_of(F.col("_0"))
     left = F.filter(lines, lambda line, i: ~F.array_contains("_gone", i))
     # long lists of line numbers are looked up in a map, short ones scanned
