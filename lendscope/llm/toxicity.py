@@ -251,7 +251,7 @@ def _weights(counted: pd.DataFrame, toxic: str, clean: str, n_toxic: int, n_clea
         bare = stem.rstrip("$")
         parent = next((rates[bare[:k]] for k in range(len(bare) if stem != bare else len(bare) - 1, SHORTEST - 1, -1) if bare[:k] in rates), None)
         rate = (t + LEAN * (base if parent is None else parent)) / (t + c + LEAN)
-        lift = np.log(rate / (1 - rate)) - offset
+        lift = np.log(max(rate, 1e-9) / max(1 - rate, 1e-9)) - offset
         clear = t >= MIN_DOCS and lift >= np.log(MIN_LIFT)
         if clear or parent is not None:
             rates[stem] = rate
