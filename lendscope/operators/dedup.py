@@ -2,30 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _pick(frame: DataFrame, keys: list[str], order: list[str], latest: bool) -> DataFrame:
+def _rank(frame: DataFrame, keys: list[str], order: list[str], latest: bool, apart: Column | None) -> Column:
     order = [c for c in order if c not in keys]
-    rest = [c for c in frame.columns if c not in keys]
-    ranking = order + [c for c in rest if c not in order]
-    chosen = F.max if latest else F.min
-    packed = F.struct(*ranking) if ranking else F.struct(F.lit(1).alias("_one"))
-    return (
-        frame.groupBy(*keys)
-        .agg(chosen(packed).alias("_row"))
-        .select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest])
-        .select(*frame.columns)
-    )
+    rest = [c for c in frame.columns if c not in keys and c not in order]
+    ranking = [F.desc_nulls_last(c) if latest else F.asc_nulls_first(c) for c in order + rest]
+    groups = [F.col(c) for c in keys] if apart is None else [*[F.col(c) for c in keys], apart]
+    return F.row_number().over(Window.partitionBy(*groups).orderBy(*(ranking or [F.lit(1)])))
+
+
+def _pick(frame: DataFrame, keys: list[str], order: list[str], latest: bool) -> DataFrame:
+    ranked = frame.withColumn("_rank", _rank(frame, keys, order, latest, None))
+    return ranked.filter(F.col("_rank") == 1).drop("_rank")
 
 
 def newest_per_key(frame: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The row with the largest ``order`` per key; the remaining columns, in
     order, break ties (NULL smallest).
 
-    An aggregate, not a ``row_number``: repeats of a key collapse within each
-    input task, so a key with a third of all rows never meets in one sort.
+    Only the first rank is kept, which Spark also applies within each input task
+    before the shuffle: repeats of a key collapse there, so a key with a third of
+    all rows never meets in one sort.
     """
     return _pick(frame, keys, order, latest=True)
 
@@ -33,3 +33,14 @@ def newest_per_key(frame: DataFrame, keys: list[str], order: list[str]) -> DataF
 def first_per_key(frame: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The row with the smallest ``order`` per key; ties as above."""
     return _pick(frame, keys, order, latest=False)
+
+
+def ranked_per_key(frame: DataFrame, key: str, order: list[str], latest: bool, keyless: Column) -> DataFrame:
+    """``frame`` with ``_repeat``: whether a row loses to another one of its key.
+
+    Rows without a key (``keyless``) are no repeats. They are dealt out by a hash
+    of the whole row, which is the same when a task is repeated.
+    """
+    apart = F.when(keyless, F.xxhash64(*frame.columns))
+    rank = _rank(frame, [key], order, latest, apart)
+    return frame.withColumn("_repeat", (rank > 1) & ~keyless)

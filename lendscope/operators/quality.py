@@ -59,5 +59,46 @@ def null_violations(frame: DataFrame, table: str, columns: list[str]) -> DataFra
     )
 
 
+def rule_report(
+    tables: dict[str, DataFrame],
+    unique: dict[str, tuple[str, ...]],
+    references: dict[str, tuple[tuple[str, str, str], ...]],
+    required: dict[str, tuple[str, ...]],
+) -> DataFrame:
+    """(table, rule, rows checked, rows in breach) for every rule.
+
+    Keys and references are counted per value before they are compared, and a
+    table's required columns in one pass.
+    """
+    reports = []
+    layout = "table_name", "rule", "rows_checked", "violations"
+
+    def summed(values: DataFrame, table: str, rule: str, bad: Column) -> DataFrame:
+        total = F.coalesce(F.sum("rows"), F.lit(0))
+        breached = F.coalesce(F.sum(F.when(bad, F.col("rows"))), F.lit(0))
+        return values.agg(total.alias("rows_checked"), breached.alias("violations")).select(
+            F.lit(table).alias("table_name"), F.lit(rule).alias("rule"), "rows_checked", "violations"
+        )
+
+    def counted(table: str, column: str) -> DataFrame:
+        return tables[table].groupBy(F.col(column).alias("_ref")).agg(F.count("*").alias("rows"))
+
+    for table, columns in unique.items():
+        for column in columns:
+            reports.append(summed(counted(table, column), table, f"unique({column})", F.col("rows") > 1))
+    for table, links in references.items():
+        for column, parent, parent_column in links:
+            known = tables[parent].select(F.col(parent_column).alias("_ref"), F.lit(True).alias("_known"))
+            used = counted(table, column).join(known, "_ref", "left")
+            bad = F.col("_ref").isNotNull() & F.col("_known").isNull()
+            reports.append(summed(used, table, f"{column} -> {parent}.{parent_column}", bad))
+    for table, columns in required.items():
+        nulls = tables[table].agg(F.count("*").alias("rows_checked"), *[count_if(F.col(c).isNull()).alias(c) for c in columns])
+        rows = nulls.unpivot("rows_checked", list(columns), "rule", "violations")
+        named = rows.withColumn("table_name", F.lit(table)).withColumn("rule", F.concat(F.lit("not null "), "rule"))
+        reports.append(named.select(*layout))
+    return reduce(DataFrame.unionByName, reports).select(*layout)
+
+
 def all_violations(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from lendscope.operators.dedup import first_per_key, newest_per_key
 from lendscope.operators.keys import assign_keys
+from lendscope.sources.workspace import stored
 
 
 def _insert_value(column: str, source: DataFrame, defaults: dict[str, Column], target: DataFrame) -> Column:
@@ -21,20 +22,24 @@ def _insert_value(column: str, source: DataFrame, defaults: dict[str, Column], t
     return F.lit(None).cast(target.schema[column].dataType)
 
 
+def known_keys(target: DataFrame, source: DataFrame, keys: list[str], *more: str) -> DataFrame:
+    """Keys (and columns ``more``) of the target rows that the source mentions,
+    stored: at most as many as the source has rows. Reads the key columns of the
+    target alone; a batch small enough is broadcast, and the target not shuffled."""
+    return stored(target.select(*keys, *more).join(source.select(*keys), keys, "left_semi"), "known-keys")
+
+
 def new_rows(
     target: DataFrame,
     source: DataFrame,
     keys: list[str],
     surrogate: str | None,
     defaults: dict[str, Column],
+    known: DataFrame | None = None,
 ) -> DataFrame:
-    """Source rows whose key the target lacks, in the target's layout.
-
-    Target keys are first reduced to those the source mentions. With a batch
-    small enough to broadcast, the large target is then read without a shuffle.
-    """
-    known = target.select(*keys).join(source.select(*keys), keys, "left_semi")
-    fresh = source.join(known, keys, "left_anti")
+    """Source rows whose key the target lacks, in the target's layout."""
+    known = known_keys(target, source, keys) if known is None else known
+    fresh = source.join(known.select(*keys), keys, "left_anti")
     if surrogate:
         start = target.agg(F.max(surrogate)).scalar()
         key_type = target.schema[surrogate].dataType.simpleString()
@@ -51,6 +56,26 @@ def new_rows(
     return fresh.select(*layout)
 
 
+def _changed(
+    target: DataFrame, batch: DataFrame, keys: list[str], update_cols: list[str], touched: dict[str, Column]
+) -> DataFrame:
+    """The target with the listed columns of the batch's rows."""
+    changes = batch.select(
+        *keys, F.lit(True).alias("_hit"), *[F.col(c).alias(f"_new_{c}") for c in update_cols]
+    )
+
+    def updated(column: str) -> Column:
+        if column in update_cols:
+            value = F.col(f"_new_{column}").cast(target.schema[column].dataType)
+        elif column in touched:
+            value = touched[column].cast(target.schema[column].dataType)
+        else:
+            return F.col(column)
+        return F.when(F.col("_hit"), value).otherwise(F.col(column)).alias(column)
+
+    return target.join(changes, keys, "left").select(*[updated(c) for c in target.columns])
+
+
 def upsert(
     target: DataFrame,
     source: DataFrame,
@@ -72,27 +97,44 @@ def upsert(
     Updates are a left join of the target to the source, which Catalyst
     broadcasts when the batch is small, so that a large target is not
     shuffled; otherwise both sides shuffle once on the key, which is unique on
-    both.
+    both. Beside that, only the target's key columns are read.
     """
-    touched, defaults = touched or {}, defaults or {}
+    batch = _batch(target, source, keys, order)
+    kept = _changed(target, batch, keys, update_cols, touched or {})
+    return kept.unionByName(new_rows(target, batch, keys, surrogate, defaults or {}))
+
+
+def _batch(target: DataFrame, source: DataFrame, keys: list[str], order: list[str] | None) -> DataFrame:
     batch = newest_per_key(source, keys, order) if order is not None else source
-    payload = [c for c in batch.columns if c not in keys and c in target.columns]
-    batch = batch.select(*keys, *payload)
-    changes = batch.select(
-        *keys, F.lit(True).alias("_hit"), *[F.col(c).alias(f"_new_{c}") for c in update_cols]
-    )
+    return batch.select(*keys, *[c for c in batch.columns if c not in keys and c in target.columns])
 
-    def updated(column: str) -> Column:
-        if column in update_cols:
-            value = F.col(f"_new_{column}").cast(target.schema[column].dataType)
-        elif column in touched:
-            value = touched[column].cast(target.schema[column].dataType)
-        else:
-            return F.col(column)
-        return F.when(F.col("_hit"), value).otherwise(F.col(column)).alias(column)
 
-    kept = target.join(changes, keys, "left").select(*[updated(c) for c in target.columns])
-    return kept.unionByName(new_rows(target, batch, keys, surrogate, defaults))
+def upsert_folders(
+    target: DataFrame,
+    source: DataFrame,
+    keys: list[str],
+    update_cols: list[str],
+    folder: str,
+    folder_of: Column,
+    surrogate: str | None = None,
+    touched: dict[str, Column] | None = None,
+    defaults: dict[str, Column] | None = None,
+) -> tuple[DataFrame, list[int]]:
+    """``upsert`` for a target in folders: the new rows of the touched folders,
+    and which folders these are. All others keep their files.
+
+    ``folder_of`` is the folder of a source row; a known key keeps the folder of
+    its target row, since updates do not move rows. Folders are calendar months,
+    so their list is short.
+    """
+    batch = _batch(target, source, keys, None)
+    known = known_keys(target, batch, keys, folder)
+    fresh = new_rows(target.drop(folder), batch, keys, surrogate, defaults or {}, known).withColumn(folder, folder_of)
+    fresh = stored(fresh, "new-rows")
+    folders = known.select(folder).unionByName(fresh.select(folder)).distinct()
+    names = sorted(row[0] for row in folders.collect())
+    kept = _changed(target.filter(F.col(folder).isin(*names)), batch, keys, update_cols, touched or {})
+    return kept.unionByName(fresh.select(*kept.columns)), names
 
 
 def insert_ignore(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from lendscope.oracle.kpi_texts import SNAPSHOT
 from lendscope.oracle.views import AS_OF, dbl, rnd, with_views
+from lendscope.sources.schemas import REFERENCES, REQUIRED, STAGING_COLUMNS, UNIQUE
 
 
 def title(x: str) -> str:
@@ -104,6 +105,15 @@ CUSTOMER_COLUMNS = f"""customer_id, first_name, last_name, date_of_birth, gender
 RAW = ("r_customers", "r_products")
 FACTS = (*RAW, "r_loans", "r_transactions")
 
+SPAN = """span AS (SELECT min(d) AS lo, max(d) AS hi FROM (SELECT CAST(issue_date AS DATE) AS d FROM r_loans
+  UNION ALL SELECT CAST(transaction_date AS DATE) FROM r_transactions))"""
+
+RULES = ", ".join(
+    [f"('{t}', 'unique({c})')" for t, columns in UNIQUE.items() for c in columns]
+    + [f"('{t}', '{c} -> {parent}.{to}')" for t, links in REFERENCES.items() for c, parent, to in links]
+    + [f"('{t}', 'not null {c}')" for t, columns in REQUIRED.items() for c in columns]
+)
+
 LINES = """lines AS (SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS transaction_id, CAST(l_shipdate AS DATE) AS txn_date,
          CAST(l_extendedprice AS DECIMAL(18,2)) AS amount, l_partkey AS part_key, l_suppkey AS supplier_key FROM lineitem)"""
 
@@ -114,18 +124,28 @@ def first_line(where: str) -> str:
   FROM lines WHERE {where}) WHERE rn = 1"""
 
 
-TEXTS = {
-    "read_staging": with_views(
-        "SELECT customer_id, first_name, last_name, date_of_birth, gender, email, phone, employment_status, annual_income, "
-        "credit_score, city, state, country FROM r_customers", "r_customers"),
-    "dim_date": with_views("""WITH span AS (SELECT min(d) AS lo, max(d) AS hi FROM (SELECT issue_date AS d FROM w_loan
-  UNION ALL SELECT CAST(ts AS DATE) - 8219 FROM events)),
-days AS (SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS d FROM span)
+def landed(view: str, table: str, broken: str | None = None) -> str:
+    columns = [f"{c} || chr(10) || '\"jr\", ' || {c} AS {c}" if c == broken else c for c in STAGING_COLUMNS[table]]
+    return with_views(f"SELECT {', '.join(columns)} FROM {view}", view)
+
+
+DAYS = """days AS (SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS d FROM span)
 SELECT CAST(strftime(d, '%Y%m%d') AS INT) AS date_key, d AS full_date, CAST(isodow(d) AS INT) AS day_of_week, dayname(d) AS day_name,
        CAST(day(d) AS INT) AS day_of_month, CAST(dayofyear(d) AS INT) AS day_of_year, CAST(weekofyear(d) AS INT) AS week_of_year,
        CAST(month(d) AS INT) AS month_num, monthname(d) AS month_name, CAST(quarter(d) AS INT) AS quarter, CAST(year(d) AS INT) AS year,
        isodow(d) IN (6, 7) AS is_weekend, FALSE AS is_holiday, 'FY' || strftime(d, '%y') || 'Q' || CAST(quarter(d) AS VARCHAR) AS fiscal_period
-FROM days""", "w_loan"),
+FROM days"""
+
+TEXTS = {
+    "read_staging": landed("r_customers", "raw_customers"),
+    "read_staging_loans": landed("r_loans", "raw_loans"),
+    "read_staging_transactions": landed("r_transactions", "raw_transactions"),
+    "read_staging_products": landed("r_products", "raw_loan_products"),
+    "read_staging_line_breaks": landed("r_customers", "raw_customers", "last_name"),
+    "dim_date": with_views(f"""WITH span AS (SELECT min(d) AS lo, max(d) AS hi FROM (SELECT issue_date AS d FROM w_loan
+  UNION ALL SELECT CAST(ts AS DATE) - 8219 FROM events)),
+{DAYS}""", "w_loan"),
+    "warehouse_dim_date": with_views(f"WITH {SPAN}, {DAYS}", "r_loans", "r_transactions"),
     "etl_dim_region": with_views(
         f"WITH {REGIONS} SELECT {key('region_id', 'region_key', 'INT')}, * FROM regions", "r_customers"),
     "etl_dim_loan_product": with_views(
@@ -152,22 +172,33 @@ SELECT loan_key, loan_id, customer_key, product_key, region_key, issue_date_key,
 SELECT txn_key, transaction_id, customer_key, region_key, txn_date_key, loan_key, transaction_type, {dbl('amount')} AS amount, currency,
        {dbl('fee_amount')} AS fee_amount, is_anomaly, {dbl('anomaly_score')} AS anomaly_score, anomaly_reason FROM fact_txn""", *FACTS),
     "etl_rejects": with_views(f"""WITH {KEYED}
-SELECT 'fact_loan' AS step_name, trim(l.loan_id) AS row_id,
-       CASE WHEN c.customer_id IS NULL THEN 'unknown customer' ELSE 'unknown product' END AS reason
+SELECT 'dim_region' AS step_name, {rid('city', 'state')} AS row_id, 'repeated key' AS reason, count(*) - 1 AS rows FROM r_customers GROUP BY 2 HAVING count(*) > 1
+UNION ALL SELECT 'dim_customer', trim(customer_id) AS k, 'repeated key', count(*) - 1 FROM r_customers GROUP BY k HAVING count(*) > 1
+UNION ALL
+SELECT 'fact_loan', trim(l.loan_id),
+       CASE WHEN c.customer_id IS NULL THEN 'unknown customer' ELSE 'unknown product' END, 1
 FROM r_loans l LEFT JOIN customers c ON c.customer_id = trim(l.customer_id) LEFT JOIN products p ON p.product_code = upper(trim(l.product_code))
 WHERE c.customer_id IS NULL OR p.product_code IS NULL
 UNION ALL
-SELECT 'fact_transaction', trim(t.transaction_id), CASE WHEN c.customer_id IS NULL THEN 'unknown customer' ELSE 'unknown region' END
+SELECT 'fact_transaction', trim(t.transaction_id), CASE WHEN c.customer_id IS NULL THEN 'unknown customer' ELSE 'unknown region' END, 1
 FROM r_transactions t LEFT JOIN customers c ON c.customer_id = trim(t.customer_id) LEFT JOIN regions r ON r.region_id = {rid('t.city', 't.state')}
 WHERE c.customer_id IS NULL OR r.region_id IS NULL""", *FACTS),
-    "etl_run_log": with_views(f"""WITH {KEYED}, {LOANS}, {TXNS}
-SELECT 'dim_region' AS step_name, (SELECT count(*) FROM regions) AS rows_extracted, CAST(0 AS BIGINT) AS rows_rejected,
-       (SELECT count(*) FROM regions) AS rows_loaded, 'SUCCESS' AS status
-UNION ALL SELECT 'dim_loan_product', count(*), 0, count(*), 'SUCCESS' FROM products
-UNION ALL SELECT 'dim_customer', count(*), 0, count(*), 'SUCCESS' FROM customers
-UNION ALL SELECT 'fact_loan', (SELECT count(*) FROM r_loans), (SELECT count(*) FROM r_loans) - count(*), count(*), 'SUCCESS' FROM fact_loan
-UNION ALL SELECT 'fact_transaction', (SELECT count(*) FROM r_transactions), (SELECT count(*) FROM r_transactions) - count(*), count(*), 'SUCCESS'
-FROM fact_txn""", *FACTS),
+    "etl_run_log": with_views(f"""WITH {KEYED}, {LOANS}, {TXNS}, {SPAN}, landed(step_name, rows_extracted, rows_loaded) AS (
+SELECT 'dim_region', (SELECT count(*) FROM r_customers), (SELECT count(*) FROM regions)
+UNION ALL SELECT 'dim_loan_product', (SELECT count(*) FROM r_products), (SELECT count(*) FROM products)
+UNION ALL SELECT 'dim_customer', (SELECT count(*) FROM r_customers), (SELECT count(*) FROM customers)
+UNION ALL SELECT 'fact_loan', (SELECT count(*) FROM r_loans), (SELECT count(*) FROM fact_loan)
+UNION ALL SELECT 'fact_transaction', (SELECT count(*) FROM r_transactions), (SELECT count(*) FROM fact_txn)
+UNION ALL SELECT 'dim_date', (SELECT hi - lo + 1 FROM span), (SELECT hi - lo + 1 FROM span))
+SELECT step_name, rows_extracted, rows_extracted - rows_loaded AS rows_rejected, rows_loaded, 'SUCCESS' AS status FROM landed""", *FACTS),
+    "warehouse_two_days": with_views(f"""WITH {KEYED}, {LOANS}
+SELECT f.loan_id, c.customer_id, c.credit_score, p.product_code, r.city, r.state, days_past_due, loan_status
+FROM fact_loan f JOIN dim_customer c USING (customer_key) JOIN dim_product p USING (product_key) JOIN dim_region r ON r.region_key = f.region_key""", *RAW, "r_loans"),
+    "warehouse_rules": with_views(f"""WITH {KEYED}, {LOANS}, {TXNS}, {SPAN},
+n AS (SELECT (SELECT hi - lo + 1 FROM span) AS dim_date, (SELECT count(*) FROM dim_region) AS dim_region, (SELECT count(*) FROM dim_product) AS dim_loan_product,
+             (SELECT count(*) FROM dim_customer) AS dim_customer, (SELECT count(*) FROM fact_loan) AS fact_loan, (SELECT count(*) FROM fact_txn) AS fact_transaction),
+sizes AS (UNPIVOT n ON COLUMNS(*) INTO NAME table_name VALUE rows_checked)
+SELECT table_name, rule, rows_checked, 0 AS violations FROM sizes JOIN (VALUES {RULES}) v(table_name, rule) USING (table_name)""", *FACTS),
     "upsert_region": with_views(f"""WITH {REGIONS}, target AS (SELECT * FROM w_region WHERE region_tier = 'URBAN'),
 fresh AS (SELECT * FROM regions WHERE region_id NOT IN (SELECT region_id FROM target))
 SELECT t.region_key, t.region_id, coalesce(s.city, upper(t.city)) AS city, coalesce(s.state, upper(t.state)) AS state,

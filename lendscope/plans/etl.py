@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lendscope.functions.credit import (
@@ -32,7 +32,7 @@ from lendscope.functions.text import (
     title_case,
     to_type,
 )
-from lendscope.operators.dedup import first_per_key, newest_per_key
+from lendscope.operators.dedup import ranked_per_key
 from lendscope.operators.skew import key_parts, salted_join
 from lendscope.sources.workspace import stored
 
@@ -56,14 +56,14 @@ def _no_key(column: str) -> Column:
     return F.col(column).isNull() | (F.col(column) == "")
 
 
-def _one_per_key(raw: DataFrame, key: str, latest: bool = True) -> DataFrame:
-    """One row per trimmed key; rows without a key stay, to be rejected singly
-    (each gets a group of its own)."""
-    trimmed = raw.withColumn(key, F.trim(key)).withColumn(
-        "_single", F.when(_no_key(key), F.monotonically_increasing_id())
-    )
-    pick = newest_per_key if latest else first_per_key
-    return pick(trimmed, [key, "_single"], [LOADED_AT]).drop("_single")
+REPEATED = "repeated key"
+
+
+def _ranked(raw: DataFrame, key: str, latest: bool = True) -> DataFrame:
+    """Rows with the key trimmed, and ``_repeat`` for those that lose to another
+    row of their key: the newest stays, or the first. Rows without a key stay, to
+    be rejected singly."""
+    return ranked_per_key(raw.withColumn(key, F.trim(key)), key, [LOADED_AT], latest, _no_key(key))
 
 
 def accepted(checked: DataFrame) -> DataFrame:
@@ -71,33 +71,55 @@ def accepted(checked: DataFrame) -> DataFrame:
 
 
 def rejects(checked: DataFrame, step: str, row_id: str) -> DataFrame:
-    """Dropped rows as (step, row_id, reason)."""
-    return checked.filter(F.col("reject_reason").isNotNull()).select(
-        F.lit(step).alias("step_name"), F.col(row_id).alias("row_id"), F.col("reject_reason").alias("reason")
+    """Dropped landing rows as (step, row_id, reason, rows); repeats are among them."""
+    return (
+        checked.filter(F.col("reject_reason").isNotNull())
+        .groupBy(F.lit(step).alias("step_name"), F.col(row_id).alias("row_id"), F.col("reject_reason").alias("reason"))
+        .agg(F.count("*").alias("rows"))
     )
 
 
 # --- dimensions --------------------------------------------------------------
 
 
-def regions(raw_customers: DataFrame) -> DataFrame:
-    """One row per (city, state); of several countries the first by name."""
+def checked_regions(raw_customers: DataFrame) -> DataFrame:
+    """A row per (city, state, country) found, with the number of landing rows.
+    The first country by name stays, other ones and NULL parts are reasons."""
     parts = raw_customers.select(
         F.lower(F.trim("city")).alias("city"),
         F.lower(F.trim("state")).alias("state"),
         F.lower(F.trim("country")).alias("country"),
-    ).dropna()
+    )
+    found = parts.groupBy("city", "state", "country").agg(F.count("*").alias("rows"))
+    missing = _any(*[F.col(c).isNull() for c in ("city", "state", "country")])
+    # NULL parts sort last, so they win against no country
+    first = F.row_number().over(Window.partitionBy("city", "state").orderBy(F.asc_nulls_last("country"))) == 1
     tier = F.when(F.col("city").isin(*URBAN_CITIES), "URBAN").otherwise("SEMI-URBAN")
+    return found.select(
+        F.when(~missing, region_id(F.col("city"), F.col("state"))).alias("region_id"),
+        title_case(F.col("city")).alias("city"),
+        title_case(F.col("state")).alias("state"),
+        title_case(F.col("country")).alias("country"),
+        tier.alias("region_tier"),
+        "rows",
+        _reason(("missing value", missing), (REPEATED, ~first)).alias("reject_reason"),
+    )
+
+
+def regions(raw_customers: DataFrame) -> DataFrame:
+    """One row per (city, state); of several countries the first by name."""
+    return accepted(checked_regions(raw_customers)).drop("rows")
+
+
+def region_rejects(checked: DataFrame) -> DataFrame:
+    """As ``rejects``: rows with a NULL part, and of each region all rows but one."""
+    bad = F.col("reject_reason")
+    dropped = F.when(bad.isNull(), F.col("rows") - 1).otherwise(F.col("rows"))
     return (
-        parts.groupBy("city", "state")
-        .agg(F.min("country").alias("country"))
-        .select(
-            region_id(F.col("city"), F.col("state")).alias("region_id"),
-            title_case(F.col("city")).alias("city"),
-            title_case(F.col("state")).alias("state"),
-            title_case(F.col("country")).alias("country"),
-            tier.alias("region_tier"),
-        )
+        checked.select("region_id", F.coalesce(bad, F.lit(REPEATED)).alias("reason"), dropped.alias("rows"))
+        .filter("rows > 0")
+        .groupBy(F.lit("dim_region").alias("step_name"), F.col("region_id").alias("row_id"), "reason")
+        .agg(F.sum("rows").alias("rows"))
     )
 
 
@@ -105,7 +127,7 @@ REGION_UPDATES = ["city", "state", "country", "region_tier"]
 
 
 def checked_products(raw: DataFrame, strict: bool = False) -> DataFrame:
-    newest = _one_per_key(raw.withColumn("product_code", F.upper("product_code")), "product_code")
+    newest = _ranked(raw.withColumn("product_code", F.upper("product_code")), "product_code")
     rates = ("interest_rate_min", "interest_rate_max")
     tenures = ("min_tenure_months", "max_tenure_months")
     return newest.select(
@@ -118,6 +140,7 @@ def checked_products(raw: DataFrame, strict: bool = False) -> DataFrame:
         F.coalesce(F.lower("is_secured").isin(*TRUE_WORDS), F.lit(False)).alias("is_secured"),
         blank_to_null(F.trim("collateral_type")).alias("collateral_type"),
         _reason(
+            (REPEATED, F.col("_repeat")),
             ("no key", _no_key("product_code")),
             ("bad number", _any(*[is_bad(F.col(c), "decimal(5,2)") for c in rates], *[is_bad(F.col(c), "smallint") for c in tenures])),
         ).alias("reject_reason"),
@@ -130,7 +153,7 @@ PRODUCT_UPDATES = ["product_name", "category", "interest_rate_min", "interest_ra
 def checked_customers(raw: DataFrame, strict: bool = False) -> DataFrame:
     """The newest row per trimmed id, cleansed; ``region_id`` is that of the
     same row, so a customer has one region."""
-    newest = _one_per_key(raw, "customer_id")
+    newest = _ranked(raw, "customer_id")
     income = digits_and_dot(F.col("annual_income"))
     score = to_type(F.col("credit_score"), "smallint", strict)
     return newest.select(
@@ -147,6 +170,7 @@ def checked_customers(raw: DataFrame, strict: bool = False) -> DataFrame:
         risk_tier(score).alias("risk_tier"),
         region_id(F.col("city"), F.col("state")).alias("region_id"),
         _reason(
+            (REPEATED, F.col("_repeat")),
             ("no key", _no_key("customer_id")),
             ("bad date", is_bad(F.col("date_of_birth"), "date")),
             ("bad number", is_bad(income, "decimal(15,2)") | is_bad(F.col("credit_score"), "smallint")),
@@ -156,6 +180,8 @@ def checked_customers(raw: DataFrame, strict: bool = False) -> DataFrame:
 
 # The tier is derived from the score, so it changes with it.
 CUSTOMER_UPDATES = ["first_name", "last_name", "employment_status", "annual_income", "credit_score", "risk_tier"]
+# The region follows the newest row too; loans of later batches take it from the published customer.
+PLACED_UPDATES = [*CUSTOMER_UPDATES, "region_id"]
 
 
 def open_version(as_of) -> dict[str, Column]:
@@ -211,15 +237,12 @@ def scd2(target: DataFrame, source: DataFrame, key: str, tracked: list[str], as_
 LOAN_UPDATES = ["outstanding_balance", "loan_status", "days_past_due", "is_npl", "is_par30"]
 
 
-def customer_places(customers: DataFrame, dim_customer: DataFrame, dim_region: DataFrame) -> DataFrame:
-    """customer_id -> customer_key and the region of the customer's own row."""
-    keys = dim_customer.filter("is_current").select("customer_id", "customer_key")
+def customer_places(dim_customer: DataFrame, dim_region: DataFrame) -> DataFrame:
+    """customer_id -> customer_key and the region of the published customer,
+    whichever batch brought the row."""
+    keys = dim_customer.filter("is_current").select("customer_id", "customer_key", "region_id")
     places = dim_region.select("region_id", "region_key")
-    return (
-        keys.join(customers.select("customer_id", "region_id"), "customer_id", "left")
-        .join(places, "region_id", "left")
-        .select("customer_id", "customer_key", "region_key")
-    )
+    return keys.join(places, "region_id", "left").select("customer_id", "customer_key", "region_key")
 
 
 def _row_counts(raw: DataFrame, key: str) -> DataFrame:
@@ -235,7 +258,7 @@ def checked_loans(
     default_region_key: int = 1,
 ) -> DataFrame:
     """``places`` as from ``customer_places``."""
-    newest = _one_per_key(raw, "loan_id")
+    newest = _ranked(raw, "loan_id")
     text = newest.withColumns(
         {"customer_id": F.trim("customer_id"), "product_code": F.upper(F.trim("product_code"))}
     )
@@ -259,6 +282,7 @@ def checked_loans(
         days.alias("days_past_due"),
         bad_number.alias("_bad_number"),
         bad_date.alias("_bad_date"),
+        "_repeat",
     )
     parts = key_parts(_row_counts(raw, "customer_id"), "customer_id", "n")
     products = dim_product.select("product_code", "product_key")
@@ -285,7 +309,9 @@ def checked_loans(
         "days_past_due",
         is_npl(F.col("days_past_due")).alias("is_npl"),
         is_par30(F.col("days_past_due")).alias("is_par30"),
+        F.col("region_key").isNull().alias("region_defaulted"),
         _reason(
+            (REPEATED, F.col("_repeat")),
             ("no key", _no_key("loan_id")),
             ("unknown customer", F.col("customer_key").isNull()),
             ("unknown product", F.col("product_key").isNull()),
@@ -303,9 +329,13 @@ def checked_transactions(
     fact_loan: DataFrame,
     strict: bool = False,
 ) -> DataFrame:
-    """Scored transactions; the baseline is the whole landing table, grouped by
-    the trimmed customer id and including the scored row."""
-    first = _one_per_key(raw, "transaction_id", latest=False)
+    """Scored transactions.
+
+    The baseline is the table handed in, grouped by the trimmed customer id and
+    including the scored row: ``raw`` is the accumulated landing table, as the
+    staging tables are, not a daily file. Rows loaded before keep their score.
+    """
+    first = _ranked(raw, "transaction_id", latest=False)
     typed = first.select(
         "transaction_id",
         F.trim("customer_id").alias("customer_id"),
@@ -318,6 +348,7 @@ def checked_transactions(
         F.coalesce(to_type(F.col("fee_amount"), "decimal(10,2)", strict), F.lit(0).cast("decimal(10,2)")).alias("fee_amount"),
         (is_bad(F.col("amount"), "decimal(18,2)") | is_bad(F.col("fee_amount"), "decimal(10,2)")).alias("_bad_number"),
         is_bad(F.col("transaction_date"), "date").alias("_bad_date"),
+        "_repeat",
     )
     amount = to_type(F.col("amount"), "decimal(18,2)", strict).cast("double")
     # written once: the salting and the join read it
@@ -354,6 +385,7 @@ def checked_transactions(
         "fee_amount",
         *[column.alias(name) for name, column in flags.items()],
         _reason(
+            (REPEATED, F.col("_repeat")),
             ("no key", _no_key("transaction_id")),
             ("unknown customer", F.col("customer_key").isNull()),
             ("unknown region", F.col("region_key").isNull()),

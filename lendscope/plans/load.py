@@ -1,4 +1,4 @@
-"""The whole load: five tables under one new version, published together."""
+"""The whole load: six tables under one new version, published together."""
 
 from __future__ import annotations
 
@@ -6,28 +6,61 @@ import datetime as dt
 import time
 import uuid
 from collections.abc import Callable
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lendscope.functions.dates import calendar_columns
 from lendscope.functions.numbers import count_if
-from lendscope.operators.upsert import insert_ignore, upsert
+from lendscope.functions.text import to_type
+from lendscope.operators.upsert import insert_ignore, upsert, upsert_folders
 from lendscope.plans import etl
 from lendscope.sources.schemas import RUN_LOG, WAREHOUSE
-from lendscope.sources.store import APPEND, FULL, TableStore
+from lendscope.sources.store import APPEND, FULL, PATCH, TableStore
 
 # Load order follows the references between the tables.
-STEPS = ("dim_region", "dim_loan_product", "dim_customer", "fact_loan", "fact_transaction")
+STEPS = ("dim_region", "dim_loan_product", "dim_customer", "fact_loan", "fact_transaction", "dim_date")
+# Versions that readers of a fact put together at most; then it is written whole.
+MOST_PATCHES = 20
 
 
 def _audit(at: Column, *names: str) -> dict[str, Column]:
     return {name: at for name in names}
 
 
+def calendar(landing: dict[str, DataFrame]) -> DataFrame:
+    """One row per day from the first loan or transaction to the last."""
+    days = [("raw_loans", "issue_date"), ("raw_transactions", "transaction_date")]
+    spans = [
+        landing[t].select(to_type(F.col(c), "date", strict=False).alias("d")).agg(F.min("d").alias("lo"), F.max("d").alias("hi"))
+        for t, c in days
+    ]
+    span = spans[0].unionByName(spans[1]).agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    rows = span.filter("lo IS NOT NULL").select(F.explode(F.sequence("lo", "hi")).alias("d"))
+    return rows.select(*[c.alias(n) for n, c in calendar_columns(F.col("d")).items()])
+
+
+@dataclass
+class Counts:
+    """Landing rows read, those rejected or repeated, those loaded, and loaded
+    ones whose region had to be defaulted: read = rejected + loaded."""
+
+    read: int | None = None
+    rejected: int | None = None
+    loaded: int | None = None
+    defaulted: int | None = None
+
+
 class Load:
     """One run over the landing tables ``raw_customers``, ``raw_loans``,
     ``raw_transactions`` and ``raw_loan_products``.
 
+    A batch may hold new rows only; customers, products and regions of earlier
+    loads are read from the published tables. Transactions are the accumulated
+    landing table (see ``etl.checked_transactions``).
+
     Every batch is written once after cleansing and read back: the upsert, the
     reject report and the run log use the same stored rows, and a lost executor
     repeats a read, not the cleansing.
@@ -39,6 +72,7 @@ class Load:
         self.run_id = uuid.uuid4().hex
         self.at = F.lit(str(as_of)).cast("timestamp")
         self.kinds: dict[str, str] = {}
+        self.patches: dict[str, tuple[str, list[int]]] = {}
         self.staged: dict[str, DataFrame] = {}
         self.reject_parts: list[DataFrame] = []
 
@@ -46,62 +80,74 @@ class Load:
         """All steps, then one commit. Returns the published version."""
         for step in STEPS:
             self._logged(step, getattr(self, f"_{step}"))
-        self._stage_rejects()
-        self.store.commit(self.version, self.kinds)
+        self.store.stage(reduce(DataFrame.unionByName, self.reject_parts), "etl_rejects", self.version)
+        self.kinds["etl_rejects"] = APPEND
+        self.store.commit(self.version, self.kinds, self.patches)
         return self.version
 
-    # -- steps; each returns (rows read, rows rejected, rows now in the table)
+    # -- steps
 
-    def _dim_region(self):
-        batch, read, bad = self._batch("dim_region", etl.regions(self.landing["raw_customers"]))
+    def _dim_region(self) -> Counts:
+        checked = self.store.stage(etl.checked_regions(self.landing["raw_customers"]), "_batch/dim_region", self.version)
+        dropped = etl.region_rejects(checked)
+        batch = etl.accepted(checked).drop("rows")
+        read, loaded = checked.agg(F.sum("rows")).first()[0] or 0, batch.count()
+        self.reject_parts.append(dropped)
         target = self._target("dim_region")
-        return read, bad, self._full(
-            "dim_region", upsert(target, batch, ["region_id"], etl.REGION_UPDATES, surrogate="region_key")
-        )
+        self._full("dim_region", upsert(target, batch, ["region_id"], etl.REGION_UPDATES, surrogate="region_key"))
+        return Counts(read, dropped.agg(F.sum("rows")).first()[0] or 0, loaded)
 
-    def _dim_loan_product(self):
+    def _dim_loan_product(self) -> Counts:
         checked = etl.checked_products(self.landing["raw_loan_products"], self.strict)
-        batch, read, bad = self._batch("dim_loan_product", checked, "product_code")
+        batch, counts = self._batch("dim_loan_product", checked, "product_code", "raw_loan_products")
         target = self._target("dim_loan_product")
-        return read, bad, self._full(
+        self._full(
             "dim_loan_product", upsert(target, batch, ["product_code"], etl.PRODUCT_UPDATES, surrogate="product_key")
         )
+        return counts
 
-    def _dim_customer(self):
+    def _dim_customer(self) -> Counts:
         checked = etl.checked_customers(self.landing["raw_customers"], self.strict)
-        batch, read, bad = self._batch("dim_customer", checked, "customer_id")
-        self.customers = batch
-        target = self._target("dim_customer")
+        batch, counts = self._batch("dim_customer", checked, "customer_id", "raw_customers")
         state = upsert(
-            target,
+            self._target("dim_customer"),
             batch,
             ["customer_id"],
-            etl.CUSTOMER_UPDATES,
+            etl.PLACED_UPDATES,
             surrogate="customer_key",
             touched=_audit(self.at, "updated_at"),
             defaults={**etl.open_version(self.as_of), **_audit(self.at, "created_at", "updated_at")},
         )
-        return read, bad, self._full("dim_customer", state)
+        self._full("dim_customer", state)
+        return counts
 
-    def _fact_loan(self):
-        places = etl.customer_places(self.customers, self.staged["dim_customer"], self.staged["dim_region"])
+    def _fact_loan(self) -> Counts:
+        places = etl.customer_places(self.staged["dim_customer"], self.staged["dim_region"])
         checked = etl.checked_loans(
             self.landing["raw_loans"], places, self.staged["dim_loan_product"], self.strict
         )
-        batch, read, bad = self._batch("fact_loan", checked, "loan_id")
-        state = upsert(
-            self._target("fact_loan"),
-            batch,
-            ["loan_id"],
-            etl.LOAN_UPDATES,
-            surrogate="loan_key",
-            touched=_audit(self.at, "updated_at"),
-            defaults=_audit(self.at, "created_at", "updated_at"),
-        )
+        batch, counts = self._batch("fact_loan", checked, "loan_id", "raw_loans")
+        counts.defaulted = batch.agg(count_if(F.col("region_defaulted"))).first()[0]
+        batch = batch.drop("region_defaulted")
         month = F.floor(F.col("issue_date_key") / 100).cast("int")
-        return read, bad, self._full("fact_loan", state.withColumn("issue_month", month), "issue_month", "is_npl")
-
-    def _fact_transaction(self):
+        target = self._target("fact_loan", "issue_month", month)
+        audit = {"touched": _audit(self.at, "updated_at"), "defaults": _audit(self.at, "created_at", "updated_at")}
+        published = self.store.patches("fact_loan")
+        if not published or published >= MOST_PATCHES:
+            state = upsert(target.drop("issue_month"), batch, ["loan_id"], etl.LOAN_UPDATES, surrogate="loan_key", **audit)
+            self._full("fact_loan", state.withColumn("issue_month", month), "issue_month", "is_npl")
+        else:
+            state, months = upsert_folders(
+                target, batch, ["loan_id"], etl.LOAN_UPDATES, "issue_month", month, surrogate="loan_key", **audit
+            )
+            self._write(state, "fact_loan", "issue_month", "is_npl")
+            self.kinds["fact_loan"] = PATCH
+            self.patches["fact_loan"] = ("issue_month", months)
+            untouched = target.filter(~F.col("issue_month").isin(*months)) if months else target
+            self.staged["fact_loan"] = untouched.unionByName(self.staged["fact_loan"].select(*target.columns))
+        return counts
+
+    def _fact_transaction(self) -> Counts:
         checked = etl.checked_transactions(
             self.landing["raw_transactions"],
             self.staged["dim_customer"],
@@ -109,66 +155,70 @@ class Load:
             self.staged["fact_loan"],
             self.strict,
         )
-        batch, read, bad = self._batch("fact_transaction", checked, "transaction_id")
+        batch, counts = self._batch("fact_transaction", checked, "transaction_id", "raw_transactions")
         target = self._target("fact_transaction")
         # the checked batch has one row per id
         new = insert_ignore(target, batch, ["transaction_id"], None, "txn_key", _audit(self.at, "created_at"))
         month = F.floor(F.col("txn_date_key") / 100).cast("int")
-        before = target.count()
-        added = self._write(new.withColumn("txn_month", month), "fact_transaction", "txn_month", "is_anomaly")
+        self._write(new.withColumn("txn_month", month), "fact_transaction", "txn_month", "is_anomaly")
         self.kinds["fact_transaction"] = APPEND
-        return read, bad, before + added
+        return counts
+
+    def _dim_date(self) -> Counts:
+        """The days published so far and those of this batch, without gaps."""
+        both = self._target("dim_date").select("full_date").unionByName(calendar(self.landing).select("full_date"))
+        span = both.agg(F.min("full_date").alias("lo"), F.max("full_date").alias("hi")).filter("lo IS NOT NULL")
+        days = span.select(F.explode(F.sequence("lo", "hi")).alias("d"))
+        self._full("dim_date", days.select(*[c.alias(n) for n, c in calendar_columns(F.col("d")).items()]))
+        rows = self.staged["dim_date"].count()
+        return Counts(rows, 0, rows)
 
     # -- helpers
 
-    def _target(self, table: str) -> DataFrame:
-        return self.store.read_or_empty(table, WAREHOUSE[table]).select(*WAREHOUSE[table].names)
+    def _target(self, table: str, folder: str | None = None, folder_of: Column | None = None) -> DataFrame:
+        rows = self.store.read_or_empty(table, WAREHOUSE[table])
+        if folder and folder not in rows.columns:
+            rows = rows.withColumn(folder, folder_of)
+        return rows.select(*WAREHOUSE[table].names, *([folder] if folder else []))
 
-    def _batch(self, step: str, checked: DataFrame, row_id: str | None = None) -> tuple[DataFrame, int, int]:
-        """Store the checked batch; return its good rows, rows read, rejected.
-        The counts come from one column of the stored rows."""
-        if row_id is None:
-            checked = checked.withColumn("reject_reason", F.lit(None).cast("string"))
+    def _batch(self, step: str, checked: DataFrame, row_id: str, source: str) -> tuple[DataFrame, Counts]:
+        """Store the checked batch; return its good rows and the counts, which
+        come from one column of the stored rows. Every landing row is one of
+        them, so read = rejected + loaded."""
         stored = self.store.stage(checked, f"_batch/{step}", self.version)
-        seen = stored.agg(
-            F.count("*").alias("read"), count_if(F.col("reject_reason").isNotNull()).alias("bad")
-        ).first()
-        if row_id is not None:
-            self.reject_parts.append(etl.rejects(stored, step, row_id))
-        return etl.accepted(stored), seen.read, seen.bad
-
-    def _write(self, frame: DataFrame, table: str, month: str | None = None, flag: str | None = None) -> int:
+        seen = stored.agg(F.count("*").alias("n"), count_if(F.col("reject_reason").isNotNull()).alias("bad")).first()
+        read = self.landing[source].agg(F.count("*")).first()[0]
+        if read != seen.n:
+            raise ValueError(f"{step}: {read} landing rows, {seen.n} checked ones")
+        self.reject_parts.append(etl.rejects(stored, step, row_id))
+        return etl.accepted(stored), Counts(read, seen.bad, seen.n - seen.bad)
+
+    def _write(self, frame: DataFrame, table: str, month: str | None = None, flag: str | None = None) -> None:
         """Facts go to month folders, sorted by their flag so that readers of
         flagged rows skip row groups. Rebalancing by month gives few files per
         folder and splits a month that is too large for one task."""
         if month:
             frame = frame.hint("rebalance", month).sortWithinPartitions(month, flag)
         self.staged[table] = self.store.stage(frame, table, self.version, (month,) if month else ())
-        return self.staged[table].count()
 
-    def _full(self, table: str, state: DataFrame, month: str | None = None, flag: str | None = None) -> int:
+    def _full(self, table: str, state: DataFrame, month: str | None = None, flag: str | None = None) -> None:
         self.kinds[table] = FULL
-        return self._write(state, table, month, flag)
-
-    def _stage_rejects(self) -> None:
-        whole = self.reject_parts[0]
-        for part in self.reject_parts[1:]:
-            whole = whole.unionByName(part)
-        self.store.stage(whole, "etl_rejects", self.version)
-        self.kinds["etl_rejects"] = APPEND
+        self._write(state, table, month, flag)
 
-    def _logged(self, step: str, work: Callable[[], tuple[int, int, int]]) -> None:
+    def _logged(self, step: str, work: Callable[[], Counts]) -> None:
         started = time.monotonic()
-        read = bad = loaded = None
+        counts = Counts()
         status, error = "SUCCESS", None
         try:
-            read, bad, loaded = work()
+            counts = work()
         except Exception as problem:
             status, error = "FAILED", str(problem)
             raise
         finally:
             took = int((time.monotonic() - started) * 1000)
-            row = (self.run_id, None, step, read, bad, loaded, took, status, error)
+            row = (
+                self.run_id, None, step, counts.read, counts.rejected, counts.loaded, counts.defaulted, took, status, error
+            )
             (
                 self.store.spark.createDataFrame([row], RUN_LOG)
                 .withColumn("run_ts", F.current_timestamp())

@@ -19,7 +19,7 @@ from lendscope.plans import etl, kpi
 from lendscope.plans.load import Load, run_log
 from lendscope.sources import bridge
 from lendscope.sources.bridge import AS_OF
-from lendscope.sources.schemas import STAGING_COLUMNS
+from lendscope.sources.schemas import REFERENCES, REQUIRED, STAGING_COLUMNS, UNIQUE
 from lendscope.sources.staging import read_staging, write_staging
 from lendscope.sources.star import warehouse_star
 from lendscope.sources.store import TableStore
@@ -41,11 +41,27 @@ def for_output(frame: DataFrame) -> DataFrame:
 # --- sources -----------------------------------------------------------------
 
 
-def read_staging_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The customer landing table through CSV files and back."""
-    path = fresh_path(spark, "landing")
-    write_staging(bridge.raw_customers(spark, sf_dir), path, "raw_customers")
-    return read_staging(spark, path, "raw_customers").select(*STAGING_COLUMNS["raw_customers"])
+LANDING = {
+    "raw_customers": bridge.raw_customers,
+    "raw_loans": bridge.raw_loans,
+    "raw_transactions": bridge.raw_transactions,
+    "raw_loan_products": bridge.raw_products,
+}
+
+
+def through_files(name: str, broken: str | None = None):
+    """A landing table through CSV files and back; ``broken`` is a column that
+    gets a line break and a quote in every value."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = fresh_path(spark, "landing")
+        rows = LANDING[name](spark, sf_dir)
+        if broken:
+            rows = rows.withColumn(broken, F.concat(F.col(broken), F.lit('\n"jr", '), F.col(broken)))
+        write_staging(rows, path, name)
+        return read_staging(spark, path, name).select(*STAGING_COLUMNS[name])
+
+    return query
 
 
 def dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,7 +104,7 @@ class _Dims:
         self.customer = stored(_dim_customer(spark, sf_dir), "dim-customer")
 
     def checked_loans(self) -> DataFrame:
-        places = etl.customer_places(self.customer, self.customer, self.region)
+        places = etl.customer_places(self.customer, self.region)
         checked = etl.checked_loans(bridge.raw_loans(self.spark, self.sf_dir), places, self.product)
         return stored(checked, "checked-loans")
 
@@ -100,7 +116,7 @@ class _Dims:
 
 
 def _keyed_loans(checked: DataFrame) -> DataFrame:
-    return assign_keys(etl.accepted(checked), "loan_id", "loan_key")
+    return assign_keys(etl.accepted(checked).drop("region_defaulted"), "loan_id", "loan_key")
 
 
 def etl_dim_region(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -139,6 +155,7 @@ def etl_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     dims = _Dims(spark, sf_dir)
     loans = dims.checked_loans()
     parts = [
+        etl.region_rejects(etl.checked_regions(bridge.raw_customers(spark, sf_dir))),
         etl.rejects(etl.checked_products(bridge.raw_products(spark, sf_dir)), "dim_loan_product", "product_code"),
         etl.rejects(etl.checked_customers(bridge.raw_customers(spark, sf_dir)), "dim_customer", "customer_id"),
         etl.rejects(loans, "fact_loan", "loan_id"),
@@ -156,10 +173,48 @@ def _landing(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     }
 
 
+_STORES: dict[tuple[str, str], TableStore] = {}
+
+
 def _loaded(spark: SparkSession, sf_dir: str) -> TableStore:
-    store = TableStore(spark, fresh_path(spark, "warehouse"))
-    Load(store, _landing(spark, sf_dir), AS_OF).run()
-    return store
+    """One whole load of a data folder, kept for the session; readers only read it."""
+    name = (spark.sparkContext.applicationId, sf_dir)
+    if name not in _STORES:
+        store = TableStore(spark, fresh_path(spark, "warehouse"))
+        Load(store, _landing(spark, sf_dir), AS_OF).run()
+        _STORES[name] = store
+    return _STORES[name]
+
+
+def warehouse_dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The calendar as published by a load."""
+    return for_output(_loaded(spark, sf_dir).read("dim_date"))
+
+
+def warehouse_two_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The loans after two loads: the first day brings the first rows of all
+    customers and the loans with an even last digit; the second only the newer
+    customer rows, the other loans and the transactions."""
+    store, landing = TableStore(spark, fresh_path(spark, "warehouse")), _landing(spark, sf_dir)
+    later = F.col("_ingested_at") >= F.lit(str(DAY2)).cast("timestamp_ntz")
+    odd = F.right("loan_id", F.lit(1)).cast("int") % 2 == 1
+    parts = {"raw_customers": later, "raw_loans": odd, "raw_transactions": F.lit(True)}
+    for day, wanted in ((DAY1, False), (DAY2, True)):
+        batch = {t: rows.filter(parts[t] == wanted) if t in parts else rows for t, rows in landing.items()}
+        Load(store, batch, day).run()
+    loans = store.read("fact_loan").select("loan_id", "customer_key", "product_key", "region_key", "days_past_due", "loan_status")
+    people = store.read("dim_customer").select("customer_key", "customer_id", "credit_score")
+    goods = store.read("dim_loan_product").select("product_key", "product_code")
+    places = store.read("dim_region").select("region_key", "city", "state")
+    placed = loans.join(people, "customer_key").join(goods, "product_key").join(places, "region_key")
+    return for_output(placed.drop("customer_key", "product_key", "region_key"))
+
+
+def warehouse_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every declared key, reference and required column of the published tables,
+    with the rows that were checked and those that break the rule."""
+    store = _loaded(spark, sf_dir)
+    return quality.rule_report({t: store.read(t) for t in (*UNIQUE, *REQUIRED)}, UNIQUE, REFERENCES, REQUIRED)
 
 
 def etl_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -318,7 +373,11 @@ def customer_age(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    "read_staging": read_staging_query,
+    "read_staging": through_files("raw_customers"),
+    "read_staging_loans": through_files("raw_loans"),
+    "read_staging_transactions": through_files("raw_transactions"),
+    "read_staging_products": through_files("raw_loan_products"),
+    "read_staging_line_breaks": through_files("raw_customers", "last_name"),
     "dim_date": dim_date,
     "etl_dim_region": etl_dim_region,
     "etl_dim_loan_product": etl_dim_loan_product,
@@ -329,6 +388,9 @@ QUERIES = {
     "etl_rejects": etl_rejects,
     "etl_run_log": etl_run_log,
     "warehouse_snapshot": warehouse_snapshot,
+    "warehouse_dim_date": warehouse_dim_date,
+    "warehouse_two_days": warehouse_two_days,
+    "warehouse_rules": warehouse_rules,
     "upsert_region": upsert_region,
     "upsert_product": upsert_product,
     "upsert_customer": upsert_customer,

@@ -49,6 +49,7 @@ RUN_LOG = StructType(
         StructField("rows_extracted", LongType()),
         StructField("rows_rejected", LongType()),
         StructField("rows_loaded", LongType()),
+        StructField("rows_defaulted", LongType()),
         StructField("duration_ms", LongType()),
         StructField("status", StringType()),
         StructField("error_msg", StringType()),
@@ -99,6 +100,7 @@ DIM_CUSTOMER = StructType(
         StructField("annual_income", DecimalType(15, 2)),
         StructField("credit_score", ShortType()),
         StructField("risk_tier", StringType()),
+        StructField("region_id", StringType()),
         StructField("effective_date", DateType()),
         StructField("expiry_date", DateType()),
         StructField("is_current", BooleanType()),
@@ -150,10 +152,60 @@ FACT_TRANSACTION = StructType(
     ]
 )
 
+DIM_DATE = StructType(
+    [
+        StructField("date_key", IntegerType()),
+        StructField("full_date", DateType()),
+        StructField("day_of_week", ShortType()),
+        StructField("day_name", StringType()),
+        StructField("day_of_month", ShortType()),
+        StructField("day_of_year", ShortType()),
+        StructField("week_of_year", ShortType()),
+        StructField("month_num", ShortType()),
+        StructField("month_name", StringType()),
+        StructField("quarter", ShortType()),
+        StructField("year", ShortType()),
+        StructField("is_weekend", BooleanType()),
+        StructField("is_holiday", BooleanType()),
+        StructField("fiscal_period", StringType()),
+    ]
+)
+
+# The published tables and their columns.
 WAREHOUSE = {
+    "dim_date": DIM_DATE,
     "dim_region": DIM_REGION,
     "dim_loan_product": DIM_PRODUCT,
     "dim_customer": DIM_CUSTOMER,
     "fact_loan": FACT_LOAN,
     "fact_transaction": FACT_TRANSACTION,
 }
+
+# Declared keys, references (column, table, column) and required
+# columns of the published tables.
+UNIQUE = {
+    "dim_date": ("date_key", "full_date"),
+    "dim_region": ("region_key", "region_id"),
+    "dim_loan_product": ("product_key", "product_code"),
+    "dim_customer": ("customer_key",),
+    "fact_loan": ("loan_key", "loan_id"),
+    "fact_transaction": ("txn_key", "transaction_id"),
+}
+REFERENCES = {
+    "fact_loan": (
+        ("customer_key", "dim_customer", "customer_key"), ("product_key", "dim_loan_product", "product_key"),
+        ("region_key", "dim_region", "region_key"), ("issue_date_key", "dim_date", "date_key"),
+    ),
+    "fact_transaction": (
+        ("customer_key", "dim_customer", "customer_key"), ("region_key", "dim_region", "region_key"),
+        ("txn_date_key", "dim_date", "date_key"), ("loan_key", "fact_loan", "loan_key"),
+    ),
+}
+REQUIRED = {
+    "dim_customer": ("customer_id", "is_current"),
+    "fact_loan": (
+        "loan_id", "customer_key", "product_key", "region_key", "issue_date_key", "principal_amount", "interest_rate",
+        "tenure_months", "loan_status", "days_past_due", "is_npl", "is_par30",
+    ),
+    "fact_transaction": ("transaction_id", "customer_key", "region_key", "txn_date_key", "transaction_type", "amount", "is_anomaly"),
+}

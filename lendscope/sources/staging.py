@@ -18,7 +18,10 @@ CSV_OPTIONS = {
 }
 # On reading, the word for NULL must differ from the empty string: it then
 # stands for unquoted empty fields only.
-READ_OPTIONS = {**CSV_OPTIONS, "mode": "FAILFAST", "nullValue": "\u0000", "emptyValue": ""}
+# A quoted field may hold line breaks, so a file is parsed as a whole, by one
+# task: deliver many files of moderate size. Rows are always parsed in full, so
+# that a malformed one fails the read whatever columns are asked for.
+READ_OPTIONS = {**CSV_OPTIONS, "mode": "FAILFAST", "nullValue": "\u0000", "emptyValue": "", "multiLine": "true", "columnPruning": "false"}
 WRITE_OPTIONS = {**CSV_OPTIONS, "nullValue": "", "emptyValue": '""'}
 
 

@@ -1,42 +1,55 @@
 """Published table versions: write aside, then commit; readers see old or new.
 
-Each version of a table is its own folder. A commit is one appended file that
-names the new versions of all tables of a load, so several tables change at
-the same moment. A lost executor or a failed load leaves only folders nobody
-reads.
+Each version of a table is its own folder. A commit is one folder named by its
+version that names the new folders of all tables of a load, so several tables
+change at the same moment. A lost executor or a failed load leaves only folders
+nobody reads. Of two writers that start from the same version one fails.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StringType, StructField, StructType, TimestampType
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType, TimestampType
 
-FULL, APPEND = "full", "append"
+# FULL replaces a table, APPEND adds rows, PATCH replaces the folders it names.
+FULL, APPEND, PATCH = "full", "append", "patch"
 
 COMMIT = StructType(
     [
         StructField("table_name", StringType()),
         StructField("version", IntegerType()),
         StructField("kind", StringType()),
+        StructField("run", StringType()),
         StructField("schema_json", StringType()),
+        StructField("folder_column", StringType()),
+        StructField("folders", ArrayType(IntegerType())),
         StructField("committed_at", TimestampType()),
     ]
 )
 
 
+class CommitConflict(RuntimeError):
+    """Another writer has published this version."""
+
+
 class TableStore:
     """Tables under one root folder on shared storage."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.run = uuid.uuid4().hex
         self._staged: dict[tuple[str, int], StructType] = {}
 
-    def path(self, table: str, version: int) -> str:
-        return f"{self.root}/{table}/v{version}"
+    def path(self, table: str, version: int, run: str | None = None) -> str:
+        """The folder holds the run, so two writers of a version never share one."""
+        return f"{self.root}/{table}/v{version}-{run or self.run}"
 
     def stage(
         self, frame: DataFrame, table: str, version: int, partition_by: tuple[str, ...] = ()
@@ -51,49 +64,83 @@ class TableStore:
         self._staged[table, version] = frame.schema
         return self.spark.read.schema(frame.schema).parquet(self.path(table, version))
 
-    def commit(self, version: int, kinds: dict[str, str]) -> None:
-        """Publish the staged ``version`` of the tables named in ``kinds``."""
+    def commit(
+        self, version: int, kinds: dict[str, str], patches: dict[str, tuple[str, list[int]]] | None = None
+    ) -> None:
+        """Publish the staged ``version`` of the tables named in ``kinds``.
+
+        ``patches`` names, for tables of kind PATCH, the folder column and the
+        folders whose rows this version replaces. Raises ``CommitConflict`` if
+        another writer has published the version.
+        """
+        patches = patches or {}
         rows = [
-            (table, version, kind, self._staged[table, version].json()) for table, kind in kinds.items()
+            (table, version, kind, self.run, self._staged[table, version].json(), *patches.get(table, (None, None)))
+            for table, kind in kinds.items()
         ]
-        (
-            self.spark.createDataFrame(rows, "table_name string, version int, kind string, schema_json string")
-            .withColumn("committed_at", F.current_timestamp())
-            .coalesce(1)
-            .write.mode("append")
-            .parquet(f"{self.root}/_commits")
-        )
+        layout = StructType(COMMIT.fields[:-1])
+        entry = self.spark.createDataFrame(rows, layout).withColumn("committed_at", F.current_timestamp())
+        try:
+            entry.coalesce(1).write.mode("errorifexists").parquet(f"{self.root}/_commits/v{version}")
+        except AnalysisException as problem:
+            if problem.getCondition() != "PATH_ALREADY_EXISTS":
+                raise
+            raise CommitConflict(f"version {version} of {self.root} is published already") from problem
+        # both may have seen the folder missing: the least run has won, for readers as well
+        winner = self.commits().filter(F.col("version") == version).agg(F.min("run")).first()[0]
+        if winner != self.run:
+            raise CommitConflict(f"version {version} of {self.root} went to another writer")
 
     def commits(self) -> DataFrame:
         """The commit history; empty before the first commit."""
-        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.root}/_commits")
-        fs = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        if not fs.exists(path):
+        try:
+            entries = self.spark.read.schema(COMMIT).parquet(f"{self.root}/_commits/*")
+        except AnalysisException as problem:
+            if problem.getCondition() != "PATH_NOT_FOUND":
+                raise
             return self.spark.createDataFrame([], COMMIT)
-        return self.spark.read.schema(COMMIT).parquet(f"{self.root}/_commits")
+        winner = F.min("run").over(Window.partitionBy("version"))
+        return entries.withColumn("_winner", winner).filter(F.col("run") == F.col("_winner")).drop("_winner")
 
     def last_version(self) -> int:
         """0 before the first commit."""
         row = self.commits().agg(F.max("version").alias("v")).first()
         return row.v or 0
 
-    def parts(self, table: str) -> list[tuple[str, str]]:
-        """(folder, schema) of the published state: the last full version and
-        every append after it."""
+    def parts(self, table: str) -> list:
+        """Commit rows of the published state: the last full version and every
+        one after it."""
         log = self.commits().filter(F.col("table_name") == table)
         base = log.filter(F.col("kind") == FULL).agg(F.max("version")).scalar()
-        live = log.filter(F.col("version") >= F.coalesce(base, F.lit(0))).orderBy("version")
-        return [(self.path(table, row.version), row.schema_json) for row in live.collect()]
+        return log.filter(F.col("version") >= F.coalesce(base, F.lit(0))).orderBy("version").collect()
 
     def exists(self, table: str) -> bool:
         return bool(self.parts(table))
 
+    def patches(self, table: str) -> int:
+        """Versions that readers of the table have to put together."""
+        return len(self.parts(table))
+
     def read(self, table: str) -> DataFrame:
+        """The published rows. A folder that a later version replaced is not
+        opened in the earlier one."""
         parts = self.parts(table)
         if not parts:
             raise ValueError(f"table {table} was never published under {self.root}")
-        schema = StructType.fromJson(json.loads(parts[-1][1]))
-        return self.spark.read.schema(schema).parquet(*[path for path, _ in parts])
+        schema = StructType.fromJson(json.loads(parts[-1].schema_json))
+        replaced: set[int] = set()
+        groups: list[tuple[frozenset[int], str | None, list[str]]] = []
+        for part in reversed(parts):
+            hidden = frozenset(replaced)
+            if not groups or groups[-1][0] != hidden:
+                groups.append((hidden, next((p.folder_column for p in parts if p.folder_column), None), []))
+            groups[-1][2].append(self.path(table, part.version, part.run))
+            replaced |= set(part.folders or ())
+        frames = []
+        for hidden, column, paths in groups:
+            frame = self.spark.read.schema(schema).parquet(*paths)
+            frames.append(frame.filter(~F.col(column).isin(*sorted(hidden))) if hidden else frame)
+        return reduce(DataFrame.unionByName, frames)
 
     def read_or_empty(self, table: str, schema: StructType) -> DataFrame:
         return self.read(table) if self.exists(table) else self.spark.createDataFrame([], schema)

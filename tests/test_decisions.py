@@ -150,7 +150,8 @@ def test_newest_customer_row_wins_and_rejects_are_told(spark, people):
     by_id = {}
     for r in checked:
         by_id.setdefault(r.customer_id, []).append(r)
-    (c1,) = by_id["C1"]
+    assert len(checked) == people.count()  # every landing row is accounted for
+    (c1,) = [r for r in by_id["C1"] if r.reject_reason != etl.REPEATED]
     assert float(c1.annual_income) == 9.0 and c1.first_name == "Ann" and c1.gender == "F" and c1.email == "a@b.c"
     assert c1.employment_status == "Self-Employed" and c1.reject_reason is None
     assert by_id["C2"][0].credit_score is None and by_id["C2"][0].risk_tier == "CRITICAL"
@@ -193,8 +194,11 @@ def test_loans(spark, dims):
         ],
         LOAN,
     )
-    places = etl.customer_places(customers, customers, regions)
-    got = {r.loan_id: r for r in etl.checked_loans(raw, places, products, default_region_key=1).collect()}
+    places = etl.customer_places(customers, regions)
+    rows = etl.checked_loans(raw, places, products, default_region_key=1).collect()
+    assert [r.loan_id for r in rows if r.reject_reason == etl.REPEATED] == ["L1"] and len(rows) == raw.count()
+    got = {r.loan_id: r for r in rows if r.reject_reason != etl.REPEATED}
+    assert got["L7"].region_defaulted and not got["L1"].region_defaulted
     reasons = {k: r.reject_reason for k, r in got.items()}
     assert reasons == {
         "L1": None, "L2": "unknown customer", "L3": "unknown product", "L4": "bad number", "L5": "bad date", "L6": "missing value",
@@ -244,7 +248,7 @@ def test_products(spark):
          ("p2", "n", "sme", "x", "abc", "2", "3", "4", "no", "Car", T1)],
         PRODUCT,
     )
-    got = {r.product_code: r for r in etl.checked_products(raw).collect()}
+    got = {r.product_code: r for r in etl.checked_products(raw).filter(f"reject_reason IS DISTINCT FROM '{etl.REPEATED}'").collect()}
     assert got["P1"].product_name == "New Name" and got["P1"].is_secured is False and got["P1"].reject_reason is None
     assert got["P2"].reject_reason == "bad number"
 

@@ -3,6 +3,7 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
@@ -13,8 +14,8 @@ from lendscope.plans.cache import refresh_kpi_cache
 from lendscope.sources.bridge import AS_OF, bridge_star
 from lendscope.sources.schemas import WAREHOUSE
 from lendscope.sources.star import warehouse_star
-from lendscope.sources.store import APPEND, FULL, TableStore
-from lendscope.sources.workspace import fresh_path, shared_dir
+from lendscope.sources.store import APPEND, FULL, PATCH, CommitConflict, TableStore
+from lendscope.sources.workspace import fresh_path, shared_dir, stored
 
 
 @pytest.fixture(scope="module")
@@ -29,6 +30,8 @@ def test_tables_have_their_layout_and_unique_keys(loaded):
     business = {"dim_region": "region_id", "dim_loan_product": "product_code", "dim_customer": "customer_id", "fact_loan": "loan_id", "fact_transaction": "transaction_id"}
     for table, schema in WAREHOUSE.items():
         frame = loaded.read(table)
+        if table == "dim_date":
+            continue
         assert [(f.name, f.dataType) for f in frame.select(*schema.names).schema] == [(f.name, f.dataType) for f in schema], table
         n = frame.count()
         assert n > 0 and frame.select(surrogate[table]).distinct().count() == n == frame.select(business[table]).distinct().count()
@@ -42,7 +45,7 @@ def test_second_load_of_the_same_batch_changes_nothing_but_the_audit(spark, smal
         after = loaded.read(t).select(*[c for c in WAREHOUSE[t].names if c != "updated_at"])
         assert sorted(map(str, after.collect())) == before[t], t
     assert loaded.read("fact_loan").agg(F.min("updated_at")).first()[0] == dt.datetime(2001, 8, 1)
-    assert run_log(loaded).count() == 10
+    assert run_log(loaded).count() == 2 * len(STEPS)
 
 
 def test_month_folders_and_pruning(loaded):
@@ -118,5 +121,89 @@ def test_newer_file_wins(spark, tmp_path):
         path.write_text(f"{header}\nC1,ann,lee,1990-01-01,f,e,p,retired,{income},700,Paris,S1,France\n")
         os.utime(path, (at, at))
     raw = read_staging(spark, f"file://{tmp_path}", "raw_customers")
-    (row,) = etl.checked_customers(raw).collect()
+    (row,) = etl.accepted(etl.checked_customers(raw)).collect()
     assert float(row.annual_income) == 100.0
+
+
+def test_untouched_months_keep_their_files(spark, small):
+    """A second batch with loans of one month rewrites that month only."""
+    store = TableStore(spark, fresh_path(spark, "wh"))
+    landing = _landing(spark, small)
+    Load(store, landing, dt.date(2001, 7, 31)).run()
+    before = {r.issue_month: r.f for r in files_by_month(store)}
+    batch = landing["raw_loans"].filter("issue_date LIKE '2000-05-%'").withColumn("loan_status", F.lit("closed"))
+    Load(store, {**landing, "raw_loans": batch}, dt.date(2001, 8, 1)).run()
+    after = {r.issue_month: r.f for r in files_by_month(store)}
+    assert [m for m in before if before[m] != after[m]] == [200005]
+    loans = store.read("fact_loan")
+    assert loans.count() == loans.select("loan_id").distinct().count() == 1471
+    changed = loans.filter("updated_at > TIMESTAMP '2001-07-31'")
+    assert changed.count() > 0 and {r.loan_status for r in changed.select("loan_status").distinct().collect()} == {"CLOSED"}
+    assert changed.filter("issue_month <> 200005").count() == 0
+
+
+def files_by_month(store):
+    rows = store.read("fact_loan").select("issue_month", F.input_file_name().alias("p"))
+    return rows.groupBy("issue_month").agg(F.sort_array(F.collect_set("p")).alias("f")).collect()
+
+
+def test_an_upsert_reads_the_target_once_beside_its_keys(spark, tmp_path):
+    from lendscope.operators.upsert import upsert
+
+    spark.range(1000).selectExpr("id AS k", "id AS v", "'x' AS wide").write.parquet(f"{tmp_path}/target")
+    target = spark.read.parquet(f"{tmp_path}/target")
+    batch = stored(spark.range(990, 1010).selectExpr("id AS k", "-id AS v", "'y' AS wide"), "batch")
+    plan = upsert(target, batch, ["k"], ["v"])._jdf.queryExecution().executedPlan().toString()
+    wide = [line for line in plan.splitlines() if "FileScan" in line and str(tmp_path) in line]
+    assert len(wide) == 1
+
+
+def test_the_second_of_two_writers_fails(spark):
+    root = fresh_path(spark, "st")
+    one, two = TableStore(spark, root), TableStore(spark, root)
+    for store in (one, two):
+        assert store.last_version() == 0
+        store.stage(spark.range(5), "t", 1)
+    one.commit(1, {"t": FULL})
+    with pytest.raises(CommitConflict):
+        two.commit(1, {"t": FULL})
+    assert one.read("t").count() == two.read("t").count() == 5
+
+
+def test_patches_hide_what_they_replace(spark):
+    store = TableStore(spark, fresh_path(spark, "st"))
+    rows = spark.range(12).selectExpr("id", "cast(id % 3 as int) AS m")
+    store.stage(rows, "t", 1, ("m",))
+    store.commit(1, {"t": FULL})
+    store.stage(rows.filter("m = 1").withColumn("id", F.col("id") + 100), "t", 2, ("m",))
+    store.commit(2, {"t": PATCH}, {"t": ("m", [1])})
+    store.stage(rows.filter("m = 2").limit(1), "t", 3, ("m",))
+    store.commit(3, {"t": PATCH}, {"t": ("m", [2])})
+    got = sorted((r.m, r.id) for r in store.read("t").select("m", "id").collect())
+    assert got == [(0, 0), (0, 3), (0, 6), (0, 9), (1, 101), (1, 104), (1, 107), (1, 110), (2, 2)]
+
+
+def test_region_of_a_customer_of_an_earlier_load(spark, small):
+    store = TableStore(spark, fresh_path(spark, "wh"))
+    landing = _landing(spark, small)
+    Load(store, {**landing, "raw_loans": landing["raw_loans"].limit(0)}, dt.date(2001, 7, 1)).run()
+    one = landing["raw_customers"].limit(1)
+    Load(store, {**landing, "raw_customers": one}, dt.date(2001, 7, 2)).run()
+    log = run_log(store).filter("step_name = 'fact_loan'").orderBy("run_ts").collect()
+    assert log[-1].rows_defaulted == 0 and log[-1].rows_loaded == 1471
+    assert store.read("fact_loan").groupBy("region_key").count().count() == 25
+
+
+def test_counts_add_up(loaded):
+    for row in run_log(loaded).collect():
+        assert row.rows_extracted == row.rows_rejected + row.rows_loaded, row.step_name
+
+
+def test_a_malformed_row_fails_whatever_is_read(spark, tmp_path):
+    from lendscope.sources.schemas import STAGING_COLUMNS
+    from lendscope.sources.staging import read_staging
+
+    header = ",".join(STAGING_COLUMNS["raw_customers"])
+    (tmp_path / "a.csv").write_text(f"{header}\nC1,ann\n")
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        read_staging(spark, f"file://{tmp_path}", "raw_customers").select("customer_id").collect()
