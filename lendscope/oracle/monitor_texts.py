@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from lendscope.oracle.kpi_texts import ANOMALY_SUMMARY, DAILY, DEFAULT_RATE, NPL_RATIO, PAR30, RISKY, SNAPSHOT
-from lendscope.oracle.views import AS_OF, dbl, pct, rnd, with_views
+from lendscope.oracle.views import AS_OF, dbl, mean, pct, rnd, with_views
 
 SNAP = f"snap AS (SELECT * FROM ({SNAPSHOT}))"
 
@@ -142,6 +142,21 @@ TEXTS = {
 SELECT as_of, kpi, kpi_name, value, threshold, 'above' AS direction, severity FROM checked WHERE breached""", "w_loan", "w_txn"),
     "mon_alert_lifecycle": with_views(LIFECYCLE, "w_loan", "w_txn"),
     "stream_alerts": with_views(LIFECYCLE, "w_loan", "w_txn"),
+    "mon_breaches_below": with_views(f"""WITH {SNAP}, {checked('snap', 2)}
+SELECT as_of, kpi, kpi_name, value, threshold, 'above' AS direction, severity FROM checked WHERE breached AND kpi <> 'overall_npl_ratio'
+UNION ALL SELECT as_of, kpi, kpi_name, value, 90.0, 'below', CASE WHEN value < 60 THEN 'CRITICAL' ELSE 'WARNING' END
+FROM checked WHERE kpi = 'overall_npl_ratio' AND value < 90""", "w_loan", "w_txn"),
+    "mon_messages": with_views(f"""WITH m AS (SELECT kpi_name || ' fired, alert ' || CAST(alert_no AS VARCHAR) AS body, severity FROM ({LIFECYCLE})),
+f AS (SELECT '#portfolio-alerts' AS channel, CASE severity WHEN 'CRITICAL' THEN '#E53E3E' ELSE '#F0A500' END AS color,
+             'Portfolio message [' || severity || ']' AS header, body FROM m)
+SELECT *, CAST(to_json({{'channel': channel, 'color': color, 'header': header, 'body': body}}) AS VARCHAR) AS payload FROM f""", "w_loan", "w_txn"),
+    "stream_landing": with_views("""SELECT customer_id, first_name, last_name, date_of_birth, gender, email, phone, employment_status,
+       annual_income, credit_score, city, state, country FROM r_customers""", "r_customers"),
+    "slicer_status_mix": with_views(f"""SELECT loan_status, count(*) AS loan_count, {dbl('sum(principal_amount)')} AS total_principal,
+       {mean('principal_amount', 2)} AS avg_principal, {pct('count(*)', 'sum(count(*)) OVER ()', 2)} AS pct_of_portfolio
+FROM w_loanx WHERE issue_date <= DATE '1999-06-30' AND category = 'SME' AND risk_tier = 'LOW' GROUP BY loan_status""", "w_loanx"),
+    "slicer_volume": with_views(f"""SELECT txn_date AS full_date, transaction_type, count(*) AS txn_count, {dbl('sum(amount)')} AS total_volume
+FROM w_txnx WHERE txn_date BETWEEN DATE '2001-07-05' AND DATE '2001-07-20' AND state = 'State_4' GROUP BY 1, 2""", "w_txnx"),
     "stream_alerts_late": with_views(LIFECYCLE, "w_loan", "w_txn"),
     "stream_daily_disorder": with_views("""SELECT txn_date AS full_date, transaction_type, count(*) AS total_txns,
        count(*) FILTER (WHERE is_anomaly) AS anomaly_count FROM w_txn GROUP BY 1, 2""", "w_txn"),
@@ -172,6 +187,8 @@ SELECT v.kpi, coalesce(value, 0) AS value, threshold, CASE WHEN threshold IS NUL
        WHEN value > threshold * 1.5 THEN 'CRITICAL' WHEN value > threshold THEN 'WARNING' ELSE 'OK' END AS status
 FROM v LEFT JOIN limits l ON l.kpi = v.kpi""", "w_loan", "w_txn"),
     "rpt_default_trend": with_views(f"""WITH v AS ({DEFAULT_RATE})
+SELECT year, month_num, month_name, total_loans_issued, defaults, {rnd('default_rate_pct / 100.0', 6)} AS default_rate, ytd_defaults FROM v""", "w_loan"),
+    "rpt_sink": with_views(f"""WITH v AS ({DEFAULT_RATE})
 SELECT year, month_num, month_name, total_loans_issued, defaults, {rnd('default_rate_pct / 100.0', 6)} AS default_rate, ytd_defaults FROM v""", "w_loan"),
     "rpt_par30_90d": with_views(f"""WITH v AS ({PAR30})
 SELECT full_date, par30_pct, par30_7d_avg, par30_30d_avg FROM v ORDER BY full_date DESC LIMIT 90""", "w_loan"),

@@ -7,6 +7,7 @@ Inputs are indicator rows: one per poll, from ``kpi_snapshot`` or
 from __future__ import annotations
 
 from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -231,50 +232,49 @@ def _ranked(frame: DataFrame, kpi: str, segment: Column, measure: str, order: li
     )
 
 
+def _segments(star: Star, day: Column, n: int) -> DataFrame:
+    order = [F.desc("default_rate_pct"), F.asc("risk_tier"), F.asc("product_category"), F.asc("region_state")]
+    rows = investigate.default_spike(star, F.date_sub(day, 30), day)
+    segment = F.concat_ws(" / ", "risk_tier", "product_category", "region_state")
+    return _ranked(rows, "current_month_default_rate", segment, "default_rate_pct", order, n)
+
+
+def _late_loans(star: Star, day: Column, n: int) -> DataFrame:
+    order = [F.desc("outstanding"), F.asc("loan_id")]
+    rows = investigate.par30_spike(star, n=n)
+    return _ranked(rows, "par30_30d_avg", F.concat_ws(" / ", "loan_id", "customer_id"), "outstanding", order, n)
+
+
+def _flagged(star: Star, day: Column, n: int) -> DataFrame:
+    order = [F.desc("anomaly_score"), F.asc("transaction_id")]
+    rows = investigate.anomaly_spike(star, F.date_sub(day, 1))
+    segment = F.concat_ws(" / ", "transaction_id", "customer_id")
+    return _ranked(rows, "anomaly_count_yesterday", segment, "anomaly_score", order, n)
+
+
+def _bad_segments(star: Star, as_of, n: int) -> DataFrame:
+    order = [F.desc("avg_npl_pct"), F.asc("risk_tier"), F.asc("product_category")]
+    rows = investigate.npl_segments(star, as_of.year, n)
+    return _ranked(rows, "overall_npl_ratio", F.concat_ws(" / ", "risk_tier", "product_category"), "avg_npl_pct", order, n)
+
+
 def investigation(star: Star, breached: DataFrame, as_of, n: int = 10) -> DataFrame:
-    """For each breached indicator the first ``n`` rows of its drill-down."""
+    """For each breached indicator the first ``n`` rows of its drill-down; the
+    drill-downs of the others are not run."""
     day = date_lit(as_of)
-    segments = _ranked(
-        investigate.default_spike(star, F.date_sub(day, 30), day),
-        "current_month_default_rate",
-        F.concat_ws(" / ", "risk_tier", "product_category", "region_state"),
-        "default_rate_pct",
-        [F.desc("default_rate_pct"), F.asc("risk_tier"), F.asc("product_category"), F.asc("region_state")],
-        n,
-    )
-    loans = _ranked(
-        investigate.par30_spike(star, n=n),
-        "par30_30d_avg",
-        F.concat_ws(" / ", "loan_id", "customer_id"),
-        "outstanding",
-        [F.desc("outstanding"), F.asc("loan_id")],
-        n,
-    )
-    flagged = _ranked(
-        investigate.anomaly_spike(star, F.date_sub(day, 1)),
-        "anomaly_count_yesterday",
-        F.concat_ws(" / ", "transaction_id", "customer_id"),
-        "anomaly_score",
-        [F.desc("anomaly_score"), F.asc("transaction_id")],
-        n,
-    )
-    bad = _ranked(
-        investigate.npl_segments(star, as_of.year, n),
-        "overall_npl_ratio",
-        F.concat_ws(" / ", "risk_tier", "product_category"),
-        "avg_npl_pct",
-        [F.desc("avg_npl_pct"), F.asc("risk_tier"), F.asc("product_category")],
-        n,
-    )
-    # at most one value per monitored indicator
-    hit = breached.agg(F.collect_set("kpi")).scalar()
-    return (
-        segments.unionByName(loans)
-        .unionByName(flagged)
-        .unionByName(bad)
-        .filter(F.array_contains(hit, F.col("kpi")))
-        .orderBy("kpi", "rank")
-    )
+    drill_downs = {
+        "current_month_default_rate": lambda: _segments(star, day, n),
+        "par30_30d_avg": lambda: _late_loans(star, day, n),
+        "anomaly_count_yesterday": lambda: _flagged(star, day, n),
+        "overall_npl_ratio": lambda: _bad_segments(star, as_of, n),
+    }
+    # at most one row per monitored indicator
+    hit = {row.kpi for row in breached.select("kpi").distinct().collect()}
+    parts = [rows() for kpi, rows in drill_downs.items() if kpi in hit]
+    if not parts:
+        layout = "kpi string, rank int, segment string, measure string, value double"
+        return breached.sparkSession.createDataFrame([], layout)
+    return reduce(DataFrame.unionByName, parts).orderBy("kpi", "rank")
 
 
 def findings_text(investigated: DataFrame) -> DataFrame:

@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lendscope.functions.numbers import half_up, money
-from lendscope.plans import kpi, monitor, reports
+from lendscope.plans import eda, kpi, monitor, reports
 from lendscope.plans.cache import CACHE, refresh_kpi_cache
 from lendscope.sources import bridge
 from lendscope.sources.bridge import AS_OF, bridge_star
+from lendscope.sources.schemas import STAGING_COLUMNS
+from lendscope.sources.staging import write_staging
 from lendscope.sources.store import TableStore
 from lendscope.sources.workspace import fresh_path, stored
 from lendscope.streaming import jobs
@@ -63,6 +66,29 @@ def alert_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     return monitor.alert_payload(monitor.events(monitor.evaluate(_history(spark, sf_dir), LIMITS)), findings)
 
 
+def mon_breaches_below(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The non-performing share watched from below."""
+    limits = tuple(
+        replace(t, limit=90.0, direction=monitor.BELOW) if t.kpi == "overall_npl_ratio" else t for t in SNAPSHOT_LIMITS
+    )
+    return monitor.breaches(kpi.kpi_snapshot(bridge_star(spark, sf_dir), AS_OF), limits)
+
+
+def mon_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each fired alert of the history as a free message."""
+    fired = monitor.alert_lifecycle(_history(spark, sf_dir), LIMITS)
+    text = F.concat("kpi_name", F.lit(" fired, alert "), F.col("alert_no").cast("string"))
+    return monitor.message_payload(fired.select(text.alias("message"), "severity"))
+
+
+def report_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two extracts written as a report and one of them read back."""
+    star, path = bridge_star(spark, sf_dir), fresh_path(spark, "report")
+    trend = reports.default_trend(star)
+    reports.write_report({"default_trend": trend, "npl": reports.npl_top(star)}, path)
+    return spark.read.schema(trend.schema).parquet(f"{path}/default_trend")
+
+
 # --- streams -----------------------------------------------------------------
 
 
@@ -82,6 +108,14 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _to_files(spark, landed, "stream-ingest")
 
 
+def stream_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customer files as they land, one CSV file per batch."""
+    path = fresh_path(spark, "landing-stream")
+    write_staging(bridge.raw_customers(spark, sf_dir).repartition(3, "customer_id"), path, "raw_customers")
+    rows = jobs.staging_stream(spark, path, "raw_customers", max_files=1)
+    return _to_files(spark, rows.select(*STAGING_COLUMNS["raw_customers"]), "stream-landing")
+
+
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = bridge.table(spark, sf_dir, "lineitem").schema
     lines = jobs.file_stream(spark, f"{sf_dir}/lineitem*.parquet", schema)
@@ -193,10 +227,13 @@ QUERIES = {
     "mon_breaches": mon_breaches,
     "mon_alert_lifecycle": mon_alert_lifecycle,
     "mon_alert_counts": mon_alert_counts,
+    "mon_breaches_below": mon_breaches_below,
+    "mon_messages": mon_messages,
     "mon_investigate": mon_investigate,
     "alert_payload": alert_payload,
     "mon_volume_drop": _star(monitor.volume_drop),
     "stream_ingest": stream_ingest,
+    "stream_landing": stream_landing,
     "stream_dedup": stream_dedup,
     "stream_zscore": stream_zscore,
     "stream_anomaly_daily": stream_anomaly_daily,
@@ -209,6 +246,7 @@ QUERIES = {
     "rpt_default_trend": _star(reports.default_trend),
     "rpt_par30_90d": _star(reports.par30_recent),
     "rpt_anomaly_500": _star(reports.anomaly_top),
+    "rpt_sink": report_sink,
     "rpt_npl_200": _star(reports.npl_top),
     "bi_par30": _star(reports.bi_par30),
     "bi_default_mom": _star(reports.bi_default_mom, AS_OF),
@@ -230,6 +268,12 @@ QUERIES = {
     "dash_loan_status": _star(reports.dash_loan_status),
     "dash_region_heatmap": _star(reports.dash_region_heatmap, AS_OF, "default", None, 365),
     "dash_region_heatmap_country": _star(reports.dash_region_heatmap, AS_OF, "par30", "europe", None),
+    "slicer_status_mix": lambda spark, d: eda.status_mix(
+        bridge_star(spark, d).sliced(end="1999-06-30", category="SME", risk_tier="LOW")
+    ),
+    "slicer_volume": lambda spark, d: reports.bi_txn_daily_by_type(
+        bridge_star(spark, d).sliced(start="2001-07-05", end="2001-07-20", state="State_4")
+    ),
     "slicer_default_rate": lambda spark, d: kpi.default_rate(
         bridge_star(spark, d).sliced(start="1997-01-01", end="2000-12-31", risk_tier="HIGH", category="AUTO", state="State_3")
     ),
