@@ -5,11 +5,12 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lendscope.llm.common import packed, unpacked, whole
+from lendscope.sources.workspace import stored
 
 #: Words of a window.
 WINDOW = 10
@@ -148,56 +149,69 @@ def automata(items: DataFrame, id_col: str, text_col: str, window: int) -> Itera
         yield SuffixAutomaton({f"{row.item or ''}\0{k}": words_of(row.text) for k, row in enumerate(sorted(rows, key=lambda r: (r.item or "", r.text)))}, window)
 
 
-MATCH = "n_words long, spans array<struct<first:int,after:int>>, items array<string>"
-
-
-def _matcher(machine: SuffixAutomaton, text: Column) -> Column:
-    @F.pandas_udf(MATCH)
-    def match(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for batch in texts:
+SPANS = "array<struct<first:int,after:int>>"
+MATCH = f"n_words long, spans {SPANS}, items array<string>, clean string"
+_MATCH = pa.struct(
+    [
+        ("n_words", pa.int64()),
+        ("spans", pa.list_(pa.struct([("first", pa.int32()), ("after", pa.int32())]))),
+        ("items", pa.list_(pa.string())),
+        ("clean", pa.string()),
+    ]
+)
+
+
+def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Spans in order, overlapping and touching ones as one."""
+    out: list[tuple[int, int]] = []
+    for first, after in sorted(spans):
+        if out and first <= out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], after))
+        else:
+            out.append((first, after))
+    return out
+
+
+def without(text: str, spans: list[tuple[int, int]]) -> str:
+    """The text without its spans, from the first to the last character of their words."""
+    places = [m.span() for m in WORD.finditer(text)]
+    kept, at = [], 0
+    for first, after in spans:
+        kept.append(text[at : places[first][0]])
+        at = places[after - 1][1]
+    return "".join([*kept, text[at:]])
+
+
+def _matcher(machine: SuffixAutomaton, text: Column, before: Column) -> Column:
+    """What ``machine`` finds, together with what was found before."""
+
+    @F.arrow_udf(MATCH)
+    def match(texts: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for batch, earlier in texts:
             rows = []
-            for value in batch:
+            for value, known in zip(batch, earlier, strict=True):
+                value, known = value.as_py(), known.as_py()
                 words = words_of(value)
                 spans, found = machine.find(words)
-                rows.append((len(words), spans, sorted({x.rpartition("\0")[0] for x in found})))
-            yield pd.DataFrame(rows, columns=["n_words", "spans", "items"])
-
-    return match(text)
-
-
-def _without(text: Column, spans: Column) -> Column:
-    """The text without its spans; NULL for NULL."""
-
-    @F.pandas_udf("string")
-    def cut(texts: pd.Series, all_spans: pd.Series) -> pd.Series:
-        out = []
-        for value, gone in zip(texts, all_spans, strict=True):
-            if value is None or gone is None or not len(gone):
-                out.append(value)
-                continue
-            places = [m.span() for m in WORD.finditer(value)]
-            kept, at = [], 0
-            for span in gone:
-                kept.append(value[at : places[span["first"]][0]])
-                at = places[span["after"] - 1][1]
-            out.append("".join([*kept, value[at:]]))
-        return pd.Series(out, dtype=object)
-
-    return cut(text, spans)
-
+                found = {x.rpartition("\0")[0] for x in found}
+                if known:
+                    spans = merged([*spans, *((s["first"], s["after"]) for s in known["spans"])])
+                    found |= set(known["items"])
+                clean = without(value, spans) if spans else None
+                rows.append({"n_words": len(words), "spans": [{"first": a, "after": b} for a, b in spans], "items": sorted(found), "clean": clean})
+            yield pa.array(rows, _MATCH)
 
-def _merged(spans: Column) -> Column:
-    """Spans of several automata in order, overlapping ones as one."""
-    zero = F.array().cast("array<struct<first:int,after:int>>")
+    return match(text, before)
 
-    def step(done: Column, span: Column) -> Column:
-        last = F.element_at(done, -1)
-        longer = F.struct(last["first"].alias("first"), F.greatest(last["after"], span["after"]).alias("after"))
-        grown = F.concat(F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))), F.array(longer))
-        apart = (F.size(done) == 0) | (F.try_element_at(done, F.lit(-1))["after"] < span["first"])
-        return F.when(apart, F.concat(done, F.array(span))).otherwise(grown)
 
-    return F.aggregate(F.array_sort(F.flatten(spans)), zero, step)
+def _matched(docs: DataFrame, items: DataFrame, text_col: str, item_id: str, item_text: str, window: int) -> DataFrame:
+    """Packed rows with ``_match``. One pass over the documents per automaton;
+    between passes the rows are written, so that a task runs one Python worker."""
+    found = packed(docs, text_col).withColumn("_match", F.lit(None).cast(f"struct<{MATCH}>"))
+    for k, machine in enumerate(automata(items, item_id, item_text, window)):
+        found = found if k == 0 else stored(found, "benchmark-matches")
+        found = found.withColumn("_match", _matcher(machine, F.col("_0").cast("string"), F.col("_match")))
+    return found
 
 
 def matches(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = WINDOW) -> DataFrame:
@@ -212,13 +226,9 @@ def matches(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id:
     items at all match nothing. Rows keep their number and all other columns;
     columns named n_words, spans or items are replaced.
     """
-    found, names = packed(docs, text_col), []
-    for k, automaton in enumerate(automata(items, item_id, item_text, window)):
-        names.append(f"_match_{k}")
-        found = found.withColumn(names[-1], _matcher(automaton, F.col("_0").cast("string")))
-    spans = F.col(names[0])["spans"] if len(names) == 1 else _merged(F.array(*[F.col(n)["spans"] for n in names]))
-    listed = F.array_sort(F.array_distinct(F.flatten(F.array(*[F.col(n)["items"] for n in names]))))
-    return found.select(*unpacked(docs.columns, **{text_col: F.col("_0")}, n_words=F.col(names[0])["n_words"], spans=spans, items=listed))
+    found = _matched(docs, items, text_col, item_id, item_text, window)
+    part = {c: F.col("_match")[c] for c in ("n_words", "spans", "items")}
+    return found.select(*unpacked(docs.columns, **{text_col: F.col("_0")}, **part))
 
 
 def hit_words(spans: Column) -> Column:
@@ -232,8 +242,7 @@ def decontaminated(docs: DataFrame, items: DataFrame, text_col: str = "text", ma
     first to the last character of their words; one of whose words more than
     ``max_coverage`` are hit goes as a whole. All others stay untouched.
     """
-    found = matches(packed(docs, text_col), items, "_0", window=window).withColumn("_hit", hit_words(F.col("spans")))
-    kept = found.filter(F.col("_hit") <= max_coverage * F.col("n_words"))
-    cut = F.when(F.col("_hit") > max_words, _without(F.col("_0"), F.col("spans"))).otherwise(F.col("_0"))
-    kept = kept.withColumn("_cut", cut)
-    return kept.select(*unpacked(docs.columns, **{text_col: F.col("_cut")}))
+    found = _matched(docs, items, text_col, "item_id", "text", window).withColumn("_hit", hit_words(F.col("_match")["spans"]))
+    kept = found.filter(F.col("_hit") <= max_coverage * F.col("_match")["n_words"])
+    cut = F.when(F.col("_hit") > max_words, F.col("_match")["clean"]).otherwise(F.col("_0"))
+    return kept.select(*unpacked(docs.columns, **{text_col: cut}))

@@ -61,10 +61,10 @@ def statistics(text: str | None) -> list[float]:
 
 
 def _statistics(text: Column) -> Column:
-    @F.pandas_udf("array<double>")
-    def measure(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<double>")
+    def measure(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in texts:
-            yield pd.Series([statistics(t) for t in batch])
+            yield pa.array([statistics(t.as_py()) for t in batch], pa.list_(pa.float64()))
 
     return measure(text)
 

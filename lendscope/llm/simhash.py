@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -56,10 +56,10 @@ def fingerprint(text: str | None, shingle: int) -> int:
 def simhash(text: Column, shingle: int = 3) -> Column:
     """Column of fingerprints (long)."""
 
-    @F.pandas_udf("long")
-    def of(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("long")
+    def of(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in texts:
-            yield pd.Series([fingerprint(t, shingle) for t in batch], dtype="int64")
+            yield pa.array([fingerprint(t.as_py(), shingle) for t in batch], pa.int64())
 
     return of(text)
 
