@@ -22,7 +22,12 @@ MARK = "▁"
 #: A line feed, a word with the markers before it, or markers alone.
 CHUNK = re.compile(rf"\n|{MARK}*[^{MARK}\n]+|{MARK}+")
 #: Bytes of text in a block of documents; a longer document is a block of its own.
-BLOCK_BYTES = 24_000_000
+BLOCK_BYTES = 32_000_000
+#: Numbers below it take one byte when packed, those below ``LARGE`` two.
+SMALL = 128
+LARGE = SMALL + (255 - SMALL) * 256
+#: Compression level of packed columns: disk is scarcer here than CPU time.
+LEVEL = 15
 #: Tables that chunks of a block are dealt to.
 BUCKETS = 64
 
@@ -59,20 +64,37 @@ def segmenter(model: bytes) -> Callable[[list[str]], list[list[int]]]:
     return lambda chunks: [ids[lead:] for ids in sp.encode(["\n" + c for c in chunks], num_threads=1)]
 
 
+def _streams(values: np.ndarray) -> list[np.ndarray]:
+    """Numbers as byte streams: small ones take a byte, middling ones two, others one and four planes."""
+    first = np.where(values < SMALL, values, np.minimum(255, SMALL + ((values - SMALL) >> 8))).astype(np.uint8)
+    middling = (first >= SMALL) & (first < 255)
+    rest = (values[first == 255] - LARGE).astype("<u4").view(np.uint8).reshape(-1, 4)
+    return [first, ((values[middling] - SMALL) & 255).astype(np.uint8), *np.ascontiguousarray(rest.T)]
+
+
 def _pack(values: np.ndarray) -> bytes:
-    """Unsigned numbers by byte planes, compressed."""
-    planes = np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T)
-    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+    """Numbers of 0 to 2**32 - 1, compressed; frequent numbers are best small."""
+    press = zstandard.ZstdCompressor(level=LEVEL)
+    parts = [press.compress(s.tobytes()) for s in _streams(values.astype(np.int64))]
+    return np.array([len(p) for p in parts], dtype="<u4").tobytes() + b"".join(parts)
 
 
 def _unpack(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), dtype=np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(planes.T).view("<u4").reshape(-1)
+    """What ``_pack`` was given, as int64."""
+    sizes = np.frombuffer(data[:24], dtype="<u4").tolist()
+    starts = np.cumsum([24, *sizes]).tolist()
+    opened = [zstandard.ZstdDecompressor().decompress(data[s : s + n]) for s, n in zip(starts, sizes, strict=False)]
+    first, second, *planes = [np.frombuffer(o, dtype=np.uint8) for o in opened]
+    out = first.astype(np.int64)
+    middling = (first >= SMALL) & (first < 255)
+    out[middling] = SMALL + ((out[middling] - SMALL) << 8) + second
+    out[first == 255] = LARGE + sum(p.astype(np.int64) << (8 * k) for k, p in enumerate(planes))
+    return out
 
 
 def _pack_words(words: list[str]) -> bytes:
     """Joined by line feeds; the chunk that is a line feed goes as an empty string."""
-    return zstandard.ZstdCompressor(level=1).compress("\n".join("" if w == "\n" else w for w in words).encode("utf-8", "surrogatepass"))
+    return zstandard.ZstdCompressor(level=LEVEL).compress("\n".join("" if w == "\n" else w for w in words).encode("utf-8", "surrogatepass"))
 
 
 def _unpack_words(data: bytes) -> list[str]:
@@ -171,7 +193,7 @@ def _assemble(model: bytes) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
     """Rows of a block come together, its documents first: ids back to their places, then decoded."""
 
     def finish(head: dict, packs: list[tuple[int, bytes, bytes]], sp, id_type: pa.DataType) -> Iterator[pa.RecordBatch]:
-        counts, flat, bucket = (_unpack(head[k]).astype(np.int64) for k in ("a", "b", "c"))
+        counts, flat, bucket = (_unpack(head[k]) for k in ("a", "b", "c"))
         lengths = np.zeros(len(bucket), dtype=np.int64)
         starts = np.zeros(len(bucket), dtype=np.int64)
         pieces, at = [], 0
