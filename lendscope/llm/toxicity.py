@@ -31,12 +31,14 @@ THREATS = "kill hurt murder destroy stab shoot beat burn töten umbringen verlet
 MAX_LABELLED = 16_000
 #: Letters of the shortest and the longest stem.
 SHORTEST, LONGEST = 4, 9
-#: Documents of the labelled rows that must hold a stem, the odds that it must raise, and stems kept.
-MIN_DOCS, MIN_LIFT, MAX_STEMS = 3, 6.0, 20_000
+#: Toxic documents, and share of them, that must hold a stem; the odds that it must raise; stems kept.
+MIN_DOCS, MIN_SHARE, MIN_LIFT, MAX_STEMS = 3, 0.01, 6.0, 20_000
 #: Pseudo-documents by which a stem leans on the next shorter one.
 LEAN = 1.0
 #: Most that one stem weighs, in log odds.
 MOST = 6.0
+#: Words whose weights a task remembers at once.
+MEMO_WORDS = 100_000
 #: Words after a negator that it governs.
 NEGATION_REACH = 3
 
@@ -117,7 +119,7 @@ class Lexicon:
                 if stem in self.weights:
                     known = max(0.0, self.weights[stem])
                     break
-            if len(self.memo) > 500_000:
+            if len(self.memo) > MEMO_WORDS:
                 self.memo.clear()
             self.memo[word] = known
         return known
@@ -252,7 +254,7 @@ def _weights(counted: pd.DataFrame, toxic: str, clean: str, n_toxic: int, n_clea
         parent = next((rates[bare[:k]] for k in range(len(bare) if stem != bare else len(bare) - 1, SHORTEST - 1, -1) if bare[:k] in rates), None)
         rate = (t + LEAN * (base if parent is None else parent)) / (t + c + LEAN)
         lift = np.log(max(rate, 1e-9) / max(1 - rate, 1e-9)) - offset
-        clear = t >= MIN_DOCS and lift >= np.log(MIN_LIFT)
+        clear = t >= max(MIN_DOCS, MIN_SHARE * n_toxic) and lift >= np.log(MIN_LIFT)
         if clear or parent is not None:
             rates[stem] = rate
             out[stem] = min(float(lift), MOST) if lift >= np.log(MIN_LIFT) else 0.0
@@ -278,7 +280,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", limit: int = M
     toxic = F.col("p1") + F.col("p3")
     lift = (toxic + 0.5) / (F.col("p0") + F.col("p2") + 0.5) * ((n[0][0] + n[1][0]) / (n[0][1] + n[1][1]))
     counted = stored(counted.filter(toxic + F.col("p0") + F.col("p2") >= MIN_DOCS), "toxicity-stems")
-    clear = counted.filter((toxic >= MIN_DOCS) & (lift >= MIN_LIFT)).select(F.substring("stem", 1, SHORTEST).alias("root")).distinct()
+    enough = max(MIN_DOCS, MIN_SHARE * (n[0][1] + n[1][1]))
+    clear = counted.filter((toxic >= enough) & (lift >= MIN_LIFT)).select(F.substring("stem", 1, SHORTEST).alias("root")).distinct()
     kept = counted.withColumn("root", F.substring("stem", 1, SHORTEST)).join(clear, "root", "left_semi")
     kept = kept.orderBy(toxic.desc(), "stem").limit(MAX_STEMS).drop("root").toPandas()
     kept["toxic"], kept["clean"] = kept.p1 + kept.p3, kept.p0 + kept.p2
@@ -290,11 +293,11 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", limit: int = M
 
 
 def _features(text: Column, weights: dict[str, float]) -> Column:
-    @F.pandas_udf("array<double>")
-    def measure(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<double>")
+    def measure(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         lexicon = Lexicon(weights)
         for batch in texts:
-            yield pd.Series([features(t, lexicon) for t in batch])
+            yield pa.array([features(t.as_py(), lexicon) for t in batch], pa.list_(pa.float64()))
 
     return measure(text)
 
@@ -303,12 +306,12 @@ def score(text: Column, model: Model) -> Column:
     """Column of scores between 0 and 1; a NULL or empty text has no match and scores the bias alone."""
     weights, bias, coefficients = model.weights, model.bias, model.coefficients
 
-    @F.pandas_udf("double")
-    def scored(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("double")
+    def scored(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         lexicon = Lexicon(weights)
         for batch in texts:
-            x = np.array([features(t, lexicon) for t in batch]).reshape(-1, len(FEATURES))
-            yield pd.Series(1 / (1 + np.exp(-np.clip(x @ coefficients + bias, -30, 30))))
+            x = np.array([features(t.as_py(), lexicon) for t in batch]).reshape(-1, len(FEATURES))
+            yield pa.array(1 / (1 + np.exp(-np.clip(x @ coefficients + bias, -30, 30))))
 
     return scored(text.cast("string"))
 
