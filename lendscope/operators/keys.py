@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lendscope.sources.workspace import stored
+
 # Buckets are the leading hex digits of md5(business key): 16 ** DIGITS of them.
 DIGITS = 4
 
@@ -25,7 +27,8 @@ def assign_keys(
     every run. Raise ``digits`` so that one bucket fits a task.
     """
     base = start if isinstance(start, Column) else F.lit(start)
-    bucketed = rows.withColumn("_bucket", F.left(F.md5(F.col(business_key)), F.lit(digits)))
+    # written once: the counts and the numbering read it
+    bucketed = stored(rows.withColumn("_bucket", F.left(F.md5(F.col(business_key)), F.lit(digits))), "unnumbered")
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         bucketed.groupBy("_bucket")
