@@ -88,3 +88,12 @@ def test_large_joins_do_not_force_a_broadcast(spark, small):
         assert "BroadcastHashJoin" not in plan(bridge.loan(spark, small))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_landing_rows_are_ranked_not_packed(spark, small):
+    """Newest per key is one window; what is left per task is cut before the shuffle."""
+    from lendscope.plans import etl
+
+    for checked in (etl.checked_customers(bridge.raw_customers(spark, small)), etl.checked_products(bridge.raw_products(spark, small))):
+        text = plan(checked)
+        assert "SortAggregate" not in text and text.count("Exchange hashpartitioning") <= 3
