@@ -65,15 +65,14 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     gone = covered_lines(own, window).select(F.col("doc_id").alias("_gone_id"), F.col("t").alias("_gone_t"), F.col("removed").alias("_gone"))
     gone = stored(gone, "line-covered")
-    rows = packed(docs, text_col).withColumns({"_id": F.col("_row").getField(id_col), "_t": _print("_0")})
+    rows = packed(docs, text_col).withColumn("_id", F.col("_row").getField(id_col))
+    # the lines travel through the join instead of the text, so that they can be picked by number
+    rows = rows.select("_row", "_id", _print("_0").alias("_t"), F.col("_0").isNull().alias("_none"), lines_of(F.col("_0")).alias("_lines"))
     # a shuffle join at every size: how much is removed should not choose the plan
     joined = rows.join(gone.hint("merge"), rows["_id"].eqNullSafe(gone["_gone_id"]) & (rows["_t"] == gone["_gone_t"]), "left")
-    lines = lines_of(F.col("_0"))
-    left = F.filter(lines, lambda line, i: ~F.array_contains("_gone", i))
-    # long lists of line numbers are looked up in a map, short ones scanned
-    index = F.map_from_arrays(F.col("_gone"), F.col("_gone"))
-    left_by_map = F.filter(lines, lambda line, i: ~F.map_contains_key(index, i))
-    kept = F.when(F.size("_gone") <= 32, F.array_join(left, "\n")).otherwise(F.array_join(left_by_map, "\n"))
-    text = F.when(F.col("_gone").isNull(), F.col("_0")).otherwise(kept)
+    numbers = F.sequence(F.lit(0), F.size("_lines") - 1)
+    left = F.transform(F.array_except(numbers, F.col("_gone")), lambda i: F.get(F.col("_lines"), i))
+    kept = F.when(F.col("_gone").isNull(), F.col("_lines")).otherwise(left)
+    text = F.when(~F.col("_none"), F.array_join(kept, "\n"))
     removed = F.coalesce(F.size("_gone"), F.lit(0)).cast("long")
-    return joined.select(*unpacked(docs.columns, **{text_col: text}, n_lines=F.size(lines).cast("long"), n_removed=removed))
+    return joined.select(*unpacked(docs.columns, **{text_col: text}, n_lines=F.size("_lines").cast("long"), n_removed=removed))
