@@ -9,6 +9,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +20,8 @@ from lendscope.sources.workspace import stored
 FEATURES, WIDTH, RIDGE, SEED = 256, 3.0, 1.0, 20240229
 #: The fold of the labelled rows that calibrates; the others but the held-out one are for the ridge.
 CALIBRATION_FOLD = 1
+#: Groups of tasks whose sums are added first.
+LANES = 64
 #: Bins of raw scores that the calibration sees; their number bounds what goes to the driver.
 BINS = 2000
 
@@ -119,17 +122,27 @@ def _sums(fourier: Fourier) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
                 z = fourier.features(_matrix(part.column("x")))
                 y = part.column("y").to_numpy(zero_copy_only=False).astype(float)
                 total += z.T @ np.hstack([z, y[:, None]])
-        yield pa.RecordBatch.from_arrays([pa.array(range(len(total)), pa.int32()), pa.array(list(total), pa.list_(pa.float64()))], names=["i", "row"])
+        lane = pa.array([TaskContext.get().partitionId() % LANES] * len(total), pa.int32())
+        columns = [pa.array(range(len(total)), pa.int32()), lane, pa.array(list(total), pa.list_(pa.float64()))]
+        yield pa.RecordBatch.from_arrays(columns, names=["i", "lane", "row"])
 
     return summed
 
 
+def _added(group: pd.DataFrame) -> pd.DataFrame:
+    first = group[["i", "lane"]].iloc[:1].reset_index(drop=True)
+    return first.assign(row=[np.sum(np.vstack(group["row"].to_numpy()), axis=0)])
+
+
 def normal_equations(rows: DataFrame, fourier: Fourier) -> np.ndarray:
-    """Z'Z and Z'y, summed over partitions; its size does not depend on the data."""
-    parts = rows.mapInArrow(_sums(fourier), "i int, row array<double>")
-    added = parts.groupBy("i").applyInPandas(lambda g: pd.DataFrame({"i": g["i"].iloc[:1], "row": [np.sum(np.vstack(g["row"].to_numpy()), axis=0)]}), "i int, row array<double>")
+    """Z'Z and Z'y, summed within tasks, then lanes of tasks, then over all; the
+    result's size does not depend on the data."""
+    schema = "i int, lane int, row array<double>"
+    parts = rows.mapInArrow(_sums(fourier), schema)
+    for keys in (["i", "lane"], ["i"]):
+        parts = parts.groupBy(*keys).applyInPandas(_added, schema)
     out = np.zeros((FEATURES + 1, FEATURES + 2))
-    for row in added.collect():
+    for row in parts.collect():
         out[row.i] = row.row
     return out
 
