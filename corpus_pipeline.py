@@ -1,4 +1,11 @@
-"""The corpus pipeline: five operators in a row over the documents."""
+"""The corpus pipeline: five operators in a row over the documents.
+
+Every stage takes and returns all columns of its documents, whatever their names
+(the last returns the encoded texts). Rows without an id are documents like any
+other. NULL and empty texts pass the toxicity, line and benchmark stages unchanged;
+the near-copy stage groups them with each other, and one stays. Repeated rows are
+near copies of each other. Of an empty table every stage makes an empty one.
+"""
 
 from __future__ import annotations
 
@@ -12,6 +19,9 @@ from lendscope.llm.common import packed, table, unpacked
 from lendscope.llm.queries import SIMHASH_BITS, SIMHASH_WORDS, TOXIC_FROM, encoded_digests, model_bytes
 from lendscope.sources.workspace import fresh_path
 
+# The stages share their Python workers, so the last one takes smaller blocks.
+PIECE_BLOCK_CHARS = 10_000_000
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score at least ``TOXIC_FROM`` go; the model is learned from the labelled ones."""
@@ -39,7 +49,7 @@ def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of the texts that are left, with digests of the ids and of the text they decode to."""
-    return encoded_digests(pieces.encode_decode(docs, model_bytes()))
+    return encoded_digests(pieces.encode_decode(docs, model_bytes(), block_chars=PIECE_BLOCK_CHARS))
 
 
 def _counted(docs: DataFrame) -> DataFrame:

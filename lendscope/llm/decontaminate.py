@@ -201,7 +201,8 @@ def _matcher(machine: SuffixAutomaton, text: Column, before: Column) -> Column:
                 rows.append({"n_words": len(words), "spans": [{"first": a, "after": b} for a, b in spans], "items": sorted(found), "clean": clean})
             yield pa.array(rows, _MATCH)
 
-    return match(text, before)
+    # else a filter on what was found would run the automaton a second time
+    return match.asNondeterministic()(text, before)
 
 
 def _matched(docs: DataFrame, items: DataFrame, text_col: str, item_id: str, item_text: str, window: int) -> DataFrame:

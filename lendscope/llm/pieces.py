@@ -21,8 +21,9 @@ from lendscope.sources.workspace import stored
 MARK = "▁"
 #: A line feed, a word with the markers before it, or markers alone.
 CHUNK = re.compile(rf"\n|{MARK}*[^{MARK}\n]+|{MARK}+")
-#: Bytes of text in a block of documents; a longer document is a block of its own.
-BLOCK_BYTES = 32_000_000
+#: Characters of a block of documents; a longer document is a block of its own. Larger
+#: blocks share more chunks, smaller ones take less memory (some ten bytes a character).
+BLOCK_CHARS = 32_000_000
 #: Numbers below it take one byte when packed, those below ``LARGE`` two.
 SMALL = 128
 LARGE = SMALL + (255 - SMALL) * 256
@@ -65,17 +66,20 @@ def segmenter(model: bytes) -> Callable[[list[str]], list[list[int]]]:
 
 
 def _streams(values: np.ndarray) -> list[np.ndarray]:
-    """Numbers as byte streams: small ones take a byte, middling ones two, others one and four planes."""
-    first = np.where(values < SMALL, values, np.minimum(255, SMALL + ((values - SMALL) >> 8))).astype(np.uint8)
-    middling = (first >= SMALL) & (first < 255)
-    rest = (values[first == 255] - LARGE).astype("<u4").view(np.uint8).reshape(-1, 4)
-    return [first, ((values[middling] - SMALL) & 255).astype(np.uint8), *np.ascontiguousarray(rest.T)]
+    """Unsigned numbers as byte streams: small ones take a byte, middling ones two, others one and four planes."""
+    values = values.astype(np.uint32, copy=False)
+    rest = values[values >= LARGE] - np.uint32(LARGE)
+    middling = values[(values >= SMALL) & (values < LARGE)] - np.uint32(SMALL)
+    first = np.minimum(values, SMALL).astype(np.uint8)
+    first[values >= LARGE] = 255
+    first[(values >= SMALL) & (values < LARGE)] += (middling >> 8).astype(np.uint8)
+    return [first, (middling & 255).astype(np.uint8), *np.ascontiguousarray(rest.view(np.uint8).reshape(-1, 4).T)]
 
 
 def _pack(values: np.ndarray) -> bytes:
     """Numbers of 0 to 2**32 - 1, compressed; frequent numbers are best small."""
     press = zstandard.ZstdCompressor(level=LEVEL)
-    parts = [press.compress(s.tobytes()) for s in _streams(values.astype(np.int64))]
+    parts = [press.compress(s.tobytes()) for s in _streams(values)]
     return np.array([len(p) for p in parts], dtype="<u4").tobytes() + b"".join(parts)
 
 
@@ -117,7 +121,7 @@ def _rows(rows: list[dict], ids: pa.Array | None, id_type: pa.DataType) -> pa.Re
     return pa.RecordBatch.from_arrays([columns["block"], columns["bucket"], columns["size"], lists, columns["a"], columns["b"], columns["c"]], names=["block", "bucket", "size", "doc_ids", "a", "b", "c"])
 
 
-def _index(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _index(buckets: int, block_chars: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Documents to blocks of chunk numbers and their tables of distinct chunks."""
 
     def finish(ids: list, places: list[np.ndarray], table: dict[str, int], id_type: pa.DataType) -> pa.RecordBatch:
@@ -145,7 +149,7 @@ def _index(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
             id_type = batch.column("doc_id").type
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
                 text = text.as_py() or ""
-                if ids and size + len(text) > BLOCK_BYTES:
+                if ids and size + len(text) > block_chars:
                     yield finish(ids, places, table, id_type)
                     ids, places, table, size = [], [], {}, 0
                 number = table.setdefault
@@ -237,7 +241,14 @@ def _assemble(model: bytes) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
     return assemble
 
 
-def encode_decode(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str = "text", buckets: int | None = None) -> DataFrame:
+def encode_decode(
+    docs: DataFrame,
+    model: bytes,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    buckets: int | None = None,
+    block_chars: int = BLOCK_CHARS,
+) -> DataFrame:
     """One row per row of ``docs``: doc_id, ids (the model's ids of the whole text) and decoded (the text that the ids give back).
 
     The ids are those of the sentencepiece library without begin or end ids and
@@ -256,7 +267,7 @@ def encode_decode(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_co
     own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     id_type = own.schema["doc_id"].dataType.simpleString()
     schema = _BLOCK.format(id=id_type)
-    blocks = stored(own.mapInArrow(_index(buckets), schema), "piece-blocks")
+    blocks = stored(own.mapInArrow(_index(buckets, block_chars), schema), "piece-blocks")
     tables = blocks.filter("bucket >= 0").repartition("bucket").sortWithinPartitions("bucket")
     answers = tables.mapInArrow(_segment(model), schema)
     met = blocks.filter("bucket < 0").unionByName(answers).repartition("block").sortWithinPartitions("block", "bucket")

@@ -211,8 +211,8 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         sketches = []
-        for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-            words = words_of(text or "")
+        for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
+            words = words_of(text.as_py() or "")
             runs = {" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))} if words else {f"id {doc_id}"}
             sketches.append([min(xxhash.xxh64_intdigest(r, seed) >> 1 for r in runs) for seed in (1, 2)])
         columns = [pa.array([s[k] for s in sketches], pa.int64()) for k in (0, 1)]
@@ -229,17 +229,23 @@ def without_copies(rows: DataFrame) -> DataFrame:
     return sketched.drop("s0", "s1")
 
 
+def _counted(counts: dict[int, Counter]) -> Iterator[pa.RecordBatch]:
+    for part, counted in counts.items():
+        columns = [pa.array(counted.keys(), pa.string()), pa.array([part] * len(counted), pa.int32()), pa.array(counted.values(), pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, names=["stem", "part", "n"])
+    counts.clear()
+
+
 def _count_stems(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents by stem, class and half, added up as far as ``MEMO_WORDS`` stems fit."""
     counts: dict[int, Counter] = {}
     for batch in batches:
-        for text, y, half in zip(batch.column("text").to_pylist(), batch.column("y").to_pylist(), batch.column("half").to_pylist(), strict=True):
-            stems = {s for w in set(words_of(text or "")) if len(w) >= SHORTEST for s in stems_of(w)}
+        for text, y, half in zip(batch.column("text"), batch.column("y").to_pylist(), batch.column("half").to_pylist(), strict=True):
+            stems = {s for w in set(words_of(text.as_py() or "")) if len(w) >= SHORTEST for s in stems_of(w)}
             counts.setdefault(2 * half + y, Counter()).update(stems)
-    for part, counted in counts.items():
-        items = list(counted.items())
-        for at in range(0, len(items), 50_000):
-            stems, numbers = zip(*items[at : at + 50_000], strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array(stems), pa.array([part] * len(stems), pa.int32()), pa.array(numbers, pa.int64())], names=["stem", "part", "n"])
+            if sum(map(len, counts.values())) > MEMO_WORDS:
+                yield from _counted(counts)
+    yield from _counted(counts)
 
 
 def _weights(counted: pd.DataFrame, toxic: str, clean: str, n_toxic: int, n_clean: int) -> dict[str, float]:
@@ -286,20 +292,23 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", limit: int = M
     kept = kept.orderBy(toxic.desc(), "stem").limit(MAX_STEMS).drop("root").toPandas()
     kept["toxic"], kept["clean"] = kept.p1 + kept.p3, kept.p0 + kept.p2
     halves = [_weights(kept, f"p{2 * h + 1}", f"p{2 * h}", n[h][1], n[h][0]) for h in (0, 1)]
-    measured = rows.select("y", "half", _features(F.col("text"), halves[1]).alias("x0"), _features(F.col("text"), halves[0]).alias("x1"))
-    measured = measured.select("y", F.when(F.col("half") == 0, F.col("x0")).otherwise(F.col("x1")).alias("x")).collect()
+    # each half is measured with the stems of the other
+    measured = rows.select("y", _features(F.col("text"), F.col("half"), halves[::-1]).alias("x")).collect()
     bias, coefficients = fit_logistic(np.array([r.x for r in measured]), np.array([r.y for r in measured], dtype=float))
     return Model(_weights(kept, "toxic", "clean", n[0][1] + n[1][1], n[0][0] + n[1][0]), bias, coefficients)
 
 
-def _features(text: Column, weights: dict[str, float]) -> Column:
+def _features(text: Column, which: Column, weights: list[dict[str, float]]) -> Column:
+    """Features by the lexicon that ``which`` numbers."""
+
     @F.arrow_udf("array<double>")
-    def measure(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        lexicon = Lexicon(weights)
-        for batch in texts:
-            yield pa.array([features(t.as_py(), lexicon) for t in batch], pa.list_(pa.float64()))
+    def measure(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        lexicons = [Lexicon(w) for w in weights]
+        for texts, numbers in batches:
+            rows = zip(texts, numbers.to_pylist(), strict=True)
+            yield pa.array([features(t.as_py(), lexicons[k]) for t, k in rows], pa.list_(pa.float64()))
 
-    return measure(text)
+    return measure(text, which)
 
 
 def score(text: Column, model: Model) -> Column:

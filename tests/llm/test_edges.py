@@ -80,9 +80,16 @@ def test_pieces(messy, empty, texts, sp):
     assert pieces.encode_decode(empty, model_bytes()).collect() == []
 
 
-def test_pieces_of_many_blocks(messy, texts, sp, monkeypatch):
-    monkeypatch.setattr(pieces, "BLOCK_BYTES", 50)
-    rows = pieces.encode_decode(messy.repartition(3), model_bytes(), buckets=7).collect()
+def test_packed_numbers_come_back():
+    import numpy as np
+
+    values = np.array([0, 1, 127, 128, 383, 384, pieces.LARGE - 1, pieces.LARGE, pieces.LARGE + 1, 2**31, 2**32 - 1] * 3)
+    assert (pieces._unpack(pieces._pack(values)) == values).all()
+    assert len(pieces._unpack(pieces._pack(values[:0]))) == 0
+
+
+def test_pieces_of_many_blocks(messy, texts, sp):
+    rows = pieces.encode_decode(messy.repartition(3), model_bytes(), buckets=7, block_chars=50).collect()
     assert Counter((r.doc_id, tuple(r.ids)) for r in rows) == Counter((i, tuple(sp.encode(t or ""))) for i, t in texts)
 
 
