@@ -8,6 +8,7 @@ Insult stems and the weights of the kinds of matches are learned from labels.
 
 from __future__ import annotations
 
+import functools
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -25,7 +26,16 @@ from lendscope.llm.common import fold
 TARGETS = "you your yours yourself u he him she her they them their du dich dir ihr euch sie er tu toi te vous ils elles tú usted ustedes ellos ellas".split()
 NEGATORS = "not no never nor neither isn't aren't don't doesn't nicht kein keine keinen nie niemals pas jamais aucun ni nunca jamás ningún ninguna".split()
 REPORTERS = "said says saying quoted quote quotes reported reportedly alleged allegedly wrote writes called sagte sagt schrieb zitiert dit écrit cité dijo dice escribió citó".split()
-THREATS = "kill hurt murder destroy stab shoot beat burn töten umbringen verletzen tuer frapper blesser matar golpear herir".split()
+# Threat verbs as stems with the endings of their language; Spanish forms may end in the target.
+_FRENCH = "er|e|ez|ons|ent|ant|ai[st]?|aient|ions|iez|a|èrent|ée?s?|er(?:ai[st]?|as|a|ons|ez|ont|aient|ions|iez)"
+_SPANISH = "ar(?:é|ás|á|emos|éis|án|ía[sn]?)?|o|as?|amos|áis|an|en|é|ó|aste|aron|aba[sn]?|ando|ándo|ad[oa]s?"
+THREATS = re.compile(
+    "(?:(?:kill|hurt|murder|destroy|stabb?|shoot|beat|burn)(?:s|ed|t|en|ing?)?|shot"
+    "|(?:ge)?t(?:ö|oe)t(?:en?|es?t|eten?|etes?t|end)|umbring(?:en?|s?t|end)|umgebracht|umzubringen|umbrachten?|verletz(?:en?|s?t|ten?|tes?t|end)"
+    f"|(?:tu|frapp|bless)(?:{_FRENCH})"
+    f"|(?:(?:mat|golpe)(?:{_SPANISH})|h(?:er|ir)ir(?:é|ás|á|emos|éis|án|ía[sn]?)?|herir|hier(?:o|as?|an|es?|en)|her(?:imos|ís|í|iste|id[oa]s?)|hir(?:ió|ieron|iendo|iéndo))"
+    "(?P<target>te|os|l[aeo]s?)?)"
+)
 
 #: Labelled rows that the fit may use; beyond it, those with the least hashes are taken.
 MAX_LABELLED = 16_000
@@ -42,9 +52,12 @@ MEMO_WORDS = 100_000
 #: Words after a negator that it governs.
 NEGATION_REACH = 3
 
+#: What the machine writes where a target comes after threats: they count from there.
+RELEASE = "release"
+
 PLAIN, TARGETED, NEGATED, REPORTED, THREAT = KINDS = ("plain", "targeted", "negated", "reported", "threat")
 OTHER, TARGET, NEGATOR, REPORTER, INSULT, MENACE = range(6)
-TAGS = {**dict.fromkeys(TARGETS, TARGET), **dict.fromkeys(NEGATORS, NEGATOR), **dict.fromkeys(REPORTERS, REPORTER), **dict.fromkeys(THREATS, MENACE)}
+TAGS = {**dict.fromkeys(TARGETS, TARGET), **dict.fromkeys(NEGATORS, NEGATOR), **dict.fromkeys(REPORTERS, REPORTER)}
 
 WORD = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?")
 CLAUSE = re.compile(r"[^.!?;:\n]+")
@@ -67,18 +80,24 @@ def _countdown(tag: int, reach: int) -> Machine:
     return Machine(tuple(tuple(reach if t == tag else max(0, left - 1) for t in range(6)) for left in range(reach + 1)))
 
 
-def compose() -> tuple[list[list[int]], list[list[str | None]]]:
-    """Next states and outputs of the product of the machines.
+def _pending() -> Machine:
+    """Remembers that a threat waits for its target."""
+    return Machine((tuple(int(t == MENACE) for t in range(6)), tuple(int(t != TARGET) for t in range(6))))
+
+
+def compose() -> tuple[list[list[int]], list[list[str | None]], list[bool]]:
+    """Next states and outputs of the product of the machines, and whether a state holds a target.
 
     The output of an insult or threat depends on what the other machines hold
-    when it comes; a threat without a target says nothing.
+    when it comes. That of a threat counts once the clause has a target, before or
+    after it: a target that finds threats waiting writes ``RELEASE``.
     """
-    machines = (_latch(TARGET), _countdown(NEGATOR, NEGATION_REACH), _latch(REPORTER))
-    states: dict[tuple[int, ...], int] = {(0, 0, 0): 0}
+    machines = (_latch(TARGET), _countdown(NEGATOR, NEGATION_REACH), _latch(REPORTER), _pending())
+    states: dict[tuple[int, ...], int] = {(0, 0, 0, 0): 0}
     steps, outs = [], []
-    queue = [(0, 0, 0)]
+    queue = [(0, 0, 0, 0)]
     for state in queue:
-        target, negated, reported = state
+        target, negated, reported, waiting = state
         row, out = [], []
         for tag in range(6):
             after = tuple(m.step[s][tag] for m, s in zip(machines, state, strict=True))
@@ -87,12 +106,23 @@ def compose() -> tuple[list[list[int]], list[list[str | None]]]:
                 queue.append(after)
             row.append(states[after])
             kind = None
-            if tag == INSULT or (tag == MENACE and target):
+            if tag == TARGET and waiting and not target:
+                kind = RELEASE
+            elif tag in (INSULT, MENACE):
                 kind = NEGATED if negated else REPORTED if reported else THREAT if tag == MENACE else TARGETED if target else PLAIN
             out.append(kind)
         steps.append(row)
         outs.append(out)
-    return steps, outs
+    return steps, outs, [bool(s[0]) for s in queue]
+
+
+@functools.lru_cache(maxsize=MEMO_WORDS)
+def tags_of(word: str) -> tuple[int, ...]:
+    """What the grammar reads in a word: one class, or a threat and its target."""
+    if word in TAGS:
+        return (TAGS[word],)
+    threat = THREATS.fullmatch(word)
+    return (OTHER,) if not threat else (MENACE, TARGET) if threat["target"] else (MENACE,)
 
 
 def words_of(text: str) -> list[str]:
@@ -129,18 +159,35 @@ GRAMMAR = compose()
 
 
 def scored_clauses(text: str, lexicon: Lexicon) -> Iterator[dict[str, float]]:
-    """For each clause with a match: summed weights by kind."""
-    steps, outs = GRAMMAR
+    """For each clause with a match: summed weights by kind.
+
+    A threat word stays one where a learned stem covers it; without a target in its
+    clause it counts as the insult that it was learned as, or not at all.
+    """
+    steps, outs, targeted = GRAMMAR
     for clause in CLAUSE.findall(text.lower()):
-        state, total = 0, None
+        state, total, waiting = 0, None, []
         for word in WORD.findall(clause):
-            weight = lexicon.weight(word)
-            tag = INSULT if weight else TAGS.get(word, OTHER)
-            kind = outs[state][tag]
-            if kind:
+            weight, tags = lexicon.weight(word), tags_of(word)
+            if weight and tags[0] != MENACE:
+                tags = (INSULT,)
+            for tag in tags:
+                kind = outs[state][tag]
+                if kind == RELEASE:
+                    total = total or dict.fromkeys(KINDS, 0.0)
+                    for held, heavy in waiting:
+                        total[held] += heavy or 1.0
+                    waiting = []
+                elif kind and tag == MENACE and not targeted[state]:
+                    waiting.append((kind, weight))
+                elif kind:
+                    total = total or dict.fromkeys(KINDS, 0.0)
+                    total[kind] += weight or 1.0
+                state = steps[state][tag]
+        for held, heavy in waiting:
+            if heavy:
                 total = total or dict.fromkeys(KINDS, 0.0)
-                total[kind] += weight or 1.0
-            state = steps[state][tag]
+                total[PLAIN if held == THREAT else held] += heavy
         if total:
             yield total
 
@@ -152,7 +199,7 @@ def features(text: str | None, lexicon: Lexicon) -> list[float]:
     """What the grammar finds: number and share of matched clauses, the heaviest one, and log sums by kind."""
     text = text or ""
     vocabulary = set(words_of(text))
-    if not any(lexicon.weight(w) or TAGS.get(w) == MENACE for w in vocabulary):
+    if not any(lexicon.weight(w) or tags_of(w)[0] == MENACE for w in vocabulary):
         return [0.0] * len(FEATURES)
     found = list(scored_clauses(text, lexicon))
     if not found:

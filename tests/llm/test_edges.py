@@ -127,6 +127,19 @@ def test_toxicity_grammar_reads_clauses():
     assert kinds("you, I will kill") == [{"threat"}]
 
 
+def test_toxicity_threats_before_and_after_their_target():
+    lexicon = toxicity.Lexicon({"idio": 2.0, "burn": 3.0})
+    sums = lambda text: [{k: v for k, v in c.items() if v} for c in toxicity.scored_clauses(text, lexicon)]
+    for text in ("I will kill you", "we will hurt them", "he killed", "stabbing you", "te mataré", "Voy a matarte", "ich werde dich töten", "on va vous tuer", "they shot"):
+        assert sums(text) == [{"threat": 1.0}], text
+    assert sums("burn her") == sums("you will burn") == [{"threat": 3.0}] and sums("burn it") == [{"plain": 3.0}]
+    assert sums("kill and hurt you") == [{"threat": 2.0}]
+    assert sums("never kill you") == [{"negated": 1.0}] and sums("quote: kill") == sums("the kill. you") == sums("kill it") == []
+    assert sums("reportedly kill idiot you") == [{"reported": 3.0}]
+    for text in ("your skill", "you mate", "bless you", "your stability", "hier sie", "blessed them"):
+        assert sums(text) == [], text
+
+
 def test_toxicity_stem_rules():
     lexicon = toxicity.Lexicon({"lowe": 3.0, "lower$": 0.0})
     assert lexicon.weight("loweisch") == 3.0 and lexicon.weight("lower") == 0.0 and lexicon.weight("low") == 0.0
