@@ -49,6 +49,10 @@ LEAN = 1.0
 MOST = 6.0
 #: Words whose weights a task remembers at once.
 MEMO_WORDS = 100_000
+#: Near copies among the labelled rows share this part of their runs of so many words.
+RUN_WORDS, COPY_SHARE = 5, 0.8
+#: Bands of min-hashes that find them: at that share, one copy in 500 has no band in common.
+BANDS, BAND_HASHES = 12, 4
 #: Words after a negator that it governs.
 NEGATION_REACH = 3
 
@@ -252,28 +256,62 @@ def labelled_rows(docs: DataFrame, labels: DataFrame, label: str, limit: int = M
     return docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(sample), "doc_id")
 
 
-def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Two min-hashes of the three-word runs of each text; an empty text has its own id instead."""
+def runs_of(text: str | None) -> set[str]:
+    """Its runs of ``RUN_WORDS`` words; a shorter text is one run, an empty one has none."""
+    words = words_of(text or "")
+    return {" ".join(words[i : i + RUN_WORDS]) for i in range(max(1, len(words) - RUN_WORDS + 1))} if words else set()
+
+
+def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, doc_id, y, band): the min-hashes of a text's runs, ``BAND_HASHES`` to a band."""
     import xxhash
 
+    draw = np.random.default_rng(5)
+    flips, odd = (draw.integers(0, 2**64, BANDS * BAND_HASHES, dtype=np.uint64) for _ in range(2))
+    odd |= np.uint64(1)
     for batch in batches:
-        sketches = []
-        for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
-            words = words_of(text.as_py() or "")
-            runs = {" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))} if words else {f"id {doc_id}"}
-            sketches.append([min(xxhash.xxh64_intdigest(r, seed) >> 1 for r in runs) for seed in (1, 2)])
-        columns = [pa.array([s[k] for s in sketches], pa.int64()) for k in (0, 1)]
-        yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=[*batch.schema.names, "s0", "s1"])
+        rows, bands = [], []
+        for k, text in enumerate(batch.column("text")):
+            runs = np.fromiter(map(xxhash.xxh64_intdigest, runs_of(text.as_py())), dtype=np.uint64)
+            if len(runs):
+                least = np.array([((runs ^ f) * o).min() for f, o in zip(flips, odd, strict=True)]).reshape(BANDS, BAND_HASHES)
+                rows += [k] * BANDS
+                bands += [f"{n} {xxhash.xxh3_128_hexdigest(x.tobytes())}" for n, x in enumerate(least)]
+        yield pa.RecordBatch.from_arrays([*(batch.column(c).take(pa.array(rows, pa.int64())) for c in ("key", "doc_id", "y")), pa.array(bands, pa.string())], names=["key", "doc_id", "y", "band"])
+
+
+def similar(a: pa.Array, b: pa.Array) -> pa.Array:
+    """Whether two texts share ``COPY_SHARE`` of the runs that either has."""
+    out = []
+    for x, y in zip(a, b, strict=True):
+        one, two = runs_of(x.as_py()), runs_of(y.as_py())
+        out.append(len(one & two) >= COPY_SHARE * len(one | two))
+    return pa.array(out, pa.bool_())
 
 
 def without_copies(rows: DataFrame) -> DataFrame:
-    """Labelled rows that share a min-hash count once, the one with the least id: the words of a
-    text that was copied often would else look like words of its class."""
-    sketched = rows.mapInArrow(_sketch, rows.schema.simpleString()[7:-1].replace(":", " ") + ", s0 long, s1 long")
-    for sketch in ("s0", "s1"):
-        first = F.min_by(F.struct(*sketched.columns), "doc_id").alias("row")
-        sketched = sketched.groupBy(F.col(sketch).alias("by")).agg(first).select("row.*")
-    return sketched.drop("s0", "s1")
+    """Labelled rows without near copies of others of their class: the words of a text that was
+    copied often would else look like words of its class.
+
+    A row goes only if a row of the same class that stays is ``similar`` to it. Rows that share
+    a band are compared with the one of them with the least id.
+    """
+    from lendscope.sources.workspace import stored
+
+    key = F.sha2(F.concat_ws(" ", F.col("doc_id").cast("string"), F.coalesce("text", F.lit(""))).cast("binary"), 256)
+    keyed = stored(rows.withColumn("key", key).dropDuplicates(["key"]), "toxicity-keyed")
+    types = dict(keyed.dtypes)
+    bands = stored(keyed.select("key", "doc_id", "y", "text").mapInArrow(_bands, f"key string, doc_id {types['doc_id']}, y {types['y']}, band string"), "toxicity-bands")
+    first = bands.groupBy("band", "y").agg(F.min(F.struct("doc_id", "key")).alias("f"), F.count("*").alias("n")).filter("n > 1")
+    first = first.select("band", "y", F.col("f.key").alias("first"))
+    pairs = bands.join(F.broadcast(first), ["band", "y"]).filter(F.col("key") != F.col("first")).select("key", "first").distinct()
+    pairs = stored(pairs, "toxicity-pairs")
+    text = keyed.select("key", "text")
+    both = pairs.join(text.withColumnsRenamed({"key": "first", "text": "other"}), "first").join(text, "key")
+    copies = stored(both.filter(F.arrow_udf(similar, "boolean")("text", "other")).select("key", "first"), "toxicity-copies")
+    # at most as many keys as labelled rows
+    gone = copies.join(F.broadcast(copies.select(F.col("key").alias("first")).distinct()), "first", "left_anti").select("key").distinct()
+    return keyed.join(F.broadcast(gone), "key", "left_anti").select(*rows.columns)
 
 
 def _counted(counts: dict[int, Counter]) -> Iterator[pa.RecordBatch]:

@@ -140,6 +140,22 @@ def test_toxicity_threats_before_and_after_their_target():
         assert sums(text) == [], text
 
 
+def test_toxicity_drops_only_near_copies_of_the_same_class(spark):
+    import random
+
+    draw = random.Random(1)
+    prose = lambda n: [f"w{draw.randrange(10**6)}".translate(str.maketrans("0123456789", "abcdefghij")) for _ in range(n)]
+    boiler, base = prose(60), prose(200)
+    one_word = [*base[:100], "other", *base[101:]]
+    insulted = [w for k, x in enumerate(base) for w in ((x, "insult") if k % 4 == 0 else (x,))]
+    rows = [(1, base, 0), (2, base, 0), (3, one_word, 0), (4, base, 1), (5, insulted, 1), (6, insulted, 1)]
+    rows += [(10 + k, boiler + prose(60), k % 2) for k in range(8)] + [(20, base[:3], 0), (21, base[:3], 0), (22, [], 0), (23, [], 1)]
+    frame = spark.createDataFrame([(i, " ".join(words), y, i % 2) for i, words, y in rows], "doc_id long, text string, y int, half int")
+    kept = toxicity.without_copies(frame)
+    assert kept.columns == frame.columns and sorted(r.doc_id for r in kept.collect()) == [1, 4, 5, *range(10, 18), 20, 22, 23]
+    assert toxicity.without_copies(frame.limit(0)).collect() == []
+
+
 def test_toxicity_stem_rules():
     lexicon = toxicity.Lexicon({"lowe": 3.0, "lower$": 0.0})
     assert lexicon.weight("loweisch") == 3.0 and lexicon.weight("lower") == 0.0 and lexicon.weight("low") == 0.0
