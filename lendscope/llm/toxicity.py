@@ -39,10 +39,12 @@ THREATS = re.compile(
 
 #: Labelled rows that the fit may use; beyond it, those with the least hashes are taken.
 MAX_LABELLED = 16_000
-#: Letters of the shortest and the longest stem.
+#: Letters of the shortest and the longest stem; whole words count at any length.
 SHORTEST, LONGEST = 4, 9
-#: Toxic documents, and share of them, that must hold a stem; the odds that it must raise; stems kept.
-MIN_DOCS, MIN_SHARE, MIN_LIFT, MAX_STEMS = 3, 0.01, 6.0, 20_000
+#: Toxic documents that must hold a stem, and the odds that it must raise.
+MIN_DOCS, MIN_LIFT = 3, 6.0
+#: Stems that may pass for clear by chance, of all that are tested.
+CHANCE_STEMS = 1.0
 #: Pseudo-documents by which a stem leans on the next shorter one.
 LEAN = 1.0
 #: Most that one stem weighs, in log odds.
@@ -173,7 +175,7 @@ def scored_clauses(text: str, lexicon: Lexicon) -> Iterator[dict[str, float]]:
         state, total, waiting = 0, None, []
         for word in WORD.findall(clause):
             weight, tags = lexicon.weight(word), tags_of(word)
-            if weight and tags[0] != MENACE:
+            if weight and tags[0] == OTHER:
                 tags = (INSULT,)
             for tag in tags:
                 kind = outs[state][tag]
@@ -326,15 +328,36 @@ def _count_stems(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts: dict[int, Counter] = {}
     for batch in batches:
         for text, y, half in zip(batch.column("text"), batch.column("y").to_pylist(), batch.column("half").to_pylist(), strict=True):
-            stems = {s for w in set(words_of(text.as_py() or "")) if len(w) >= SHORTEST for s in stems_of(w)}
+            stems = {s for w in set(words_of(text.as_py() or "")) if w not in TAGS for s in stems_of(w)}
             counts.setdefault(2 * half + y, Counter()).update(stems)
             if sum(map(len, counts.values())) > MEMO_WORDS:
                 yield from _counted(counts)
     yield from _counted(counts)
 
 
-def _weights(counted: pd.DataFrame, toxic: str, clean: str, n_toxic: int, n_clean: int) -> dict[str, float]:
-    """Log odds of stems, each leaning on the next shorter one; only what lies under a clear stem is kept."""
+def evidence(t: float, c: float, base: float) -> float:
+    """Minus the log of how likely a stem in t toxic and c clean documents has at least t toxic
+    ones by chance (Chernoff's bound; exact where c is 0); 0 where the share is ``base`` or less."""
+    n = t + c
+    if not n or t <= n * base or base >= 1:
+        return 0.0
+    return t * np.log(t / (n * base)) + (c * np.log(c / (n * (1 - base))) if c else 0.0)
+
+
+def _evidence(t: Column, c: Column, base: float) -> Column:
+    """``evidence`` over counts."""
+    n = t + c
+    if base >= 1:
+        return F.lit(0.0)
+    rest = F.when(c > 0, c * F.log(c / (n * (1 - base)))).otherwise(0.0)
+    return F.when(t > n * base, t * F.log(t / (n * base)) + rest).otherwise(0.0)
+
+
+def _weights(counted: pd.DataFrame, toxic: str, clean: str, n_toxic: int, n_clean: int, tested: int) -> dict[str, float]:
+    """Log odds of stems, each leaning on the next shorter one; only what lies under a clear stem is kept.
+
+    A clear stem raises the odds by more than chance does among ``tested`` stems.
+    """
     out: dict[str, float] = {}
     rates: dict[str, float] = {}
     base = n_toxic / max(1, n_toxic + n_clean)
@@ -345,7 +368,7 @@ def _weights(counted: pd.DataFrame, toxic: str, clean: str, n_toxic: int, n_clea
         parent = next((rates[bare[:k]] for k in range(len(bare) if stem != bare else len(bare) - 1, SHORTEST - 1, -1) if bare[:k] in rates), None)
         rate = (t + LEAN * (base if parent is None else parent)) / (t + c + LEAN)
         lift = np.log(max(rate, 1e-9) / max(1 - rate, 1e-9)) - offset
-        clear = t >= max(MIN_DOCS, MIN_SHARE * n_toxic) and lift >= np.log(MIN_LIFT)
+        clear = t >= MIN_DOCS and lift >= np.log(MIN_LIFT) and evidence(t, c, base) >= np.log(max(1, tested) / CHANCE_STEMS)
         if clear or parent is not None:
             rates[stem] = rate
             out[stem] = min(float(lift), MOST) if lift >= np.log(MIN_LIFT) else 0.0
@@ -371,16 +394,19 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", limit: int = M
     toxic = F.col("p1") + F.col("p3")
     lift = (toxic + 0.5) / (F.col("p0") + F.col("p2") + 0.5) * ((n[0][0] + n[1][0]) / (n[0][1] + n[1][1]))
     counted = stored(counted.filter(toxic + F.col("p0") + F.col("p2") >= MIN_DOCS), "toxicity-stems")
-    enough = max(MIN_DOCS, MIN_SHARE * (n[0][1] + n[1][1]))
-    clear = counted.filter((toxic >= enough) & (lift >= MIN_LIFT)).select(F.substring("stem", 1, SHORTEST).alias("root")).distinct()
+    tested = counted.count()
+    clean, base = F.col("p0") + F.col("p2"), (n[0][1] + n[1][1]) / sum(map(sum, n))
+    sure = _evidence(toxic, clean, base) >= float(np.log(max(1, tested) / CHANCE_STEMS))
+    clear = counted.filter((toxic >= MIN_DOCS) & (lift >= MIN_LIFT) & sure).select(F.substring("stem", 1, SHORTEST).alias("root")).distinct()
     kept = counted.withColumn("root", F.substring("stem", 1, SHORTEST)).join(clear, "root", "left_semi")
-    kept = kept.orderBy(toxic.desc(), "stem").limit(MAX_STEMS).drop("root").toPandas()
+    # each is in MIN_DOCS of at most ``limit`` texts
+    kept = kept.drop("root").toPandas()
     kept["toxic"], kept["clean"] = kept.p1 + kept.p3, kept.p0 + kept.p2
-    halves = [_weights(kept, f"p{2 * h + 1}", f"p{2 * h}", n[h][1], n[h][0]) for h in (0, 1)]
+    halves = [_weights(kept, f"p{2 * h + 1}", f"p{2 * h}", n[h][1], n[h][0], tested) for h in (0, 1)]
     # each half is measured with the stems of the other
     measured = rows.select("y", _features(F.col("text"), F.col("half"), halves[::-1]).alias("x")).collect()
     bias, coefficients = fit_logistic(np.array([r.x for r in measured]), np.array([r.y for r in measured], dtype=float))
-    return Model(_weights(kept, "toxic", "clean", n[0][1] + n[1][1], n[0][0] + n[1][0]), bias, coefficients)
+    return Model(_weights(kept, "toxic", "clean", n[0][1] + n[1][1], n[0][0] + n[1][0], tested), bias, coefficients)
 
 
 def _features(text: Column, which: Column, weights: list[dict[str, float]]) -> Column:

@@ -156,6 +156,36 @@ def test_toxicity_drops_only_near_copies_of_the_same_class(spark):
     assert toxicity.without_copies(frame.limit(0)).collect() == []
 
 
+def test_toxicity_learns_many_rare_and_short_insults(spark):
+    import random
+    from zlib import crc32
+
+    draw = random.Random(2)
+    word = lambda n: "".join(draw.choice("bcdfghklmnprstvwz") for _ in range(n))
+    common, insults = [word(7) for _ in range(400)], [word(3) for _ in range(40)] + [word(7) for _ in range(80)]
+    ids = [i for i in range(1, 8000) if crc32(str(i).encode()) % 5][:5400]
+    rows = [(i, draw.choices(common, k=15) + ([insults[k % 120]] if k < 600 else []), int(k < 600)) for k, i in enumerate(ids)]
+    docs = spark.createDataFrame([(i, " ".join(["you", *words])) for i, words, _ in rows], "doc_id long, text string")
+    model = toxicity.fit(docs, spark.createDataFrame([(i, 0, y) for i, _, y in rows], LABELS))
+    lexicon = toxicity.Lexicon(model.weights)
+    assert [w for w in insults if not lexicon.weight(w)] == []
+    assert sum(lexicon.weight(w) > 0 for w in common) <= 2 and not lexicon.weight("you")
+
+
+def test_toxicity_evidence(spark):
+    import math
+
+    from pyspark.sql import functions as F
+
+    cases = [(17, 0, 0.11), (3, 0, 0.5), (30, 20, 0.11), (5, 45, 0.1), (4, 45, 0.1), (0, 9, 0.1), (9, 0, 1.0)]
+    frame = spark.createDataFrame([(i, *c) for i, c in enumerate(cases)], "i int, t long, c long, base double")
+    for i, (t, c, base) in enumerate(cases):
+        own = toxicity.evidence(t, c, base)
+        tail = sum(math.comb(t + c, k) * base**k * (1 - base) ** (t + c - k) for k in range(t, t + c + 1))
+        assert 0 <= own <= -math.log(tail) + 1e-9 and (c or base == 1 or math.isclose(own, -math.log(tail)))
+        assert math.isclose(frame.filter(f"i = {i}").select(toxicity._evidence(F.col("t"), F.col("c"), base)).first()[0], own, abs_tol=1e-9)
+
+
 def test_toxicity_stem_rules():
     lexicon = toxicity.Lexicon({"lowe": 3.0, "lower$": 0.0})
     assert lexicon.weight("loweisch") == 3.0 and lexicon.weight("lower") == 0.0 and lexicon.weight("low") == 0.0
