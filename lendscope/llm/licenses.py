@@ -1,10 +1,12 @@
 """Operator 2: licences by sparse TF-IDF cosine, and by the nearest directory that has one.
 
-DataFrame functions throughout.
+Single notice lines, whole notice blocks and SPDX identifiers. DataFrame functions throughout.
 """
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,10 +45,65 @@ TEMPLATES = (
 )
 
 
+#: Comment lines; with the notice lines they make blocks.
+COMMENT = r"(?i)^\s*(#|//|/?\*|--|;|%|<!--|\.\.\s|rem\b|dnl\b|\"\"\"|''')"
+#: Words and version numbers, which identifiers such as apache-2.0 are split into.
+PART = r"[a-z]+|[0-9]+(?:\.[0-9]+)*"
+SPDX = r"(?i)spdx-license-identifier:([^\n]*)"
+_BREAK = "\u0000"
+
+_GNU = """This {it} is free software: you can redistribute it and/or modify it under the terms of the GNU {name}
+as published by the Free Software Foundation, {version}.
+This {it} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied
+warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {name} for more details.
+You should have received a copy of the GNU {name} along with this {it}. If not, see <https://www.gnu.org/licenses/>."""
+_VERSIONS = ("either version {} of the License, or (at your option) any later version", "version {} of the License")
+
+
+def block_templates() -> list[tuple[str, str]]:
+    """Licence and text: short notices, headers of several lines, first parts of headers, full texts."""
+    full = [(p.stem, p.read_text()) for p in sorted((Path(__file__).parent / "license_texts").glob("*.txt"))]
+    # that licence is the GNU one of version 3 under its own name, with another section 13
+    affero = next(t for k, t in full if k == "GPL-3.0").replace("GENERAL PUBLIC", "AFFERO GENERAL PUBLIC").replace("GNU General Public", "GNU Affero General Public")
+    gnu = [("GPL-2.0", "General Public License", "2"), ("GPL-3.0", "General Public License", "3"), ("LGPL-2.1", "Lesser General Public License", "2.1"), ("LGPL-3.0", "Lesser General Public License", "3"), ("AGPL-3.0", "Affero General Public License", "3")]
+    headers = [(k, _GNU.format(it=it, name=name, version=v.format(n))) for k, name, n in gnu for v in _VERSIONS for it in ("program", "library")]
+    headers += [(k, h.partition("\nThis")[0]) for k, h in headers]
+    apache = """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.
+You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"""
+    rest = """
+Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."""
+    mozilla = """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file,
+You can obtain one at https://mozilla.org/MPL/2.0/."""
+    return [*TEMPLATES, *headers, ("Apache-2.0", apache), ("Apache-2.0", apache + rest), ("MPL-2.0", mozilla), *full, ("AGPL-3.0", affero)]
+
+
 def tokens_of(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(TOKEN), F.lit(0))
 
 
+def parts_of(text: Column) -> Column:
+    """Tokens of blocks; 2.0 is the version 2."""
+    return F.transform(F.regexp_extract_all(F.lower(text), F.lit(PART), F.lit(0)), lambda t: F.regexp_replace(t, r"(\.0)+$", ""))
+
+
+def blocks_of(lines: Column, path: Column) -> Column:
+    """Notice blocks of several lines: runs of comment and notice lines, paragraphs, and the whole of a licence file."""
+    cut = lambda keep: F.split(F.array_join(F.transform(lines, lambda x: F.when(keep(x), x).otherwise(_BREAK)), "\n"), _BREAK)
+    whole_file = F.when(path.rlike(FILE_NAME), F.array(F.array_join(lines, "\n"))).otherwise(F.array().cast("array<string>"))
+    found = F.concat(cut(lambda x: x.rlike(COMMENT) | x.rlike(NOTICE)), cut(lambda x: x != ""), whole_file)
+    return F.array_distinct(F.filter(F.transform(found, lambda x: F.trim(x, F.lit(" \n"))), lambda x: x.contains("\n") & x.rlike(NOTICE)))
+
+
+def identifiers_of(text: Column) -> Column:
+    """Licences that SPDX lines of a text name, in the usual spelling; of an expression all of them."""
+    usual = F.create_map(*[F.lit(x) for k in sorted({k for k, _ in block_templates()}) for x in (k.lower(), k)])
+    names = F.flatten(F.transform(F.regexp_extract_all(text, F.lit(SPDX), F.lit(1)), lambda x: F.split(F.regexp_replace(x, r"(?i)\bwith\s+\S+", " "), r"[^A-Za-z0-9.+:-]+")))
+    names = F.transform(names, lambda x: F.regexp_replace(x, r"(?i)(-only|-or-later|\+|-+>?)$", ""))
+    names = F.filter(names, lambda x: x.rlike("[A-Za-z]") & ~F.lower(x).isin("or", "and", "none", "noassertion"))
+    return F.array_distinct(F.transform(names, lambda x: F.coalesce(F.try_element_at(usual, F.lower(x)), x)))
+
+
 def parent(path: Column) -> Column:
     """The directory of a path; empty at the top."""
     return F.regexp_extract(path, r"(?s)^(.*)/[^/]*$", 1)
@@ -91,10 +148,40 @@ def matched_lines(lines: DataFrame) -> DataFrame:
     return held.join(best, "key").select("line", F.col("b.license").alias("license"), (-F.col("b.c")).alias("cosine"))
 
 
+def matched_blocks(blocks: DataFrame) -> DataFrame:
+    """(line, license, cosine): the best template of each distinct block, if close enough.
+
+    Document frequencies are those of the templates, and a word of none of them has the
+    frequency 0. So a block's vector needs no other block: blocks are dealt out once, as
+    texts, and their words stay in the task.
+    """
+    spark = blocks.sparkSession
+    known = block_templates()
+    templates = spark.createDataFrame([(k, name, text) for k, (name, text) in enumerate(known)], "key int, license string, line string")
+    counted = lambda frame: frame.select("key", F.explode(parts_of(F.col("line"))).alias("token")).groupBy("key", "token").agg(F.count("*").alias("tf"))
+    idf = lambda df: F.log((len(known) + 1) / (df + 1)) + 1
+    frequency = stored(counted(templates).groupBy("token").agg(idf(F.count("*")).alias("idf")), "license-block-terms")
+    weighted = lambda frame: counted(frame).join(F.broadcast(frequency), "token", "left").select("key", "token", (F.col("tf") * F.coalesce("idf", idf(F.lit(0)))).alias("weight"))
+    wanted = weighted(templates)
+    sizes = wanted.groupBy("key").agg(F.sqrt(F.sum(F.col("weight") ** 2)).alias("size"))
+    wanted = wanted.join(sizes, "key").join(templates.drop("line"), "key").select(F.col("key").alias("template"), "license", "token", (F.col("weight") / F.col("size")).alias("part"))
+    wanted = F.broadcast(stored(wanted, "license-block-templates"))  # as many rows as the templates have words
+    held = stored(blocks.select("line").distinct().withColumn("key", F.monotonically_increasing_id()), "license-block-texts")
+    vectors = weighted(held.repartition("key"))
+    norms = vectors.groupBy("key").agg(F.sqrt(F.sum(F.col("weight") ** 2)).alias("norm"))
+    dots = vectors.join(wanted, "token").groupBy("key", "template", "license").agg(F.sum(F.col("weight") * F.col("part")).alias("dot"))
+    scored = dots.join(norms, "key").withColumn("cosine", F.round(F.col("dot") / F.col("norm"), 6)).filter(F.col("cosine") >= LEAST_COSINE)
+    best = scored.groupBy("key").agg(F.min(F.struct((-F.col("cosine")).alias("c"), F.col("license"))).alias("b"))
+    return held.join(best, "key").select("line", F.col("b.license").alias("license"), (-F.col("b.c")).alias("cosine"))
+
+
 def license_scan(files: DataFrame, id_col: str = "doc_id", path_col: str = "path", text_col: str = "text") -> DataFrame:
     """One row per row of ``files``: doc_id, path, license, cosine, origin, from_path.
 
-    Every line that holds licence wording is compared with the templates. origin
+    Every line that holds licence wording is compared with the short templates, and
+    every notice block of several lines (``blocks_of``) with those of headers and full
+    texts; lines of a block that matches do not count by themselves. An SPDX line names
+    its licence, with cosine 1. origin
     is ``header`` where a file's own notice decides (the closest one; ties by
     licence name), ``file`` if that file is a licence file by its name or by the
     share of its text, ``inherited`` where the nearest directory above a file
@@ -105,11 +192,26 @@ def license_scan(files: DataFrame, id_col: str = "doc_id", path_col: str = "path
     """
     own = files.select(F.col(id_col).alias("doc_id"), F.col(path_col).cast("string").alias("path"), whole(F.col(text_col)).alias("text"))
     notices = F.array_distinct(F.filter(F.transform(F.split("text", "\n", -1), lambda x: F.trim(x)), lambda x: x.rlike(NOTICE)))
-    marked = own.select("doc_id", "path", F.length("text").alias("chars"), F.when(F.col("text").rlike(NOTICE), notices).otherwise(F.array().cast("array<string>")).alias("notices"))
+    none, has_notice = F.array().cast("array<string>"), F.col("text").rlike(NOTICE)
+    lines = F.transform(F.split("text", "\n", -1), lambda x: F.rtrim(F.regexp_replace(x, "[\r\u0000]", " ")))
+    marked = own.select(
+        "doc_id", "path", F.length("text").alias("chars"),
+        F.when(has_notice, notices).otherwise(none).alias("notices"),
+        F.when(has_notice, blocks_of(lines, F.coalesce("path", F.lit("")))).otherwise(none).alias("blocks"),
+        F.when(has_notice, identifiers_of(F.col("text"))).otherwise(none).alias("identifiers"),
+    )
     marked = stored(marked, "license-files")
     held = marked.filter(F.size("notices") > 0).select("doc_id", "path", "chars", F.explode("notices").alias("line"))
     matched = stored(matched_lines(held.groupBy("line").agg(F.count("*").alias("n"))), "license-matches")
+    blocks = marked.filter(F.size("blocks") > 0).select("doc_id", "path", "chars", F.explode("blocks").alias("line"))
+    whole_blocks = stored(matched_blocks(blocks), "license-blocks")
+    blocks = stored(blocks.join(whole_blocks, "line"), "license-found-blocks")
+    inside = blocks.select("doc_id", "path", F.explode(F.transform(F.split("line", "\n", -1), lambda x: F.trim(x))).alias("line")).distinct()
+    same = lambda a, b: a["doc_id"].eqNullSafe(b["doc_id"]) & a["path"].eqNullSafe(b["path"]) & (a["line"] == b["line"])
     found = held.join(matched, "line")
+    found = found.join(inside, same(found, inside), "left_anti")
+    named = marked.filter(F.size("identifiers") > 0).select(F.lit("").alias("line"), "doc_id", "path", "chars", F.explode("identifiers").alias("license"), F.lit(1.0).alias("cosine"))
+    found = found.unionByName(blocks).unionByName(named)
     order = F.struct((-F.col("cosine")).alias("c"), F.col("license"))
     per_file = found.groupBy("doc_id", "path", "chars").agg(F.min(order).alias("b"), F.sum(F.length("line")).alias("covered"))
     licensed = per_file.select(

@@ -73,6 +73,24 @@ def test_licenses(spark, empty):
     assert licenses.license_scan(frame.limit(0)).collect() == []
 
 
+def test_licenses_of_blocks_full_texts_and_identifiers(spark):
+    from pathlib import Path
+
+    gnu = "# This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU General Public License as published by\n# the Free Software Foundation, either version {} of the License, or\n# (at your option) any later version.\n\n" + "code = 1\n" * 90
+    full = {p.stem: p.read_text() for p in (Path(licenses.__file__).parent / "license_texts").glob("*.txt")}
+    names = ["Apache-2.0", "GPL-3.0-only", "BSD-3-Clause", "CC-BY-4.0", "LGPL-2.1+", "Zlib", "mit", "GPL-2.0-only WITH Classpath-exception-2.0"]
+    usual = ["Apache-2.0", "GPL-3.0", "BSD-3-Clause", "CC-BY-4.0", "LGPL-2.1", "Zlib", "MIT", "GPL-2.0"]
+    files = [(k, f"s{k}/a.c", f"/* SPDX-License-Identifier: {n} */\nint x;\n" + "x = 2;\n" * 50) for k, n in enumerate(names)]
+    files += [(20, "g2/a.py", gnu.format(2)), (21, "g3/a.py", gnu.format(3)), (22, "g3/b.c", gnu.format(3).replace("# ", "// ")), (23, "p/a.txt", gnu.format(3).replace("# ", ""))]
+    files += [(100 + k, f"f{k}/LICENSE", f"Copyright (c) 2020 Someone\n\n{t}") for k, t in enumerate(full.values())] + [(200 + k, f"f{k}/sub/x.py", "x = 1") for k in range(len(full))]
+    files += [(300, "n/a.c", "// a license of nobody known\n// at all, in several lines\nint x;")]
+    got = {r.doc_id: (r.license, r.origin) for r in licenses.license_scan(spark.createDataFrame(files, "doc_id long, path string, text string")).collect()}
+    assert [got[k] for k in range(len(names))] == [(n, "header") for n in usual]
+    assert [got[k] for k in range(20, 24)] == [("GPL-2.0", "header")] + [("GPL-3.0", "header")] * 3
+    assert [got[100 + k] for k in range(len(full))] == [(n, "file") for n in full] and [got[200 + k] for k in range(len(full))] == [(n, "inherited") for n in full]
+    assert got[300] == (None, None) and len(got) == len(files)
+
+
 def test_pieces(messy, empty, texts, sp):
     rows = pieces.encode_decode(messy, model_bytes()).collect()
     expected = [(i, tuple(sp.encode(t or "")), sp.decode(sp.encode(t or "")) if t else "") for i, t in texts]
