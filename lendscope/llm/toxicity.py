@@ -8,7 +8,6 @@ Insult stems and the weights of the kinds of matches are learned from labels.
 
 from __future__ import annotations
 
-import functools
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -122,7 +121,6 @@ def compose() -> tuple[list[list[int]], list[list[str | None]], list[bool]]:
     return steps, outs, [bool(s[0]) for s in queue]
 
 
-@functools.lru_cache(maxsize=MEMO_WORDS)
 def tags_of(word: str) -> tuple[int, ...]:
     """What the grammar reads in a word: one class, or a threat and its target."""
     if word in TAGS:
@@ -146,6 +144,15 @@ class Lexicon:
 
     weights: dict[str, float]
     memo: dict[str, float] = field(default_factory=dict)
+    tag_memo: dict[str, tuple[int, ...]] = field(default_factory=dict)
+
+    def tags(self, word: str) -> tuple[int, ...]:
+        known = self.tag_memo.get(word)
+        if known is None:
+            if len(self.tag_memo) > MEMO_WORDS:
+                self.tag_memo.clear()
+            known = self.tag_memo[word] = tags_of(word)
+        return known
 
     def weight(self, word: str) -> float:
         known = self.memo.get(word)
@@ -174,7 +181,7 @@ def scored_clauses(text: str, lexicon: Lexicon) -> Iterator[dict[str, float]]:
     for clause in CLAUSE.findall(text.lower()):
         state, total, waiting = 0, None, []
         for word in WORD.findall(clause):
-            weight, tags = lexicon.weight(word), tags_of(word)
+            weight, tags = lexicon.weight(word), lexicon.tags(word)
             if weight and tags[0] == OTHER:
                 tags = (INSULT,)
             for tag in tags:
@@ -205,7 +212,7 @@ def features(text: str | None, lexicon: Lexicon) -> list[float]:
     """What the grammar finds: number and share of matched clauses, the heaviest one, and log sums by kind."""
     text = text or ""
     vocabulary = set(words_of(text))
-    if not any(lexicon.weight(w) or tags_of(w)[0] == MENACE for w in vocabulary):
+    if not any(lexicon.weight(w) or lexicon.tags(w)[0] == MENACE for w in vocabulary):
         return [0.0] * len(FEATURES)
     found = list(scored_clauses(text, lexicon))
     if not found:

@@ -141,7 +141,7 @@ def test_toxicity_grammar_reads_clauses():
     assert kinds("he is not an idiot") == [{"negated"}]
     assert kinds("not now. an idiot") == [{"plain"}]
     assert kinds("she said idiot") == [{"reported"}]
-    assert kinds("I will kill you") == []
+    assert kinds("I will kill you") == [{"threat"}]
     assert kinds("you, I will kill") == [{"threat"}]
 
 
