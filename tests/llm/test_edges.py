@@ -73,6 +73,37 @@ def test_licenses(spark, empty):
     assert licenses.license_scan(frame.limit(0)).collect() == []
 
 
+def test_licenses_by_rows_and_positions(spark):
+    mit, header = "Released under the MIT License.", "# Licensed under the Apache License, Version 2.0.\n# plain remark\n"
+    source = header + "\n" + "x = 1\n" * 28
+    assert 0.25 < (len(header) - 2) / len(source) < 0.35
+    files = [
+        (None, "n/a.py", mit), (None, "n/b.py", "Licensed under the Apache License, Version 2.0."), (None, "n/c.py", "nothing"),
+        (1, "h/x.py", source), (2, "h/y.py", "nothing"), (1, "h/x.py", source),
+        (3, "r/x.py", mit + "\n" + "y" * 45), (3, "r/x.py", mit + "\n" + "y" * 45), (4, "r/y.py", "nothing"),
+        (5, "p/z.py", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software.\n" + "long " * 10_000),
+        (6, "q/z.py", (mit + "\n") * 3_000),
+    ]
+    frame = spark.createDataFrame([(*f, "x", "y") for f in files], "doc_id long, path string, text string, line string, license string")
+    got = bag((r.doc_id, r.path, r.license, r.origin) for r in licenses.license_scan(frame).collect())
+    assert got == Counter(
+        [(None, "n/a.py", "MIT", "file"), (None, "n/b.py", "Apache-2.0", "file"), (None, "n/c.py", "MIT", "inherited")]
+        + 2 * [(1, "h/x.py", "Apache-2.0", "header")] + [(2, "h/y.py", None, None)]
+        + 2 * [(3, "r/x.py", "MIT", "header")] + [(4, "r/y.py", None, None), (5, "p/z.py", "MIT", "header"), (6, "q/z.py", "MIT", "file")]
+    )
+
+
+def test_licenses_named_by_spdx_lines(spark):
+    said = {
+        "MIT": "MIT", "(MIT OR GPL-2.0-only)": "MIT OR GPL-2.0", "Apache-2.0 AND (mit or BSD-3-Clause)": "Apache-2.0 AND (MIT OR BSD-3-Clause)",
+        "GPL-2.0-or-later WITH Classpath-exception-2.0": "GPL-2.0", "MIT */": "MIT", "epl-2.0": "EPL-2.0", "see docs": None, "docs": None, "MIT OR LicenseRef-own": None, "": None,
+    }
+    files = [(k, f"f{k}/x.c", f"/* SPDX-License-Identifier: {v}\n" + "int x;\n" * 30) for k, v in enumerate(said)]
+    files.append((99, "f99/x.c", 'print("SPDX-License-Identifier: see docs")'))
+    got = {r.doc_id: (r.license, r.cosine) for r in licenses.license_scan(spark.createDataFrame(files, "doc_id long, path string, text string")).collect()}
+    assert got == {k: (v, 1.0 if v else None) for k, v in [*enumerate(said.values()), (99, None)]}
+
+
 def test_licenses_of_blocks_full_texts_and_identifiers(spark):
     from pathlib import Path
 
