@@ -71,15 +71,11 @@ _VERSIONS = ("either version {} of the License, or (at your option) any later ve
 
 def known_licenses() -> list[str]:
     """Licences that SPDX lines may name."""
-    return sorted({*SPDX_NAMES, *(k for k, _ in _texts())} - {"Proprietary"})
+    return sorted({*SPDX_NAMES, *(k for k, _ in block_templates())} - {"Proprietary"})
 
 
 def block_templates() -> list[tuple[str, str]]:
-    """Licence and text: short notices, headers of several lines, first parts of headers, full texts, identifiers."""
-    return [*_texts(), *((k, k) for k in known_licenses())]
-
-
-def _texts() -> list[tuple[str, str]]:
+    """Licence and text: short notices, headers of several lines, first parts of headers, full texts."""
     full = [(p.stem, p.read_text()) for p in sorted((Path(__file__).parent / "license_texts").glob("*.txt"))]
     # that licence is the GNU one of version 3 under its own name, with another section 13
     affero = next(t for k, t in full if k == "GPL-3.0").replace("GENERAL PUBLIC", "AFFERO GENERAL PUBLIC").replace("GNU General Public", "GNU Affero General Public")
@@ -202,15 +198,14 @@ def matched_lines(lines: DataFrame) -> DataFrame:
     return best.select("key", F.col("b.license").alias("license"), (-F.col("b.c")).alias("cosine"))
 
 
-def matched_blocks(blocks: DataFrame) -> DataFrame:
+def matched_blocks(blocks: DataFrame, known: list[tuple[str, str]]) -> DataFrame:
     """(key, license, cosine): the best template of each distinct block, if close enough.
 
-    ``blocks`` is (key, line): distinct blocks with their digest. Document frequencies are those of the templates, and a word of none of them has the
+    ``blocks`` is (key, line): distinct blocks with their digest; ``known`` are the templates. Document frequencies are those of the templates, and a word of none of them has the
     frequency 0. So a block's vector needs no other block: blocks are dealt out once, as
     texts, and their words stay in the task.
     """
     spark = blocks.sparkSession
-    known = block_templates()
     templates = spark.createDataFrame([(k, name, text) for k, (name, text) in enumerate(known)], "key int, license string, line string")
     counted = lambda frame: frame.select("key", F.explode(parts_of(F.col("line"))).alias("token")).groupBy("key", "token").agg(F.count("*").alias("tf"))
     idf = lambda df: F.log((len(known) + 1) / (df + 1)) + 1
@@ -260,9 +255,10 @@ def license_scan(files: DataFrame, id_col: str = "doc_id", path_col: str = "path
     lines, blocks, names = placed("notices"), placed("blocks"), placed("identifiers")
     texts = marked.filter(F.size("notices") > 0).select(F.explode(F.array_distinct(F.transform("notices", lambda x: x["line"]))).alias("line")).select(digest, "line")
     matched = stored(matched_lines(texts.groupBy("key").agg(F.first("line").alias("line"), F.count("*").alias("n"))), "license-matches")
-    distinct = blocks.select("key", "line").unionByName(names.select("key", "line")).groupBy("key").agg(F.first("line").alias("line"))
-    whole_blocks = stored(matched_blocks(distinct), "license-blocks")
-    named = names.drop("line").join(whole_blocks.drop("license"), "key").select("row", "first", F.lit(1).alias("size"), F.col("expression").alias("license"), "cosine")
+    distinct = lambda frame: frame.groupBy("key").agg(F.first("line").alias("line"))
+    whole_blocks = stored(matched_blocks(distinct(blocks), block_templates()), "license-blocks")
+    whole_names = stored(matched_blocks(distinct(names), [(k, k) for k in known_licenses()]), "license-names")
+    named = names.drop("line").join(whole_names.drop("license"), "key").select("row", "first", F.lit(1).alias("size"), F.col("expression").alias("license"), "cosine")
     single = stored(lines.drop("line").join(matched, "key").drop("key"), "license-found-lines")
     several = stored(blocks.drop("line").join(whole_blocks, "key").drop("key"), "license-found-blocks")
     inside = several.select("row", "first", "size", "license", "cosine", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("size") - 1)).alias("at"))
