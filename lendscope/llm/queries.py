@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lendscope.llm import decontaminate, exact_dedup, licenses, line_dedup, pieces, quality, simhash, token_counts, toxicity, url_filter
+from lendscope.llm import conversations, decontaminate, exact_dedup, licenses, line_dedup, periodic, pieces, quality, secrets, simhash, token_counts, toxicity, url_filter
 from lendscope.llm.common import fold, sha256, table
 from lendscope.llm.oracles import ORACLES  # noqa: F401
 from lendscope.sources.workspace import fresh_path
@@ -103,6 +103,69 @@ def exact_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Conversations with faults, chosen by a hash of conversation and turn."""
+    said = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    fault = F.crc32(F.concat(said("conv_id"), F.lit(":"), said("turn")).cast("binary")) % 20
+    text = F.when(fault == 1, F.lit("")).when(fault == 2, F.regexp_replace(said("text"), "[.!?]", "")).otherwise(said("text"))
+    role = F.when(fault == 4, F.lit("user")).otherwise(said("role"))
+    copies = F.when(fault == 0, 0).when(fault == 3, 2).otherwise(1)
+    return conversations.select("conv_id", "turn", role.alias("role"), text.alias("text"), copies.alias("copies"))
+
+
+def conversations_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.report(*conversations.repair(damaged(table(spark, sf_dir, "conversations"))))
+
+
+def secrets_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A source is an owner, each of its languages a repository."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
+    found = secrets.secrets(docs, owner_col="source", repository=F.col("lang"))
+    spans = F.col("secrets")
+    number = lambda *kinds: F.size(secrets.of_kind(spans, *kinds)).cast("long")
+    return found.select(
+        "doc_id",
+        *[number(kind).alias(f"n_{kind}") for kind in secrets.BASE],
+        sha256(secrets.spelled(secrets.of_kind(spans, *secrets.BASE))).alias("base_sha256"),
+        secrets.spelled(spans).alias("spans"),
+        F.size(F.filter(spans, lambda s: s["live"])).cast("long").alias("n_live"),
+        F.size(F.filter(spans, lambda s: s["owners"] > secrets.MOST_OWNERS)).cast("long").alias("n_copied"),
+    )
+
+
+def with_periods(docs: DataFrame) -> DataFrame:
+    """Documents of which a tenth, chosen by a hash of the id, repeat a stretch of their words to the end; NULL ids are left."""
+    words = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    hashed = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    chosen = F.coalesce(hashed % 10 == 0, F.lit(False))
+    split = docs.withColumn("_words", F.when(chosen, words)).withColumn("_g", F.floor(hashed / 10))
+    n = F.size("_words")
+    start = (F.col("_g") % n).cast("int")
+    split = split.withColumn("_a", F.when(n > 0, start)).withColumn("_p", F.when(n > 0, F.floor((n - start) / (3 + F.col("_g") % 8)).cast("int") + 1))
+    a, p = F.col("_a"), F.col("_p")
+    place = lambda i: F.when(i < a, i).otherwise(a + (i - a) % p)
+    repeated = F.array_join(F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get("_words", place(i))), " ")
+    return split.withColumn("text", F.when(chosen & (n > 0), repeated).otherwise(F.col("text"))).drop("_words", "_g", "_a", "_p")
+
+
+def periodic_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.periodic_runs(with_periods(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("back"), (-r["period"]).alias("period"))))
+    line = lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    found = found.withColumn("longest", longest)
+    length, period = F.col("longest.length"), -F.col("longest.period")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("longest.back")).alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.floor(1000 * length / period).alias("exponent_milli"),
+        sha256(F.array_join(F.transform("runs", line), "")).alias("runs_sha256"),
+        sha256(F.col("collapsed")).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": quality_query,
     "op2_licenses": licenses_query,
@@ -114,6 +177,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": token_counts_query,
     "op9_simhash": simhash_query,
     "op10_exact_dedup": exact_dedup_query,
+    "op11_conversations": conversations_query,
+    "op12_secrets": secrets_query,
+    "op13_periodic_runs": periodic_query,
 }
 
 
