@@ -160,7 +160,11 @@ FROM w_txnx WHERE txn_date BETWEEN DATE '2001-07-05' AND DATE '2001-07-20' AND s
     "stream_alerts_late": with_views(LIFECYCLE, "w_loan", "w_txn"),
     "stream_daily_disorder": with_views("""SELECT txn_date AS full_date, transaction_type, count(*) AS total_txns,
        count(*) FILTER (WHERE is_anomaly) AS anomaly_count FROM w_txn GROUP BY 1, 2""", "w_txn"),
-    "stream_dedup_disorder": "SELECT DISTINCT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS transaction_id FROM lineitem",
+    "stream_dedup_disorder": """WITH l AS (SELECT CAST(l_shipdate AS DATE) AS d, CASE WHEN l_linenumber <> 7 THEN
+       CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) || '-' || CAST(CAST(l_shipdate AS DATE) AS VARCHAR) END AS transaction_id FROM lineitem),
+came AS (SELECT transaction_id, d FROM l UNION ALL SELECT transaction_id, d FROM l UNION ALL SELECT transaction_id, d + 60 FROM l),
+judged AS (SELECT *, d - lag(d) OVER (PARTITION BY transaction_id ORDER BY d) AS since FROM came)
+SELECT transaction_id, d AS ship_date FROM judged WHERE transaction_id IS NULL OR since IS NULL OR since > 7""",
     "stream_zscore_partial": with_views(f"""SELECT transaction_id, CASE WHEN customer_key % 2 = 0 THEN {rnd('z_score', 6)} ELSE 0 END AS z_score,
        customer_key % 2 = 0 AND z_score > 3.0 AS is_anomaly FROM w_txnx""", "w_txnx"),
     "mon_alert_counts": with_views(f"""WITH {HISTORY}, {checked('history', 6)}, {EVENTS}

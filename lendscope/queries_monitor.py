@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,9 +18,9 @@ from lendscope.sources.schemas import STAGING_COLUMNS
 from lendscope.sources.staging import write_staging
 from lendscope.sources.store import TableStore
 from lendscope.sources.workspace import fresh_path, stored
-from lendscope.streaming import jobs
+from lendscope.streaming import jobs, keyed
 from lendscope.streaming.alerts import AlertLedger
-from lendscope.streaming.ledgers import DailyLedger, DedupLedger, follow
+from lendscope.streaming.ledgers import DailyLedger, follow
 
 POLLS_FROM = dt.date(2000, 7, 31)
 # The default limit of 50 flags a day is not reached on the small scales.
@@ -141,7 +142,7 @@ def stream_daily_disorder(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = jobs.event_stream(spark, f"{path}/slice=*", max_files=1)
     profile = fresh_path(spark, "baseline")
     bridge.stored_baseline(spark, sf_dir).write.parquet(profile)
-    follow(rows, jobs.score_latest(profile, ledger.apply), f"{root}/checkpoint")
+    follow(rows, jobs.score_latest(profile, ledger.of(f"{root}/checkpoint")), f"{root}/checkpoint")
     on_time = F.col("total_txns") - F.col("late_txns")
     late = ledger.late().groupBy(F.col("txn_date").alias("full_date"), "transaction_type").agg(F.count("*").alias("n"))
     both = ledger.daily().join(late, ["full_date", "transaction_type"], "left")
@@ -149,14 +150,21 @@ def stream_daily_disorder(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_dedup_disorder(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The distinct keys of line items that come twice and in any date order."""
-    path, root = _in_disorder(spark, sf_dir, "lineitem", "l_suppkey"), fresh_path(spark, "stream-dedup-ledger")
+    """Line items that come twice in any date order and once more 60 days later, where a repeat
+    is one within seven days; those of the seventh line have no id and stay, each of them."""
+    path, root = _in_disorder(spark, sf_dir, "lineitem", "l_suppkey"), fresh_path(spark, "stream-dedup-keyed")
     schema = bridge.table(spark, sf_dir, "lineitem").schema
-    lines = jobs.file_stream(spark, f"{path}/slice=*", schema, max_files=1).unionByName(jobs.file_stream(spark, f"{path}/slice=*", schema, max_files=2))
-    key = F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string"))
-    ledger = DedupLedger(spark, root, "transaction_id", "l_shipdate", days=36_500)
-    ledger.follow(lines.select(key.alias("transaction_id"), "l_shipdate"), f"{root}/checkpoint")
-    return ledger.rows().select("transaction_id")
+    day = F.col("l_shipdate").cast("date")
+    key = F.concat_ws("-", "l_orderkey", "l_linenumber", day.cast("string"))
+    lines = [
+        jobs.file_stream(spark, f"{path}/slice=*", schema, max_files=files).select(
+            F.when(F.col("l_linenumber") != 7, key).alias("transaction_id"), F.date_add(day, later).alias("ship_date")
+        )
+        for files, later in ((1, 0), (2, 0), (2, 60))
+    ]
+    with keyed.state_settings(spark):
+        kept = keyed.first_per_key(reduce(DataFrame.unionByName, lines), "transaction_id", "ship_date", days=7)
+        return _to_files(spark, kept, "stream-dedup-keyed")
 
 
 def stream_zscore_partial(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import hashlib
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lendscope.operators.dedup import newest_per_key
 from lendscope.plans.monitor import THRESHOLDS, Threshold, alerts, evaluate, with_events
-from lendscope.streaming.ledgers import follow, read_or_none
+from lendscope.streaming.ledgers import follow, read_or_none, run_of
 
 
 class AlertLedger:
@@ -91,5 +89,9 @@ class AlertLedger:
 
     def follow(self, snapshots: DataFrame, checkpoint: str) -> None:
         """Process all available indicator rows of a stream."""
-        self.run = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
-        follow(snapshots, self.apply, checkpoint)
+
+        def apply(batch: DataFrame, batch_id: int) -> None:
+            self.run = run_of(self.spark, checkpoint)
+            self.apply(batch, batch_id)
+
+        follow(snapshots, apply, checkpoint)

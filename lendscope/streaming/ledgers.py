@@ -1,26 +1,26 @@
-"""Streams whose rows come in any order, without losing the late ones.
+"""Daily figures from a stream whose rows come in any order, without losing the late ones.
 
-Both ledgers process micro-batches with ``foreachBatch`` and keep their state as
-tables on shared storage, a folder per batch, so a repeated batch replaces its
-own rows. Nothing is dropped behind a watermark: a late row is marked, kept
+The ledger processes micro-batches with ``foreachBatch`` and keeps its state as tables
+on shared storage. Nothing is dropped behind a watermark: a late row is marked, kept
 aside and still counted.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lendscope.functions.dates import date_lit
 from lendscope.functions.numbers import count_if
-from lendscope.operators.dedup import first_per_key
-from lendscope.sources.star import month_key
 
-MARK = "event_time timestamp_ntz, batch int"
+SUMS = ("total_txns", "anomaly_count", "late_txns")
+STATE = "full_date date, transaction_type string, total_txns long, anomaly_count long, late_txns long, event_time timestamp_ntz, batch long, run string, slot int"
+#: Batches whose late rows lie in folders of their own before they are merged into one.
+CYCLE = 16
 
 
 def read_or_none(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame | None:
@@ -34,6 +34,11 @@ def read_or_none(spark: SparkSession, path: str, schema: str | None = None) -> D
         return None
 
 
+def run_of(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a stream keeps as long as its checkpoint: a new checkpoint is a new run, also at an old path."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+
+
 def follow(stream: DataFrame, apply: Callable[[DataFrame, int], None], checkpoint: str) -> None:
     """Process everything available, batch by batch."""
     writer = stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
@@ -43,72 +48,90 @@ def follow(stream: DataFrame, apply: Callable[[DataFrame, int], None], checkpoin
 class DailyLedger:
     """Transactions and flags per day and type from scored rows in any order.
 
-    A batch adds its own counts; a day's row is the sum over batches. Rows more
-    than ``delay`` behind the latest event of earlier batches are late: they are
-    counted apart and kept in the folder ``late``.
+    Rows more than ``delay`` behind the latest event of earlier batches are late: they are
+    counted with the others, and also apart, and kept in the folder ``late``.
+
+    A run (a checkpoint) owns its folders, so a second stream over the same ledger adds to
+    it. Its state is one small file, the sums of all its batches so far, written in turn
+    to two slots; each batch reads that of the batch before. A repeated batch does
+    so again and replaces its own. What a failed batch left counts for nothing, since readers go by
+    the last state. Late rows lie in a folder per batch for ``CYCLE`` batches; the
+    first batch after those merges them into one.
     """
 
-    def __init__(self, spark: SparkSession, root: str, delay: dt.timedelta = dt.timedelta(hours=1)):
-        self.spark, self.root, self.delay = spark, root.rstrip("/"), delay
+    def __init__(self, spark: SparkSession, root: str, delay: dt.timedelta = dt.timedelta(hours=1), run: str = "0"):
+        self.spark, self.root, self.delay, self.run = spark, root.rstrip("/"), delay, run
 
     def apply(self, batch: DataFrame, batch_id: int) -> None:
-        marks = read_or_none(self.spark, f"{self.root}/marks", MARK)
-        latest = marks.filter(F.col("batch") < batch_id).agg(F.max("event_time")).first()[0] if marks is not None else None
-        is_late = F.lit(False) if latest is None else F.coalesce(F.col("ts") < F.lit(latest - self.delay).cast("timestamp_ntz"), F.lit(False))
+        states = self._states(before=batch_id)
+        mark = states.agg(F.max("event_time").alias("latest"), F.max(F.when(F.col("run") == self.run, F.col("batch"))).alias("last")).first()
+        if mark.last is not None and mark.last // CYCLE < batch_id // CYCLE:
+            self._merge(mark.last // CYCLE)
+        is_late = F.lit(False) if mark.latest is None else F.coalesce(F.col("ts") < F.lit(mark.latest - self.delay).cast("timestamp_ntz"), F.lit(False))
         batch = batch.withColumn("is_late", is_late)
-        self._write(batch.filter("is_late"), "late", batch_id)
+        late = batch.filter("is_late")
+        if late.head(1):
+            slot = batch_id % (2 * CYCLE)
+            late.withColumn("batch", F.lit(batch_id).cast("long")).write.mode("overwrite").parquet(f"{self.root}/late/fresh/run={self.run}/slot={slot}")
         counts = batch.groupBy(F.col("txn_date").alias("full_date"), "transaction_type").agg(
             F.count("*").alias("total_txns"),
             count_if(F.col("is_anomaly")).alias("anomaly_count"),
             count_if(F.col("is_late")).alias("late_txns"),
+            F.max("ts").cast("timestamp_ntz").alias("event_time"),
         )
-        self._write(counts, "counts", batch_id)
-        self._write(batch.agg(F.max("ts").cast("timestamp_ntz").alias("event_time")), "marks", batch_id)
-
-    def _write(self, frame: DataFrame, part: str, batch_id: int) -> None:
-        frame.write.mode("overwrite").parquet(f"{self.root}/{part}/batch={batch_id}")
+        # one row says that there was a batch, also where it had no rows
+        none = self.spark.createDataFrame([(None, None, 0, 0, 0, None)], STATE.partition(", batch")[0])
+        own = states.filter(F.col("run") == self.run).select(*counts.columns)
+        sums = [F.sum(c).alias(c) for c in SUMS]
+        state = own.unionByName(counts).unionByName(none).groupBy("full_date", "transaction_type").agg(*sums, F.max("event_time").alias("event_time"))
+        state = state.withColumn("batch", F.lit(batch_id).cast("long")).coalesce(1)
+        state.write.mode("overwrite").parquet(f"{self.root}/state/run={self.run}/slot={batch_id % 2}")
+
+    def _merge(self, cycle: int) -> None:
+        """The late rows of a closed cycle as one table; done again if the batch that does it is."""
+        fresh = read_or_none(self.spark, f"{self.root}/late/fresh/run={self.run}/slot=*")
+        if fresh is not None:
+            own = fresh.filter(F.col("batch").between(cycle * CYCLE, (cycle + 1) * CYCLE - 1))
+            if own.head(1):
+                own.hint("rebalance").write.mode("overwrite").parquet(f"{self.root}/late/merged/run={self.run}/cycle={cycle}")
+
+    def _states(self, before: int | None = None) -> DataFrame:
+        """The last state of every run; of this one the last before a batch."""
+        states = read_or_none(self.spark, f"{self.root}/state", STATE)
+        if states is None:
+            return self.spark.createDataFrame([], STATE)
+        if before is not None:
+            states = states.filter((F.col("run") != self.run) | (F.col("batch") < before))
+        last = F.broadcast(states.groupBy("run").agg(F.max("batch").alias("batch")))  # a row per checkpoint
+        return states.join(last, ["run", "batch"])
 
     def daily(self) -> DataFrame:
         """A row per day and type: late rows are in ``total_txns`` as well."""
-        sums = [F.sum(c).alias(c) for c in ("total_txns", "anomaly_count", "late_txns")]
-        return self.spark.read.parquet(f"{self.root}/counts").groupBy("full_date", "transaction_type").agg(*sums)
+        return self._states().filter("total_txns > 0").groupBy("full_date", "transaction_type").agg(*[F.sum(c).alias(c) for c in SUMS])
 
     def late(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/late")
+        """The late rows, with their run and batch."""
+        last = F.broadcast(self._states().groupBy("run").agg(F.max("batch").alias("last")))
+        parts = []
+        for part in ("fresh", "merged"):
+            rows = read_or_none(self.spark, f"{self.root}/late/{part}")
+            if rows is not None:
+                rows = rows.withColumn("run", F.col("run").cast("string")).join(last, "run").filter("batch <= last")
+                cycle = F.floor(F.col("batch") / CYCLE)
+                parts.append(rows.filter((cycle == F.floor(F.col("last") / CYCLE)) == F.lit(part == "fresh")).drop("slot", "cycle", "last"))
+        if not parts:
+            raise ValueError(f"no row of {self.root} has been late")
+        return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
     def follow(self, scored: DataFrame, checkpoint: str) -> None:
-        follow(scored, self.apply, checkpoint)
+        """Process all available rows of a stream, as the run of that checkpoint."""
+        follow(scored, self.of(checkpoint), checkpoint)
 
+    def of(self, checkpoint: str) -> Callable[[DataFrame, int], None]:
+        """``apply`` for the stream of a checkpoint."""
 
-class DedupLedger:
-    """The first row of each key, from rows in any order.
+        def apply(batch: DataFrame, batch_id: int) -> None:
+            self.run = run_of(self.spark, checkpoint)
+            self.apply(batch, batch_id)
 
-    A row is a repeat if its key was kept by an earlier batch with an event day
-    within ``days`` of its own. Kept rows lie in folders by event month, and a
-    batch reads the keys of the months around its own days only.
-    """
-
-    def __init__(self, spark: SparkSession, root: str, key: str, time: str, days: int):
-        self.spark, self.root, self.key, self.time, self.days = spark, root.rstrip("/"), key, time, days
-
-    def apply(self, batch: DataFrame, batch_id: int) -> None:
-        batch = batch.withColumn("event_day", F.col(self.time).cast("date"))
-        fresh = first_per_key(batch, [self.key], [self.time])
-        kept = read_or_none(self.spark, f"{self.root}/rows")
-        span = batch.agg(F.min("event_day").alias("low"), F.max("event_day").alias("high")).first()
-        if kept is not None and span.low is not None:
-            reach = dt.timedelta(days=self.days)
-            months = [month_key(date_lit(day)) for day in (span.low - reach, span.high + reach)]
-            near = kept.filter(F.col("event_month").between(*months) & (F.col("batch") != batch_id))
-            seen = near.select(F.col(self.key).alias("_key"), F.col("event_day").alias("_day"))
-            close = F.abs(F.date_diff(F.col("event_day"), F.col("_day"))) <= self.days
-            fresh = fresh.join(seen, (F.col(self.key) == F.col("_key")) & close, "left_anti")
-        placed = fresh.withColumn("event_month", month_key(F.col("event_day"))).hint("rebalance", "event_month")
-        writer = placed.write.mode("overwrite").option("partitionOverwriteMode", "static")
-        writer.partitionBy("event_month").parquet(f"{self.root}/rows/batch={batch_id}")
-
-    def rows(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/rows").drop("batch", "event_day", "event_month")
-
-    def follow(self, stream: DataFrame, checkpoint: str) -> None:
-        follow(stream, self.apply, checkpoint)
+        return apply

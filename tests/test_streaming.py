@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from lendscope.plans import kpi, monitor
 from lendscope.sources import bridge
 from lendscope.sources.bridge import AS_OF, bridge_star
-from lendscope.streaming import jobs
+from lendscope.streaming import jobs, keyed
 from lendscope.streaming.alerts import AlertLedger
-from lendscope.streaming.ledgers import DailyLedger, DedupLedger
+from lendscope.sources.workspace import stored
+from lendscope.streaming.ledgers import CYCLE, DailyLedger
 
 HEADER = "customer_id,first_name,last_name,date_of_birth,gender,email,phone,employment_status,annual_income,credit_score,city,state,country\n"
 
@@ -94,16 +95,86 @@ def test_a_new_baseline_holds_from_the_next_batch_on(spark, small, folder):
     assert seen[0] > 0 and seen[1] == 0
 
 
-def test_dedup_ledger_loses_no_key(spark, folder):
-    days = "DATE '2001-01-01'"
-    rows = spark.range(60).selectExpr("id % 20 AS k", f"date_add({days}, cast(id % 3 as int)) AS d", "id")
-    ledger = DedupLedger(spark, f"{folder}/ledger", "k", "d", days=5)
-    for batch, part in enumerate((rows.filter("id >= 40"), rows.filter("id < 20"), rows, rows.limit(0))):
-        ledger.apply(part, batch)
-    assert sorted(r.k for r in ledger.rows().collect()) == list(range(20))
-    far = rows.limit(3).withColumn("d", F.lit("2005-01-01").cast("date"))
-    ledger.apply(far, 4)
-    assert ledger.rows().count() == 23
+@pytest.mark.parametrize("spread", [False, True])
+def test_repeats_by_keyed_state_do_not_depend_on_batches(spark, folder, spread):
+    rows = [("a", "2001-01-01"), ("a", "2001-01-05"), ("a", "2001-01-09"), (None, "2001-01-09"), (None, "2001-01-09"), ("b", "2001-01-10"), ("b", "2001-01-10"), ("a", "2001-03-01"), ("b", "2001-03-11"), ("c", None), ("c", None)]
+    frame = spark.createDataFrame([(k, dt.date.fromisoformat(d) if d else None, n) for n, (k, d) in enumerate(rows)], "k string, day date, n int")
+    for n in range(len(rows)):
+        put(frame.filter(F.col("n") == n), folder, f"f{n:02}")
+    got = {}
+    for files in (1, 3, 100):
+        stream = jobs.file_stream(spark, f"{folder}/in", frame.schema, max_files=files)
+        with keyed.state_settings(spark):
+            kept = keyed.first_per_key(stream, "k", "day", 7, spread=spread)
+            table = jobs.run_to_files(kept, f"{folder}/out{files}", f"{folder}/cp{files}")
+        assert table.columns == ["k", "day", "n"]
+        got[files] = sorted((r.k or "", str(r.day), r.n) for r in table.collect())
+    first_c = [r for r in got[100] if r[0] == "c"]
+    assert len(first_c) == 1
+    for found in got.values():
+        assert [r[:2] for r in found] == [("", "2001-01-09")] * 2 + [("a", "2001-01-01"), ("a", "2001-01-09"), ("a", "2001-03-01"), ("b", "2001-01-10"), ("b", "2001-03-11"), ("c", "None")]
+
+
+def test_keyed_state_is_freed_and_survives_a_restart(spark, folder):
+    frame = spark.createDataFrame([("a", dt.date(2001, 1, 1), 1)], "k string, day date, n int")
+    settings = spark.conf.get(keyed.PROVIDER, None)
+    for keep, want in ((dt.timedelta(days=1), 1), (dt.timedelta(milliseconds=1), 2)):
+        root = f"{folder}/{want}"
+        for n in range(2):
+            put(frame, root, f"f{n}")
+            with keyed.state_settings(spark):
+                kept = keyed.first_per_key(jobs.file_stream(spark, f"{root}/in", frame.schema), "k", "day", 7, keep)
+                table = jobs.run_to_files(kept, f"{root}/out", f"{root}/cp")
+            time.sleep(0.1)
+        assert table.count() == want
+    assert spark.conf.get(keyed.PROVIDER, None) == settings
+
+
+def scored_rows(spark, small):
+    return bridge_star(spark, small).txn.select("transaction_type", "is_anomaly", "txn_date", F.col("txn_date").cast("timestamp_ntz").alias("ts")).limit(500)
+
+
+def test_two_checkpoints_add_up_in_one_ledger(spark, small, folder):
+    rows = stored(scored_rows(spark, small), "rows")
+    put(rows, folder, "a")
+    for run in ("one", "two"):
+        ledger = DailyLedger(spark, f"{folder}/ledger")
+        ledger.follow(jobs.file_stream(spark, f"{folder}/in", rows.schema), f"{folder}/cp-{run}")
+        ledger.follow(jobs.file_stream(spark, f"{folder}/in", rows.schema), f"{folder}/cp-{run}")
+    assert ledger.daily().agg(F.sum("total_txns")).first()[0] == 2 * rows.count()
+    assert ledger._states().select("run").distinct().count() == 2
+
+
+def test_files_of_the_ledger_stay_bounded(spark, folder):
+    day = "timestamp_ntz'2001-07-01 00:00:00' + make_interval(0, 0, 0, id)"
+    newest = stored(spark.range(60).selectExpr("'SALE' AS transaction_type", "id % 2 = 0 AS is_anomaly", f"cast({day} as date) AS txn_date", f"{day} AS ts", "id"), "rows")
+    ledger, batches = DailyLedger(spark, f"{folder}/ledger"), 2 * CYCLE + 3
+    for b in range(batches):
+        # the second row of each batch is two days behind the first batch's
+        own = newest.filter(F.col("id") == 10 + b % 40).unionByName(newest.filter("id = 1")) if b else newest.filter("id = 59")
+        ledger.apply(own.drop("id"), b)
+        if b in (5, CYCLE, CYCLE + 1):
+            ledger.apply(own.drop("id"), b)
+    sums = ledger.daily().agg(F.sum("total_txns"), F.sum("late_txns")).first()
+    assert tuple(sums) == (1 + 2 * (batches - 1), 2 * (batches - 1))
+    assert ledger.late().count() == 2 * (batches - 1) and ledger.late().select("batch").distinct().count() == batches - 1
+    files = [f for _, _, names in os.walk(f"{folder}/ledger") for f in names if f.endswith(".parquet")]
+    assert len([f for _, _, names in os.walk(f"{folder}/ledger/state") for f in names if f.endswith(".parquet")]) == 2
+    assert len(files) <= 2 + 2 * 2 * CYCLE + batches // CYCLE
+
+
+def test_an_unfinished_batch_counts_for_nothing(spark, folder):
+    rows = spark.range(4).selectExpr("'SALE' AS transaction_type", "true AS is_anomaly", "DATE '2001-07-01' AS txn_date", "timestamp_ntz'2001-07-01 10:00:00' AS ts")
+    old = rows.withColumn("ts", F.expr("timestamp_ntz'2001-06-01 10:00:00'"))
+    ledger = DailyLedger(spark, f"{folder}/ledger")
+    ledger.apply(rows, 0)
+    ledger.apply(old, 1)
+    # the late rows of a third batch are written, its state is not
+    shown = ledger.late().count()
+    old.withColumns({"is_late": F.lit(True), "batch": F.lit(2).cast("long")}).write.parquet(f"{folder}/ledger/late/fresh/run=0/slot=2")
+    assert ledger.late().count() == shown == 4
+    ledger.apply(old, 2)
+    assert ledger.late().count() == 8 and ledger.daily().agg(F.sum("total_txns")).first()[0] == 12
 
 
 def test_restart_goes_on_without_repeats(spark, small, folder):
