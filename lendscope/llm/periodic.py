@@ -31,7 +31,9 @@ SMALLEST_BLOCK = 2
 #: 15 * 2**27 + 1, with 31 as a primitive root; products of two residues fit 64 bits.
 PRIME, ROOT = 2013265921, 31
 #: Numbers transformed at once, unless a single block needs more.
-SLICE = 1 << 20
+SLICE = 1 << 16
+#: Characters of texts whose results are held together.
+HELD_CHARS = 2_000_000
 
 RUN = "array<struct<start:long,length:long,period:long>>"
 
@@ -211,16 +213,21 @@ def kept_words(words: list[str], runs: list[tuple[int, int, int]]) -> list[str]:
 
 
 def _scan(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    run = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64()), ("period", pa.int64())]))
     for texts in batches:
-        sizes, runs, collapsed = [], [], []
-        for text in texts:
+        parts, held, size = [], [], 0
+        for k, text in enumerate(texts):
             words = WORD.findall(text.as_py())
             own = runs_of(words)
-            sizes.append(len(words))
-            runs.append([{"start": s, "length": k, "period": q} for s, k, q in own])
-            collapsed.append(" ".join(kept_words(words, own)))
-        run = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64()), ("period", pa.int64())]))
-        yield pa.StructArray.from_arrays([pa.array(sizes, pa.int64()), pa.array(runs, run), pa.array(collapsed, pa.string())], names=["n_words", "runs", "collapsed"])
+            collapsed = " ".join(kept_words(words, own))
+            held.append((len(words), [{"start": s, "length": n, "period": q} for s, n, q in own], collapsed))
+            size += len(collapsed)
+            if size > HELD_CHARS or k == len(texts) - 1:
+                sizes, runs, collapsed = zip(*held, strict=True)
+                parts.append(pa.StructArray.from_arrays([pa.array(sizes, pa.int64()), pa.array(runs, run), pa.array(collapsed, pa.string())], names=["n_words", "runs", "collapsed"]))
+                held, size = [], 0
+        kind = pa.struct([("n_words", pa.int64()), ("runs", run), ("collapsed", pa.string())])
+        yield pa.concat_arrays(parts) if parts else pa.array([], kind)
 
 
 def periodic_runs(docs: DataFrame, text_col: str = "text") -> DataFrame:
