@@ -194,6 +194,15 @@ SELECT step_name, rows_extracted, rows_extracted - rows_loaded AS rows_rejected,
     "warehouse_two_days": with_views(f"""WITH {KEYED}, {LOANS}
 SELECT f.loan_id, c.customer_id, c.credit_score, p.product_code, r.city, r.state, days_past_due, loan_status
 FROM fact_loan f JOIN dim_customer c USING (customer_key) JOIN dim_product p USING (product_key) JOIN dim_region r ON r.region_key = f.region_key""", *RAW, "r_loans"),
+    "warehouse_deliveries": with_views(f"""WITH {KEYED}, {LOANS}, t AS (SELECT *, CAST(right(trim(transaction_id), 1) AS INT) % 2 = 1 AS odd FROM r_transactions),
+h AS (SELECT true AS odd, trim(customer_id) AS cid, CAST(nullif(amount, '') AS DOUBLE) AS v FROM t WHERE t.odd
+      UNION ALL SELECT false, trim(customer_id), CAST(nullif(amount, '') AS DOUBLE) FROM t),
+s AS (SELECT odd, cid, avg(v) AS av, stddev_samp(v) AS sd FROM h GROUP BY ALL),
+z AS (SELECT trim(t.transaction_id) AS transaction_id, CASE WHEN sd > 0 THEN abs(CAST(nullif(t.amount, '') AS DOUBLE) - av) / sd ELSE 0 END AS z
+      FROM t JOIN dim_customer c ON c.customer_id = trim(t.customer_id) JOIN dim_region r ON r.region_id = {rid('t.city', 't.state')}
+      LEFT JOIN s ON cid = trim(t.customer_id) AND s.odd = t.odd)
+SELECT transaction_id, z > 3.0 AS is_anomaly, {dbl('CAST(round(1 - exp(-z / 3.0), 4) AS DECIMAL(5,4))')} AS anomaly_score,
+       CASE WHEN z > 3.0 THEN 'High-value outlier (Z > 3σ)' END AS anomaly_reason FROM z""", *FACTS),
     "warehouse_rules": with_views(f"""WITH {KEYED}, {LOANS}, {TXNS}, {SPAN},
 n AS (SELECT (SELECT hi - lo + 1 FROM span) AS dim_date, (SELECT count(*) FROM dim_region) AS dim_region, (SELECT count(*) FROM dim_product) AS dim_loan_product,
              (SELECT count(*) FROM dim_customer) AS dim_customer, (SELECT count(*) FROM fact_loan) AS fact_loan, (SELECT count(*) FROM fact_txn) AS fact_transaction),

@@ -165,6 +165,8 @@ FROM w_txnx WHERE txn_date BETWEEN DATE '2001-07-05' AND DATE '2001-07-20' AND s
 came AS (SELECT transaction_id, d FROM l UNION ALL SELECT transaction_id, d FROM l UNION ALL SELECT transaction_id, d + 60 FROM l),
 judged AS (SELECT *, d - lag(d) OVER (PARTITION BY transaction_id ORDER BY d) AS since FROM came)
 SELECT transaction_id, d AS ship_date FROM judged WHERE transaction_id IS NULL OR since IS NULL OR since > 7""",
+    "stream_baseline": with_views(f"""SELECT CAST(customer_key AS VARCHAR) AS customer_id, {rnd('avg(CAST(amount AS DOUBLE))', 6)} AS avg_amount,
+       {rnd('stddev_samp(CAST(amount AS DOUBLE))', 6)} AS sd_amount, count(*) AS n_txn FROM w_txn_base WHERE customer_key IS NOT NULL GROUP BY 1""", "w_txn_base"),
     "stream_zscore_partial": with_views(f"""SELECT transaction_id, CASE WHEN customer_key % 2 = 0 THEN {rnd('z_score', 6)} ELSE 0 END AS z_score,
        customer_key % 2 = 0 AND z_score > 3.0 AS is_anomaly FROM w_txnx""", "w_txnx"),
     "mon_alert_counts": with_views(f"""WITH {HISTORY}, {checked('history', 6)}, {EVENTS}

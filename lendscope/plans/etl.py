@@ -33,6 +33,7 @@ from lendscope.functions.text import (
     to_type,
 )
 from lendscope.operators.dedup import ranked_per_key
+from lendscope.operators.moments import moments, spread
 from lendscope.operators.skew import key_parts, salted_join
 from lendscope.sources.workspace import stored
 
@@ -322,18 +323,26 @@ def checked_loans(
     )
 
 
+def amount_moments(raw: DataFrame, strict: bool = False) -> DataFrame:
+    """Count, mean and spread of the amounts per trimmed customer id, of all landing rows."""
+    amount = to_type(F.col("amount"), "decimal(18,2)", strict)
+    return moments(raw.withColumn("customer_id", F.trim("customer_id")), "customer_id", amount)
+
+
 def checked_transactions(
     raw: DataFrame,
     dim_customer: DataFrame,
     dim_region: DataFrame,
     fact_loan: DataFrame,
     strict: bool = False,
+    baseline: DataFrame | None = None,
 ) -> DataFrame:
     """Scored transactions.
 
-    The baseline is the table handed in, grouped by the trimmed customer id and
-    including the scored row: ``raw`` is the accumulated landing table, as the
-    staging tables are, not a daily file. Rows loaded before keep their score.
+    The baseline of a row's score is its customer's history, the scored row included.
+    ``baseline`` has it as ``amount_moments``, of old batches and this one; then ``raw`` may be
+    a batch by itself. Without one it is taken from ``raw``, which is then the accumulated
+    landing table. Rows loaded before keep their score.
     """
     first = _ranked(raw, "transaction_id", latest=False)
     typed = first.select(
@@ -350,23 +359,16 @@ def checked_transactions(
         is_bad(F.col("transaction_date"), "date").alias("_bad_date"),
         "_repeat",
     )
-    amount = to_type(F.col("amount"), "decimal(18,2)", strict).cast("double")
     # written once: the salting and the join read it
-    stats = stored(
-        raw.select(F.trim("customer_id").alias("customer_id"), amount.alias("_amount"))
-        .filter(F.col("customer_id").isNotNull())
-        .groupBy("customer_id")
-        .agg(
-            F.avg("_amount").alias("avg_amount"), F.stddev_samp("_amount").alias("sd_amount"), F.count("*").alias("n")
-        ),
-        "amount-stats",
-    )
+    own = stored(amount_moments(raw, strict), "amount-moments")
+    stats = own if baseline is None else baseline.join(own.select("customer_id"), "customer_id", "left_semi")
+    stats = stats.select("customer_id", F.col("mean").alias("avg_amount"), spread().alias("sd_amount"))
     known = dim_customer.filter("is_current").select("customer_id", "customer_key")
     # unknown customers stay in, so that their rows are rejected, not lost
     profile = stats.join(known, "customer_id", "left")
-    parts = key_parts(stats, "customer_id", "n")
+    parts = key_parts(own, "customer_id", "rows")
     joined = (
-        salted_join(typed, profile.drop("n"), "customer_id", parts, F.col("transaction_id"), "left")
+        salted_join(typed, profile, "customer_id", parts, F.col("transaction_id"), "left")
         .join(dim_region.select("region_id", "region_key"), "region_id", "left")
         .join(fact_loan.select("loan_id", "loan_key"), "loan_id", "left")
     )

@@ -1,4 +1,4 @@
-"""The whole load: six tables under one new version, published together."""
+"""The whole load: six tables and the rejects, prepared aside and then published in the order of their references."""
 
 from __future__ import annotations
 
@@ -11,19 +11,25 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lendscope.functions.dates import calendar_columns
 from lendscope.functions.numbers import count_if
 from lendscope.functions.text import to_type
+from lendscope.operators.moments import merged
 from lendscope.operators.upsert import insert_ignore, upsert, upsert_folders
 from lendscope.plans import etl
 from lendscope.sources.schemas import RUN_LOG, WAREHOUSE
-from lendscope.sources.store import APPEND, FULL, PATCH, TableStore
+from lendscope.sources.store import TableStore
+from lendscope.sources.workspace import stored
 
 # Load order follows the references between the tables.
 STEPS = ("dim_region", "dim_loan_product", "dim_customer", "fact_loan", "fact_transaction", "dim_date")
-# Versions that readers of a fact put together at most; then it is written whole.
-MOST_PATCHES = 20
+# The stored baseline of the transaction scores, and the deliveries that are in it.
+MOMENTS = "amount_moments"
+MOMENTS_SCHEMA = "customer_id string, rows long, n long, mean double, m2 double, low double, high double, batch string"
+# The month folders of the facts, and the flag that sorts them.
+MONTHS = {"fact_loan": ("issue_month", "is_npl"), "fact_transaction": ("txn_month", "is_anomaly")}
 
 
 def _audit(at: Column, *names: str) -> dict[str, Column]:
@@ -58,37 +64,53 @@ class Load:
     ``raw_transactions`` and ``raw_loan_products``.
 
     A batch may hold new rows only; customers, products and regions of earlier
-    loads are read from the published tables. Transactions are the accumulated
-    landing table (see ``etl.checked_transactions``).
+    loads are read from the published tables. With ``batch``, the name of this
+    delivery, its transactions are new ones as well: they are scored against the published
+    moments of all earlier deliveries, merged with their own, and no old landing
+    row is read. A delivery of one name is merged once, however often it is
+    loaded. Without a name transactions are the accumulated landing table (see
+    ``etl.checked_transactions``). Stay with one of the two.
 
     Every batch is written once after cleansing and read back: the upsert, the
     reject report and the run log use the same stored rows, and a lost executor
     repeats a read, not the cleansing.
     """
 
-    def __init__(self, store: TableStore, landing: dict[str, DataFrame], as_of: dt.date, strict: bool = False):
-        self.store, self.landing, self.as_of, self.strict = store, landing, as_of, strict
-        self.version = store.last_version() + 1
+    def __init__(self, store: TableStore, landing: dict[str, DataFrame], as_of: dt.date, strict: bool = False, batch: str | None = None):
+        self.store, self.landing, self.as_of, self.strict, self.batch = store, landing, as_of, strict, batch
+        self.moments: tuple[DataFrame, str] | None = None
         self.run_id = uuid.uuid4().hex
         self.at = F.lit(str(as_of)).cast("timestamp")
-        self.kinds: dict[str, str] = {}
-        self.patches: dict[str, tuple[str, list[int]]] = {}
+        self.folders: dict[str, str] = {}
         self.staged: dict[str, DataFrame] = {}
+        self.fresh: dict[str, DataFrame] = {}
         self.reject_parts: list[DataFrame] = []
 
-    def run(self) -> int:
-        """All steps, then one commit. Returns the published version."""
-        for step in STEPS:
-            self._logged(step, getattr(self, f"_{step}"))
-        self.store.stage(reduce(DataFrame.unionByName, self.reject_parts), "etl_rejects", self.version)
-        self.kinds["etl_rejects"] = APPEND
-        self.store.commit(self.version, self.kinds, self.patches)
-        return self.version
+    def run(self) -> str:
+        """All steps, then all tables are published. Returns the run's id."""
+        with self.store.writing():
+            for step in STEPS:
+                self._logged(step, getattr(self, f"_{step}"))
+            dropped = stored(reduce(DataFrame.unionByName, self.reject_parts), "rejects")
+            self._publish()
+            self.store.append("etl_rejects", dropped)
+        return self.run_id
+
+    def _publish(self) -> None:
+        """Dimensions, then loans, then transactions: at any moment all references hold. A load that
+        is broken off here is completed by running it again: what is published already stays as it is."""
+        for table, folder in self.folders.items():
+            self.store.show(table, folder, self.staged[table].schema)
+        loans, rows = self.fresh["fact_loan"], self.fresh["fact_transaction"]
+        self.store.overwrite_folders("fact_loan", self._laid_out(loans, "fact_loan"), MONTHS["fact_loan"][0])
+        self.store.append("fact_transaction", self._laid_out(rows, "fact_transaction"), MONTHS["fact_transaction"][0])
+        if self.moments is not None:
+            self.store.show(MOMENTS, self.moments[1], self.moments[0].schema)
 
     # -- steps
 
     def _dim_region(self) -> Counts:
-        checked = self.store.stage(etl.checked_regions(self.landing["raw_customers"]), "_batch/dim_region", self.version)
+        checked = stored(etl.checked_regions(self.landing["raw_customers"]), "batch-dim_region")
         dropped = etl.region_rejects(checked)
         batch = etl.accepted(checked).drop("rows")
         read, loaded = checked.agg(F.sum("rows")).first()[0] or 0, batch.count()
@@ -132,21 +154,29 @@ class Load:
         month = F.floor(F.col("issue_date_key") / 100).cast("int")
         target = self._target("fact_loan", "issue_month", month)
         audit = {"touched": _audit(self.at, "updated_at"), "defaults": _audit(self.at, "created_at", "updated_at")}
-        published = self.store.patches("fact_loan")
-        if not published or published >= MOST_PATCHES:
-            state = upsert(target.drop("issue_month"), batch, ["loan_id"], etl.LOAN_UPDATES, surrogate="loan_key", **audit)
-            self._full("fact_loan", state.withColumn("issue_month", month), "issue_month", "is_npl")
-        else:
-            state, months = upsert_folders(
-                target, batch, ["loan_id"], etl.LOAN_UPDATES, "issue_month", month, surrogate="loan_key", **audit
-            )
-            self._write(state, "fact_loan", "issue_month", "is_npl")
-            self.kinds["fact_loan"] = PATCH
-            self.patches["fact_loan"] = ("issue_month", months)
-            untouched = target.filter(~F.col("issue_month").isin(*months)) if months else target
-            self.staged["fact_loan"] = untouched.unionByName(self.staged["fact_loan"].select(*target.columns))
+        state, months = upsert_folders(
+            target, batch, ["loan_id"], etl.LOAN_UPDATES, "issue_month", month, surrogate="loan_key", **audit
+        )
+        self.fresh["fact_loan"] = stored(state, "fact_loan")
+        untouched = target.filter(~F.col("issue_month").isin(*months)) if months else target
+        self.staged["fact_loan"] = untouched.unionByName(self.fresh["fact_loan"].select(*target.columns))
         return counts
 
+    def _baseline(self) -> DataFrame | None:
+        """The moments of all deliveries so far and this one. The table names the merged ones in
+        rows without a customer, so it and its list are published by one view."""
+        if self.batch is None:
+            return None
+        known = self.store.read_or_empty(MOMENTS, T.StructType.fromDDL(MOMENTS_SCHEMA))
+        own, done = known.filter("batch IS NULL").drop("batch"), known.filter("batch IS NOT NULL")
+        if done.filter(F.col("batch") == self.batch).head(1):
+            return own
+        fresh = stored(etl.amount_moments(self.landing["raw_transactions"], self.strict), "batch-moments")
+        rows = merged(own, fresh, "customer_id").withColumn("batch", F.lit(None).cast("string"))
+        mark = self.store.spark.createDataFrame([(None,) * len(known.columns[:-1]) + (self.batch,)], known.schema)
+        self.moments = self.store.stage(rows.unionByName(done).unionByName(mark), MOMENTS)
+        return self.moments[0].filter("batch IS NULL").drop("batch")
+
     def _fact_transaction(self) -> Counts:
         checked = etl.checked_transactions(
             self.landing["raw_transactions"],
@@ -154,14 +184,14 @@ class Load:
             self.staged["dim_region"],
             self.staged["fact_loan"],
             self.strict,
+            self._baseline(),
         )
         batch, counts = self._batch("fact_transaction", checked, "transaction_id", "raw_transactions")
         target = self._target("fact_transaction")
         # the checked batch has one row per id
         new = insert_ignore(target, batch, ["transaction_id"], None, "txn_key", _audit(self.at, "created_at"))
         month = F.floor(F.col("txn_date_key") / 100).cast("int")
-        self._write(new.withColumn("txn_month", month), "fact_transaction", "txn_month", "is_anomaly")
-        self.kinds["fact_transaction"] = APPEND
+        self.fresh["fact_transaction"] = stored(new.withColumn("txn_month", month), "fact_transaction")
         return counts
 
     def _dim_date(self) -> Counts:
@@ -185,25 +215,23 @@ class Load:
         """Store the checked batch; return its good rows and the counts, which
         come from one column of the stored rows. Every landing row is one of
         them, so read = rejected + loaded."""
-        stored = self.store.stage(checked, f"_batch/{step}", self.version)
-        seen = stored.agg(F.count("*").alias("n"), count_if(F.col("reject_reason").isNotNull()).alias("bad")).first()
+        held = stored(checked, f"batch-{step}")
+        seen = held.agg(F.count("*").alias("n"), count_if(F.col("reject_reason").isNotNull()).alias("bad")).first()
         read = self.landing[source].agg(F.count("*")).first()[0]
         if read != seen.n:
             raise ValueError(f"{step}: {read} landing rows, {seen.n} checked ones")
-        self.reject_parts.append(etl.rejects(stored, step, row_id))
-        return etl.accepted(stored), Counts(read, seen.bad, seen.n - seen.bad)
+        self.reject_parts.append(etl.rejects(held, step, row_id))
+        return etl.accepted(held), Counts(read, seen.bad, seen.n - seen.bad)
 
-    def _write(self, frame: DataFrame, table: str, month: str | None = None, flag: str | None = None) -> None:
+    def _laid_out(self, frame: DataFrame, table: str) -> DataFrame:
         """Facts go to month folders, sorted by their flag so that readers of
         flagged rows skip row groups. Rebalancing by month gives few files per
         folder and splits a month that is too large for one task."""
-        if month:
-            frame = frame.hint("rebalance", month).sortWithinPartitions(month, flag)
-        self.staged[table] = self.store.stage(frame, table, self.version, (month,) if month else ())
+        month, flag = MONTHS[table]
+        return frame.hint("rebalance", month).sortWithinPartitions(month, flag)
 
-    def _full(self, table: str, state: DataFrame, month: str | None = None, flag: str | None = None) -> None:
-        self.kinds[table] = FULL
-        self._write(state, table, month, flag)
+    def _full(self, table: str, state: DataFrame) -> None:
+        self.staged[table], self.folders[table] = self.store.stage(state, table)
 
     def _logged(self, step: str, work: Callable[[], Counts]) -> None:
         started = time.monotonic()

@@ -20,7 +20,7 @@ from lendscope.sources.store import TableStore
 from lendscope.sources.workspace import fresh_path, stored
 from lendscope.streaming import jobs, keyed
 from lendscope.streaming.alerts import AlertLedger
-from lendscope.streaming.ledgers import DailyLedger, follow
+from lendscope.streaming.ledgers import BaselineLedger, DailyLedger, follow
 
 POLLS_FROM = dt.date(2000, 7, 31)
 # The default limit of 50 flags a day is not reached on the small scales.
@@ -167,6 +167,16 @@ def stream_dedup_disorder(spark: SparkSession, sf_dir: str) -> DataFrame:
         return _to_files(spark, kept, "stream-dedup-keyed")
 
 
+def stream_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean and deviation per customer, kept up batch by batch in any date order."""
+    path, root = _in_disorder(spark, sf_dir, "events", "event_id"), fresh_path(spark, "stream-baseline")
+    ledger = BaselineLedger(spark, f"{root}/ledger")
+    rows = bridge.transactions_of(jobs.event_stream(spark, f"{path}/slice=*", max_files=1))
+    ledger.follow(rows.select(F.col("customer_key").cast("string").alias("customer_id"), "amount"), f"{root}/checkpoint")
+    mean, deviation = half_up(F.col("avg_amount"), 6), half_up(F.col("sd_amount"), 6)
+    return ledger.baseline().select("customer_id", mean.alias("avg_amount"), deviation.alias("sd_amount"), "n_txn")
+
+
 def stream_zscore_partial(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores where only the customers with an even key have statistics; the others score 0."""
     stats = bridge.customer_stats(bridge.table(spark, sf_dir, "events")).filter("customer_key % 2 = 0")
@@ -250,6 +260,7 @@ QUERIES = {
     "stream_daily_disorder": stream_daily_disorder,
     "stream_dedup_disorder": stream_dedup_disorder,
     "stream_zscore_partial": stream_zscore_partial,
+    "stream_baseline": stream_baseline,
     "rpt_kpi_summary": _star(reports.kpi_summary, AS_OF),
     "rpt_default_trend": _star(reports.default_trend),
     "rpt_par30_90d": _star(reports.par30_recent),

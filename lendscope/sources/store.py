@@ -1,146 +1,99 @@
-"""Published table versions: write aside, then commit; readers see old or new.
+"""Published tables: files written by Spark, shown through views of the catalog.
 
-Each version of a table is its own folder. A commit is one folder named by its
-version that names the new folders of all tables of a load, so several tables
-change at the same moment. A lost executor or a failed load leaves only folders
-nobody reads. Of two writers that start from the same version one fails.
+A table that is replaced as a whole is written to a new folder, and its view is switched to
+it last; readers see the old rows or the new ones. Facts lie in month folders of one
+place: Spark's dynamic overwrite replaces the months that a load touches and leaves the
+others. One writer at a time: who begins creates a view that the catalog grants only once.
+
+The views live as long as the catalog: with a metastore they outlast the session.
 """
 
 from __future__ import annotations
 
-import json
+import hashlib
 import uuid
-from functools import reduce
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
-from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType, TimestampType
-
-# FULL replaces a table, APPEND adds rows, PATCH replaces the folders it names.
-FULL, APPEND, PATCH = "full", "append", "patch"
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
-COMMIT = StructType(
-    [
-        StructField("table_name", StringType()),
-        StructField("version", IntegerType()),
-        StructField("kind", StringType()),
-        StructField("run", StringType()),
-        StructField("schema_json", StringType()),
-        StructField("folder_column", StringType()),
-        StructField("folders", ArrayType(IntegerType())),
-        StructField("committed_at", TimestampType()),
-    ]
-)
+WRITER = "writer"
 
 
-class CommitConflict(RuntimeError):
-    """Another writer has published this version."""
+class WriterBusy(RuntimeError):
+    """Another writer has begun and not ended."""
 
 
 class TableStore:
-    """Tables under one root folder on shared storage."""
-
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark = spark
-        self.root = root.rstrip("/")
-        self.run = uuid.uuid4().hex
-        self._staged: dict[tuple[str, int], StructType] = {}
-
-    def path(self, table: str, version: int, run: str | None = None) -> str:
-        """The folder holds the run, so two writers of a version never share one."""
-        return f"{self.root}/{table}/v{version}-{run or self.run}"
-
-    def stage(
-        self, frame: DataFrame, table: str, version: int, partition_by: tuple[str, ...] = ()
-    ) -> DataFrame:
-        """Write an uncommitted version and return it as read back."""
-        # static: what a failed earlier attempt left under this version goes
-        writer = frame.write.mode("overwrite").option("partitionOverwriteMode", "static")
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        writer.parquet(self.path(table, version))
-        # an empty partitioned table has no file to take the schema from
-        self._staged[table, version] = frame.schema
-        return self.spark.read.schema(frame.schema).parquet(self.path(table, version))
-
-    def commit(
-        self, version: int, kinds: dict[str, str], patches: dict[str, tuple[str, list[int]]] | None = None
-    ) -> None:
-        """Publish the staged ``version`` of the tables named in ``kinds``.
-
-        ``patches`` names, for tables of kind PATCH, the folder column and the
-        folders whose rows this version replaces. Raises ``CommitConflict`` if
-        another writer has published the version.
+    """Tables under one root folder on shared storage, shown in one database."""
+
+    def __init__(self, spark: SparkSession, root: str, database: str | None = None):
+        self.spark, self.root = spark, root.rstrip("/")
+        self.database = database or "lendscope_" + hashlib.sha256(self.root.encode()).hexdigest()[:16]
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.database}` LOCATION '{self.root}'")
+
+    def _view(self, table: str) -> str:
+        return f"`{self.database}`.`{table}`"
+
+    @contextmanager
+    def writing(self) -> Iterator[None]:
+        """Only one writer is between these lines; a second one gets ``WriterBusy`` before it does anything.
+
+        A writer that died leaves its mark: ``unlock`` once it is known to be dead.
         """
-        patches = patches or {}
-        rows = [
-            (table, version, kind, self.run, self._staged[table, version].json(), *patches.get(table, (None, None)))
-            for table, kind in kinds.items()
-        ]
-        layout = StructType(COMMIT.fields[:-1])
-        entry = self.spark.createDataFrame(rows, layout).withColumn("committed_at", F.current_timestamp())
+        run = uuid.uuid4().hex
         try:
-            entry.coalesce(1).write.mode("errorifexists").parquet(f"{self.root}/_commits/v{version}")
+            self.spark.sql(f"CREATE VIEW {self._view(WRITER)} AS SELECT '{run}' AS run")
         except AnalysisException as problem:
-            if problem.getCondition() != "PATH_ALREADY_EXISTS":
+            if problem.getCondition() != "TABLE_OR_VIEW_ALREADY_EXISTS":
                 raise
-            raise CommitConflict(f"version {version} of {self.root} is published already") from problem
-        # both may have seen the folder missing: the least run has won, for readers as well
-        winner = self.commits().filter(F.col("version") == version).agg(F.min("run")).first()[0]
-        if winner != self.run:
-            raise CommitConflict(f"version {version} of {self.root} went to another writer")
-
-    def commits(self) -> DataFrame:
-        """The commit history; empty before the first commit."""
+            raise WriterBusy(f"another writer is at work on {self.root}; see the view {self.database}.{WRITER}") from problem
         try:
-            entries = self.spark.read.schema(COMMIT).parquet(f"{self.root}/_commits/*")
+            yield
+        finally:
+            self.unlock()
+
+    def unlock(self) -> None:
+        self.spark.sql(f"DROP VIEW IF EXISTS {self._view(WRITER)}")
+
+    def stage(self, frame: DataFrame, table: str) -> tuple[DataFrame, str]:
+        """The rows that are to replace a table, as read back, and the folder they lie in. Nobody sees them before ``show``."""
+        folder = f"{self.root}/{table}/{uuid.uuid4().hex}"
+        frame.write.parquet(folder)
+        return self.spark.read.schema(frame.schema).parquet(folder), folder
+
+    def show(self, table: str, folder: str, schema: StructType) -> None:
+        """Switch the view of a table to a folder."""
+        try:
+            self.spark.read.parquet(folder)
+            rows = f"SELECT * FROM parquet.`{folder}`"
         except AnalysisException as problem:
-            if problem.getCondition() != "PATH_NOT_FOUND":
+            # a table in month folders that has no rows has no files either
+            if problem.getCondition() not in ("UNABLE_TO_INFER_SCHEMA", "PATH_NOT_FOUND"):
                 raise
-            return self.spark.createDataFrame([], COMMIT)
-        winner = F.min("run").over(Window.partitionBy("version"))
-        return entries.withColumn("_winner", winner).filter(F.col("run") == F.col("_winner")).drop("_winner")
-
-    def last_version(self) -> int:
-        """0 before the first commit."""
-        row = self.commits().agg(F.max("version").alias("v")).first()
-        return row.v or 0
-
-    def parts(self, table: str) -> list:
-        """Commit rows of the published state: the last full version and every
-        one after it."""
-        log = self.commits().filter(F.col("table_name") == table)
-        base = log.filter(F.col("kind") == FULL).agg(F.max("version")).scalar()
-        return log.filter(F.col("version") >= F.coalesce(base, F.lit(0))).orderBy("version").collect()
+            columns = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema)
+            rows = f"SELECT {columns} WHERE false"
+        self.spark.sql(f"CREATE OR REPLACE VIEW {self._view(table)} AS {rows}")
 
-    def exists(self, table: str) -> bool:
-        return bool(self.parts(table))
+    def overwrite_folders(self, table: str, frame: DataFrame, folder: str) -> None:
+        """Replace the folders that ``frame`` has rows for; all others keep their files."""
+        writer = frame.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(folder).parquet(f"{self.root}/{table}")
+        self.show(table, f"{self.root}/{table}", frame.schema)
+
+    def append(self, table: str, frame: DataFrame, *folders: str) -> None:
+        frame.write.mode("append").partitionBy(*folders).parquet(f"{self.root}/{table}")
+        self.show(table, f"{self.root}/{table}", frame.schema)
 
-    def patches(self, table: str) -> int:
-        """Versions that readers of the table have to put together."""
-        return len(self.parts(table))
+    def exists(self, table: str) -> bool:
+        return self.spark.catalog.tableExists(f"{self.database}.{table}")
 
     def read(self, table: str) -> DataFrame:
-        """The published rows. A folder that a later version replaced is not
-        opened in the earlier one."""
-        parts = self.parts(table)
-        if not parts:
+        if not self.exists(table):
             raise ValueError(f"table {table} was never published under {self.root}")
-        schema = StructType.fromJson(json.loads(parts[-1].schema_json))
-        replaced: set[int] = set()
-        groups: list[tuple[frozenset[int], str | None, list[str]]] = []
-        for part in reversed(parts):
-            hidden = frozenset(replaced)
-            if not groups or groups[-1][0] != hidden:
-                groups.append((hidden, next((p.folder_column for p in parts if p.folder_column), None), []))
-            groups[-1][2].append(self.path(table, part.version, part.run))
-            replaced |= set(part.folders or ())
-        frames = []
-        for hidden, column, paths in groups:
-            frame = self.spark.read.schema(schema).parquet(*paths)
-            frames.append(frame.filter(~F.col(column).isin(*sorted(hidden))) if hidden else frame)
-        return reduce(DataFrame.unionByName, frames)
+        return self.spark.table(self._view(table))
 
     def read_or_empty(self, table: str, schema: StructType) -> DataFrame:
         return self.read(table) if self.exists(table) else self.spark.createDataFrame([], schema)

@@ -1,6 +1,6 @@
-"""Daily figures from a stream whose rows come in any order, without losing the late ones.
+"""Daily figures and baselines from a stream whose rows come in any order, without losing the late ones.
 
-The ledger processes micro-batches with ``foreachBatch`` and keeps its state as tables
+The ledgers process micro-batches with ``foreachBatch`` and keep their state as tables
 on shared storage. Nothing is dropped behind a watermark: a late row is marked, kept
 aside and still counted.
 """
@@ -10,12 +10,14 @@ from __future__ import annotations
 import datetime as dt
 import json
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lendscope.functions.numbers import count_if
+from lendscope.operators.moments import merged, moments, spread
 
 SUMS = ("total_txns", "anomaly_count", "late_txns")
 STATE = "full_date date, transaction_type string, total_txns long, anomaly_count long, late_txns long, event_time timestamp_ntz, batch long, run string, slot int"
@@ -135,3 +137,54 @@ class DailyLedger:
             self.apply(batch, batch_id)
 
         return apply
+
+
+BASELINE = "customer_id string, rows long, n long, mean double, m2 double, low double, high double, batch long, run string, slot int"
+
+
+class BaselineLedger:
+    """The moments of the amounts per customer, kept up with a stream.
+
+    A batch is summed up by itself and merged into the moments of the batch before; no old
+    row is read. Runs and slots are those of ``DailyLedger``; a batch counts once its mark is
+    written, which is the last file it writes.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, run: str = "0"):
+        self.spark, self.root, self.run = spark, root.rstrip("/"), run
+
+    def apply(self, batch: DataFrame, batch_id: int) -> None:
+        """``batch`` has customer_id and amount."""
+        own = self._moments(before=batch_id).filter(F.col("run") == self.run)
+        slot = f"run={self.run}/slot={batch_id % 2}"
+        number = F.lit(batch_id).cast("long").alias("batch")
+        both = merged(own, moments(batch, "customer_id", F.col("amount")), "customer_id")
+        both.select("*", number).write.mode("overwrite").parquet(f"{self.root}/moments/{slot}")
+        self.spark.range(1).select(number).coalesce(1).write.mode("overwrite").parquet(f"{self.root}/marks/{slot}")
+
+    def _moments(self, before: int | None = None) -> DataFrame:
+        marks = read_or_none(self.spark, f"{self.root}/marks", "batch long, run string, slot int")
+        rows = read_or_none(self.spark, f"{self.root}/moments", BASELINE)
+        if marks is None or rows is None:
+            return self.spark.createDataFrame([], BASELINE)
+        if before is not None:
+            marks = marks.filter((F.col("run") != self.run) | (F.col("batch") < before))
+        last = F.broadcast(marks.groupBy("run").agg(F.max("batch").alias("batch")))  # a row per checkpoint
+        return rows.join(last, ["run", "batch"])
+
+    def baseline(self) -> DataFrame:
+        """(customer_id, avg_amount, sd_amount, n_txn) of all runs. One after the other: a run is a checkpoint, so they are few."""
+        rows = self._moments()
+        runs = sorted(r.run for r in rows.select("run").distinct().collect())
+        parts = [rows.filter(F.col("run") == run) for run in runs] or [rows]
+        whole = reduce(lambda a, b: merged(a, b, "customer_id"), parts)
+        return whole.select("customer_id", F.col("mean").alias("avg_amount"), spread().alias("sd_amount"), F.col("rows").alias("n_txn"))
+
+    def follow(self, stream: DataFrame, checkpoint: str) -> None:
+        """Process all available rows of a stream, as the run of that checkpoint."""
+
+        def apply(batch: DataFrame, batch_id: int) -> None:
+            self.run = run_of(self.spark, checkpoint)
+            self.apply(batch, batch_id)
+
+        follow(stream, apply, checkpoint)
