@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lendscope.llm.common import whole
+from lendscope.llm.common import sha256, whole
 from lendscope.sources.workspace import stored
 
 #: Fingerprint arithmetic: two primes below 2**31 and a base for each.
@@ -21,6 +21,8 @@ SYMBOLS, WIDTH = 32, 4
 CHUNK_BYTES = SYMBOLS * WIDTH
 #: Characters of a chunk in the comparison of equal fingerprints.
 COMPARE_CHARS = 1 << 16
+#: Lanes in which the chunks that tasks send for one place meet first.
+LANES = 64
 
 
 def powers(base: int, count: int, prime: int) -> np.ndarray:
@@ -90,20 +92,29 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 KEY = ["f1", "f2", "n_bytes"]
 
 
+def _members(docs: DataFrame, prints: DataFrame, shared: DataFrame) -> DataFrame:
+    """The texts of shared keys, a row per row of ``docs`` (doc_id, text, text_sha256). By the digest a
+    row meets its own key only, whatever ids it shares with others."""
+    held = prints.join(shared.select(*KEY), KEY).select("doc_id", "text_sha256", *KEY).distinct()
+    mine = held.select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_digest"), *KEY)
+    return docs.join(mine, docs["doc_id"].eqNullSafe(mine["_id"]) & (docs["text_sha256"] == mine["_digest"])).select(*KEY, "text")
+
+
 def _collided(docs: DataFrame, prints: DataFrame, shared: DataFrame) -> DataFrame:
     """Keys whose texts are not all equal, by comparing the texts chunk by chunk.
 
-    The least and the greatest chunk at each place are kept per task before the
-    shuffle, so a group of copies sends one chunk per place and task, and no task
-    holds a group. They differ exactly if two texts differ there.
+    The least and the greatest chunk at each place are kept per task
+    before the shuffle, so a group of copies sends one chunk per place and task; these meet in
+    ``LANES`` lanes by task before they meet at their place. The two differ exactly if two texts differ there.
     """
-    held = prints.join(shared.select(*KEY), KEY).select("doc_id", "text_sha256", *KEY)
-    texts = docs.join(held.select("doc_id", *KEY).distinct(), docs["doc_id"].eqNullSafe(held["doc_id"])).select(*KEY, "text")
+    texts = _members(docs, prints, shared)
     count = F.greatest(F.lit(1), F.ceil(F.length("text") / COMPARE_CHARS)).cast("int")
-    places = texts.select(*KEY, "text", F.explode(F.sequence(F.lit(0), count - 1)).alias("place"))
+    lane = F.pmod(F.spark_partition_id(), F.lit(LANES)).alias("lane")
+    places = texts.select(*KEY, "text", lane, F.explode(F.sequence(F.lit(0), count - 1)).alias("place"))
     chunk = F.substring(F.col("text"), F.col("place") * COMPARE_CHARS + 1, F.lit(COMPARE_CHARS))
-    parts = places.select(*KEY, "place", chunk.alias("chunk"))
-    spans = parts.groupBy(*KEY, "place").agg(F.min("chunk").alias("low"), F.max("chunk").alias("high"))
+    parts = places.select(*KEY, "place", "lane", chunk.alias("chunk"))
+    lanes = parts.groupBy(*KEY, "place", "lane").agg(F.min("chunk").alias("low"), F.max("chunk").alias("high"))
+    spans = lanes.groupBy(*KEY, "place").agg(F.min("low").alias("low"), F.max("high").alias("high"))
     return spans.filter("low <> high").select(*KEY).distinct()
 
 
@@ -123,7 +134,8 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     schema = f"doc_id {id_type}, text_sha256 string, f1 long, f2 long, n_bytes long"
     prints = stored(texts.mapInArrow(_measure, schema), "prints")
     shared = stored(prints.groupBy(*KEY).agg(F.count("*").alias("rows")).filter("rows > 1"), "shared-prints")
-    collided = stored(_collided(texts, prints, shared).withColumn("collided", F.lit(True)), "collided-prints")
+    keyed = texts.withColumn("text_sha256", sha256(F.col("text")))
+    collided = stored(_collided(keyed, prints, shared).withColumn("collided", F.lit(True)), "collided-prints")
     marked = shared.join(collided, KEY, "left").select(*KEY, F.coalesce("collided", F.lit(False)).alias("collided"))
     parted = prints.join(marked, KEY, "left").withColumn("part", F.when(F.col("collided"), F.col("text_sha256")))
     grouped = stored(parted.select("doc_id", "text_sha256", *KEY, "part"), "parted-prints") if collided.head(1) else prints.withColumn("part", F.lit(None).cast("string"))

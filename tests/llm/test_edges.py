@@ -388,6 +388,16 @@ def test_exact_dedup(messy, empty, texts):
     assert exact_dedup.exact_duplicates(empty).collect() == []
 
 
+def test_exact_dedup_joins_each_row_once(spark):
+    """400 rows without an id in 200 groups, compared as 400 texts."""
+    frame = spark.createDataFrame([(None, f"text of group {k // 2}") for k in range(400)], "doc_id long, text string")
+    rows = exact_dedup.exact_duplicates(frame).collect()
+    assert len(rows) == 400 and {r.group_size for r in rows} == {2}
+    keyed = frame.withColumn("text_sha256", exact_dedup.sha256(frame["text"]))
+    prints = keyed.selectExpr("doc_id", "text_sha256", "xxhash64(text) AS f1", "0L AS f2", "length(text) AS n_bytes")
+    assert exact_dedup._members(keyed, prints, prints.select(*exact_dedup.KEY).distinct()).count() == 400
+
+
 def test_exact_dedup_of_colliding_fingerprints(spark, texts, messy, monkeypatch):
     import numpy as np
 
