@@ -35,12 +35,15 @@ def first_per_key(frame: DataFrame, keys: list[str], order: list[str]) -> DataFr
     return _pick(frame, keys, order, latest=False)
 
 
-def ranked_per_key(frame: DataFrame, key: str, order: list[str], latest: bool, keyless: Column) -> DataFrame:
-    """``frame`` with ``_repeat``: whether a row loses to another one of its key.
+def chosen_per_key(frame: DataFrame, key: str, order: list[str], latest: bool, keyless: Column) -> DataFrame:
+    """The row that ``newest_per_key`` (or ``first_per_key``) keeps, with ``_rows``: how many rows its key has.
 
-    Rows without a key (``keyless``) are no repeats. They are dealt out by a hash
-    of the whole row, which is the same when a task is repeated.
+    The others of a key are counted, not ranked: each task sends one row and one number of a
+    key, also of one with a third of all rows. Both sides are dealt out by the key, so their
+    join moves nothing. Rows without a key (``keyless``) all stay, each with ``_rows`` 1.
     """
-    apart = F.when(keyless, F.xxhash64(*frame.columns))
-    rank = _rank(frame, [key], order, latest, apart)
-    return frame.withColumn("_repeat", (rank > 1) & ~keyless)
+    keyed = frame.filter(~keyless)
+    kept = (newest_per_key if latest else first_per_key)(keyed, [key], order)
+    counts = keyed.groupBy(key).agg(F.count("*").alias("_rows"))
+    rest = frame.filter(keyless).withColumn("_rows", F.lit(1).cast("long"))
+    return kept.join(counts, key).select(*rest.columns).unionByName(rest)

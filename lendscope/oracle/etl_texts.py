@@ -139,6 +139,8 @@ FROM days"""
 TEXTS = {
     "read_staging": landed("r_customers", "raw_customers"),
     "read_staging_loans": landed("r_loans", "raw_loans"),
+    "read_staging_malformed": with_views("""SELECT loan_id, NULL AS malformed FROM r_loans
+UNION ALL SELECT NULL, 'broken,' || loan_id FROM r_loans WHERE CAST(right(loan_id, 6) AS INT) % 97 = 0""", "r_loans"),
     "read_staging_transactions": landed("r_transactions", "raw_transactions"),
     "read_staging_products": landed("r_products", "raw_loan_products"),
     "read_staging_line_breaks": landed("r_customers", "raw_customers", "last_name"),

@@ -32,9 +32,10 @@ from lendscope.functions.text import (
     title_case,
     to_type,
 )
-from lendscope.operators.dedup import ranked_per_key
+from lendscope.operators.dedup import chosen_per_key
 from lendscope.operators.moments import moments, spread
 from lendscope.operators.skew import key_parts, salted_join
+from lendscope.sources.staging import MALFORMED
 from lendscope.sources.workspace import stored
 
 # Cities of the top region tier (lower case).
@@ -57,27 +58,37 @@ def _no_key(column: str) -> Column:
     return F.col(column).isNull() | (F.col(column) == "")
 
 
-REPEATED = "repeated key"
+REPEATED, NO_KEY = "repeated key", "no key"
 
 
-def _ranked(raw: DataFrame, key: str, latest: bool = True) -> DataFrame:
-    """Rows with the key trimmed, and ``_repeat`` for those that lose to another
-    row of their key: the newest stays, or the first. Rows without a key stay, to
-    be rejected singly."""
-    return ranked_per_key(raw.withColumn(key, F.trim(key)), key, [LOADED_AT], latest, _no_key(key))
+def _chosen(raw: DataFrame, key: str, latest: bool = True) -> DataFrame:
+    """One row of each trimmed key, the newest or the first, with the number of its landing rows;
+    rows without a key stay, to be rejected."""
+    return chosen_per_key(raw.withColumn(key, F.trim(key)), key, [LOADED_AT], latest, _no_key(key))
 
 
 def accepted(checked: DataFrame) -> DataFrame:
-    return checked.filter(F.col("reject_reason").isNull()).drop("reject_reason")
+    return checked.filter(F.col("reject_reason").isNull()).drop("reject_reason", "_rows")
 
 
 def rejects(checked: DataFrame, step: str, row_id: str) -> DataFrame:
-    """Dropped landing rows as (step, row_id, reason, rows); repeats are among them."""
-    return (
-        checked.filter(F.col("reject_reason").isNotNull())
-        .groupBy(F.lit(step).alias("step_name"), F.col(row_id).alias("row_id"), F.col("reject_reason").alias("reason"))
-        .agg(F.count("*").alias("rows"))
-    )
+    """Dropped landing rows as (step, row_id, reason, rows): the chosen ones that a rule rejects, and all others of their key."""
+    keyless = F.coalesce(F.col("reject_reason") == NO_KEY, F.lit(False))
+    entry = lambda reason, rows: F.struct(reason.alias("reason"), rows.alias("rows"))
+    own = F.when(F.col("reject_reason").isNotNull(), entry(F.col("reject_reason"), F.when(keyless, F.col("_rows")).otherwise(F.lit(1).cast("long"))))
+    others = F.when((F.col("_rows") > 1) & ~keyless, entry(F.lit(REPEATED), F.col("_rows") - 1))
+    found = checked.select(F.col(row_id).alias("row_id"), F.explode(F.filter(F.array(own, others), lambda e: e.isNotNull())).alias("e"))
+    return found.groupBy(F.lit(step).alias("step_name"), "row_id", F.col("e.reason").alias("reason")).agg(F.sum("e.rows").alias("rows"))
+
+
+def malformed(raw: DataFrame, step: str) -> DataFrame:
+    """Landing lines that do not have the columns of their table, as ``rejects``; row_id is the line."""
+    lines = raw.filter(F.col(MALFORMED).isNotNull())
+    return lines.groupBy(F.lit(step).alias("step_name"), F.col(MALFORMED).alias("row_id"), F.lit("malformed row").alias("reason")).agg(F.count("*").alias("rows"))
+
+
+def well_formed(raw: DataFrame) -> DataFrame:
+    return raw.filter(F.col(MALFORMED).isNull()).drop(MALFORMED) if MALFORMED in raw.columns else raw
 
 
 # --- dimensions --------------------------------------------------------------
@@ -128,7 +139,7 @@ REGION_UPDATES = ["city", "state", "country", "region_tier"]
 
 
 def checked_products(raw: DataFrame, strict: bool = False) -> DataFrame:
-    newest = _ranked(raw.withColumn("product_code", F.upper("product_code")), "product_code")
+    newest = _chosen(raw.withColumn("product_code", F.upper("product_code")), "product_code")
     rates = ("interest_rate_min", "interest_rate_max")
     tenures = ("min_tenure_months", "max_tenure_months")
     return newest.select(
@@ -140,9 +151,9 @@ def checked_products(raw: DataFrame, strict: bool = False) -> DataFrame:
         *[to_type(F.col(c), "smallint", strict).alias(c) for c in tenures],
         F.coalesce(F.lower("is_secured").isin(*TRUE_WORDS), F.lit(False)).alias("is_secured"),
         blank_to_null(F.trim("collateral_type")).alias("collateral_type"),
+        "_rows",
         _reason(
-            (REPEATED, F.col("_repeat")),
-            ("no key", _no_key("product_code")),
+            (NO_KEY, _no_key("product_code")),
             ("bad number", _any(*[is_bad(F.col(c), "decimal(5,2)") for c in rates], *[is_bad(F.col(c), "smallint") for c in tenures])),
         ).alias("reject_reason"),
     )
@@ -154,7 +165,7 @@ PRODUCT_UPDATES = ["product_name", "category", "interest_rate_min", "interest_ra
 def checked_customers(raw: DataFrame, strict: bool = False) -> DataFrame:
     """The newest row per trimmed id, cleansed; ``region_id`` is that of the
     same row, so a customer has one region."""
-    newest = _ranked(raw, "customer_id")
+    newest = _chosen(raw, "customer_id")
     income = digits_and_dot(F.col("annual_income"))
     score = to_type(F.col("credit_score"), "smallint", strict)
     return newest.select(
@@ -170,9 +181,9 @@ def checked_customers(raw: DataFrame, strict: bool = False) -> DataFrame:
         score.alias("credit_score"),
         risk_tier(score).alias("risk_tier"),
         region_id(F.col("city"), F.col("state")).alias("region_id"),
+        "_rows",
         _reason(
-            (REPEATED, F.col("_repeat")),
-            ("no key", _no_key("customer_id")),
+            (NO_KEY, _no_key("customer_id")),
             ("bad date", is_bad(F.col("date_of_birth"), "date")),
             ("bad number", is_bad(income, "decimal(15,2)") | is_bad(F.col("credit_score"), "smallint")),
         ).alias("reject_reason"),
@@ -259,7 +270,7 @@ def checked_loans(
     default_region_key: int = 1,
 ) -> DataFrame:
     """``places`` as from ``customer_places``."""
-    newest = _ranked(raw, "loan_id")
+    newest = _chosen(raw, "loan_id")
     text = newest.withColumns(
         {"customer_id": F.trim("customer_id"), "product_code": F.upper(F.trim("product_code"))}
     )
@@ -283,7 +294,7 @@ def checked_loans(
         days.alias("days_past_due"),
         bad_number.alias("_bad_number"),
         bad_date.alias("_bad_date"),
-        "_repeat",
+        "_rows",
     )
     parts = key_parts(_row_counts(raw, "customer_id"), "customer_id", "n")
     products = dim_product.select("product_code", "product_key")
@@ -311,9 +322,9 @@ def checked_loans(
         is_npl(F.col("days_past_due")).alias("is_npl"),
         is_par30(F.col("days_past_due")).alias("is_par30"),
         F.col("region_key").isNull().alias("region_defaulted"),
+        "_rows",
         _reason(
-            (REPEATED, F.col("_repeat")),
-            ("no key", _no_key("loan_id")),
+            (NO_KEY, _no_key("loan_id")),
             ("unknown customer", F.col("customer_key").isNull()),
             ("unknown product", F.col("product_key").isNull()),
             ("bad number", F.col("_bad_number")),
@@ -344,7 +355,7 @@ def checked_transactions(
     a batch by itself. Without one it is taken from ``raw``, which is then the accumulated
     landing table. Rows loaded before keep their score.
     """
-    first = _ranked(raw, "transaction_id", latest=False)
+    first = _chosen(raw, "transaction_id", latest=False)
     typed = first.select(
         "transaction_id",
         F.trim("customer_id").alias("customer_id"),
@@ -357,7 +368,7 @@ def checked_transactions(
         F.coalesce(to_type(F.col("fee_amount"), "decimal(10,2)", strict), F.lit(0).cast("decimal(10,2)")).alias("fee_amount"),
         (is_bad(F.col("amount"), "decimal(18,2)") | is_bad(F.col("fee_amount"), "decimal(10,2)")).alias("_bad_number"),
         is_bad(F.col("transaction_date"), "date").alias("_bad_date"),
-        "_repeat",
+        "_rows",
     )
     # written once: the salting and the join read it
     own = stored(amount_moments(raw, strict), "amount-moments")
@@ -386,9 +397,9 @@ def checked_transactions(
         "currency",
         "fee_amount",
         *[column.alias(name) for name, column in flags.items()],
+        "_rows",
         _reason(
-            (REPEATED, F.col("_repeat")),
-            ("no key", _no_key("transaction_id")),
+            (NO_KEY, _no_key("transaction_id")),
             ("unknown customer", F.col("customer_key").isNull()),
             ("unknown region", F.col("region_key").isNull()),
             ("bad number", F.col("_bad_number")),

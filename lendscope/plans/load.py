@@ -77,7 +77,8 @@ class Load:
     """
 
     def __init__(self, store: TableStore, landing: dict[str, DataFrame], as_of: dt.date, strict: bool = False, batch: str | None = None):
-        self.store, self.landing, self.as_of, self.strict, self.batch = store, landing, as_of, strict, batch
+        self.store, self.as_of, self.strict, self.batch = store, as_of, strict, batch
+        self.delivered, self.landing = landing, {name: etl.well_formed(rows) for name, rows in landing.items()}
         self.moments: tuple[DataFrame, str] | None = None
         self.run_id = uuid.uuid4().hex
         self.at = F.lit(str(as_of)).cast("timestamp")
@@ -214,14 +215,21 @@ class Load:
     def _batch(self, step: str, checked: DataFrame, row_id: str, source: str) -> tuple[DataFrame, Counts]:
         """Store the checked batch; return its good rows and the counts, which
         come from one column of the stored rows. Every landing row is one of
-        them, so read = rejected + loaded."""
+        them, so read = rejected + loaded; malformed lines are among the rejected."""
         held = stored(checked, f"batch-{step}")
-        seen = held.agg(F.count("*").alias("n"), count_if(F.col("reject_reason").isNotNull()).alias("bad")).first()
-        read = self.landing[source].agg(F.count("*")).first()[0]
-        if read != seen.n:
-            raise ValueError(f"{step}: {read} landing rows, {seen.n} checked ones")
+        seen = held.agg(F.sum("_rows").alias("n"), F.count("*").alias("kept"), count_if(F.col("reject_reason").isNotNull()).alias("bad")).first()
+        rows, kept, lines = seen.n or 0, seen.kept - seen.bad, 0
+        if etl.MALFORMED in self.delivered[source].columns:
+            broken = stored(etl.malformed(self.delivered[source], step), "malformed")
+            lines = broken.agg(F.sum("rows")).first()[0] or 0
+            if lines and self.strict:
+                raise ValueError(f"{step}: {lines} malformed lines in {source}")
+            self.reject_parts.append(broken)
+        read = self.delivered[source].agg(F.count("*")).first()[0]
+        if read != rows + lines:
+            raise ValueError(f"{step}: {read} landing rows, {rows} checked ones and {lines} malformed lines")
         self.reject_parts.append(etl.rejects(held, step, row_id))
-        return etl.accepted(held), Counts(read, seen.bad, seen.n - seen.bad)
+        return etl.accepted(held), Counts(read, read - kept, kept)
 
     def _laid_out(self, frame: DataFrame, table: str) -> DataFrame:
         """Facts go to month folders, sorted by their flag so that readers of

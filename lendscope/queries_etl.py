@@ -20,7 +20,7 @@ from lendscope.plans.load import Load, run_log
 from lendscope.sources import bridge
 from lendscope.sources.bridge import AS_OF
 from lendscope.sources.schemas import REFERENCES, REQUIRED, STAGING_COLUMNS, UNIQUE
-from lendscope.sources.staging import read_staging, write_staging
+from lendscope.sources.staging import MALFORMED, read_staging, write_staging
 from lendscope.sources.star import warehouse_star
 from lendscope.sources.store import TableStore
 from lendscope.sources.workspace import fresh_path, stored
@@ -64,6 +64,18 @@ def through_files(name: str, broken: str | None = None):
     return query
 
 
+def read_staging_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loan files with broken lines among them: the good rows by their id, the others by their text."""
+    path, loans = fresh_path(spark, "landing"), LANDING["raw_loans"](spark, sf_dir)
+    write_staging(loans, path, "raw_loans")
+    broken = loans.filter(F.right("loan_id", F.lit(6)).cast("int") % 97 == 0)
+    lines = broken.select(F.concat(F.lit("broken,"), "loan_id").alias("line"), F.lit(1).alias("at"))
+    header = spark.createDataFrame([(",".join(STAGING_COLUMNS["raw_loans"]), 0)], "line string, at int")
+    header.unionByName(lines).coalesce(1).sortWithinPartitions("at").select("line").write.mode("append").text(path)
+    rows = read_staging(spark, path, "raw_loans", line_breaks=False)
+    return rows.select(F.when(F.col(MALFORMED).isNull(), F.col("loan_id")).alias("loan_id"), F.col(MALFORMED).alias("malformed"))
+
+
 def dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per day from the first loan or transaction to the last."""
     loans = bridge.loan(spark, sf_dir).agg(F.min("issue_date").alias("lo"), F.max("issue_date").alias("hi"))
@@ -389,6 +401,7 @@ QUERIES = {
     "read_staging_loans": through_files("raw_loans"),
     "read_staging_transactions": through_files("raw_transactions"),
     "read_staging_products": through_files("raw_loan_products"),
+    "read_staging_malformed": read_staging_malformed,
     "read_staging_line_breaks": through_files("raw_customers", "last_name"),
     "dim_date": dim_date,
     "etl_dim_region": etl_dim_region,

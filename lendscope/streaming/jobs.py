@@ -11,8 +11,7 @@ from pyspark.sql.types import DoubleType, LongType, StringType, StructField, Str
 from lendscope.functions.dates import utc_date, utc_instant
 from lendscope.functions.numbers import count_if
 from lendscope.sources.bridge import EVENT_SHIFT_DAYS, scored, transactions_of
-from lendscope.sources.schemas import staging_schema
-from lendscope.sources.staging import READ_OPTIONS, stamped
+from lendscope.sources.staging import landing_options, landing_schema, stamped
 
 EVENTS = StructType(
     [
@@ -37,8 +36,8 @@ def file_stream(
 
 
 def staging_stream(spark: SparkSession, path: str, table: str, max_files: int | None = None) -> DataFrame:
-    """A landing table as a stream of CSV files, stamped like the batch read."""
-    return stamped(file_stream(spark, path, staging_schema(table), "csv", max_files, **READ_OPTIONS))
+    """A landing table as a stream of CSV files, stamped like the batch read; malformed lines do not stop it."""
+    return stamped(file_stream(spark, path, landing_schema(table), "csv", max_files, **landing_options()))
 
 
 def event_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:

@@ -150,8 +150,10 @@ def test_newest_customer_row_wins_and_rejects_are_told(spark, people):
     by_id = {}
     for r in checked:
         by_id.setdefault(r.customer_id, []).append(r)
-    assert len(checked) == people.count()  # every landing row is accounted for
-    (c1,) = [r for r in by_id["C1"] if r.reject_reason != etl.REPEATED]
+    assert sum(r._rows for r in checked) == people.count()  # every landing row is accounted for
+    (c1,) = by_id["C1"]
+    told = {(r.row_id, r.reason): r.rows for r in etl.rejects(etl.checked_customers(people), "s", "customer_id").collect()}
+    assert told["C1", etl.REPEATED] == c1._rows - 1 > 0
     assert float(c1.annual_income) == 9.0 and c1.first_name == "Ann" and c1.gender == "F" and c1.email == "a@b.c"
     assert c1.employment_status == "Self-Employed" and c1.reject_reason is None
     assert by_id["C2"][0].credit_score is None and by_id["C2"][0].risk_tier == "CRITICAL"
@@ -195,9 +197,10 @@ def test_loans(spark, dims):
         LOAN,
     )
     places = etl.customer_places(customers, regions)
-    rows = etl.checked_loans(raw, places, products, default_region_key=1).collect()
-    assert [r.loan_id for r in rows if r.reject_reason == etl.REPEATED] == ["L1"] and len(rows) == raw.count()
-    got = {r.loan_id: r for r in rows if r.reject_reason != etl.REPEATED}
+    checked = etl.checked_loans(raw, places, products, default_region_key=1)
+    rows, told = checked.collect(), etl.rejects(checked, "s", "loan_id").collect()
+    assert [(r.row_id, r.rows) for r in told if r.reason == etl.REPEATED] == [("L1", 1)] and sum(r._rows for r in rows) == raw.count()
+    got = {r.loan_id: r for r in rows}
     assert got["L7"].region_defaulted and not got["L1"].region_defaulted
     reasons = {k: r.reject_reason for k, r in got.items()}
     assert reasons == {

@@ -224,11 +224,78 @@ def test_counts_add_up(loaded):
         assert row.rows_extracted == row.rows_rejected + row.rows_loaded, row.step_name
 
 
-def test_a_malformed_row_fails_whatever_is_read(spark, tmp_path):
+def test_a_malformed_row_fails_a_strict_read_whatever_is_read(spark, tmp_path):
     from lendscope.sources.schemas import STAGING_COLUMNS
     from lendscope.sources.staging import read_staging
 
     header = ",".join(STAGING_COLUMNS["raw_customers"])
     (tmp_path / "a.csv").write_text(f"{header}\nC1,ann\n")
     with pytest.raises((PySparkException, Py4JJavaError)):
-        read_staging(spark, f"file://{tmp_path}", "raw_customers").select("customer_id").collect()
+        read_staging(spark, f"file://{tmp_path}", "raw_customers", strict=True).select("customer_id").collect()
+
+
+def customer_files(folder, n=3):
+    from lendscope.sources.schemas import STAGING_COLUMNS
+
+    header = ",".join(STAGING_COLUMNS["raw_customers"])
+    good = [f"C{k},ann,lee,1990-01-01,f,e,p,retired,$9,700,Paris,S1,France" for k in range(n)]
+    (folder / "a.csv").write_text("\n".join([header, good[0], "C0,short", *good[1:], good[1] + ",one,too many", ""]))
+    return f"file://{folder}"
+
+
+@pytest.mark.parametrize("line_breaks", [True, False])
+def test_malformed_rows_are_reported_and_the_others_read(spark, tmp_path, line_breaks):
+    from lendscope.plans import etl
+    from lendscope.sources.staging import MALFORMED, read_staging
+
+    raw = read_staging(spark, customer_files(tmp_path), "raw_customers", line_breaks=line_breaks)
+    assert raw.count() == 5 and raw.select("customer_id").count() == 5
+    good = etl.accepted(etl.checked_customers(etl.well_formed(raw)))
+    assert sorted(r.customer_id for r in good.collect()) == ["C0", "C1", "C2"]
+    got = sorted((r.row_id.strip(), r.reason, r.rows) for r in etl.malformed(raw, "dim_customer").collect())
+    assert [r[0].split(",")[:2] for r in got] == [["C0", "short"], ["C1", "ann"]] and {r[1:] for r in got} == {("malformed row", 1)}
+    assert raw.filter(f"{MALFORMED} IS NULL").select("customer_id").distinct().count() == 3
+
+
+def test_a_load_survives_malformed_rows_unless_it_is_strict(spark, small, tmp_path):
+    from lendscope.sources.staging import read_staging
+
+    landing = {**_landing(spark, small), "raw_customers": read_staging(spark, customer_files(tmp_path), "raw_customers")}
+    landing = {name: rows if name == "raw_customers" else rows.limit(0) for name, rows in landing.items()}
+    store = TableStore(spark, fresh_path(spark, "wh"))
+    Load(store, landing, AS_OF).run()
+    assert store.read("dim_customer").count() == 3
+    assert store.read("etl_rejects").filter("reason = 'malformed row'").agg(F.sum("rows")).first()[0] == 2
+    log = {r.step_name: r for r in run_log(store).collect()}
+    assert (log["dim_customer"].rows_extracted, log["dim_customer"].rows_rejected, log["dim_customer"].rows_loaded) == (5, 2, 3)
+    with pytest.raises(ValueError):
+        Load(TableStore(spark, fresh_path(spark, "wh")), landing, AS_OF, strict=True).run()
+
+
+def test_a_large_file_without_line_breaks_is_read_by_several_tasks(spark, tmp_path):
+    from lendscope.sources.staging import read_staging
+
+    path = customer_files(tmp_path, 20_000)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200k")
+    try:
+        whole, split = (read_staging(spark, path, "raw_customers", line_breaks=b) for b in (True, False))
+        assert whole.rdd.getNumPartitions() == 1 < split.rdd.getNumPartitions()
+        assert whole.count() == split.count() == 20_002
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_moments_of_parts_are_those_of_the_whole(spark):
+    from lendscope.operators.moments import merged, moments, spread
+
+    rows = spark.range(3000).selectExpr("id % 7 AS k", "CASE WHEN id % 7 = 3 THEN 5.55 WHEN id % 11 = 0 THEN NULL ELSE 1e6 + rand(1) END AS v", "id")
+    rows = stored(rows.unionByName(spark.createDataFrame([(8, None, 0), (9, 1.5, 0), (None, 2.0, 0)], "k long, v double, id long")), "values")
+    parts = [moments(rows.filter(F.col("id") % 3 == p), "k", F.col("v")) for p in range(3)]
+    whole = merged(merged(parts[2], parts[0], "k"), parts[1], "k").select("k", "rows", "n", "mean", spread().alias("sd"))
+    plain = rows.filter("k IS NOT NULL").groupBy("k").agg(F.count("*"), F.count("v"), F.avg("v"), F.stddev_samp("v"))
+    got, want = ({r[0]: tuple(r)[1:] for r in frame.collect()} for frame in (whole, plain))
+    assert set(got) == set(want) and got[3][3] == 0.0
+    for k, values in got.items():
+        assert values == pytest.approx(want[k], rel=1e-9, abs=1e-12) if None not in values else values == want[k]
+    empty = merged(parts[0].limit(0), parts[0], "k").select(*parts[0].columns)
+    assert {tuple(r) for r in empty.collect()} == {tuple(r) for r in parts[0].collect()}

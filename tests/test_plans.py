@@ -6,6 +6,8 @@ import re
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from lendscope.plans import investigate, kpi
 from lendscope.registry import all_queries
 from lendscope.sources import bridge
@@ -97,3 +99,26 @@ def test_landing_rows_are_ranked_not_packed(spark, small):
     for checked in (etl.checked_customers(bridge.raw_customers(spark, small)), etl.checked_products(bridge.raw_products(spark, small))):
         text = plan(checked)
         assert "SortAggregate" not in text and text.count("Exchange hashpartitioning") <= 3
+
+
+def test_losers_of_a_key_are_counted_not_ranked(spark, small):
+    """No window over landing rows without a limit per task, in any of the checked loads."""
+    from lendscope.plans import etl
+
+    raw = {n: getattr(bridge, f"raw_{n}")(spark, small) for n in ("customers", "products", "loans", "transactions")}
+    chosen = [etl._chosen(raw["customers"], "customer_id"), etl._chosen(raw["products"], "product_code"), etl._chosen(raw["loans"], "loan_id"), etl._chosen(raw["transactions"], "transaction_id", latest=False)]
+    for frame in chosen:
+        text = plan(frame)
+        windows = [line for line in text.splitlines() if line.strip(" +-:*()0123456789").startswith("Window [")]
+        limits = [line for line in text.splitlines() if "WindowGroupLimit" in line]
+        assert len(windows) == 1 and len(limits) == 2, text
+
+
+def test_a_hot_key_leaves_no_large_task(spark):
+    """Of a key with a third of all rows each task sends one row and one count."""
+    from lendscope.operators.dedup import chosen_per_key
+
+    rows = spark.range(90_000, numPartitions=8).selectExpr("CASE WHEN id % 3 = 0 THEN 'hot' ELSE cast(id AS string) END AS k", "id AS at", "'x' AS wide")
+    chosen = chosen_per_key(rows, "k", ["at"], True, F.col("k").isNull())
+    hot = chosen.filter("k = 'hot'").first()
+    assert (hot.at, hot._rows) == (89_997, 30_000) and chosen.agg(F.sum("_rows")).first()[0] == 90_000
