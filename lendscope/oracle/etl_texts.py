@@ -196,6 +196,13 @@ SELECT step_name, rows_extracted, rows_extracted - rows_loaded AS rows_rejected,
     "warehouse_two_days": with_views(f"""WITH {KEYED}, {LOANS}
 SELECT f.loan_id, c.customer_id, c.credit_score, p.product_code, r.city, r.state, days_past_due, loan_status
 FROM fact_loan f JOIN dim_customer c USING (customer_key) JOIN dim_product p USING (product_key) JOIN dim_region r ON r.region_key = f.region_key""", *RAW, "r_loans"),
+    "warehouse_versions": with_views(f"""WITH {KEYED}, {LOANS}, {customers('first_rows', FIRST_DAY)},
+v AS (SELECT c.customer_key, c.customer_id, c.annual_income AS new_income, o.annual_income AS old_income, c.annual_income IS DISTINCT FROM o.annual_income AS changed
+      FROM dim_customer c JOIN first_rows o USING (customer_id)),
+l AS (SELECT loan_id, customer_key, CAST(strptime(CAST(issue_date_key AS VARCHAR), '%Y%m%d') AS DATE) AS issue_date FROM fact_loan)
+SELECT loan_id, customer_id, issue_date, {dbl("CASE WHEN issue_date >= DATE '1998-01-01' THEN new_income ELSE old_income END")} AS annual_income,
+       NOT changed OR issue_date >= DATE '1998-01-01' AS is_current
+FROM l JOIN v USING (customer_key)""", *RAW, "r_loans"),
     "warehouse_deliveries": with_views(f"""WITH {KEYED}, {LOANS}, t AS (SELECT *, CAST(right(trim(transaction_id), 1) AS INT) % 2 = 1 AS odd FROM r_transactions),
 h AS (SELECT true AS odd, trim(customer_id) AS cid, CAST(nullif(amount, '') AS DOUBLE) AS v FROM t WHERE t.odd
       UNION ALL SELECT false, trim(customer_id), CAST(nullif(amount, '') AS DOUBLE) FROM t),

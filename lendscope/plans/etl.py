@@ -209,7 +209,7 @@ def scd2(target: DataFrame, source: DataFrame, key: str, tracked: list[str], as_
     """Versioned history: a changed row closes at ``as_of`` and a new one opens.
 
     ``target`` has the version columns of ``open_version``; closed versions
-    pass through. Unchanged rows keep their version. One full outer join on
+    pass through. Columns that the source lacks, such as a surrogate key, are NULL in new versions. Unchanged rows keep their version. One full outer join on
     the key, which is unique among current rows on both sides.
     """
     digest = lambda prefix: F.xxhash64(*[F.col(f"{prefix}.{c}") for c in tracked])
@@ -224,10 +224,14 @@ def scd2(target: DataFrame, source: DataFrame, key: str, tracked: list[str], as_
     )
     closes = changed & F.col("_old_key").isNotNull()
     payload = [c for c in target.columns if c not in ("effective_date", "expiry_date", "is_current")]
+    incoming_columns = set(source.columns)
 
     def version(prefix: str, start: Column, end: Column, live: Column) -> Column:
         return F.struct(
-            *[F.col(f"{prefix}.{c}").cast(target.schema[c].dataType).alias(c) for c in payload],
+            *[
+                (F.col(f"{prefix}.{c}") if prefix == "old" or c in incoming_columns else F.lit(None)).cast(target.schema[c].dataType).alias(c)
+                for c in payload
+            ],
             start.alias("effective_date"),
             end.alias("expiry_date"),
             live.alias("is_current"),
@@ -257,6 +261,36 @@ def customer_places(dim_customer: DataFrame, dim_region: DataFrame) -> DataFrame
     return keys.join(places, "region_id", "left").select("customer_id", "customer_key", "region_key")
 
 
+VERSIONS = "versions"
+
+
+def customer_versions(dim_customer: DataFrame, dim_region: DataFrame) -> DataFrame:
+    """customer_id -> all versions by their first day, newest first: (from_key, customer_key, region_key).
+
+    One row per customer, so facts meet it as they do ``customer_places``. A customer's first
+    version holds for all days before it as well: nothing older is known.
+    """
+    places = dim_region.select("region_id", "region_key")
+    rows = dim_customer.select("customer_id", date_key(F.col("effective_date")).alias("from_key"), "customer_key", "region_id")
+    listed = rows.join(places, "region_id", "left").groupBy("customer_id")
+    return listed.agg(F.reverse(F.sort_array(F.collect_list(F.struct("from_key", "customer_key", "region_key")))).alias(VERSIONS))
+
+
+def valid_version(day_key: Column) -> Column:
+    """The version that is valid on a day; the newest where the day is not known."""
+    versions = F.col(VERSIONS)
+    held = F.filter(versions, lambda v: v["from_key"] <= day_key)
+    return F.when(day_key.isNull(), F.get(versions, F.lit(0))).otherwise(F.coalesce(F.get(held, F.lit(0)), F.get(versions, F.size(versions) - 1)))
+
+
+def _placed(facts: DataFrame, day_key: Column) -> DataFrame:
+    """customer_key and region_key of the version that a fact meets, where versions were joined."""
+    if VERSIONS not in facts.columns:
+        return facts
+    found = facts.withColumn("_version", valid_version(day_key))
+    return found.withColumns({"customer_key": F.col("_version.customer_key"), "region_key": F.col("_version.region_key")}).drop("_version", VERSIONS)
+
+
 def _row_counts(raw: DataFrame, key: str) -> DataFrame:
     """Rows per trimmed key, from a scan of that column alone."""
     return raw.groupBy(F.trim(key).alias(key)).agg(F.count("*").alias("n"))
@@ -269,7 +303,7 @@ def checked_loans(
     strict: bool = False,
     default_region_key: int = 1,
 ) -> DataFrame:
-    """``places`` as from ``customer_places``."""
+    """``places`` as from ``customer_places``, or ``customer_versions``: then a loan meets the version valid on its issue date."""
     newest = _chosen(raw, "loan_id")
     text = newest.withColumns(
         {"customer_id": F.trim("customer_id"), "product_code": F.upper(F.trim("product_code"))}
@@ -298,9 +332,8 @@ def checked_loans(
     )
     parts = key_parts(_row_counts(raw, "customer_id"), "customer_id", "n")
     products = dim_product.select("product_code", "product_key")
-    joined = salted_join(typed, places, "customer_id", parts, F.col("loan_id"), "left").join(
-        products, "product_code", "left"
-    )
+    known = salted_join(typed, places, "customer_id", parts, F.col("loan_id"), "left")
+    joined = _placed(known, F.col("issue_date_key")).join(products, "product_code", "left")
     required = ("issue_date_key", "principal_amount", "interest_rate", "tenure_months", "loan_status")
     installment = monthly_installment(
         F.col("principal_amount"), F.col("interest_rate"), F.col("tenure_months")
@@ -347,8 +380,10 @@ def checked_transactions(
     fact_loan: DataFrame,
     strict: bool = False,
     baseline: DataFrame | None = None,
+    versions: DataFrame | None = None,
 ) -> DataFrame:
-    """Scored transactions.
+    """Scored transactions. With ``versions`` (as from ``customer_versions``) a row meets the
+    version valid on its day; its region is that of its own place.
 
     The baseline of a row's score is its customer's history, the scored row included.
     ``baseline`` has it as ``amount_moments``, of old batches and this one; then ``raw`` may be
@@ -374,12 +409,16 @@ def checked_transactions(
     own = stored(amount_moments(raw, strict), "amount-moments")
     stats = own if baseline is None else baseline.join(own.select("customer_id"), "customer_id", "left_semi")
     stats = stats.select("customer_id", F.col("mean").alias("avg_amount"), spread().alias("sd_amount"))
-    known = dim_customer.filter("is_current").select("customer_id", "customer_key")
+    if versions is None:
+        known = dim_customer.filter("is_current").select("customer_id", "customer_key")
+    else:
+        known = versions
     # unknown customers stay in, so that their rows are rejected, not lost
     profile = stats.join(known, "customer_id", "left")
     parts = key_parts(own, "customer_id", "rows")
+    known = _placed(salted_join(typed, profile, "customer_id", parts, F.col("transaction_id"), "left"), F.col("txn_date_key"))
     joined = (
-        salted_join(typed, profile, "customer_id", parts, F.col("transaction_id"), "left")
+        known.drop("region_key")
         .join(dim_region.select("region_id", "region_key"), "region_id", "left")
         .join(fact_loan.select("loan_id", "loan_key"), "loan_id", "left")
     )

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from lendscope.functions.dates import calendar_columns
 from lendscope.functions.numbers import count_if
 from lendscope.functions.text import to_type
+from lendscope.operators.keys import assign_keys
 from lendscope.operators.moments import merged
 from lendscope.operators.upsert import insert_ignore, upsert, upsert_folders
 from lendscope.plans import etl
@@ -71,15 +72,20 @@ class Load:
     loaded. Without a name transactions are the accumulated landing table (see
     ``etl.checked_transactions``). Stay with one of the two.
 
+    With ``versions`` a customer whose tracked columns change gets a new row with a key of its own, valid
+    from ``as_of`` on, and the old one is closed; loans and transactions meet the version valid on their day and
+    keep it. Read such tables with ``warehouse_star(store.read, versions=True)``.
+
     Every batch is written once after cleansing and read back: the upsert, the
     reject report and the run log use the same stored rows, and a lost executor
     repeats a read, not the cleansing.
     """
 
-    def __init__(self, store: TableStore, landing: dict[str, DataFrame], as_of: dt.date, strict: bool = False, batch: str | None = None):
+    def __init__(self, store: TableStore, landing: dict[str, DataFrame], as_of: dt.date, strict: bool = False, batch: str | None = None, versions: bool = False):
         self.store, self.as_of, self.strict, self.batch = store, as_of, strict, batch
         self.delivered, self.landing = landing, {name: etl.well_formed(rows) for name, rows in landing.items()}
         self.moments: tuple[DataFrame, str] | None = None
+        self.versions = versions
         self.run_id = uuid.uuid4().hex
         self.at = F.lit(str(as_of)).cast("timestamp")
         self.folders: dict[str, str] = {}
@@ -132,6 +138,9 @@ class Load:
     def _dim_customer(self) -> Counts:
         checked = etl.checked_customers(self.landing["raw_customers"], self.strict)
         batch, counts = self._batch("dim_customer", checked, "customer_id", "raw_customers")
+        if self.versions:
+            self._full("dim_customer", self._customer_versions(batch))
+            return counts
         state = upsert(
             self._target("dim_customer"),
             batch,
@@ -144,8 +153,20 @@ class Load:
         self._full("dim_customer", state)
         return counts
 
+    def _customer_versions(self, batch: DataFrame) -> DataFrame:
+        target = self._target("dim_customer")
+        last = target.agg(F.max("customer_key")).first()[0] or 0
+        state = stored(etl.scd2(target, batch, "customer_id", etl.PLACED_UPDATES, self.as_of), "customer-versions")
+        opened = assign_keys(state.filter("customer_key IS NULL").drop("customer_key"), "customer_id", "customer_key", last)
+        opened = opened.withColumns(_audit(self.at, "created_at", "updated_at"))
+        # of the kept ones those that were closed today have changed
+        closed = ~F.col("is_current") & (F.col("expiry_date") == F.lit(str(self.as_of)).cast("date"))
+        kept = state.filter("customer_key IS NOT NULL").withColumn("updated_at", F.when(closed, self.at).otherwise(F.col("updated_at")))
+        return kept.unionByName(opened.select(*kept.columns))
+
     def _fact_loan(self) -> Counts:
-        places = etl.customer_places(self.staged["dim_customer"], self.staged["dim_region"])
+        find = etl.customer_versions if self.versions else etl.customer_places
+        places = find(self.staged["dim_customer"], self.staged["dim_region"])
         checked = etl.checked_loans(
             self.landing["raw_loans"], places, self.staged["dim_loan_product"], self.strict
         )
@@ -186,6 +207,7 @@ class Load:
             self.staged["fact_loan"],
             self.strict,
             self._baseline(),
+            etl.customer_versions(self.staged["dim_customer"], self.staged["dim_region"]) if self.versions else None,
         )
         batch, counts = self._batch("fact_transaction", checked, "transaction_id", "raw_transactions")
         target = self._target("fact_transaction")

@@ -234,6 +234,21 @@ def warehouse_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return for_output(scored)
 
 
+def warehouse_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loans with the customer version that was valid on their issue date: two loads, of the
+    first customer rows with the even loans of the time before, and of the newer rows with all other loans, old ones too."""
+    store, landing = TableStore(spark, fresh_path(spark, "warehouse")), _landing(spark, sf_dir)
+    later = F.col("_ingested_at") >= F.lit(str(DAY2)).cast("timestamp_ntz")
+    rest = (F.right("loan_id", F.lit(1)).cast("int") % 2 == 1) | (F.col("issue_date") >= "1998-01-01")
+    for day, second in ((dt.date(1996, 1, 1), False), (dt.date(1998, 1, 1), True)):
+        batch = {**landing, "raw_customers": landing["raw_customers"].filter(later == second), "raw_loans": landing["raw_loans"].filter(rest == second)}
+        Load(store, batch, day, versions=True).run()
+    star = warehouse_star(store.read, versions=True)
+    people = store.read("dim_customer").select("customer_key", "customer_id", "annual_income", "is_current")
+    loans = star.loan.select("loan_id", "customer_key", "issue_date")
+    return for_output(loans.join(people, "customer_key").drop("customer_key"))
+
+
 def warehouse_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every declared key, reference and required column of the published tables,
     with the rows that were checked and those that break the rule."""
@@ -415,6 +430,7 @@ QUERIES = {
     "warehouse_snapshot": warehouse_snapshot,
     "warehouse_dim_date": warehouse_dim_date,
     "warehouse_two_days": warehouse_two_days,
+    "warehouse_versions": warehouse_versions,
     "warehouse_deliveries": warehouse_deliveries,
     "warehouse_rules": warehouse_rules,
     "upsert_region": upsert_region,

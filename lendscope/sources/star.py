@@ -155,8 +155,9 @@ def fact_star(
     )
 
 
-def warehouse_star(read: Callable[[str], DataFrame]) -> Star:
+def warehouse_star(read: Callable[[str], DataFrame], versions: bool = False) -> Star:
     """Star over published tables; ``read`` maps a table name to a DataFrame.
+    With ``versions`` a fact keeps the customer version that it was loaded with.
 
     Date bounds also bound the month folders, so other months are not listed.
     """
@@ -171,7 +172,7 @@ def warehouse_star(read: Callable[[str], DataFrame]) -> Star:
 
     return fact_star(
         region=lambda: read("dim_region"),
-        customer=lambda: read("dim_customer").filter("is_current"),
+        customer=lambda: read("dim_customer") if versions else read("dim_customer").filter("is_current"),
         product=lambda: read("dim_loan_product"),
         loan=fact("fact_loan", "issue_date", "issue_date_key"),
         txn=fact("fact_transaction", "txn_date", "txn_date_key"),

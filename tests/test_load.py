@@ -299,3 +299,40 @@ def test_moments_of_parts_are_those_of_the_whole(spark):
         assert values == pytest.approx(want[k], rel=1e-9, abs=1e-12) if None not in values else values == want[k]
     empty = merged(parts[0].limit(0), parts[0], "k").select(*parts[0].columns)
     assert {tuple(r) for r in empty.collect()} == {tuple(r) for r in parts[0].collect()}
+
+
+def test_loans_keep_the_customer_version_of_their_day(spark):
+    """Two loads between which a score falls: old loans keep the old tier, also when they come late."""
+    from lendscope.sources.schemas import staging_schema
+
+    def rows(table, *values):
+        schema = staging_schema(table).add("_ingested_at", "timestamp_ntz")
+        return spark.createDataFrame([(*v, dt.datetime(2020, 1, 1)) for v in values], schema)
+
+    def person(score, income="9"):
+        return ("C1", "ann", "lee", "1990-01-01", "f", "e", "p", "retired", income, str(score), "Paris", "S1", "France")
+
+    def loan(lid, day):
+        return (lid, "C1", "P1", day, "", "1200", "12.0", "12", "active", "", "10.5")
+
+    def payment(tid, day):
+        return (tid, "C1", "L1", day, "repayment", "10", "USD", "", "Paris", "S1", "France")
+
+    product = rows("raw_loan_products", ("P1", "n", "auto", "x", "1", "2", "3", "4", "no", "Car"))
+    store = TableStore(spark, fresh_path(spark, "wh"))
+    loads = [
+        (dt.date(2020, 1, 1), person(800), [loan("L1", "2019-05-05"), loan("L2", "2020-02-02")], [payment("T1", "2020-02-02")]),
+        (dt.date(2020, 6, 1), person(500), [loan("L2", "2020-02-02"), loan("L3", "2020-03-03"), loan("L4", "2020-06-01")], [payment("T2", "2020-03-03"), payment("T3", "2020-07-07")]),
+        (dt.date(2020, 9, 1), person(500), [loan("L5", "2020-12-12")], []),
+    ]
+    for day, who, loans, payments in loads:
+        batch = {"raw_customers": rows("raw_customers", who), "raw_loans": rows("raw_loans", *loans), "raw_transactions": rows("raw_transactions", *payments), "raw_loan_products": product}
+        Load(store, batch, day, batch=str(day), versions=True).run()
+    star = warehouse_star(store.read, versions=True)
+    people = store.read("dim_customer")
+    tiers = {r.loan_id: (r.risk_tier, r.is_current) for r in star.loan.select("loan_id", "customer_key").join(people, "customer_key").collect()}
+    low, high = ("LOW", False), ("CRITICAL", True)
+    assert tiers == {"L1": low, "L2": low, "L3": low, "L4": high, "L5": high}
+    paid = {r.transaction_id: r.risk_tier for r in store.read("fact_transaction").join(people, "customer_key").collect()}
+    assert paid == {"T1": "LOW", "T2": "LOW", "T3": "CRITICAL"}
+    assert sorted((str(r.effective_date), str(r.expiry_date), r.customer_key) for r in people.collect()) == [("2020-01-01", "2020-06-01", 1), ("2020-06-01", "9999-12-31", 2)]
