@@ -1,15 +1,19 @@
-"""Exact interpolated percentiles of a decimal column, per group, at scale."""
+"""Exact interpolated percentiles of a decimal column, per group, in two passes."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from lendscope.operators.sizes import broadcast_if_small
 
-# Values fall into bins of 2 ** BIN_BITS smallest units (2 ** 20 cents).
-BIN_BITS = 20
+#: The sketch knows ranks to a share of 1 / ACCURACY of the rows; a bracket is MARGIN times as wide to each side.
+ACCURACY, MARGIN = 10_000, 5
+#: Groups of up to this many rows need no bracket: all their values are counted.
+SMALL_GROUP = 10 * ACCURACY
 
 
 def exact_percentiles(
@@ -18,98 +22,70 @@ def exact_percentiles(
     value: str,
     points: dict[str, float],
     groups: DataFrame | None = None,
-    bin_bits: int = BIN_BITS,
+    also: dict[str, Column] | None = None,
+    small: int = SMALL_GROUP,
 ) -> DataFrame:
     """One row per group with a DOUBLE column per entry of ``points``
-    (name -> fraction), interpolated linearly between neighbours.
+    (name -> fraction), interpolated linearly between neighbours, and one per
+    aggregate of ``also``, which the first pass computes.
 
     The built-in exact percentile keeps every distinct value of a group in one
-    task. Here a first pass counts rows per coarse value bin (summed up before
-    the shuffle), which tells in which bins the wanted ranks lie; a second
-    pass counts single values within those bins only. A bin has at most
-    ``2 ** bin_bits`` distinct values, whatever the number of rows.
+    task. Here the first pass takes a mergeable quantile sketch, whose error is bounded: so
+    two of its values hold each wanted rank between them. The second pass counts, per task
+    before the shuffle, the rows below each such bracket and the single values within
+    it, at most a share of 2 * MARGIN / ACCURACY of the rows.
 
-    ``groups`` is a small table with at least a row per group: with few groups
-    the wanted bins are broadcast, and the second pass shuffles counts only.
-    The smallest unit follows from the column, which must be a DECIMAL.
+    Without a group there is one row, also of no rows. ``groups`` is a table with at least a row
+    per group: if it is small, so are the brackets, which are then broadcast. The
+    smallest unit follows from the column, which must be a DECIMAL.
     """
     kind = rows.schema[value].dataType
     if not isinstance(kind, DecimalType):
         raise TypeError(f"{value} is {kind.simpleString()}; exact percentiles take a DECIMAL")
-    scale = kind.scale
-    unit = (F.col(value) * F.lit(10**scale)).cast(f"decimal({kind.precision}, 0)").cast("bigint")
-    keyed = rows.filter(F.col(value).isNotNull()).select(*group, unit.alias("_v"))
-    bins = (
-        keyed.groupBy(*group, F.shiftright("_v", bin_bits).alias("_bin")).agg(F.count("*").alias("_n"))
-    )
-    by_bin = Window.partitionBy(*group).orderBy("_bin")
-    whole = Window.partitionBy(*group)
-    cumulated = bins.select(
-        *group,
-        "_bin",
-        (F.sum("_n").over(by_bin) - F.col("_n")).alias("_before"),
-        F.col("_n").alias("_in_bin"),
-        F.sum("_n").over(whole).alias("_total"),
-    )
-    wanted = F.array(
-        *[
-            F.struct(
-                F.lit(name).alias("name"),
-                side.alias("side"),
-                rank((F.col("_total") - 1) * F.lit(float(p))).cast("bigint").alias("rank"),
-                ((F.col("_total") - 1) * F.lit(float(p)) - F.floor((F.col("_total") - 1) * F.lit(float(p)))).alias("frac"),
-            )
-            for name, p in points.items()
-            for side, rank in ((F.lit("low"), F.floor), (F.lit("high"), F.ceil))
-        ]
-    )
-    # at most two bins per point and group
-    targets = (
-        cumulated.select(*group, "_bin", "_before", "_in_bin", F.explode(wanted).alias("t"))
-        .filter((F.col("t.rank") >= F.col("_before")) & (F.col("t.rank") < F.col("_before") + F.col("_in_bin")))
-        .select(*group, "_bin", (F.col("t.rank") - F.col("_before")).alias("_rank"), "t.name", "t.side", "t.frac")
-    )
-    chosen = targets.select(*group, "_bin").distinct()
-    if not group:
-        # at most two bins per point
-        chosen = F.broadcast(chosen)
-    elif groups is not None:
-        chosen = broadcast_if_small(chosen, groups)
-    same_group = [F.col(f"k.{c}").eqNullSafe(F.col(f"c.{c}")) for c in group]
-    same_bin = F.shiftright(F.col("k._v"), bin_bits) == F.col("c._bin")
-    condition = same_bin
-    for part in same_group:
-        condition = condition & part
-    values = (
-        keyed.alias("k")
-        .join(chosen.alias("c"), condition, "left_semi")
-        .groupBy(*group, "_v")
-        .agg(F.count("*").alias("_n"))
-        .withColumn("_bin", F.shiftright("_v", bin_bits))
+    unit = (F.col(value) * F.lit(10**kind.scale)).cast(f"decimal({kind.precision}, 0)").cast("bigint")
+    valued = rows.withColumn("_v", unit)
+    shares = list(points.values())
+    around = [min(1.0, max(0.0, p + side * MARGIN / ACCURACY)) for p in shares for side in (-1, 1)]
+    also = also or {}
+    sketch = valued.groupBy(*group).agg(
+        F.count("_v").alias("_total"), F.min("_v").alias("_min"), F.max("_v").alias("_max"),
+        F.percentile_approx("_v", around, ACCURACY).alias("_at"),
+        *[aggregate.alias(name) for name, aggregate in also.items()],
+    )
+    few = F.col("_total") <= small
+    brackets = [(F.when(few, F.col("_min")).otherwise(F.col("_at")[2 * i]), F.when(few, F.col("_max")).otherwise(F.col("_at")[2 * i + 1])) for i in range(len(shares))]
+    bounds = F.array(*[F.struct(F.lit(i).alias("point"), low.alias("low"), high.alias("high")) for i, (low, high) in enumerate(brackets)])
+    side = sketch.select(*group, "_total", *also, bounds.alias("_bounds"))
+    if groups is not None:
+        side = broadcast_if_small(side, groups)
+    own = valued.select(*[F.col(c).alias(f"_g{k}") for k, c in enumerate(group)], "_v")
+    same = reduce(lambda a, b: a & b, [F.col(f"_g{k}").eqNullSafe(F.col(c)) for k, c in enumerate(group)], F.lit(True))
+    if group:
+        met = own.join(side, same)
+    else:
+        one_row = side.select(F.struct(*side.columns)).scalar()
+        met = own.withColumn("_side", one_row).select("_v", "_side.*")
+    # of a value below a bracket only that it is below counts; one entry more says that the group is there
+    reached = F.filter("_bounds", lambda b: F.col("_v") <= b["high"])
+    entries = F.transform(reached, lambda b: F.struct(b["point"].alias("point"), F.when(F.col("_v") >= b["low"], F.col("_v")).alias("v")))
+    there = F.array(F.struct(F.lit(-1).alias("point"), F.lit(None).cast("bigint").alias("v")))
+    carried = ["_total", *also]
+    counted = (
+        met.select(*group, *carried, F.explode(F.concat(there, entries)).alias("e"))
+        .groupBy(*group, F.col("e.point").alias("_point"), F.col("e.v").alias("_v"))
+        .agg(F.count("*").alias("_n"), *[F.max(c).alias(c) for c in carried])
     )
-    in_bin = Window.partitionBy(*group, "_bin").orderBy("_v")
-    ranked = values.select(
-        *group, "_bin", "_v", (F.sum("_n").over(in_bin) - F.col("_n")).alias("_from"), F.sum("_n").over(in_bin).alias("_to")
+    by_value = Window.partitionBy(*group, "_point").orderBy(F.asc_nulls_first("_v"))
+    after = F.sum("_n").over(by_value)
+    ranked = counted.withColumn("_after", after)
+    share = F.element_at(F.array(*[F.lit(float(p)) for p in shares]), F.greatest(F.col("_point") + 1, F.lit(1)))
+    place = (F.col("_total") - 1) * share
+    within = lambda rank: (rank >= F.col("_after") - F.col("_n")) & (rank < F.col("_after")) & (F.col("_point") >= 0)
+    at = lambda rank: F.max(F.when(within(rank), F.col("_v").cast("double") / 10**kind.scale))
+    found = ranked.groupBy(*group, "_point").agg(
+        at(F.floor(place)).alias("_low"), at(F.ceil(place)).alias("_high"), F.max(place - F.floor(place)).alias("_part"), *[F.max(c).alias(c) for c in carried]
     )
-    match = (
-        (F.col("r._bin") == F.col("t._bin"))
-        & (F.col("t._rank") >= F.col("r._from"))
-        & (F.col("t._rank") < F.col("r._to"))
-    )
-    for c in group:
-        match = match & F.col(f"r.{c}").eqNullSafe(F.col(f"t.{c}"))
-    hits = (
-        ranked.alias("r")
-        .join(targets.alias("t"), match)
-        .select(*[F.col(f"r.{c}").alias(c) for c in group], "_v", "name", "side", "frac")
-    )
-
-    def at(name: str, side: str):
-        hit = (F.col("name") == name) & (F.col("side") == side)
-        return F.max(F.when(hit, F.col("_v").cast("double") / 10**scale))
-
-    def point(name: str):
-        frac = F.max(F.when(F.col("name") == name, F.col("frac")))
-        return (at(name, "low") + frac * (at(name, "high") - at(name, "low"))).alias(name)
-
-    return hits.groupBy(*group).agg(*[point(name) for name in points])
+    missed = F.raise_error(F.lit(f"a percentile of {value} lies outside its bracket"))
+    exact = F.when(F.col("_low").isNull() | F.col("_high").isNull(), missed.cast("double")).otherwise(F.col("_low") + F.col("_part") * (F.col("_high") - F.col("_low")))
+    named = [F.max(F.when((F.col("_point") == i) & (F.col("_total") > 0), exact)).alias(name) for i, name in enumerate(points)]
+    return found.groupBy(*group).agg(*named, *[F.max(c).alias(c) for c in also])

@@ -63,26 +63,22 @@ LOAN_POINTS = {"p25": 0.25, "median": 0.5, "p75": 0.75, "p95": 0.95}
 
 
 def loan_stats(star: Star, approximate: bool = False) -> DataFrame:
-    """Distribution of the principal. ``approximate`` trades the second scan
-    for one sketch (relative rank error 1e-4)."""
+    """Distribution of the principal, in two scans. ``approximate`` leaves the
+    second one out (relative rank error 1e-4)."""
     amount = F.col("principal_amount")
-    base = star.loan.agg(
-        F.count("*").alias("total_loans"),
-        money(F.min(amount)).alias("min_amount"),
-        money(F.max(amount)).alias("max_amount"),
-        half_up(mean(amount), 2).alias("mean_amount"),
-        half_up(F.stddev_samp(amount.cast("double")), 2).alias("stddev"),
-        *(
-            [F.percentile_approx(amount, p, 10000).cast("double").alias(n) for n, p in LOAN_POINTS.items()]
-            if approximate
-            else []
-        ),
-    )
-    if not approximate:
-        points = exact_percentiles(star.loan, [], "principal_amount", LOAN_POINTS)
-        both = base.unionByName(points, allowMissingColumns=True)
-        # two rows, each with its own columns
-        base = both.agg(*[F.max(c).alias(c) for c in both.columns])
+    moments = {
+        "total_loans": F.count("*"),
+        "min_amount": money(F.min(amount)),
+        "max_amount": money(F.max(amount)),
+        "mean_amount": half_up(mean(amount), 2),
+        "stddev": half_up(F.stddev_samp(amount.cast("double")), 2),
+    }
+    if approximate:
+        points = {n: F.percentile_approx(amount, p, 10000).cast("double") for n, p in LOAN_POINTS.items()}
+        base = star.loan.agg(*[c.alias(n) for n, c in {**moments, **points}.items()])
+    else:
+        base = exact_percentiles(star.loan, [], "principal_amount", LOAN_POINTS, also=moments)
+        base = base.withColumn("total_loans", F.coalesce("total_loans", F.lit(0).cast("bigint")))
     return base.select(
         "total_loans", "min_amount", "max_amount", "mean_amount", *[half_up(F.col(n), 4).alias(n) for n in LOAN_POINTS], "stddev"
     )

@@ -142,7 +142,7 @@ def test_percentiles_equal_numpy(spark):
     data += [(2, 5.0)] * 40 + [(3, -7.25), (3, 7.25), (None, 1.0), (None, 2.0), (1, None)]
     frame = spark.createDataFrame(data, "g int, v double").withColumn("v", F.col("v").cast("decimal(18,2)"))
     points = {"lo": 0.0, "q1": 0.25, "mid": 0.5, "p95": 0.95, "hi": 1.0}
-    got = {r.g: r for r in exact_percentiles(frame, ["g"], "v", points, bin_bits=8).collect()}
+    got = {r.g: r for r in exact_percentiles(frame, ["g"], "v", points, small=100).collect()}
     assert set(got) == {0, 1, 2, 3, None}
     for g, row in got.items():
         values = [v for k, v in data if k == g and v is not None]

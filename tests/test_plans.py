@@ -122,3 +122,12 @@ def test_a_hot_key_leaves_no_large_task(spark):
     chosen = chosen_per_key(rows, "k", ["at"], True, F.col("k").isNull())
     hot = chosen.filter("k = 'hot'").first()
     assert (hot.at, hot._rows) == (89_997, 30_000) and chosen.agg(F.sum("_rows")).first()[0] == 90_000
+
+
+def test_loan_distributions_scan_the_fact_twice(spark, small):
+    from lendscope.plans import eda
+
+    star = bridge_star(spark, small)
+    assert plan(eda.loan_stats(star)).count("issue_month") == 2 == len(re.findall(r"FileScan parquet \[[^\]]*principal_amount", plan(eda.loan_stats(star))))
+    text = plan(investigate.loan_outliers(star))
+    assert len(re.findall(r"FileScan parquet \[[^\]]*principal_amount", text)) <= 3 and text.count("SortMergeJoin") == 0
