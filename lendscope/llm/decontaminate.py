@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import re
+from array import array
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lendscope.llm.common import packed, unpacked, whole
@@ -27,104 +30,156 @@ def words_of(text: str | None) -> list[bytes]:
 
 
 class SuffixAutomaton:
-    """All runs of words of the test items.
+    """All runs of words of the test items, in flat arrays over word numbers.
 
     A state stands for runs that end at the same places; ``length`` is its
-    longest run and ``link`` the state of the next shorter ones.
+    longest run and ``link`` the state of the next shorter ones. Nearly all states
+    have one edge, which lies in ``word`` and ``target``; further ones lie in ``more``.
     """
 
     def __init__(self, items: dict[str, list[bytes]], window: int) -> None:
-        self.next: list[dict[bytes, int]] = [{}]
-        self.link, self.length = [-1], [0]
-        ends: list[tuple[int, str]] = []
-        short: list[tuple[str, list[bytes]]] = []
-        for item, words in items.items():
+        self.window, self.numbers = window, {}
+        self.word, self.target = array("i", [-1]), array("i", [0])
+        self.more: dict[int, dict[int, int]] = {}
+        self.link, self.length = array("i", [-1]), array("i", [0])
+        self.names = list(items)
+        ends: list[tuple[int, int]] = []  # the state after the last word of each item that is shorter than a window
+        starts, after = array("q"), array("i")  # for each item its first place in ``after``, the states after its words
+        for k, words in enumerate(items.values()):
+            starts.append(len(after))
             state = 0
             for word in words:
-                state = self._extend(state, word)
-                ends.append((state, item))
+                state = self._extend(state, self.numbers.setdefault(word, len(self.numbers)))
+                after.append(state)
             if 0 < len(words) < window:
-                short.append((item, words))
-        self.window = window
-        self._mark(ends, short)
+                ends.append((state, k))
+        self._mark(starts, after, ends)
 
-    def _add(self, length: int, link: int, following: dict[bytes, int]) -> int:
-        self.next.append(following)
+    def _get(self, state: int, word: int) -> int:
+        if self.word[state] == word:
+            return self.target[state]
+        return self.more[state].get(word, 0) if state in self.more else 0
+
+    def _set(self, state: int, word: int, target: int) -> None:
+        if self.word[state] in (-1, word):
+            self.word[state], self.target[state] = word, target
+        else:
+            self.more.setdefault(state, {})[word] = target
+
+    def _add(self, length: int, link: int, like: int | None = None) -> int:
+        state = len(self.link)
+        self.word.append(-1 if like is None else self.word[like])
+        self.target.append(0 if like is None else self.target[like])
+        if like in self.more:
+            self.more[state] = dict(self.more[like])
         self.length.append(length)
         self.link.append(link)
-        return len(self.next) - 1
+        return state
 
-    def _split(self, state: int, word: bytes, target: int) -> int:
+    def _split(self, state: int, word: int, target: int) -> int:
         """A copy of ``target`` for the shorter runs that reach it from ``state``."""
-        copy = self._add(self.length[state] + 1, self.link[target], dict(self.next[target]))
+        copy = self._add(self.length[state] + 1, self.link[target], target)
         self.link[target] = copy
-        while state >= 0 and self.next[state].get(word) == target:
-            self.next[state][word] = copy
+        while state >= 0 and self._get(state, word) == target:
+            self._set(state, word, copy)
             state = self.link[state]
         return copy
 
-    def _extend(self, last: int, word: bytes) -> int:
-        known = self.next[last].get(word)
-        if known is not None:
+    def _extend(self, last: int, word: int) -> int:
+        known = self._get(last, word)
+        if known:
             return known if self.length[known] == self.length[last] + 1 else self._split(last, word, known)
-        state = self._add(self.length[last] + 1, 0, {})
-        while last >= 0 and word not in self.next[last]:
-            self.next[last][word] = state
+        state = self._add(self.length[last] + 1, 0)
+        while last >= 0 and not self._get(last, word):
+            self._set(last, word, state)
             last = self.link[last]
         if last >= 0:
-            target = self.next[last][word]
+            target = self._get(last, word)
             self.link[state] = target if self.length[target] == self.length[last] + 1 else self._split(last, word, target)
         return state
 
-    def _mark(self, ends: list[tuple[int, str]], short: list[tuple[str, list[bytes]]]) -> None:
-        """``of_window``: state -> the state of its last ``window`` words; ``items``: the
-        items that hold a state's runs; ``short``: state -> whole short items that end there."""
-        self.items: dict[int, set[str]] = {}
+    def _mark(self, starts: array, after: array, ends: list[tuple[int, int]]) -> None:
+        """``of_window``: state -> the state of its last ``window`` words; ``holders``: the items of each
+        such state; ``short_at``: state -> its longest run that is a whole short item."""
+        length, link = np.array(self.length), np.array(self.link)
+        self.of_window, self.short_at = array("i", bytes(4 * len(length))), array("i", bytes(4 * len(length)))
+        self.short: dict[int, list[tuple[int, int]]] = {}
         for state, item in ends:
-            while state > 0 and item not in self.items.setdefault(state, set()):
-                self.items[state].add(item)
-                state = self.link[state]
-        whole_items: dict[int, list[tuple[int, str]]] = {}
-        for item, words in short:
-            state = 0
-            for word in words:
-                state = self.next[state][word]
-            whole_items.setdefault(state, []).append((len(words), item))
-        order = sorted(range(1, len(self.next)), key=self.length.__getitem__)
-        self.of_window, self.short = [0] * len(self.next), [()] * len(self.next)
-        for state in order:
+            self.short.setdefault(state, []).append((self.length[state], item))
+        for state in np.argsort(length, kind="stable")[1:].tolist():
             up = self.link[state]
             if self.length[state] >= self.window:
                 self.of_window[state] = state if self.length[up] < self.window else self.of_window[up]
-            self.short[state] = self.short[up] + tuple(whole_items.get(state, ()))
+            self.short_at[state] = state if state in self.short else self.short_at[up]
+        places = np.array(self.of_window)[np.array(after, np.int64)] if len(after) else np.zeros(0, np.int64)
+        item = np.repeat(np.arange(len(starts)), np.diff(np.append(np.array(starts, np.int64), len(after))))
+        pairs = np.unique(np.stack((places, item), axis=1)[places > 0], axis=0)
+        self.holders = (pairs[:, 0].astype(np.int32), pairs[:, 1].astype(np.int32))
+
+    def packed(self) -> dict:
+        """Everything a task needs, as bytes: about 30 bytes a state, beside the words themselves."""
+        more = np.array(sorted((s << 32) | w for s, edges in self.more.items() for w in edges), np.int64)
+        to = np.array([self.more[k >> 32][k & 0xFFFFFFFF] for k in more.tolist()], np.int32)
+        flat = {"word": self.word, "target": self.target, "link": self.link, "length": self.length, "of_window": self.of_window, "short_at": self.short_at}
+        out = {name: values.tobytes() for name, values in flat.items()}
+        out |= {"more": more.tobytes(), "to": to.tobytes(), "held_by": self.holders[0].tobytes(), "holder": self.holders[1].tobytes()}
+        return {**out, "words": b" ".join(self.numbers), "names": self.names, "short": self.short, "window": self.window}
+
+
+class Matcher:
+    """A packed automaton, read in place."""
+
+    def __init__(self, packed: dict) -> None:
+        for name in ("word", "target", "link", "length", "of_window", "short_at", "to", "held_by", "holder"):
+            setattr(self, name, memoryview(packed[name]).cast("i"))
+        self.more = memoryview(packed["more"]).cast("q")
+        self.numbers = {w: k for k, w in enumerate(packed["words"].split())}
+        self.names, self.short, self.window = packed["names"], packed["short"], packed["window"]
+        # the edges of the empty run are looked up most
+        self.root = array("i", bytes(4 * len(self.numbers)))
+        if len(self.numbers):
+            self.root[self.word[0]] = self.target[0]
+        for k in range(bisect_left(self.more, 1 << 32)):
+            self.root[self.more[k] & 0xFFFFFFFF] = self.to[k]
+
+    def _branch(self, state: int, word: int) -> int:
+        key = (state << 32) | word
+        k = bisect_left(self.more, key)
+        return self.to[k] if k < len(self.more) and self.more[k] == key else 0
 
     def find(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[str]]:
         """Merged spans (first word, after the last) of the words inside an occurrence, and the items found."""
-        following, link, length = self.next, self.link, self.length
+        first, target, link, length, root = self.word, self.target, self.link, self.length, self.root
+        of_window, short_at, window, branch = self.of_window, self.short_at, self.window, self._branch
         state = run = 0
         spans: list[list[int]] = []
         states: set[int] = set()
-        found: set[str] = set()
-        root = following[0]
-        for i, word in enumerate(words):
-            if state and word not in following[state]:
+        found: set[int] = set()
+        for i, number in enumerate(map(self.numbers.get, words)):
+            if number is None:
+                state = run = 0
+                continue
+            while state:
+                following = target[state] if first[state] == number else branch(state, number)
+                if following:
+                    break
                 state = link[state]
-                while state and word not in following[state]:
-                    state = link[state]
                 run = length[state]
-            if not state and word not in root:
-                run = 0
-                continue
-            state = following[state][word]
+            if not state:
+                following, run = root[number], 0
+            state = following
             run += 1
             reach = 0
-            if run >= self.window:
-                reach = self.window
-                states.add(self.of_window[state])
-            for size, item in self.short[state]:
-                if size <= run:
-                    reach = max(reach, size)
-                    found.add(item)
+            if run >= window:
+                reach = window
+                states.add(of_window[state])
+            short = short_at[state]
+            while short:
+                for size, item in self.short[short]:
+                    if size <= run:
+                        reach = max(reach, size)
+                        found.add(item)
+                short = short_at[link[short]]
             if reach:
                 start = i + 1 - reach
                 while spans and spans[-1][0] >= start:
@@ -134,12 +189,13 @@ class SuffixAutomaton:
                 else:
                     spans.append([start, i + 1])
         for state in states:
-            found |= self.items[state]
-        return [(a, b) for a, b in spans], found
+            found.update(self.holder[bisect_left(self.held_by, state) : bisect_right(self.held_by, state)])
+        return [(a, b) for a, b in spans], {self.names[k] for k in found}
 
 
 def automata(items: DataFrame, id_col: str, text_col: str, window: int) -> Iterator[SuffixAutomaton]:
-    """One automaton per block of items; a block is bounded by ``BLOCK_CHARS``, so is what goes to the driver."""
+    """One automaton per block of items; a block is bounded by ``BLOCK_CHARS``, so is what goes to the driver and,
+    packed, to the executors."""
     held = items.select(F.col(id_col).cast("string").alias("item"), whole(F.col(text_col)).alias("text")).filter("text <> ''")
     held = held.groupBy("item", "text").count()
     total = held.agg(F.sum(F.length("text"))).first()[0] or 0
@@ -182,11 +238,13 @@ def without(text: str, spans: list[tuple[int, int]]) -> str:
     return "".join([*kept, text[at:]])
 
 
-def _matcher(machine: SuffixAutomaton, text: Column, before: Column) -> Column:
+def _matcher(spark: SparkSession, machine: SuffixAutomaton, text: Column, before: Column) -> Column:
     """What ``machine`` finds, together with what was found before."""
+    packed = spark.sparkContext.broadcast(machine.packed())
 
     @F.arrow_udf(MATCH)
     def match(texts: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        machine = Matcher(packed.value)
         for batch, earlier in texts:
             rows = []
             for value, known in zip(batch, earlier, strict=True):
@@ -211,7 +269,7 @@ def _matched(docs: DataFrame, items: DataFrame, text_col: str, item_id: str, ite
     found = packed(docs, text_col).withColumn("_match", F.lit(None).cast(f"struct<{MATCH}>"))
     for k, machine in enumerate(automata(items, item_id, item_text, window)):
         found = found if k == 0 else stored(found, "benchmark-matches")
-        found = found.withColumn("_match", _matcher(machine, F.col("_0").cast("string"), F.col("_match")))
+        found = found.withColumn("_match", _matcher(docs.sparkSession, machine, F.col("_0").cast("string"), F.col("_match")))
     return found
 
 

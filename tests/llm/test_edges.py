@@ -272,7 +272,7 @@ def test_automaton_against_brute_force():
     draw = random.Random(5)
     for _ in range(60):
         items = {str(k): [draw.choice("abc") for _ in range(draw.randint(1, 9))] for k in range(draw.randint(1, 5))}
-        machine = decontaminate.SuffixAutomaton({k: [w.encode() for w in v] for k, v in items.items()}, 4)
+        machine = decontaminate.Matcher(decontaminate.SuffixAutomaton({k: [w.encode() for w in v] for k, v in items.items()}, 4).packed())
         table = brute.windows([(k, " ".join(v)) for k, v in items.items()], 4)
         doc = [draw.choice("abcd") for _ in range(40)]
         _, hit, found = brute.hits(" ".join(doc), table)
@@ -281,6 +281,19 @@ def test_automaton_against_brute_force():
         assert all(x[1] < y[0] for x, y in zip(spans, spans[1:], strict=False))
 
 
+def test_packed_automaton_takes_few_bytes():
+    import random
+
+    draw = random.Random(6)
+    items = {str(k): [b"%x" % draw.randrange(20_000) for _ in range(100)] for k in range(400)}
+    machine = decontaminate.SuffixAutomaton(items, 10)
+    packed = machine.packed()
+    size = sum(len(v) for v in packed.values() if isinstance(v, bytes))
+    assert size < 50 * sum(map(len, items.values())) and len(machine.link) < 2 * 40_000
+    matcher = decontaminate.Matcher(packed)
+    assert matcher.find(items["7"][20:60]) == ([(0, 40)], {"7"}) and matcher.find(items["7"][:9]) == ([], set())
+
+
 def test_url_filter(spark):
     urls = [
         None, "", "no scheme", "http://Example.NET/en/25?x", "http://a.example.net/fr/1", "https://example.com/de/1#top", "http://x.org/fr/", "http://xorg/fr/", "http://spam-farm.example.org/en/1",
