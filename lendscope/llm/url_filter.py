@@ -143,13 +143,15 @@ def judged(pages: DataFrame, model: Model, rules: tuple[tuple[str, str, str], ..
 
     The longest fitting rule decides; where none fits, rule is NULL and the
     verdict is block from a score of ``BLOCK_FROM``. A NULL, empty or malformed
-    URL has an empty host and path, which no rule fits, and is scored. Columns of
+    URL has an empty host and path, which no rule fits and of which no score says
+    anything: it is blocked, whatever its score. Columns of
     those five names are replaced, all others pass through.
     """
     host, path = host_and_path(F.col("_0"))
     parsed = packed(pages, url_col).withColumns({"_host": host, "_path": path})
     rule, said = rule_for(F.col("_host"), F.col("_path"), rules)
     found = parsed.withColumns({"_rule": rule, "_said": said, "_score": block_score(F.col("_host"), F.col("_path"), model)})
-    verdict = F.coalesce("_said", F.when(F.col("_score") >= BLOCK_FROM, "block").otherwise("allow"))
+    nowhere = (F.col("_host") == "") & (F.col("_path") == "")
+    verdict = F.coalesce("_said", F.when(nowhere | (F.col("_score") >= BLOCK_FROM), "block").otherwise("allow"))
     names = {"host": F.col("_host"), "path": F.col("_path"), "rule": F.col("_rule"), "score": F.col("_score"), "verdict": verdict}
     return found.select(*unpacked(pages.columns, **{url_col: F.col("_0")}, **names))

@@ -310,7 +310,7 @@ def test_url_filter(spark):
         fits = [(len(h + p), h + p, v) for v, h, p in url_filter.RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
         best = max(fits, default=(0, None, None))
         assert (rows[i].host, rows[i].path, rows[i].rule) == (host, path, best[1])
-        assert rows[i].verdict == (best[2] or ("block" if rows[i].score >= url_filter.BLOCK_FROM else "allow"))
+        assert rows[i].verdict == (best[2] or ("block" if rows[i].score >= url_filter.BLOCK_FROM or not host + path else "allow"))
     assert rows[8].verdict == "block" and rows[14].verdict == "allow" and rows[3].rule == "example.net/en/"
     assert url_filter.judged(pages.limit(0), url_filter.Model(0.0, {})).collect() == []
 
