@@ -47,6 +47,47 @@ def follow(stream: DataFrame, apply: Callable[[DataFrame, int], None], checkpoin
     writer.trigger(availableNow=True).start().awaitTermination()
 
 
+def cycle_of(batch: int) -> int:
+    return batch // CYCLE
+
+
+class BatchFolders:
+    """Rows of micro-batches: a folder for each batch of a run, until the ``CYCLE`` batches of a closed cycle are
+    merged into one. A repeated batch replaces its own folder and repeats the merge before it.
+
+    Folders of open cycles are used again in turn, so readers name the last batch that counts of each run.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    def write(self, frame: DataFrame, run: str, batch: int, *by: str) -> None:
+        writer = frame.withColumn("batch", F.lit(batch).cast("long")).hint("rebalance", *by).write.mode("overwrite")
+        (writer.partitionBy(*by) if by else writer).parquet(f"{self.path}/fresh/run={run}/slot={batch % (2 * CYCLE)}")
+
+    def merge(self, run: str, cycle: int, *by: str) -> None:
+        rows = read_or_none(self.spark, f"{self.path}/fresh")
+        if rows is not None:
+            own = rows.filter((F.col("run").cast("string") == run) & F.col("batch").between(cycle * CYCLE, (cycle + 1) * CYCLE - 1)).drop("run", "slot")
+            if own.head(1):
+                writer = own.hint("rebalance", *by).write.mode("overwrite")
+                (writer.partitionBy(*by) if by else writer).parquet(f"{self.path}/merged/run={run}/cycle={cycle}")
+
+    def read(self, last: dict[str, int]) -> DataFrame | None:
+        """The rows of all batches up to the last ones, with run and batch; None where there is none."""
+        parts = []
+        for part in ("fresh", "merged"):
+            rows = read_or_none(self.spark, f"{self.path}/{part}")
+            if rows is not None:
+                rows = rows.withColumn("run", F.col("run").cast("string")).drop("slot", "cycle")
+                held = F.lit(False)
+                for run, batch in last.items():
+                    start = cycle_of(batch) * CYCLE
+                    held = held | ((F.col("run") == run) & (F.col("batch").between(start, batch) if part == "fresh" else F.col("batch") < start))
+                parts.append(rows.filter(held))
+        return reduce(DataFrame.unionByName, parts) if parts else None
+
+
 class DailyLedger:
     """Transactions and flags per day and type from scored rows in any order.
 
@@ -63,18 +104,18 @@ class DailyLedger:
 
     def __init__(self, spark: SparkSession, root: str, delay: dt.timedelta = dt.timedelta(hours=1), run: str = "0"):
         self.spark, self.root, self.delay, self.run = spark, root.rstrip("/"), delay, run
+        self._late_rows = BatchFolders(spark, f"{self.root}/late")
 
     def apply(self, batch: DataFrame, batch_id: int) -> None:
         states = self._states(before=batch_id)
         mark = states.agg(F.max("event_time").alias("latest"), F.max(F.when(F.col("run") == self.run, F.col("batch"))).alias("last")).first()
-        if mark.last is not None and mark.last // CYCLE < batch_id // CYCLE:
-            self._merge(mark.last // CYCLE)
+        if mark.last is not None and cycle_of(mark.last) < cycle_of(batch_id):
+            self._late_rows.merge(self.run, cycle_of(mark.last))
         is_late = F.lit(False) if mark.latest is None else F.coalesce(F.col("ts") < F.lit(mark.latest - self.delay).cast("timestamp_ntz"), F.lit(False))
         batch = batch.withColumn("is_late", is_late)
         late = batch.filter("is_late")
         if late.head(1):
-            slot = batch_id % (2 * CYCLE)
-            late.withColumn("batch", F.lit(batch_id).cast("long")).write.mode("overwrite").parquet(f"{self.root}/late/fresh/run={self.run}/slot={slot}")
+            self._late_rows.write(late, self.run, batch_id)
         counts = batch.groupBy(F.col("txn_date").alias("full_date"), "transaction_type").agg(
             F.count("*").alias("total_txns"),
             count_if(F.col("is_anomaly")).alias("anomaly_count"),
@@ -89,14 +130,6 @@ class DailyLedger:
         state = state.withColumn("batch", F.lit(batch_id).cast("long")).coalesce(1)
         state.write.mode("overwrite").parquet(f"{self.root}/state/run={self.run}/slot={batch_id % 2}")
 
-    def _merge(self, cycle: int) -> None:
-        """The late rows of a closed cycle as one table; done again if the batch that does it is."""
-        fresh = read_or_none(self.spark, f"{self.root}/late/fresh/run={self.run}/slot=*")
-        if fresh is not None:
-            own = fresh.filter(F.col("batch").between(cycle * CYCLE, (cycle + 1) * CYCLE - 1))
-            if own.head(1):
-                own.hint("rebalance").write.mode("overwrite").parquet(f"{self.root}/late/merged/run={self.run}/cycle={cycle}")
-
     def _states(self, before: int | None = None) -> DataFrame:
         """The last state of every run; of this one the last before a batch."""
         states = read_or_none(self.spark, f"{self.root}/state", STATE)
@@ -113,17 +146,11 @@ class DailyLedger:
 
     def late(self) -> DataFrame:
         """The late rows, with their run and batch."""
-        last = F.broadcast(self._states().groupBy("run").agg(F.max("batch").alias("last")))
-        parts = []
-        for part in ("fresh", "merged"):
-            rows = read_or_none(self.spark, f"{self.root}/late/{part}")
-            if rows is not None:
-                rows = rows.withColumn("run", F.col("run").cast("string")).join(last, "run").filter("batch <= last")
-                cycle = F.floor(F.col("batch") / CYCLE)
-                parts.append(rows.filter((cycle == F.floor(F.col("last") / CYCLE)) == F.lit(part == "fresh")).drop("slot", "cycle", "last"))
-        if not parts:
+        last = {r.run: r.batch for r in self._states().select("run", "batch").distinct().collect()}
+        rows = self._late_rows.read(last)
+        if rows is None:
             raise ValueError(f"no row of {self.root} has been late")
-        return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        return rows
 
     def follow(self, scored: DataFrame, checkpoint: str) -> None:
         """Process all available rows of a stream, as the run of that checkpoint."""
