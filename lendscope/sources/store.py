@@ -32,7 +32,8 @@ class TableStore:
     def __init__(self, spark: SparkSession, root: str, database: str | None = None):
         self.spark, self.root = spark, root.rstrip("/")
         self.database = database or "lendscope_" + hashlib.sha256(self.root.encode()).hexdigest()[:16]
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.database}` LOCATION '{self.root}'")
+        place = self.root.replace("\\", "\\\\").replace("'", "\\'")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.database}` LOCATION '{place}'")
 
     def _view(self, table: str) -> str:
         return f"`{self.database}`.`{table}`"
@@ -68,7 +69,7 @@ class TableStore:
         """Switch the view of a table to a folder."""
         try:
             self.spark.read.parquet(folder)
-            rows = f"SELECT * FROM parquet.`{folder}`"
+            rows = "SELECT * FROM parquet.`{}`".format(folder.replace("`", "``"))
         except AnalysisException as problem:
             # a table in month folders that has no rows has no files either
             if problem.getCondition() not in ("UNABLE_TO_INFER_SCHEMA", "PATH_NOT_FOUND"):
