@@ -27,7 +27,7 @@ for name in {names!r}:
 """
 
 
-@pytest.mark.parametrize("names", [["op5_toxicity", "pipeline", "op1_quality", "op3_pieces", "op6_decontaminate", "op8_token_counts", "op9_simhash", "op10_exact_dedup"]])
+@pytest.mark.parametrize("names", [["op5_toxicity", "pipeline", "op1_quality", "op3_pieces", "op6_decontaminate", "op8_token_counts", "op9_simhash", "op10_exact_dedup", "op11_conversations", "op12_secrets", "op13_periodic_runs"]])
 def test_queries_run_where_executors_lack_the_package(tmp_path, small, names):
     code = RUN.format(root=str(ROOT), folder=tmp_path, names=names, small=small)
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
