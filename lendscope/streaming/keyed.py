@@ -7,9 +7,10 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.types import DataType
 
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -18,23 +19,60 @@ EMPTY_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
 NO_DAY = -(10**8)
 
 
+#: Groups that the keys are dealt into; each is one state.
+BUCKETS = 1 << 12
+
+
+def _key_text(key: Column, kind: DataType) -> Column:
+    """The key as text: equal for equal keys and for no others."""
+    match kind.typeName():
+        case "string":
+            return key
+        case "float" | "double":
+            return (key + F.lit(0.0)).cast("string")  # 0.0 and -0.0 are one key
+        case "timestamp":
+            return F.unix_micros(key).cast("string")
+        case "binary":
+            return F.hex(key)
+        case "array" | "struct" | "map":
+            return F.to_json(key, {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "ignoreNullFields": "false"})
+        case _:
+            return key.cast("string")
+
+
 class _FirstOfDays(StatefulProcessor):
-    """Keeps a row of a key unless one was kept within ``days`` of its day. The state is the kept
-    days; each is forgotten ``keep`` after it was written."""
+    """Keeps a row of a key unless one was kept within ``days`` of its day. The state of a bucket of keys is the
+    kept days, one element a batch; each is forgotten ``keep`` after it was written."""
 
     def __init__(self, days: int, keep: dt.timedelta):
         self.reach, self.keep_ms = days, int(keep.total_seconds() * 1000)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.kept = handle.getListState("kept", "day int", ttlDurationMs=self.keep_ms)
+        self.kept = handle.getListState("kept", "keys array<string>, days array<int>", ttlDurationMs=self.keep_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        days = [value[0] for value in self.kept.get()]
-        for row in sorted(rows, key=lambda r: (r["_day"], r["_order"])):
-            if all(abs(row["_day"] - day) > self.reach for day in days):
-                days.append(row["_day"])
-                self.kept.appendValue((row["_day"],))
-                yield Row(**{"_row": row["_row"]})
+        # of the rows of a key and day only the first can be kept
+        first: dict[str, dict[int, Row]] = {}
+        for row in rows:
+            of_key = first.setdefault(row["_key"], {})
+            known = of_key.get(row["_day"])
+            if known is None or row["_order"] < known["_order"]:
+                of_key[row["_day"]] = row
+        days: dict[str, list[int]] = {name: [] for name in first}
+        for names, kept in self.kept.get():
+            for name, day in zip(names, kept, strict=True):
+                if name in days:
+                    days[name].append(day)
+        fresh = []
+        for name, of_key in first.items():
+            for day in sorted(of_key):
+                if all(abs(day - other) > self.reach for other in days[name]):
+                    days[name].append(day)
+                    fresh.append(of_key[day])
+        if fresh:
+            self.kept.appendValue(([row["_key"] for row in fresh], [row["_day"] for row in fresh]))
+        for row in fresh:
+            yield Row(**{"_row": row["_row"]})
 
     def close(self) -> None:
         pass
@@ -51,7 +89,7 @@ def _first_of_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield batch.take(pa.array(sorted(k for _, k in first.values()), pa.int64()))
 
 
-def first_per_key(stream: DataFrame, key: str, time: str, days: int, keep: dt.timedelta = dt.timedelta(days=400), spread: bool = False) -> DataFrame:
+def first_per_key(stream: DataFrame, key: str, time: str, days: int, keep: dt.timedelta = dt.timedelta(days=400), spread: bool = False, buckets: int = BUCKETS) -> DataFrame:
     """The rows of a stream without repeats: a row is one if a row of its key was kept whose event
     day lies within ``days`` of its own, before or after.
 
@@ -62,6 +100,10 @@ def first_per_key(stream: DataFrame, key: str, time: str, days: int, keep: dt.ti
     written, so the state is bounded by the keys of that span. Rows with a NULL key are no
     repeats of anything; rows without a time are repeats of each other.
 
+    Keys are dealt into ``buckets`` by their hash, and a bucket's state is read once a micro-batch: a
+    call for each key would cost more than its rows. More buckets read less state for a batch that
+    is small beside it. A query that goes on from a checkpoint needs the same number.
+
     The rows of a key go to one task. With ``spread`` each task first keeps one row per
     key and day of an Arrow batch, so that a key repeated very often reaches its state
     some ten thousand times less often.
@@ -71,7 +113,7 @@ def first_per_key(stream: DataFrame, key: str, time: str, days: int, keep: dt.ti
     names = stream.columns
     moment = F.col(f"`{time}`").cast("timestamp")
     keyed = stream.select(
-        F.col(f"`{key}`").alias("_key"),
+        _key_text(F.col(f"`{key}`"), stream.schema[key].dataType).alias("_key"),
         F.coalesce(F.unix_date(F.col(f"`{time}`").cast("date")), F.lit(NO_DAY)).alias("_day"),
         F.concat(F.coalesce(F.lpad((F.unix_micros(moment) + F.lit(1 << 62)).cast("string"), 20, "0"), F.lit("")), F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in names])), 256)).alias("_order"),
         F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"),
@@ -80,7 +122,8 @@ def first_per_key(stream: DataFrame, key: str, time: str, days: int, keep: dt.ti
     if spread:
         known = known.mapInArrow(_first_of_batch, known.schema)
     out = f"_row {stream.schema.simpleString()}"
-    kept = known.groupBy("_key").transformWithState(_FirstOfDays(days, keep), out, "Append", "ProcessingTime")
+    dealt = known.withColumn("_bucket", F.pmod(F.xxhash64("_key"), F.lit(buckets)).cast("int"))
+    kept = dealt.groupBy("_bucket").transformWithState(_FirstOfDays(days, keep), out, "Append", "ProcessingTime")
     rest = keyed.filter("_key IS NULL").select("_row")
     return kept.select("_row").unionByName(rest).select("_row.*")
 

@@ -3,8 +3,10 @@ from __future__ import annotations
 import datetime as dt
 import os
 import time
+from decimal import Decimal
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from lendscope.plans import kpi, monitor
@@ -130,6 +132,42 @@ def test_keyed_state_is_freed_and_survives_a_restart(spark, folder):
     assert spark.conf.get(keyed.PROVIDER, None) == settings
 
 
+def test_keyed_state_is_asked_once_for_a_bucket_of_keys():
+    class Kept:
+        def __init__(self):
+            self.values, self.calls = [], 0
+
+        def get(self):
+            self.calls += 1
+            return iter(self.values)
+
+        def appendValue(self, value):
+            self.calls += 1
+            self.values.append(value)
+
+    judge, state = keyed._FirstOfDays(7, dt.timedelta(days=1)), Kept()
+    judge.kept = state
+    row = lambda k, day, order: Row(_key=f"k{k}", _day=day, _order=order, _row=(k, order))
+    first = list(judge.handleInputRows((0,), iter([row(k, 10, o) for k in range(500) for o in ("b", "a", "c")]), None))
+    again = list(judge.handleInputRows((0,), iter([row(k, day, "d") for k in range(500) for day in (18, 17, 40)]), None))
+    assert sorted(r["_row"] for r in first) == [(k, "a") for k in range(500)]
+    assert sorted(r["_row"] for r in again) == sorted((k, "d") for k in range(500) for _ in range(2))
+    assert state.calls == 4
+
+
+@pytest.mark.parametrize("kind, keys", [("binary", [b"a", b"a", b"b"]), ("double", [0.0, -0.0, float("nan")]), ("timestamp", [dt.datetime(2001, 1, 1, 0, 0, 0, 1)] * 2 + [dt.datetime(2001, 1, 1, 0, 0, 0, 2)]), ("struct<x:int,y:string>", [(1, None), (1, None), (None, "1")]), ("decimal(9,2)", [Decimal("1.50"), Decimal("1.5"), Decimal("1.51")])])
+def test_keys_of_any_type_are_held_apart(spark, folder, kind, keys):
+    frame = spark.createDataFrame([(k, dt.date(2001, 1, 1), n) for n, k in enumerate(keys)], f"k {kind}, day date, n int")
+    for n in range(len(keys)):
+        put(frame.filter(F.col("n") == n), folder, f"f{n}")
+    for files in (1, 9):
+        with keyed.state_settings(spark):
+            kept = keyed.first_per_key(jobs.file_stream(spark, f"{folder}/in", frame.schema, max_files=files), "k", "day", 7, buckets=2)
+            table = jobs.run_to_files(kept, f"{folder}/out{files}", f"{folder}/cp{files}")
+        assert table.schema["k"] == frame.schema["k"]
+        assert table.filter("n < 2").count() == 1 and table.filter("n = 2").count() == 1
+
+
 def scored_rows(spark, small):
     return bridge_star(spark, small).txn.select("transaction_type", "is_anomaly", "txn_date", F.col("txn_date").cast("timestamp_ntz").alias("ts")).limit(500)
 
