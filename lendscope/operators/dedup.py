@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lendscope.operators.sizes import BROADCAST_BYTES, estimated_bytes
+from lendscope.sources.workspace import stored
+
 
 def _rank(frame: DataFrame, keys: list[str], order: list[str], latest: bool, apart: Column | None) -> Column:
     order = [c for c in order if c not in keys]
@@ -38,12 +41,20 @@ def first_per_key(frame: DataFrame, keys: list[str], order: list[str]) -> DataFr
 def chosen_per_key(frame: DataFrame, key: str, order: list[str], latest: bool, keyless: Column) -> DataFrame:
     """The row that ``newest_per_key`` (or ``first_per_key``) keeps, with ``_rows``: how many rows its key has.
 
-    The others of a key are counted, not ranked: each task sends one row and one number of a
-    key, also of one with a third of all rows. Both sides are dealt out by the key, so their
-    join moves nothing. Rows without a key (``keyless``) all stay, each with ``_rows`` 1.
+    The keys are counted first, from their column alone, and those that repeat are written. If they are few enough
+    to be broadcast, the rows of all other keys are neither ranked nor moved; if not, all keys are
+    ranked. The others of a key are counted, not ranked: each task sends one row of a key, also of one with a
+    third of all rows. Rows without a key (``keyless``) all stay, each with ``_rows`` 1.
     """
+    pick, one = newest_per_key if latest else first_per_key, F.lit(1).cast("long")
     keyed = frame.filter(~keyless)
-    kept = (newest_per_key if latest else first_per_key)(keyed, [key], order)
-    counts = keyed.groupBy(key).agg(F.count("*").alias("_rows"))
-    rest = frame.filter(keyless).withColumn("_rows", F.lit(1).cast("long"))
-    return kept.join(counts, key).select(*rest.columns).unionByName(rest)
+    repeated = stored(keyed.groupBy(key).agg(F.count("*").alias("_rows")).filter(F.col("_rows") > 1), "repeated-keys")
+    if estimated_bytes(repeated) > BROADCAST_BYTES:
+        single, several = frame.filter(keyless), keyed
+    else:
+        names = F.broadcast(repeated.select(F.col(key).alias("_repeated")))
+        same = F.col(key) == F.col("_repeated")
+        single, several = frame.join(names, same & ~keyless, "left_anti"), keyed.join(names, same, "left_semi")
+    kept = pick(several, [key], order).join(repeated, key, "left").withColumn("_rows", F.coalesce("_rows", one))
+    single = single.withColumn("_rows", one)
+    return kept.select(*single.columns).unionByName(single)

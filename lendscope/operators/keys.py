@@ -18,17 +18,20 @@ def assign_keys(
     start: Column | int = 0,
     key_type: str = "bigint",
     digits: int = DIGITS,
+    held: bool = False,
 ) -> DataFrame:
     """Number rows ``start + 1, start + 2, …`` by (md5 prefix, business key).
 
     ``business_key`` is unique in ``rows``. Rows are numbered inside each md5
     bucket, and bucket offsets come from a count per bucket, so only the
     ``16 ** digits`` (65 536) counts meet in one task. Numbers are dense and the same on
-    every run. Raise ``digits`` so that one bucket fits a task.
+    every run. Raise ``digits`` so that one bucket fits a task. Rows that are read from stored
+    files (``held``) are read twice, of the first time their key; others are written once for it.
     """
     base = start if isinstance(start, Column) else F.lit(start)
-    # written once: the counts and the numbering read it
-    bucketed = stored(rows.withColumn("_bucket", F.left(F.md5(F.col(business_key)), F.lit(digits))), "unnumbered")
+    bucketed = rows.withColumn("_bucket", F.left(F.md5(F.col(business_key)), F.lit(digits)))
+    if not held:
+        bucketed = stored(bucketed, "unnumbered")
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         bucketed.groupBy("_bucket")

@@ -36,14 +36,16 @@ def new_rows(
     surrogate: str | None,
     defaults: dict[str, Column],
     known: DataFrame | None = None,
+    held: bool = True,
 ) -> DataFrame:
-    """Source rows whose key the target lacks, in the target's layout."""
+    """Source rows whose key the target lacks, in the target's layout. ``held``: the source is cheap to
+    read twice (see ``assign_keys``)."""
     known = known_keys(target, source, keys) if known is None else known
     fresh = source.join(known.select(*keys), keys, "left_anti")
     if surrogate:
         start = target.agg(F.max(surrogate)).scalar()
         key_type = target.schema[surrogate].dataType.simpleString()
-        fresh = assign_keys(fresh, keys[0], surrogate, start, key_type)
+        fresh = assign_keys(fresh, keys[0], surrogate, start, key_type, held=held)
         columns = [surrogate, *source.columns]
     else:
         columns = list(source.columns)
@@ -101,7 +103,7 @@ def upsert(
     """
     batch = _batch(target, source, keys, order)
     kept = _changed(target, batch, keys, update_cols, touched or {})
-    return kept.unionByName(new_rows(target, batch, keys, surrogate, defaults or {}))
+    return kept.unionByName(new_rows(target, batch, keys, surrogate, defaults or {}, held=order is None))
 
 
 def _batch(target: DataFrame, source: DataFrame, keys: list[str], order: list[str] | None) -> DataFrame:
@@ -121,7 +123,7 @@ def upsert_folders(
     defaults: dict[str, Column] | None = None,
 ) -> tuple[DataFrame, list[int]]:
     """``upsert`` for a target in folders: the new rows of the touched folders,
-    and which folders these are. All others keep their files.
+    stored, and which folders these are. All others keep their files.
 
     ``folder_of`` is the folder of a source row; a known key keeps the folder of
     its target row, since updates do not move rows. Folders are calendar months,
@@ -133,7 +135,7 @@ def upsert_folders(
     fresh = stored(fresh, "new-rows")
     folders = known.select(folder).unionByName(fresh.select(folder)).distinct()
     names = sorted(row[0] for row in folders.collect())
-    kept = _changed(target.filter(F.col(folder).isin(*names)), batch, keys, update_cols, touched or {})
+    kept = stored(_changed(target.filter(F.col(folder).isin(*names)), batch, keys, update_cols, touched or {}), "kept-rows")
     return kept.unionByName(fresh.select(*kept.columns)), names
 
 
@@ -149,7 +151,7 @@ def insert_ignore(
     ``order`` per key (None: keys are unique already). Append them; the target
     itself is not rewritten."""
     batch = source if order is None else first_per_key(source, keys, order)
-    return new_rows(target, batch, keys, surrogate, defaults or {})
+    return new_rows(target, batch, keys, surrogate, defaults or {}, held=order is None)
 
 
 def merge_into(source: DataFrame, table: str, keys: list[str], update_cols: list[str]) -> None:

@@ -179,7 +179,7 @@ class Load:
         state, months = upsert_folders(
             target, batch, ["loan_id"], etl.LOAN_UPDATES, "issue_month", month, surrogate="loan_key", **audit
         )
-        self.fresh["fact_loan"] = stored(state, "fact_loan")
+        self.fresh["fact_loan"] = state
         untouched = target.filter(~F.col("issue_month").isin(*months)) if months else target
         self.staged["fact_loan"] = untouched.unionByName(self.fresh["fact_loan"].select(*target.columns))
         return counts

@@ -97,4 +97,5 @@ class TableStore:
         return self.spark.table(self._view(table))
 
     def read_or_empty(self, table: str, schema: StructType) -> DataFrame:
-        return self.read(table) if self.exists(table) else self.spark.createDataFrame([], schema)
+        # the optimizer knows that a limit of 0 has no rows, and leaves out what is joined to them
+        return self.read(table) if self.exists(table) else self.spark.createDataFrame([], schema).limit(0)
