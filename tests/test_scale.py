@@ -7,6 +7,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from lendscope import queries_etl
 from lendscope.operators import dedup
 from lendscope.operators.dedup import chosen_per_key
 from lendscope.operators.keys import assign_keys
@@ -66,3 +67,13 @@ def test_new_rows_of_folders_are_written_once(spark):
     assert sorted(map(tuple, state.collect())) == [(1, "a", 101, "new", 1), (2, "b", 201, "old", 2), (4, "d", 202, "new", 2)]
     written = sorted(name.rsplit("-", 1)[0] for name in folders(spark) - before)
     assert written == ["kept-rows", "known-keys", "new-rows"]
+
+
+def test_landing_tables_made_by_joins_are_written_once(spark, small):
+    for name, rows in queries_etl._landing(spark, small).items():
+        files = rows.inputFiles()
+        if name != "raw_loan_products":
+            assert files and all(f"/lendscope/{name}-" in f for f in files)
+        made = queries_etl.LANDING[name](spark, small)
+        assert rows.schema.simpleString() == made.schema.simpleString()
+        assert rows.exceptAll(made).isEmpty() and made.exceptAll(rows).isEmpty()
