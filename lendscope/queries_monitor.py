@@ -97,9 +97,9 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.event_stream(spark, f"{sf_dir}/events*.parquet")
 
 
-def _to_files(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
+def _to_files(spark: SparkSession, stream: DataFrame, name: str, **options: str) -> DataFrame:
     root = fresh_path(spark, name)
-    return jobs.run_to_files(stream, f"{root}/table", f"{root}/checkpoint")
+    return jobs.run_to_files(stream, f"{root}/table", f"{root}/checkpoint", **options)
 
 
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -127,11 +127,13 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _to_files(spark, jobs.dedup(keyed, "transaction_id", "l_shipdate", "7 days").select("transaction_id"), "stream-dedup")
 
 
-def _in_disorder(spark: SparkSession, sf_dir: str, name: str, key: str, files: int = 4) -> str:
-    """The table in files that each span all dates; the stream reads one per batch."""
+def _in_disorder(spark: SparkSession, sf_dir: str, name: str, key: str, files: int = 4, columns: list[str] | None = None) -> str:
+    """The table in files that each span all dates; the stream reads one per batch. ``columns``: those
+    that the stream reads, if not all."""
     path = fresh_path(spark, f"disorder-{name}")
     rows = bridge.table(spark, sf_dir, name)
-    rows.withColumn("slice", F.pmod(F.col(key), F.lit(files))).repartition(files, "slice").write.partitionBy("slice").parquet(path)
+    rows = rows.select(*(columns or rows.columns), F.pmod(F.col(key), F.lit(files)).alias("slice"))
+    rows.repartition(files, "slice").write.partitionBy("slice").parquet(path)
     return path
 
 
@@ -152,19 +154,20 @@ def stream_daily_disorder(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_dedup_disorder(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items that come twice in any date order and once more 60 days later, where a repeat
     is one within seven days; those of the seventh line have no id and stay, each of them."""
-    path, root = _in_disorder(spark, sf_dir, "lineitem", "l_suppkey"), fresh_path(spark, "stream-dedup-keyed")
-    schema = bridge.table(spark, sf_dir, "lineitem").schema
+    needed = ["l_orderkey", "l_linenumber", "l_shipdate"]
     day = F.col("l_shipdate").cast("date")
     key = F.concat_ws("-", "l_orderkey", "l_linenumber", day.cast("string"))
-    lines = [
-        jobs.file_stream(spark, f"{path}/slice=*", schema, max_files=files).select(
-            F.when(F.col("l_linenumber") != 7, key).alias("transaction_id"), F.date_add(day, later).alias("ship_date")
-        )
-        for files, later in ((1, 0), (2, 0), (2, 60))
-    ]
     with keyed.state_settings(spark):
+        path = _in_disorder(spark, sf_dir, "lineitem", "l_suppkey", columns=needed)
+        schema = bridge.table(spark, sf_dir, "lineitem").select(*needed).schema
+        lines = [
+            jobs.file_stream(spark, f"{path}/slice=*", schema, max_files=files).select(
+                F.when(F.col("l_linenumber") != 7, key).alias("transaction_id"), F.date_add(day, later).alias("ship_date")
+            )
+            for files, later in ((1, 0), (2, 0), (2, 60))
+        ]
         kept = keyed.first_per_key(reduce(DataFrame.unionByName, lines), "transaction_id", "ship_date", days=7)
-        return _to_files(spark, kept, "stream-dedup-keyed")
+        return _to_files(spark, kept, "stream-dedup-keyed", compression="zstd")
 
 
 def stream_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:

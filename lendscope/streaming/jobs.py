@@ -97,12 +97,13 @@ def daily_anomalies(scored_stream: DataFrame, delay: str = "1 hour") -> DataFram
     )
 
 
-def run_to_files(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:
+def run_to_files(stream: DataFrame, path: str, checkpoint: str, **options: str) -> DataFrame:
     """Process everything available, append to parquet files exactly once, and
-    return the table written. A rerun goes on from the checkpoint."""
+    return the table written. A rerun goes on from the checkpoint. ``options`` of the files."""
     query = (
         stream.writeStream.format("parquet")
         .outputMode("append")
+        .options(**options)
         .option("path", path)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

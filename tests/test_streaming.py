@@ -4,7 +4,10 @@ import datetime as dt
 import os
 import time
 from decimal import Decimal
+from random import Random
+from types import SimpleNamespace
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
@@ -168,6 +171,63 @@ def test_keys_of_any_type_are_held_apart(spark, folder, kind, keys):
         assert table.filter("n < 2").count() == 1 and table.filter("n = 2").count() == 1
 
 
+def shuffle_files(spark) -> set[str]:
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {f.getName() for f in (files.apply(k) for k in range(files.size())) if f.getName().startswith("shuffle_")}
+
+
+def test_rows_that_key_and_day_tell_move_in_few_bytes(spark, folder):
+    """Keys of some 19 bytes: each row moves in less, and its shuffle files go with its batch."""
+    day = F.date_add(F.lit("1992-01-01"), (F.col("id") * 7919 % 2500).cast("int"))
+    frame = spark.range(60_000).select(F.concat_ws("-", F.col("id") * 104_729 % 900_001, F.col("id") % 6, day).alias("k"), day.alias("day"))
+    for n in range(2):
+        put(frame, folder, f"f{n}")
+    stream = jobs.file_stream(spark, f"{folder}/in", frame.schema, max_files=1)
+    before = shuffle_files(spark)
+    with keyed.state_settings(spark):
+        kept = keyed.first_per_key(stream, "k", "day", 7, buckets=64)
+        assert "sha2" not in str(kept._jdf.queryExecution().analyzed())
+        table = jobs.run_to_files(kept, f"{folder}/out", f"{folder}/cp")
+    assert sorted(table.collect()) == sorted(frame.collect())
+    state = sum(os.path.getsize(f"{d}/{f}") for d, _, names in os.walk(f"{folder}/cp/state") for f in names)
+    assert state < 14 * 60_000
+    for _ in range(50):
+        if shuffle_files(spark) <= before:
+            break
+        time.sleep(0.1)
+    assert shuffle_files(spark) <= before
+
+
+def test_blocks_give_their_rows_back():
+    days = [keyed.NO_DAY, 9000, 9000, -5, 9100]
+    plain = pa.table({"_key": ["", "a", "a", "b\u00e9", "a"], "_day": pa.array(days, pa.int32())})
+    wide = plain.append_column("_order", pa.array([b"1", b"", b"3", b"4", b"5"])).append_column("_row", pa.array([{"x": n, "y": [None, n]} for n in range(5)]))
+    for rows in (plain, wide):
+        for starts in ([0, 5], [0, 2, 5], [0, 1, 2, 3, 4, 5]):
+            blocks = list(keyed._blocks(rows, starts))
+            assert len(blocks) == len(starts) - 1
+            assert pa.concat_tables([keyed._read(b) for b in blocks]).to_pylist() == rows.to_pylist()
+
+
+@pytest.mark.parametrize("blocks", [1, 3])
+def test_blocks_of_a_bucket_are_judged_as_its_rows(monkeypatch, blocks):
+    """Against a loop over the rows, with blocks folded as they come."""
+    monkeypatch.setattr(keyed, "BLOCK_ROWS", 50)
+    random = Random(blocks)
+    rows = [(f"k{random.randrange(9)}", random.choice([keyed.NO_DAY, *range(9000, 9060)]), random.randrange(999)) for _ in range(400)]
+    kept, want = {}, []
+    for key, day, n in sorted(rows, key=lambda r: (r[1], r[2])):
+        if all(abs(day - other) > 7 for other in kept.setdefault(key, [])):
+            kept[key].append(day)
+            want.append((key, day, n))
+    table = pa.table({"_key": [r[0] for r in rows], "_day": pa.array([r[1] for r in rows], pa.int32()), "_order": [b"%03d" % r[2] for r in rows], "_row": [{"n": r[2]} for r in rows]})
+    judge = keyed._FirstOfBlocks(7, dt.timedelta(days=1))
+    judge.kept = SimpleNamespace(get=lambda: iter(()), appendValue=lambda value: None)
+    parts = [Row(_block=b) for b in keyed._blocks(table, [400 * k // blocks for k in range(blocks + 1)])]
+    out = [keyed._read(r["_block"]).to_pylist() for r in judge.handleInputRows((0,), iter(parts), None)]
+    assert sorted((r["_key"], r["_day"], r["_row"]["n"]) for part in out for r in part) == sorted(want)
+
+
 def scored_rows(spark, small):
     return bridge_star(spark, small).txn.select("transaction_type", "is_anomaly", "txn_date", F.col("txn_date").cast("timestamp_ntz").alias("ts")).limit(500)
 
