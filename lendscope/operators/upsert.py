@@ -6,11 +6,14 @@ version (``lendscope.sources.store``).
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lendscope.operators.dedup import first_per_key, newest_per_key
 from lendscope.operators.keys import assign_keys
+from lendscope.operators.sizes import BROADCAST_BYTES, estimated_bytes
 from lendscope.sources.workspace import stored
 
 
@@ -22,11 +25,23 @@ def _insert_value(column: str, source: DataFrame, defaults: dict[str, Column], t
     return F.lit(None).cast(target.schema[column].dataType)
 
 
-def known_keys(target: DataFrame, source: DataFrame, keys: list[str], *more: str) -> DataFrame:
-    """Keys (and columns ``more``) of the target rows that the source mentions,
-    stored: at most as many as the source has rows. Reads the key columns of the
-    target alone; a batch small enough is broadcast, and the target not shuffled."""
-    return stored(target.select(*keys, *more).join(source.select(*keys), keys, "left_semi"), "known-keys")
+def known_keys(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys of the target rows that the source mentions, stored: at most as many
+    as the source has rows. Reads the key columns of the target alone; a batch
+    small enough is broadcast, and the target not shuffled."""
+    return stored(target.select(*keys).join(source.select(*keys), keys, "left_semi"), "known-keys")
+
+
+def _without(source: DataFrame, known: DataFrame, keys: list[str]) -> DataFrame:
+    """Source rows whose key is not among the known ones. Where these are too many to be broadcast, the keys
+    that are left are found first, from the key columns alone; if they are few, no other column is shuffled."""
+    if estimated_bytes(known) > BROADCAST_BYTES:
+        left = stored(source.select(*keys).join(known, keys, "left_anti"), "unknown-keys")
+        if estimated_bytes(left) <= BROADCAST_BYTES:
+            names = F.broadcast(left.select(*[F.col(k).alias(f"_left_{k}") for k in keys]))
+            # a row without a key is not known either
+            return source.join(names, reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_left_{k}")) for k in keys]), "left_semi")
+    return source.join(known, keys, "left_anti")
 
 
 def new_rows(
@@ -41,7 +56,7 @@ def new_rows(
     """Source rows whose key the target lacks, in the target's layout. ``held``: the source is cheap to
     read twice (see ``assign_keys``)."""
     known = known_keys(target, source, keys) if known is None else known
-    fresh = source.join(known.select(*keys), keys, "left_anti")
+    fresh = _without(source, known.select(*keys), keys)
     if surrogate:
         start = target.agg(F.max(surrogate)).scalar()
         key_type = target.schema[surrogate].dataType.simpleString()
@@ -58,24 +73,23 @@ def new_rows(
     return fresh.select(*layout)
 
 
+def _changes(batch: DataFrame, keys: list[str], update_cols: list[str]) -> DataFrame:
+    return batch.select(*keys, F.lit(True).alias("_hit"), *[F.col(c).alias(f"_new_{c}") for c in update_cols])
+
+
+def _new_values(target: DataFrame, update_cols: list[str], touched: dict[str, Column]) -> dict[str, Column]:
+    """What an updated row gets, by column; over the target's rows joined to ``_changes``."""
+    values = {**touched, **{c: F.col(f"_new_{c}") for c in update_cols}}
+    return {c: values[c].cast(target.schema[c].dataType) for c in target.columns if c in values}
+
+
 def _changed(
     target: DataFrame, batch: DataFrame, keys: list[str], update_cols: list[str], touched: dict[str, Column]
 ) -> DataFrame:
     """The target with the listed columns of the batch's rows."""
-    changes = batch.select(
-        *keys, F.lit(True).alias("_hit"), *[F.col(c).alias(f"_new_{c}") for c in update_cols]
-    )
-
-    def updated(column: str) -> Column:
-        if column in update_cols:
-            value = F.col(f"_new_{column}").cast(target.schema[column].dataType)
-        elif column in touched:
-            value = touched[column].cast(target.schema[column].dataType)
-        else:
-            return F.col(column)
-        return F.when(F.col("_hit"), value).otherwise(F.col(column)).alias(column)
-
-    return target.join(changes, keys, "left").select(*[updated(c) for c in target.columns])
+    values = _new_values(target, update_cols, touched)
+    updated = [F.when(F.col("_hit"), values[c]).otherwise(F.col(c)).alias(c) if c in values else F.col(c) for c in target.columns]
+    return target.join(_changes(batch, keys, update_cols), keys, "left").select(*updated)
 
 
 def upsert(
@@ -123,17 +137,21 @@ def upsert_folders(
     defaults: dict[str, Column] | None = None,
 ) -> tuple[DataFrame, list[int]]:
     """``upsert`` for a target in folders: the new rows of the touched folders,
-    stored, and which folders these are. All others keep their files.
+    stored, and which folders these are. All others keep their files, also those
+    whose rows the batch brings again just as they are.
 
     ``folder_of`` is the folder of a source row; a known key keeps the folder of
     its target row, since updates do not move rows. Folders are calendar months,
     so their list is short.
     """
     batch = _batch(target, source, keys, None)
-    known = known_keys(target, batch, keys, folder)
+    values = _new_values(target, update_cols, touched or {})
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(v) for c, v in values.items()], F.lit(True))
+    known = target.join(_changes(batch, keys, update_cols), keys).select(*keys, folder, (~same).alias("_differs"))
+    known = stored(known, "known-keys")
     fresh = new_rows(target.drop(folder), batch, keys, surrogate, defaults or {}, known).withColumn(folder, folder_of)
     fresh = stored(fresh, "new-rows")
-    folders = known.select(folder).unionByName(fresh.select(folder)).distinct()
+    folders = known.filter("_differs").select(folder).unionByName(fresh.select(folder)).distinct()
     names = sorted(row[0] for row in folders.collect())
     kept = stored(_changed(target.filter(F.col(folder).isin(*names)), batch, keys, update_cols, touched or {}), "kept-rows")
     return kept.unionByName(fresh.select(*kept.columns)), names

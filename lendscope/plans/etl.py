@@ -34,6 +34,7 @@ from lendscope.functions.text import (
 )
 from lendscope.operators.dedup import chosen_per_key
 from lendscope.operators.moments import moments, spread
+from lendscope.operators.sizes import broadcast_if_small
 from lendscope.operators.skew import key_parts, salted_join
 from lendscope.sources.staging import MALFORMED
 from lendscope.sources.workspace import stored
@@ -296,6 +297,14 @@ def _row_counts(raw: DataFrame, key: str) -> DataFrame:
     return raw.groupBy(F.trim(key).alias(key)).agg(F.count("*").alias("n"))
 
 
+def _named_products(raw: DataFrame, dim_product: DataFrame) -> DataFrame:
+    """product_code -> product_key of the products that the loans name. These may be few of many, each
+    with very many loans: then they are broadcast, and no loan is moved for its product."""
+    named = raw.select(F.upper(F.trim("product_code")).alias("product_code")).distinct()
+    found = stored(dim_product.select("product_code", "product_key").join(named, "product_code", "left_semi"), "named-products")
+    return broadcast_if_small(found, found)
+
+
 def checked_loans(
     raw: DataFrame,
     places: DataFrame,
@@ -308,7 +317,6 @@ def checked_loans(
     text = newest.withColumns(
         {"customer_id": F.trim("customer_id"), "product_code": F.upper(F.trim("product_code"))}
     )
-    days = F.coalesce(to_type(F.col("days_past_due"), "smallint", strict), F.lit(0).cast("smallint"))
     numbers = {
         "principal_amount": "decimal(18,2)",
         "interest_rate": "decimal(5,2)",
@@ -316,22 +324,24 @@ def checked_loans(
         "outstanding_balance": "decimal(18,2)",
     }
     dates = {"issue_date": "issue_date_key", "maturity_date": "maturity_date_key"}
-    bad_number = _any(*[is_bad(F.col(c), t) for c, t in {**numbers, "days_past_due": "smallint"}.items()])
-    bad_date = _any(*[is_bad(F.col(c), "date") for c in dates])
-    typed = text.select(
+    # each text is converted once: a bad one is one that is not blank and has become NULL
+    kinds = {**numbers, "days_past_due": "smallint", **dict.fromkeys(dates, "date")}
+    converted = text.withColumns({f"_{c}": to_type(F.col(c), t, strict) for c, t in kinds.items()})
+    bad = {c: blank_to_null(F.col(c)).isNotNull() & F.col(f"_{c}").isNull() for c in kinds}
+    typed = converted.select(
         "loan_id",
         "customer_id",
         "product_code",
-        *[date_key(to_type(F.col(c), "date", strict)).alias(k) for c, k in dates.items()],
-        *[to_type(F.col(c), t, strict).alias(c) for c, t in numbers.items()],
+        *[date_key(F.col(f"_{c}")).alias(k) for c, k in dates.items()],
+        *[F.col(f"_{c}").alias(c) for c in numbers],
         F.upper(F.trim("loan_status")).alias("loan_status"),
-        days.alias("days_past_due"),
-        bad_number.alias("_bad_number"),
-        bad_date.alias("_bad_date"),
+        F.coalesce("_days_past_due", F.lit(0).cast("smallint")).alias("days_past_due"),
+        _any(*[bad[c] for c in kinds if c not in dates]).alias("_bad_number"),
+        _any(*[bad[c] for c in dates]).alias("_bad_date"),
         "_rows",
     )
     parts = key_parts(_row_counts(raw, "customer_id"), "customer_id", "n")
-    products = dim_product.select("product_code", "product_key")
+    products = _named_products(raw, dim_product)
     known = salted_join(typed, places, "customer_id", parts, F.col("loan_id"), "left")
     joined = _placed(known, F.col("issue_date_key")).join(products, "product_code", "left")
     required = ("issue_date_key", "principal_amount", "interest_rate", "tenure_months", "loan_status")
